@@ -1,6 +1,6 @@
-"""DuckDB twins of the registered queries.
+"""Shared SQL fragments for the DuckDB twins of the registered queries.
 
-Each entry is independent SQL over the driver views (region nation customer
+Each twin is independent SQL over the driver views (region nation customer
 supplier part orders lineitem events documents embeddings pages benchmark
 labels conversations).  Shared stand-ins are written once as CTE text.
 """
@@ -81,12 +81,3 @@ categories AS (
   UNION ALL SELECT CAST(s_suppkey + 1000 AS BIGINT), s_name, CAST(s_nationkey + 100 AS BIGINT) FROM supplier
 )"""
 
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str) -> None:
-    ORACLE[name] = sql.strip()
-
-
-register("q_index_parse", "WITH " + INDEX_PARSED + """
-SELECT cik, company_name, form_type, filing_date, filename, accession_number FROM filings""")
