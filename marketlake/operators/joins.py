@@ -143,11 +143,9 @@ def lookup_with_default(df: DataFrame, lookup: DataFrame, key: str, name_col: st
     is broadcast only after its size is checked."""
     lk = broadcast_if_small(lookup.select(key, name_col), max_rows)
     j = df.join(lk, key, "left")
-    return j.withColumn(out_col, F.coalesce(F.col(name_col),
-                                            F.concat(F.lit(label), F.col(key).cast("string")))) \
-            .drop(name_col) if name_col != out_col else \
-        j.withColumn(out_col, F.coalesce(F.col(name_col),
-                                         F.concat(F.lit(label), F.col(key).cast("string"))))
+    label_col = F.coalesce(F.col(name_col), F.concat(F.lit(label), F.col(key).cast("string")))
+    out = j.withColumn(out_col, label_col)
+    return out.drop(name_col) if name_col != out_col else out
 
 
 # -------------------------------------------------------------------- JOIN-12

@@ -33,32 +33,23 @@ def index_lines(spark: SparkSession, d: str) -> DataFrame:
     c = read(spark, d, "customer").select("c_custkey", "c_name")
     j = o.join(c, o.o_custkey == c.c_custkey, "inner")
     cik = F.col("o_custkey").cast("string")
-    fname = F.concat(F.lit("edgar/data/"), cik, F.lit("/"),
-                     F.lpad(F.col("o_orderkey").cast("string"), 10, "0"), F.lit(".txt"))
-    iso = F.date_format("o_orderdate", "yyyy-MM-dd")
-    compact = F.date_format("o_orderdate", "yyyyMMdd")
-    st = F.col("o_orderstatus")
     pri = F.col("o_orderpriority")
-
-    def line(*parts):
-        return F.concat_ws("|", *parts)
-
-    text = (F.when(pri == "1-URGENT", line(cik, F.col("c_name"), st, compact, fname))
-             .when(pri == "2-HIGH", line(cik, F.col("c_name"), st, iso, fname))
-             .when(pri == "3-MEDIUM",
-                   F.when(st == "F", F.lit("CIK|Company Name|Form Type|Date Filed|Filename"))
-                    .when(st == "O", F.lit("--------------------------------------------------"))
-                    .otherwise(line(cik, F.col("c_name"), st, iso, fname, F.lit("extra"))))
-             .when(pri == "4-NOT SPECIFIED",
-                   F.when(st == "F", line(cik, F.col("c_name"), st, F.lit("invalid-date"), fname))
-                    .when(st == "O", line(cik, F.col("c_name"), st,
-                                          F.concat(F.year("o_orderdate").cast("string"), F.lit("-13-45")),
-                                          fname))
-                    .otherwise(line(cik, F.col("c_name"), st, iso,
-                                    F.concat(F.lit("other/"), cik, F.lit(".txt")))))
-             .otherwise(line(F.concat(F.lit(" 000"), cik, F.lit(" ")),
-                             F.concat(F.lit(" "), F.col("c_name"), F.lit("  ")),
-                             st, F.concat(F.lit(" "), compact), fname)))
+    st = F.col("o_orderstatus")
+    low, med, nsp = pri == "5-LOW", pri == "3-MEDIUM", pri == "4-NOT SPECIFIED"
+    f1 = F.when(low, F.concat(F.lit(" 000"), cik, F.lit(" "))).otherwise(cik)
+    f2 = F.when(low, F.concat(F.lit(" "), F.col("c_name"), F.lit("  "))).otherwise(F.col("c_name"))
+    f4 = (F.when(pri.isin("1-URGENT", "5-LOW"), F.date_format("o_orderdate", "yyyyMMdd"))
+           .when(nsp & (st == "F"), F.lit("invalid-date"))
+           .when(nsp & (st == "O"), F.concat(F.year("o_orderdate").cast("string"), F.lit("-13-45")))
+           .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")))
+    f4 = F.when(low, F.concat(F.lit(" "), f4)).otherwise(f4)
+    f5 = F.when(nsp & (st == "P"), F.concat(F.lit("other/"), cik, F.lit(".txt"))).otherwise(
+        F.concat(F.lit("edgar/data/"), cik, F.lit("/"),
+                 F.lpad(F.col("o_orderkey").cast("string"), 10, "0"), F.lit(".txt")))
+    f6 = F.when(med & (st == "P"), F.lit("extra"))
+    text = (F.when(med & (st == "F"), F.lit("CIK|Company Name|Form Type|Date Filed|Filename"))
+             .when(med & (st == "O"), F.lit("-" * 50))
+             .otherwise(F.concat_ws("|", f1, f2, st, f4, f5, f6)))
     return j.select(F.col("o_orderkey"), text.alias("value"))
 
 
@@ -82,3 +73,12 @@ def category_tree(spark: SparkSession, d: str) -> DataFrame:
                          F.col("s_name").alias("name"),
                          (F.col("s_nationkey") + 100).cast("long").alias("parent_id"))
     return root.unionByName(regions).unionByName(nations).unionByName(suppliers)
+
+
+# ------------------------------------------------------------- daily series
+def daily_series(spark: SparkSession, d: str) -> DataFrame:
+    """Observations stand-in: (series_id, date, value) = daily total of
+    ``events.value`` per event type (rounded to cents, as stored)."""
+    ev = read(spark, d, "events")
+    return (ev.groupBy(F.col("event_type").alias("series_id"), F.to_date("ts").alias("date"))
+              .agg(F.round(F.sum("value"), 2).alias("value")))
