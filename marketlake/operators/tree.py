@@ -13,11 +13,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark import StorageLevel
+
 from ..session import cut_lineage
 
 CHECKPOINT_EVERY = 8
 
 
+def _materialize(df: DataFrame, depth: int) -> DataFrame:
+    """Each level is computed once: persisted (memory, spilling to disk) so
+    the emptiness check, the next level and the final union all reuse it;
+    every CHECKPOINT_EVERY levels it is written to the checkpoint folder to
+    cut lineage (a lost executor then re-reads, not re-derives, it)."""
+    if depth % CHECKPOINT_EVERY == 0:
+        return cut_lineage(df)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def clean_edges(categories: DataFrame, id_col: str = "category_id",
                 parent_col: str = "parent_id") -> DataFrame:
     """D-5/D-6: self edges dropped; parent null, '' or 0 (when no row 0
@@ -43,6 +55,7 @@ def paths(categories: DataFrame, id_col: str = "category_id", name_col: str = "n
     """HIER-1/HIER-2: every reachable category with its name path, id path
     and depth (roots have depth 0)."""
     edges = clean_edges(categories, id_col, parent_col).select(id_col, name_col, parent_col)
+    edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
     level = _roots(edges, id_col, parent_col).select(
         id_col, name_col, parent_col,
         F.col(name_col).cast("string").alias("full_path"),
@@ -61,14 +74,11 @@ def paths(categories: DataFrame, id_col: str = "category_id", name_col: str = "n
                             F.concat(F.col("full_path"), F.lit(sep), F.col("_cname")).alias("full_path"),
                             F.array_append(F.col("path"), F.col("_cid")).alias("path"),
                             F.lit(depth).alias("depth")))
-        if depth % CHECKPOINT_EVERY == 0:
-            nxt = cut_lineage(nxt)
+        nxt = _materialize(nxt, depth)
         if nxt.isEmpty():
             break
         out = out.unionByName(nxt)
         level = nxt
-        if depth % CHECKPOINT_EVERY == 0:
-            out = cut_lineage(out)
     return out
 
 
@@ -91,6 +101,7 @@ def closure(categories: DataFrame, root_id: int, id_col: str = "category_id",
     """HIER-4: the root and every descendant (visited once), with the
     distance from the root; missing names get '<default><id>'."""
     edges = clean_edges(categories, id_col, parent_col).select(id_col, name_col, parent_col)
+    edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
     level = edges.where(F.col(id_col) == root_id).withColumn("depth", F.lit(0))
     seen = level
     child = edges.select(F.col(id_col).alias("_cid"), F.col(name_col).alias("_cname"),
@@ -103,13 +114,10 @@ def closure(categories: DataFrame, root_id: int, id_col: str = "category_id",
                             F.col("_cparent").alias(parent_col), F.lit(depth).alias("depth"))
                     .join(seen.select(id_col), id_col, "left_anti")
                     .dropDuplicates([id_col]))
-        if depth % CHECKPOINT_EVERY == 0:
-            nxt = cut_lineage(nxt)
+        nxt = _materialize(nxt, depth)
         if nxt.isEmpty():
             break
         seen = seen.unionByName(nxt)
         level = nxt
-        if depth % CHECKPOINT_EVERY == 0:
-            seen = cut_lineage(seen)
     return seen.withColumn(name_col, F.coalesce(F.col(name_col),
                                                 F.concat(F.lit(default_name), F.col(id_col).cast("string"))))
