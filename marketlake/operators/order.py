@@ -86,20 +86,37 @@ def ffill_bfill(df: DataFrame, key: list[str], order: str, values: list[str], bu
 
 
 # --------------------------------------------------------------------- WIN-4
-def change_history(df: DataFrame, key: list[str], order: list[str], tracked: list[str],
-                   valid_from: str) -> DataFrame:
-    """Snapshot history: keep the rows where any tracked value differs from
-    the previous row of the same key; ``valid_to`` is the next change.
-
-    Windows are per key: a key's history is its own ordered sequence.
+def change_history(df: DataFrame, key: list[str], order: str, tracked: list[str],
+                   bucket: Column | str | None = None) -> DataFrame:
+    """Snapshot history (SCD-2): rows where any tracked value differs from
+    the previous row of the same key, with ``valid_from`` = the row's order
+    value and ``valid_to`` = the next change's (null for the current one).
+
+    Segmented: windows run per (key, bucket); a bucket's first row compares
+    with the last row of the key's previous non-empty bucket, and a bucket's
+    last change closes at the first change of a later bucket.  Both carries
+    come from one-row-per-bucket summaries.
     """
-    w = Window.partitionBy(*key).orderBy(*order)
-    prev = F.lag(F.struct(*[F.col(c) for c in tracked])).over(w)
+    b = "_bucket"
+    d = df.withColumn(b, F.lit(0) if bucket is None else (F.col(bucket) if isinstance(bucket, str) else bucket))
     cur = F.struct(*[F.col(c) for c in tracked])
-    changed = df.withColumn("_chg", prev.isNull() | (~cur.eqNullSafe(prev))).where("_chg")
-    w2 = Window.partitionBy(*key).orderBy(*order)
-    return changed.select(*key, *tracked, F.col(valid_from).alias("valid_from"),
-                          F.lead(F.col(valid_from)).over(w2).alias("valid_to"))
+    w = Window.partitionBy(*key, b).orderBy(order)
+    last_row = (d.groupBy(*key, b).agg(F.max_by(cur, F.col(order)).alias("_last"))
+                  .withColumn("_cin", F.lag("_last").over(Window.partitionBy(*key).orderBy(b))).drop("_last"))
+    x = (d.withColumn("_prev_local", F.lag(cur).over(w))
+          .withColumn("_is_first", F.row_number().over(w) == 1)
+          .join(last_row, [*key, b], "left"))
+    prev = F.when(F.col("_is_first"), F.col("_cin")).otherwise(F.col("_prev_local"))
+    changed = x.where(prev.isNull() | ~cur.eqNullSafe(prev)).select(*key, b, *tracked,
+                                                                     F.col(order).alias("valid_from"))
+    first_change = (changed.groupBy(*key, b).agg(F.min("valid_from").alias("_f"))
+                           .withColumn("_cout", F.first("_f", ignorenulls=True).over(
+                               Window.partitionBy(*key).orderBy(b).rowsBetween(1, Window.unboundedFollowing)))
+                           .drop("_f"))
+    w2 = Window.partitionBy(*key, b).orderBy("valid_from")
+    y = changed.withColumn("_next_local", F.lead("valid_from").over(w2)).join(first_change, [*key, b], "left")
+    return y.select(*key, *tracked, "valid_from",
+                    F.coalesce(F.col("_next_local"), F.col("_cout")).alias("valid_to"))
 
 
 # --------------------------------------------------------------------- WIN-6
