@@ -21,7 +21,7 @@ SEQ = "_seq"
 
 
 def _tag(df: DataFrame, side: int, seq: Column | None) -> DataFrame:
-    return df.withColumn(SIDE, F.lit(side)).withColumn(SEQ, seq if seq is not None else F.lit(0).cast("long"))
+    return df.withColumn(SEQ, seq if seq is not None else F.lit(0).cast("long")).withColumn(SIDE, F.lit(side))
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: list[str],
@@ -33,10 +33,14 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: list[str],
     ``incoming_seq`` wins (D-19).  Nulls stay null (D-22)."""
     keep_from_existing = keep_from_existing or []
     cols = [c for c in existing.columns if c not in key]
+    seq = incoming_seq if incoming_seq is not None else F.lit(0)
     inc = incoming.select(*key, *[
         (F.col(c) if c in incoming.columns else F.lit(None)).cast(existing.schema[c].dataType).alias(c)
-        for c in cols])
-    u = _tag(existing.select(*key, *cols), 0, existing_seq).unionByName(_tag(inc, 1, incoming_seq))
+        for c in cols], seq.alias(SEQ)).withColumn(SIDE, F.lit(1))
+    seq_type = inc.schema[SEQ].dataType
+    ex = _tag(existing.select(*key, *cols), 0,
+              (existing_seq if existing_seq is not None else F.lit(None)).cast(seq_type))
+    u = ex.unionByName(inc)
     order = F.struct(F.col(SIDE), F.col(SEQ))
     aggs = [F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("_new")]
     for c in keep_from_existing:
@@ -70,8 +74,9 @@ def insert_ignore(existing: DataFrame, incoming: DataFrame, key: list[str],
     """UPS-4: stored rows stay; new keys are added, the first in batch order
     when the batch repeats a key."""
     cols = [c for c in existing.columns if c not in key]
-    u = _tag(existing.select(*key, *cols), 0, None).unionByName(
-        _tag(incoming.select(*key, *cols), 1, incoming_seq))
+    seq = incoming_seq if incoming_seq is not None else F.lit(0)
+    inc = incoming.select(*key, *cols, seq.alias(SEQ)).withColumn(SIDE, F.lit(1))
+    u = _tag(existing.select(*key, *cols), 0, F.lit(None).cast(inc.schema[SEQ].dataType)).unionByName(inc)
     order = F.struct(F.col(SIDE), F.col(SEQ))
     g = u.groupBy(*key).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_r"))
     return g.select(*key, "_r.*")
