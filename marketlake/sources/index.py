@@ -38,8 +38,12 @@ PARSED_CSV_SCHEMA = T.StructType([
 ])
 
 
+WS = " \t\r\n\f\v"
+
+
 def _strip(c):
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Python-style strip of surrounding whitespace (no regex)."""
+    return F.trim(c, F.lit(WS))
 
 
 def parse_index_lines(lines: DataFrame, line_col: str = "value", compat: bool = False,
@@ -52,31 +56,30 @@ def parse_index_lines(lines: DataFrame, line_col: str = "value", compat: bool =
     missing accession numbers.  ``compat=True`` also drops every line that
     contains 'CIK' in any case (the older rule, which loses company names
     such as 'CIKA CORP').  ``keep`` carries extra input columns through.
+
+    The stripped fields are produced once per line (a one-row generator per
+    line) so that the predicate chain below reads plain columns instead of
+    re-splitting the line in every predicate.
     """
     keep = keep or []
     line = _strip(F.col(line_col))
     parts = F.split(line, r"\|", -1)
-    if compat:
-        header = F.upper(line).contains("CIK")
-    else:
-        header = F.upper(line) == F.lit(FV.INDEX_HEADER.upper())
-    cik_raw = _strip(F.get(parts, 0))
-    filename = _strip(F.get(parts, 4))
-    staged = (lines
-              .select(*keep, line.alias("_line"), parts.alias("_p"), cik_raw.alias("_cik"),
-                      filename.alias("filename"))
-              .where((F.col("_line") != "") & ~F.col("_line").startswith("---") & ~header
-                     & (F.size("_p") == 5)
-                     & F.col("_cik").rlike(r"^[0-9]+$")
-                     & F.col("filename").startswith(FV.INDEX_FILENAME_PREFIX)))
-    out = staged.select(
+    fields = F.struct(line.alias("line"), F.size(parts).alias("n"),
+                      *[_strip(F.get(parts, i)).alias(f"f{i}") for i in range(5)])
+    staged = lines.select(*keep, F.inline(F.array(fields)))
+    ln = F.col("line")
+    header = F.upper(ln).contains("CIK") if compat else F.upper(ln) == F.lit(FV.INDEX_HEADER.upper())
+    valid = staged.where((ln != "") & ~ln.startswith("---") & ~header & (F.col("n") == 5)
+                         & F.col("f0").rlike(r"^[0-9]+$")
+                         & F.col("f4").startswith(FV.INDEX_FILENAME_PREFIX))
+    out = valid.select(
         *keep,
-        normalize_cik(F.col("_cik")).alias("cik"),
-        _strip(F.get(F.col("_p"), 1)).alias("company_name"),
-        _strip(F.get(F.col("_p"), 2)).alias("form_type"),
-        filed_date(_strip(F.get(F.col("_p"), 3))).alias("filing_date"),
-        F.col("filename"),
-        accession_from_path(F.col("filename")).alias("accession_number"),
+        normalize_cik(F.col("f0")).alias("cik"),
+        F.col("f1").alias("company_name"),
+        F.col("f2").alias("form_type"),
+        filed_date(F.col("f3")).alias("filing_date"),
+        F.col("f4").alias("filename"),
+        accession_from_path(F.col("f4")).alias("accession_number"),
     )
     return out.where(F.col("filing_date").isNotNull() & F.col("accession_number").isNotNull())
 
