@@ -3,20 +3,23 @@
 Rows are (seq_id, order columns, block, features...).  ``block`` is a
 coarse time grain (a day, a month) that cuts each sequence into pieces:
 
-  pass 1  groupBy(seq, block).applyInPandas   one k x k transfer matrix per
-                                              block (sum-product and
-                                              max-product), plus the
-                                              first-block start vectors
-  pass 2  groupBy(seq).applyInPandas          ordered fold over the block
-                                              summaries of one sequence
-                                              (its length is the number of
-                                              blocks, not of rows): carry-in
-                                              forward vector, carry-out
-                                              backward vector, Viterbi entry
-                                              and end states, log-likelihood
-  pass 3  cogroup(rows, carry) per block      filtered probabilities, Viterbi
-                                              states, or EM sufficient
-                                              statistics
+  pass 1  per (seq, block)   one k x k transfer matrix per block
+                             (sum-product and max-product), plus the
+                             first-block start vectors
+  pass 2  per seq            ordered fold over the block summaries of one
+                             sequence (its length is the number of blocks,
+                             not of rows): carry-in forward vector, carry-out
+                             backward vector, Viterbi entry and end states,
+                             log-likelihood
+  pass 3  per (seq, block)   the block's carry row travels with its data rows
+                             (one union, one shuffle): filtered
+                             probabilities, Viterbi states, or EM sufficient
+                             statistics
+
+Each pass is a hash repartition on the group key, a sort within
+partitions, and one ``mapInPandas`` that streams through many groups per
+task (grouped-map UDFs pay a fixed cost per group, which dominates when
+blocks are small).
 
 No sequence is ever gathered in one task, so one sequence holding a third
 of all rows is spread over as many tasks as it has blocks.  EM (HMM-1)
@@ -98,51 +101,81 @@ def _safe_log(p):
         return np.log(p)
 
 
-# ------------------------------------------------------------------- pass 1
-def _transfer(E: np.ndarray, A: np.ndarray, pi: np.ndarray):
-    """Block summaries from emission logs E (T, k).
+# ------------------------------------------------------- batch layout
+def _segments(pdf: pd.DataFrame, keys: list[str]):
+    """Rows sorted by ``keys`` -> (starts, lengths, group id, position)."""
+    n = len(pdf)
+    change = np.zeros(n, dtype=bool)
+    change[0] = True
+    for k in keys:
+        col = pdf[k].to_numpy()
+        change[1:] |= col[1:] != col[:-1]
+    starts = np.flatnonzero(change)
+    lengths = np.diff(np.append(starts, n))
+    gid = np.repeat(np.arange(len(starts)), lengths)
+    pos = np.arange(n) - starts[gid]
+    return starts, lengths, gid, pos
+
+
+def _pad(values: np.ndarray, gid, pos, G: int, L: int, fill: float = 0.0) -> np.ndarray:
+    out = np.full((G, L) + values.shape[1:], fill)
+    out[gid, pos] = values
+    return out
+
 
-    Returns log M (k,k): best-of-sum over paths from the state before the
-    block to the state at its last step; log v (k): the same started from
-    the initial distribution (used when the block opens the sequence); and
-    the max-product versions for Viterbi."""
+# ------------------------------------------------------------------- pass 1
+def _transfer_batch(E: np.ndarray, lengths: np.ndarray, A: np.ndarray, pi: np.ndarray):
+    """Block summaries for G blocks at once from padded emission logs
+    E (G, L, k): log M (G,k,k) over paths from the state before the block to
+    the state at its last step; log v (G,k) started from the initial
+    distribution (used when the block opens its sequence); and the
+    max-product versions for Viterbi.  Sum-product runs in scaled linear
+    space, max-product in log space."""
+    G, L, k = E.shape
     logA, logpi = _safe_log(A), _safe_log(pi)
-    m0 = E[0].max()
-    w = np.exp(E[0] - m0)
-    P = A * w[None, :]
-    v = pi * w
-    scale_P = m0
-    scale_v = m0
-    Lm = logA + E[0][None, :]
-    vm = logpi + E[0]
-    for t in range(1, E.shape[0]):
-        mt = E[t].max()
-        w = np.exp(E[t] - mt)
-        P = (P @ A) * w[None, :]
-        v = (v @ A) * w
-        cP, cv = P.max(), v.max()
-        if cP > 0:
-            P = P / cP
-            scale_P += mt + math.log(cP)
-        if cv > 0:
-            v = v / cv
-            scale_v += mt + math.log(cv)
-        Lm = np.max(Lm[:, :, None] + logA[None, :, :], axis=1) + E[t][None, :]
-        vm = np.max(vm[:, None] + logA, axis=0) + E[t]
-    return _safe_log(P) + scale_P, _safe_log(v) + scale_v, Lm, vm
+    E0 = E[:, 0, :]
+    m0 = E0.max(axis=1)
+    w = np.exp(E0 - m0[:, None])
+    P = A[None, :, :] * w[:, None, :]
+    v = pi[None, :] * w
+    sP, sv = m0.copy(), m0.copy()
+    Lm = logA[None, :, :] + E0[:, None, :]
+    vm = logpi[None, :] + E0
+    for t in range(1, L):
+        act = lengths > t
+        if not act.any():
+            break
+        Et = E[act, t, :]
+        mt = Et.max(axis=1)
+        w = np.exp(Et - mt[:, None])
+        Pa = np.einsum("gij,jk->gik", P[act], A) * w[:, None, :]
+        va = (v[act] @ A) * w
+        cP = Pa.max(axis=(1, 2))
+        cv = va.max(axis=1)
+        cP = np.where(cP > 0, cP, 1.0)
+        cv = np.where(cv > 0, cv, 1.0)
+        P[act] = Pa / cP[:, None, None]
+        v[act] = va / cv[:, None]
+        sP[act] += mt + np.log(cP)
+        sv[act] += mt + np.log(cv)
+        Lm[act] = np.max(Lm[act][:, :, :, None] + logA[None, None, :, :], axis=2) + Et[:, None, :]
+        vm[act] = np.max(vm[act][:, :, None] + logA[None, :, :], axis=1) + Et
+    return _safe_log(P) + sP[:, None, None], _safe_log(v) + sv[:, None], Lm, vm
 
 
 def _pass1(params: HMMParams, seq_cols, order_cols, features):
     A, pi, means, var = params.A, params.pi, params.means, params.vars
+    keys = [*seq_cols, "_block"]
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order_cols, kind="mergesort")
-        E = _emission_log(pdf[features].to_numpy(dtype=float), means, var)
-        M, v, Mm, vm = _transfer(E, A, pi)
-        row = {c: [pdf[c].iloc[0]] for c in seq_cols}
-        row.update(block=[pdf["_block"].iloc[0]], n=[len(pdf)],
-                   M=[M.ravel().tolist()], v=[v.tolist()], Mm=[Mm.ravel().tolist()], vm=[vm.tolist()])
-        return pd.DataFrame(row)
+        starts, lengths, gid, pos = _segments(pdf, keys)
+        G, L = len(starts), int(lengths.max())
+        E = _pad(_emission_log(pdf[features].to_numpy(dtype=float), means, var), gid, pos, G, L)
+        M, v, Mm, vm = _transfer_batch(E, lengths, A, pi)
+        out = {c: pdf[c].to_numpy()[starts] for c in seq_cols}
+        out.update(block=pdf["_block"].to_numpy()[starts], n=lengths.astype(np.int64),
+                   M=list(M.reshape(G, -1)), v=list(v), Mm=list(Mm.reshape(G, -1)), vm=list(vm))
+        return pd.DataFrame(out)
     return fn
 
 
@@ -190,99 +223,128 @@ def _pass2(k: int, seq_cols):
 
 
 # ------------------------------------------------------------------- pass 3
-def _forward_block(E, A, pi, is_first, carry_in):
-    T_, k = E.shape
-    probs = np.zeros((T_, k))
-    lognorm = np.zeros(T_)
-    a = pi if is_first else np.exp(carry_in - np.max(carry_in)) @ A
-    a = a / a.sum() if not is_first else a
-    for t in range(T_):
-        mt = E[t].max()
-        a = a * np.exp(E[t] - mt) if t == 0 else (a @ A) * np.exp(E[t] - mt)
-        s = a.sum()
-        lognorm[t] = math.log(s) + mt if s > 0 else -np.inf
-        a = a / s
-        probs[t] = a
-    if not is_first:
-        # the first step above used (carry @ A) already normalised: fix the
-        # normaliser of step 0 to be log p(x_t | past)
-        pass
+def _start_vectors(A, pi, is_first, carry_in):
+    """Predicted state distribution for each block's first step."""
+    prev = np.exp(carry_in - carry_in.max(axis=1, keepdims=True))
+    prev = prev / prev.sum(axis=1, keepdims=True)
+    return np.where(is_first[:, None], pi[None, :], prev @ A), prev
+
+
+def _forward_batch(E, lengths, A, pi, is_first, carry_in):
+    G, L, k = E.shape
+    a, _ = _start_vectors(A, pi, is_first, carry_in)
+    probs = np.zeros((G, L, k))
+    lognorm = np.zeros((G, L))
+    for t in range(L):
+        act = lengths > t
+        Et = E[act, t, :]
+        mt = Et.max(axis=1)
+        at = (a[act] if t == 0 else a[act] @ A) * np.exp(Et - mt[:, None])
+        ssum = at.sum(axis=1)
+        with np.errstate(divide="ignore"):
+            lognorm[act, t] = np.log(ssum) + mt
+        at = at / ssum[:, None]
+        a[act] = at
+        probs[act, t] = at
     return probs, lognorm
 
 
-def _viterbi_block(E, A, pi, is_first, entry, end):
-    T_, k = E.shape
-    logA = _safe_log(A)
-    d = (_safe_log(pi) if is_first else logA[entry]) + E[0]
-    bp = np.zeros((T_, k), dtype=np.int64)
-    for t in range(1, T_):
-        cand = d[:, None] + logA
-        bp[t] = np.argmax(cand, axis=0)
-        d = cand[bp[t], np.arange(k)] + E[t]
-    states = np.zeros(T_, dtype=np.int64)
-    states[-1] = end
-    for t in range(T_ - 1, 0, -1):
-        states[t - 1] = bp[t][states[t]]
+def _viterbi_batch(E, lengths, A, pi, is_first, entry, end):
+    G, L, k = E.shape
+    logA, logpi = _safe_log(A), _safe_log(pi)
+    start = np.where(is_first[:, None], logpi[None, :], logA[np.maximum(entry, 0)])
+    d = start + E[:, 0, :]
+    bp = np.zeros((G, L, k), dtype=np.int64)
+    for t in range(1, L):
+        act = lengths > t
+        cand = d[act][:, :, None] + logA[None, :, :]
+        b = np.argmax(cand, axis=1)              # first maximum: lowest state on ties
+        bp[act, t] = b
+        d[act] = np.take_along_axis(cand, b[:, None, :], axis=1)[:, 0, :] + E[act, t, :]
+    states = np.zeros((G, L), dtype=np.int64)
+    states[np.arange(G), lengths - 1] = end
+    for t in range(L - 1, 0, -1):
+        act = np.flatnonzero(lengths > t)
+        states[act, t - 1] = bp[act, t, states[act, t]]
     return states
 
 
-def _stats_block(E, X, A, pi, is_first, carry_in, beta_out):
-    T_, k = E.shape
-    W = np.exp(E - E.max(axis=1, keepdims=True))
-    alpha = np.zeros((T_, k))
-    prev = None if is_first else np.exp(carry_in - np.max(carry_in))
-    if prev is not None:
-        prev = prev / prev.sum()
-    a = pi * W[0] if is_first else (prev @ A) * W[0]
-    alpha[0] = a / a.sum()
-    for t in range(1, T_):
-        a = (alpha[t - 1] @ A) * W[t]
-        alpha[t] = a / a.sum()
-    beta = np.zeros((T_, k))
-    b = np.exp(beta_out - np.max(beta_out))
-    beta[-1] = b / b.sum()
-    for t in range(T_ - 2, -1, -1):
-        b = A @ (W[t + 1] * beta[t + 1])
-        beta[t] = b / b.sum()
+def _stats_batch(E, X, lengths, A, pi, is_first, carry_in, beta_out):
+    G, L, k = E.shape
+    W = np.exp(E - E.max(axis=2, keepdims=True))
+    start, prev = _start_vectors(A, pi, is_first, carry_in)
+    valid = np.arange(L)[None, :] < lengths[:, None]
+    alpha = np.zeros((G, L, k))
+    a = start * W[:, 0, :]
+    alpha[:, 0] = a / a.sum(axis=1, keepdims=True)
+    for t in range(1, L):
+        act = lengths > t
+        a = (alpha[act, t - 1] @ A) * W[act, t]
+        alpha[act, t] = a / a.sum(axis=1, keepdims=True)
+    beta = np.zeros((G, L, k))
+    bo = np.exp(beta_out - beta_out.max(axis=1, keepdims=True))
+    bo = bo / bo.sum(axis=1, keepdims=True)
+    for t in range(L - 1, -1, -1):
+        last = lengths - 1 == t
+        beta[last, t] = bo[last]
+        inner = lengths - 1 > t
+        if inner.any():
+            b = (W[inner, t + 1] * beta[inner, t + 1]) @ A.T
+            beta[inner, t] = b / b.sum(axis=1, keepdims=True)
     g = alpha * beta
-    g = g / g.sum(axis=1, keepdims=True)
+    gs = g.sum(axis=2, keepdims=True)
+    g = np.where(valid[:, :, None], g / np.where(gs > 0, gs, 1.0), 0.0)
+    s0 = g.sum(axis=(0, 1))
+    s1 = np.einsum("gtk,gtd->kd", g, X)
+    s2 = np.einsum("gtk,gtd->kd", g, X * X)
     xi = np.zeros((k, k))
-    for t in range(1, T_):
-        x = alpha[t - 1][:, None] * A * (W[t] * beta[t])[None, :]
-        xi += x / x.sum()
-    if not is_first:
-        x = prev[:, None] * A * (W[0] * beta[0])[None, :]
-        xi += x / x.sum()
-    first = g[0] if is_first else np.zeros(k)
-    return g.sum(axis=0), g.T @ X, g.T @ (X * X), xi, first
+    if L > 1:
+        x = alpha[:, :-1, :, None] * A[None, None] * (W[:, 1:] * beta[:, 1:])[:, :, None, :]
+        xs = x.sum(axis=(2, 3), keepdims=True)
+        x = x / np.where(xs > 0, xs, 1.0)
+        xi += (x * valid[:, 1:, None, None]).sum(axis=(0, 1))
+    nf = ~is_first
+    if nf.any():
+        x = prev[nf][:, :, None] * A[None] * (W[nf, 0] * beta[nf, 0])[:, None, :]
+        xi += (x / x.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+    first = g[is_first, 0].sum(axis=0) if is_first.any() else np.zeros(k)
+    return s0, s1, s2, xi, first
 
 
 def _pass3(params: HMMParams, mode: str, seq_cols, order_cols, features):
     A, pi, means, var = params.A, params.pi, params.means, params.vars
     k = params.k
+    keys = [*seq_cols, "_block"]
 
-    def fn(rows: pd.DataFrame, carry: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty or carry.empty:
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        head = pdf[pdf["_kind"] == 0]
+        rows = pdf[pdf["_kind"] == 1].reset_index(drop=True)
+        if not len(rows):
             return _empty(mode, seq_cols, order_cols, k)
-        rows = rows.sort_values(order_cols, kind="mergesort").reset_index(drop=True)
-        c = carry.iloc[0]
-        X = rows[features].to_numpy(dtype=float)
-        E = _emission_log(X, means, var)
-        is_first = bool(c["is_first"])
-        cin = np.asarray(c["carry_in"], dtype=float)
+        starts, lengths, gid, pos = _segments(rows, keys)
+        hs, hl, _, _ = _segments(head.reset_index(drop=True), keys)
+        if len(hs) != len(starts):
+            raise ValueError("carry rows do not match data blocks")
+        G, L = len(starts), int(lengths.max())
+        Xr = rows[features].to_numpy(dtype=float)
+        E = _pad(_emission_log(Xr, means, var), gid, pos, G, L)
+        is_first = head["is_first"].to_numpy(dtype=bool)
+        cin = np.stack(head["carry_in"].to_numpy()).astype(float)
         if mode == "forward":
-            probs, lognorm = _forward_block(E, A, pi, is_first, cin)
+            probs, lognorm = _forward_batch(E, lengths, A, pi, is_first, cin)
             out = rows[seq_cols + order_cols].copy()
-            out["probs"] = [p.tolist() for p in probs]
-            out["step_loglik"] = lognorm
+            out["probs"] = list(probs[gid, pos])
+            out["step_loglik"] = lognorm[gid, pos]
             return out
         if mode == "viterbi":
-            st = _viterbi_block(E, A, pi, is_first, int(c["entry_state"]), int(c["end_state"]))
+            st = _viterbi_batch(E, lengths, A, pi, is_first, head["entry_state"].to_numpy(dtype=np.int64),
+                                head["end_state"].to_numpy(dtype=np.int64))
             out = rows[seq_cols + order_cols].copy()
-            out["state"] = st.astype(np.int32)
+            out["state"] = st[gid, pos].astype(np.int32)
             return out
-        s0, s1, s2, xi, first = _stats_block(E, X, A, pi, is_first, cin,
-                                             np.asarray(c["beta_out"], dtype=float))
+        X = _pad(Xr, gid, pos, G, L)
+        bo = np.stack(head["beta_out"].to_numpy()).astype(float)
+        s0, s1, s2, xi, first = _stats_batch(E, X, lengths, A, pi, is_first, cin, bo)
         recs = []
         recs += [("s0", i, 0, float(s0[i])) for i in range(k)]
         recs += [("s1", i, j, float(s1[i, j])) for i in range(k) for j in range(s1.shape[1])]
@@ -305,30 +367,84 @@ def _schema_of(df: DataFrame, cols):
     return [df.schema[c] for c in cols]
 
 
+def _stream_groups(keys: list[str], batch_fn, empty_cols: list[str]):
+    """mapInPandas body: rows arrive sorted by ``keys`` (then order).  Each
+    Arrow batch is cut after its last complete group; the trailing group is
+    held back until the next batch shows whether it continues.  ``batch_fn``
+    gets whole groups only and handles many of them at once."""
+    def run(batches):
+        held = None
+        for pdf in batches:
+            if held is not None and len(held):
+                pdf = pd.concat([held, pdf], ignore_index=True)
+            if not len(pdf):
+                continue
+            last = pdf[keys].iloc[-1]
+            same = np.ones(len(pdf), dtype=bool)
+            for k in keys:
+                same &= (pdf[k] == last[k]).to_numpy()
+            cut = int(np.flatnonzero(same)[0]) if same.any() else len(pdf)
+            held = pdf.iloc[cut:].reset_index(drop=True)
+            if cut:
+                yield _apply(pdf.iloc[:cut].reset_index(drop=True))
+        if held is not None and len(held):
+            yield _apply(held)
+
+    def _apply(pdf):
+        out = batch_fn(pdf)
+        return out if out is not None else pd.DataFrame({c: [] for c in empty_cols})
+    return run
+
+
+def _per_segment(keys: list[str], fn):
+    """Apply a one-group function to every group of a whole-group batch."""
+    def batch(pdf: pd.DataFrame) -> pd.DataFrame:
+        starts, lengths, _, _ = _segments(pdf, keys)
+        outs = [fn(pdf.iloc[st:st + ln].reset_index(drop=True)) for st, ln in zip(starts, lengths)]
+        return pd.concat(outs, ignore_index=True)
+    return batch
+
+
+def _grouped(df: DataFrame, keys: list[str], order: list[str], per_group, schema: T.StructType) -> DataFrame:
+    parts = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+    return parts.mapInPandas(_stream_groups(keys, per_group, schema.fieldNames()), schema)
+
+
 def _carry(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features) -> DataFrame:
     k = params.k
+    bt = seqs.schema["_block"].dataType
     summ_schema = T.StructType(_schema_of(seqs, seq_cols) + [
-        T.StructField("block", seqs.schema["_block"].dataType),
-        T.StructField("n", T.LongType()),
+        T.StructField("block", bt), T.StructField("n", T.LongType()),
         T.StructField("M", T.ArrayType(T.DoubleType())), T.StructField("v", T.ArrayType(T.DoubleType())),
         T.StructField("Mm", T.ArrayType(T.DoubleType())), T.StructField("vm", T.ArrayType(T.DoubleType()))])
-    summ = (seqs.groupBy(*seq_cols, "_block")
-                .applyInPandas(_pass1(params, seq_cols, order_cols, features), summ_schema))
+    summ = _grouped(seqs, [*seq_cols, "_block"], order_cols, _pass1(params, seq_cols, order_cols, features),
+                    summ_schema)
     carry_schema = T.StructType(_schema_of(seqs, seq_cols) + [
-        T.StructField("block", seqs.schema["_block"].dataType),
-        T.StructField("is_first", T.BooleanType()),
+        T.StructField("block", bt), T.StructField("is_first", T.BooleanType()),
         T.StructField("carry_in", T.ArrayType(T.DoubleType())),
         T.StructField("beta_out", T.ArrayType(T.DoubleType())),
         T.StructField("entry_state", T.LongType()), T.StructField("end_state", T.LongType()),
         T.StructField("seq_loglik", T.DoubleType())])
-    carry = summ.groupBy(*seq_cols).applyInPandas(_pass2(k, seq_cols), carry_schema)
+    carry = _grouped(summ, list(seq_cols), ["block"], _per_segment(list(seq_cols), _pass2(k, seq_cols)),
+                     carry_schema)
     return carry.withColumnRenamed("block", "_block")
 
 
+CARRY_COLS = ["is_first", "carry_in", "beta_out", "entry_state", "end_state"]
+
+
 def _run_pass3(seqs, carry, params, mode, seq_cols, order_cols, features, schema):
-    return (seqs.groupBy(*seq_cols, "_block")
-                .cogroup(carry.groupBy(*seq_cols, "_block"))
-                .applyInPandas(_pass3(params, mode, seq_cols, order_cols, features), schema))
+    """Carry rows and data rows of a block meet in one shuffle: both are
+    unioned with a ``_kind`` tag (0 = carry, 1 = data) and the carry row
+    sorts first inside its (seq, block) group."""
+    data = seqs.select(*seq_cols, "_block", *order_cols, *features, F.lit(1).alias("_kind"),
+                       *[F.lit(None).cast(carry.schema[c].dataType).alias(c) for c in CARRY_COLS])
+    head = carry.select(*seq_cols, "_block",
+                        *[F.lit(None).cast(seqs.schema[c].dataType).alias(c) for c in order_cols + features],
+                        F.lit(0).alias("_kind"), *CARRY_COLS)
+    both = data.unionByName(head)
+    fn = _pass3(params, mode, seq_cols, order_cols, features)
+    return _grouped(both, [*seq_cols, "_block"], ["_kind", *order_cols], fn, schema)
 
 
 def prepare_sequences(df: DataFrame, seq_cols: list[str], order_cols: list[str], features: list[str],
