@@ -496,7 +496,8 @@ def expected_stats(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, fea
     """E-step: summed sufficient statistics (driver gets k(k+2d+2) numbers)
     and the total log-likelihood under ``params``."""
     carry = _carry(seqs, params, seq_cols, order_cols, features)
-    schema = "kind string, i long, j long, value double"
+    schema = T.StructType([T.StructField("kind", T.StringType()), T.StructField("i", T.LongType()),
+                           T.StructField("j", T.LongType()), T.StructField("value", T.DoubleType())])
     st = _run_pass3(seqs, carry, params, "stats", seq_cols, order_cols, features, schema)
     sums = st.groupBy("kind", "i", "j").agg(F.sum("value").alias("value")).collect()
     ll = carry.groupBy(*seq_cols).agg(F.first("seq_loglik").alias("ll")).agg(F.sum("ll")).first()[0]
