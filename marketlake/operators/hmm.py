@@ -181,43 +181,52 @@ def _pass1(params: HMMParams, seq_cols, order_cols, features):
 
 # ------------------------------------------------------------------- pass 2
 def _pass2(k: int, seq_cols):
+    """Ordered fold over block summaries, for all sequences of a batch in
+    lockstep (the loop runs over block positions, not over sequences)."""
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("block", kind="mergesort").reset_index(drop=True)
-        B = len(pdf)
-        Ms = [np.asarray(x, dtype=float).reshape(k, k) for x in pdf["M"]]
-        Mms = [np.asarray(x, dtype=float).reshape(k, k) for x in pdf["Mm"]]
-        carry_in = np.zeros((B, k))
-        ll = 0.0
-        prev = None
-        for b in range(B):
-            if b == 0:
-                vec = np.asarray(pdf["v"].iloc[0], dtype=float)
-            else:
-                carry_in[b] = prev
-                vec = _lse(prev[:, None] + Ms[b], axis=0)
-            norm = float(_lse(vec, axis=0))
-            ll += norm
-            prev = vec - norm
-        beta_out = np.zeros((B, k))
+        starts, lengths, gid, pos = _segments(pdf, list(seq_cols))
+        G, B = len(starts), int(lengths.max())
+        M = _pad(np.stack(pdf["M"].to_numpy()).astype(float).reshape(-1, k, k), gid, pos, G, B)
+        Mm = _pad(np.stack(pdf["Mm"].to_numpy()).astype(float).reshape(-1, k, k), gid, pos, G, B)
+        v0 = np.stack(pdf["v"].to_numpy()[starts]).astype(float)
+        vm0 = np.stack(pdf["vm"].to_numpy()[starts]).astype(float)
+        # forward: carry-in vector of every block and the sequence log-likelihood
+        carry_in = np.zeros((G, B, k))
+        ll = _lse(v0, axis=1)
+        prev = v0 - ll[:, None]
+        for b in range(1, B):
+            act = lengths > b
+            carry_in[act, b] = prev[act]
+            vec = _lse(prev[act][:, :, None] + M[act, b], axis=1)
+            norm = _lse(vec, axis=1)
+            ll[act] += norm
+            prev[act] = vec - norm[:, None]
+        # backward: beta at the last step of each block (0 = log 1 for the last)
+        beta_out = np.zeros((G, B, k))
         for b in range(B - 1, 0, -1):
-            nb = _lse(Ms[b] + beta_out[b][None, :], axis=1)
-            beta_out[b - 1] = nb - np.max(nb)
-        delta = np.asarray(pdf["vm"].iloc[0], dtype=float)
-        best_in = [None] * B
+            act = lengths > b
+            nb = _lse(M[act, b] + beta_out[act, b][:, None, :], axis=2)
+            beta_out[act, b - 1] = nb - nb.max(axis=1, keepdims=True)
+        # Viterbi over blocks: best entry state per block, then backtrack
+        delta = vm0.copy()
+        best_in = np.zeros((G, B, k), dtype=np.int64)
         for b in range(1, B):
-            cand = delta[:, None] + Mms[b]
-            best_in[b] = np.argmax(cand, axis=0)
-            delta = cand[best_in[b], np.arange(k)]
-        end_state = np.zeros(B, dtype=np.int64)
-        entry = np.full(B, -1, dtype=np.int64)
-        end_state[B - 1] = int(np.argmax(delta))
+            act = lengths > b
+            cand = delta[act][:, :, None] + Mm[act, b]
+            bi = np.argmax(cand, axis=1)
+            best_in[act, b] = bi
+            delta[act] = np.take_along_axis(cand, bi[:, None, :], axis=1)[:, 0, :]
+        end_state = np.zeros((G, B), dtype=np.int64)
+        entry = np.full((G, B), -1, dtype=np.int64)
+        end_state[np.arange(G), lengths - 1] = np.argmax(delta, axis=1)
         for b in range(B - 1, 0, -1):
-            entry[b] = int(best_in[b][end_state[b]])
-            end_state[b - 1] = entry[b]
-        out = {c: [pdf[c].iloc[0]] * B for c in seq_cols}
-        out.update(block=pdf["block"].tolist(), is_first=[b == 0 for b in range(B)],
-                   carry_in=[r.tolist() for r in carry_in], beta_out=[r.tolist() for r in beta_out],
-                   entry_state=entry.tolist(), end_state=end_state.tolist(), seq_loglik=[ll] * B)
+            act = np.flatnonzero(lengths > b)
+            entry[act, b] = best_in[act, b, end_state[act, b]]
+            end_state[act, b - 1] = entry[act, b]
+        out = {c: pdf[c].to_numpy() for c in seq_cols}
+        out.update(block=pdf["block"].to_numpy(), is_first=pos == 0,
+                   carry_in=list(carry_in[gid, pos]), beta_out=list(beta_out[gid, pos]),
+                   entry_state=entry[gid, pos], end_state=end_state[gid, pos], seq_loglik=ll[gid])
         return pd.DataFrame(out)
     return fn
 
@@ -425,8 +434,7 @@ def _carry(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features) -
         T.StructField("beta_out", T.ArrayType(T.DoubleType())),
         T.StructField("entry_state", T.LongType()), T.StructField("end_state", T.LongType()),
         T.StructField("seq_loglik", T.DoubleType())])
-    carry = _grouped(summ, list(seq_cols), ["block"], _per_segment(list(seq_cols), _pass2(k, seq_cols)),
-                     carry_schema)
+    carry = _grouped(summ, list(seq_cols), ["block"], _pass2(k, seq_cols), carry_schema)
     return carry.withColumnRenamed("block", "_block")
 
 
