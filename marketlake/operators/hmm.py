@@ -360,6 +360,7 @@ def _pass3(params: HMMParams, mode: str, seq_cols, order_cols, features):
         recs += [("s2", i, j, float(s2[i, j])) for i in range(k) for j in range(s2.shape[1])]
         recs += [("xi", i, j, float(xi[i, j])) for i in range(k) for j in range(k)]
         recs += [("pi", i, 0, float(first[i])) for i in range(k)]
+        recs.append(("ll", 0, 0, float(head["seq_loglik"].to_numpy(dtype=float)[is_first].sum())))
         return pd.DataFrame(recs, columns=["kind", "i", "j", "value"])
     return fn
 
@@ -438,7 +439,7 @@ def _carry(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features) -
     return carry.withColumnRenamed("block", "_block")
 
 
-CARRY_COLS = ["is_first", "carry_in", "beta_out", "entry_state", "end_state"]
+CARRY_COLS = ["is_first", "carry_in", "beta_out", "entry_state", "end_state", "seq_loglik"]
 
 
 def _run_pass3(seqs, carry, params, mode, seq_cols, order_cols, features, schema):
@@ -508,11 +509,13 @@ def expected_stats(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, fea
                            T.StructField("j", T.LongType()), T.StructField("value", T.DoubleType())])
     st = _run_pass3(seqs, carry, params, "stats", seq_cols, order_cols, features, schema)
     sums = st.groupBy("kind", "i", "j").agg(F.sum("value").alias("value")).collect()
-    ll = carry.groupBy(*seq_cols).agg(F.first("seq_loglik").alias("ll")).agg(F.sum("ll")).first()[0]
+    ll = sum(r["value"] for r in sums if r["kind"] == "ll")
     k, d = params.k, params.d
     S = {"s0": np.zeros(k), "s1": np.zeros((k, d)), "s2": np.zeros((k, d)),
          "xi": np.zeros((k, k)), "pi": np.zeros(k)}
     for r in sums:
+        if r["kind"] == "ll":
+            continue
         if r["kind"] in ("s0", "pi"):
             S[r["kind"]][r["i"]] += r["value"]
         else:
