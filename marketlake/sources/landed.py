@@ -31,7 +31,7 @@ def parse_labour_json(docs: DataFrame, text_col: str = "value") -> DataFrame:
     j = docs.select(F.from_json(F.col(text_col), LABOUR_SCHEMA).alias("j"))
     s = j.select(F.explode("j.Results.series").alias("s"))
     o = s.select(F.col("s.seriesID").alias("series_id"), F.explode("s.data").alias("o"))
-    notes = F.filter(F.transform(F.col("o.footnotes"), lambda n: n["text"]), lambda t: t.isNotNull() & (t != ""))
+    notes = F.array_remove(F.col("o.footnotes.text"), "")  # nulls are skipped by array_join
     return o.select(
         "series_id",
         labour_period_date(F.col("o.year"), F.col("o.period")).alias("date"),
