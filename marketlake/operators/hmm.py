@@ -627,17 +627,44 @@ def emission_rows(models: DataFrame, model_col: str, means_col: str, vars_col: s
                     F.col("x.m").alias("mean"), F.col("x.v").alias("var"))
 
 
-def stationary_column(trans, k: int, iters: int = 200):
-    """HMM-7 over many models at once: power iteration of the lazy chain
-    expressed with ``aggregate`` on an array column (JVM side).  ``trans``
-    is an array<array<double>> column, rows summing to 1."""
-    L = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                    lambda i: F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                                          lambda j: 0.5 * F.when(i == j, 1.0).otherwise(0.0) + 0.5 * trans[i][j]))
-    start = F.array_repeat(F.lit(1.0 / k), k)
-
-    def step(p, _):
-        return F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                           lambda j: F.aggregate(F.sequence(F.lit(0), F.lit(k - 1)), F.lit(0.0),
-                                                 lambda acc, i: acc + p[i] * L[i][j]))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(iters)), start, step)
+def stationary_column(trans, k: int, squarings: int = 48):
+    """HMM-7 as a JVM expression on an array<array<double>> column: the
+    lazy chain L = (I + P) / 2 squared ``squarings`` times (L^(2^n)); any
+    row of the result is the stationary distribution.  Interpreted lambdas:
+    use ``stationary_table`` for large model tables."""
+    idx = F.sequence(F.lit(0), F.lit(k - 1))
+    L = F.transform(idx, lambda i: F.transform(
+        idx, lambda j: 0.5 * F.when(i == j, 1.0).otherwise(0.0) + 0.5 * trans[i][j]))
+
+    def square(M, _):
+        return F.transform(idx, lambda i: F.transform(idx, lambda j: F.aggregate(
+            idx, F.lit(0.0), lambda acc, m: acc + M[i][m] * M[m][j])))
+    Mn = F.aggregate(F.sequence(F.lit(1), F.lit(squarings)), L, square)
+    row = Mn[0]
+    total = F.aggregate(row, F.lit(0.0), lambda a, x: a + x)
+    return F.transform(row, lambda x: x / total)
+
+
+def stationary_table(models: DataFrame, key_cols: list[str], trans_col: str, k: int,
+                     squarings: int = 60) -> DataFrame:
+    """HMM-7 over a table of models (one k x k transition matrix per row):
+    batched numpy repeated squaring of the lazy chain, one Arrow batch of
+    models at a time.  Output: key columns + pi_0..pi_{k-1}."""
+    schema = T.StructType([models.schema[c] for c in key_cols] +
+                          [T.StructField(f"pi_{i}", T.DoubleType()) for i in range(k)])
+
+    def run(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            P = np.stack([np.stack(r) for r in pdf[trans_col].to_numpy()]).astype(float)
+            M = 0.5 * (np.eye(k)[None] + P)
+            for _ in range(squarings):
+                M = M @ M
+            pi = M[:, 0, :]
+            pi = pi / pi.sum(axis=1, keepdims=True)
+            out = pdf[key_cols].copy()
+            for i in range(k):
+                out[f"pi_{i}"] = pi[:, i]
+            yield out
+    return models.select(*key_cols, trans_col).mapInPandas(run, schema)

@@ -225,10 +225,9 @@ SELECT user_id,
 FROM p""")
 def q_stationary(spark, d):
     """HMM-7: stationary distribution of every user's chain at once
-    (repeated squaring of the lazy chain, evaluated on array columns)."""
-    ch = user_chains(spark, d)
-    pi = H.stationary_column(F.col("trans"), 2)
-    return ch.select("user_id", F.round(pi[0], 6).alias("pi_0"), F.round(pi[1], 6).alias("pi_1"))
+    (batched repeated squaring of the lazy chain per Arrow batch)."""
+    st = H.stationary_table(user_chains(spark, d), ["user_id"], "trans", 2)
+    return st.select("user_id", F.round("pi_0", 6).alias("pi_0"), F.round("pi_1", 6).alias("pi_1"))
 
 
 @query
