@@ -21,12 +21,24 @@ METHODS = ("pct_change", "diff", "log_diff", "raw")
 def date_spine(long_df: DataFrame, series_ids: list[str], id_col: str = "series_id",
                date_col: str = "date") -> DataFrame:
     """Every (series, date) where the date is one that any series has: the
-    outer-merged panel in long form.  The distinct dates are a small set
-    (one row per date), fanned out to the fixed series list by explode."""
+    outer-merged panel's keys.  The distinct dates are a small set (one
+    row per date), fanned out to the fixed series list by explode."""
     dates = long_df.where(F.col(id_col).isin(series_ids)).select(date_col).distinct()
     return dates.select(date_col, F.explode(F.array(*[F.lit(s) for s in series_ids])).alias(id_col))
 
 
+def outer_panel(long_df: DataFrame, series_ids: list[str], id_col: str = "series_id",
+                date_col: str = "date", value_col: str = "value") -> DataFrame:
+    """The outer-merged panel in long form (series, date, value or null):
+    one pivot on date (one shuffle, partial aggregation) and an unpivot
+    back, instead of a distinct-dates spine joined to the values."""
+    wide = (long_df.where(F.col(id_col).isin(series_ids))
+                   .groupBy(date_col).pivot(id_col, series_ids).agg(F.first(value_col)))
+    stacked = F.explode(F.array(*[F.struct(F.lit(s).alias(id_col), F.col(f"`{s}`").alias(value_col))
+                                  for s in series_ids]))
+    return wide.select(date_col, stacked.alias("_s")).select(f"_s.{id_col}", date_col, f"_s.{value_col}")
+
+
 def _ratio_minus_one(cur: Column, prev: Column) -> Column:
     """cur / prev - 1 with float semantics: x/0 -> +-Infinity, 0/0 -> NaN
     (ANSI division would raise)."""
@@ -47,9 +59,8 @@ def change_long(long_df: DataFrame, series_ids: list[str], method: str,
     """
     if method not in METHODS:
         raise ValueError(f"Unknown method: {method}")
-    spine = date_spine(long_df, series_ids, id_col, date_col)
     vals = long_df.where(F.col(id_col).isin(series_ids)).select(id_col, date_col, value_col)
-    panel = spine.join(vals, [id_col, date_col], "left")
+    panel = outer_panel(vals, series_ids, id_col, date_col, value_col)
     if method == "raw":
         return panel.select(id_col, date_col, F.col(value_col).alias("feature"))
     bucket = bucket if bucket is not None else F.date_trunc("month", F.col(date_col))
@@ -71,18 +82,17 @@ def change_long(long_df: DataFrame, series_ids: list[str], method: str,
 def _prev_row(panel: DataFrame, id_col: str, date_col: str, value_col: str, bucket: Column) -> DataFrame:
     """Value of the previous spine row per series (nulls kept) via the
     segmented scan: lag inside (series, bucket), and for a bucket's first
-    row the last row of the previous bucket."""
+    row the last row of the previous bucket (summary built from the
+    windowed frame, so no extra shuffle of the rows)."""
     from pyspark.sql import Window
     d = panel.withColumn("_b", bucket)
     w = Window.partitionBy(id_col, "_b").orderBy(date_col)
-    local = d.withColumn("_prev_local", F.lag(value_col).over(w)) \
-             .withColumn("_first", F.row_number().over(w) == 1)
-    last_of_bucket = d.groupBy(id_col, "_b").agg(F.max_by(F.col(value_col), F.col(date_col)).alias("_lastv"),
-                                                  F.count(F.lit(1)).alias("_n"))
+    local = d.withColumn("_prev_local", F.lag(value_col).over(w)).withColumn("_rn", F.row_number().over(w))
+    last_of_bucket = local.groupBy(id_col, "_b").agg(F.max_by(F.col(value_col), F.col("_rn")).alias("_lastv"))
     wb = Window.partitionBy(id_col).orderBy("_b")
     carry = last_of_bucket.select(id_col, "_b", F.lag("_lastv").over(wb).alias("_cin"))
     j = local.join(carry, [id_col, "_b"], "left")
-    return j.withColumn("_prev", F.when(F.col("_first"), F.col("_cin")).otherwise(F.col("_prev_local")))
+    return j.withColumn("_prev", F.when(F.col("_rn") == 1, F.col("_cin")).otherwise(F.col("_prev_local")))
 
 
 def to_wide_complete(long_feat: DataFrame, series_ids: list[str], id_col: str = "series_id",

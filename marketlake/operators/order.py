@@ -36,15 +36,18 @@ def keep_first(df: DataFrame, key: list[str], seq: list[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------- segmented scan
-def _carry_table(df: DataFrame, key: list[str], bucket: str, order: str, values: list[str]) -> DataFrame:
-    """Per (key, bucket): last and first non-null value of each column, then
-    the values carried in from earlier / later buckets.  The window here
-    runs over bucket summaries (one row per bucket), not over data rows."""
+def _carry_table(local: DataFrame, key: list[str], bucket: str, values: list[str]) -> DataFrame:
+    """Per (key, bucket): the values carried in from earlier buckets (last
+    non-null) and from later buckets (first non-null).
+
+    Built from the windowed frame, which is already partitioned by
+    (key, bucket): the per-bucket summary needs no shuffle, and the window
+    over buckets runs on one row per bucket, not on data rows."""
     aggs = []
     for v in values:
-        o = F.when(F.col(v).isNotNull(), F.col(order))
-        aggs += [F.max_by(F.col(v), o).alias(f"_last_{v}"), F.min_by(F.col(v), o).alias(f"_first_{v}")]
-    s = df.groupBy(*key, bucket).agg(*aggs)
+        aggs += [F.max_by(F.col(f"_ff_{v}"), F.col("_rank")).alias(f"_last_{v}"),
+                 F.min_by(F.col(f"_bf_{v}"), F.col("_rank")).alias(f"_first_{v}")]
+    s = local.groupBy(*key, bucket).agg(*aggs)
     w = Window.partitionBy(*key).orderBy(bucket)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     after = w.rowsBetween(1, Window.unboundedFollowing)
@@ -64,16 +67,16 @@ def ffill_bfill(df: DataFrame, key: list[str], order: str, values: list[str], bu
     """
     b = "_bucket"
     d = df.withColumn(b, F.col(bucket) if isinstance(bucket, str) else bucket)
-    carry = _carry_table(d, key, b, order, values)
     w = Window.partitionBy(*key, b).orderBy(order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     prev = w.rowsBetween(Window.unboundedPreceding, -1)
     fwd = w.rowsBetween(0, Window.unboundedFollowing)
-    local = d.select(*d.columns, *[
+    local = d.select(*d.columns, F.row_number().over(w).alias("_rank"), *[
         c for v in values for c in (
             [F.last(v, ignorenulls=True).over(upto).alias(f"_ff_{v}"),
              F.first(v, ignorenulls=True).over(fwd).alias(f"_bf_{v}")]
             + ([F.last(v, ignorenulls=True).over(prev).alias(f"_pv_{v}")] if keep_prev else []))])
+    carry = _carry_table(local, key, b, values)
     j = local.join(carry, [*key, b], "left")
     out = [c for c in df.columns if c not in values]
     for v in values:
@@ -101,11 +104,14 @@ def change_history(df: DataFrame, key: list[str], order: str, tracked: list[str]
     d = df.withColumn(b, F.lit(0) if bucket is None else (F.col(bucket) if isinstance(bucket, str) else bucket))
     cur = F.struct(*[F.col(c) for c in tracked])
     w = Window.partitionBy(*key, b).orderBy(order)
-    last_row = (d.groupBy(*key, b).agg(F.max_by(cur, F.col(order)).alias("_last"))
-                  .withColumn("_cin", F.lag("_last").over(Window.partitionBy(*key).orderBy(b))).drop("_last"))
-    x = (d.withColumn("_prev_local", F.lag(cur).over(w))
-          .withColumn("_is_first", F.row_number().over(w) == 1)
-          .join(last_row, [*key, b], "left"))
+    local = (d.withColumn("_prev_local", F.lag(cur).over(w))
+              .withColumn("_rn", F.row_number().over(w))
+              .withColumn("_is_first", F.col("_rn") == 1))
+    # last row of each bucket, from the windowed frame (already partitioned
+    # by (key, bucket)), carried to the next bucket of the key
+    last_row = (local.groupBy(*key, b).agg(F.max_by(cur, F.col("_rn")).alias("_last"))
+                     .withColumn("_cin", F.lag("_last").over(Window.partitionBy(*key).orderBy(b))).drop("_last"))
+    x = local.join(last_row, [*key, b], "left")
     prev = F.when(F.col("_is_first"), F.col("_cin")).otherwise(F.col("_prev_local"))
     changed = x.where(prev.isNull() | ~cur.eqNullSafe(prev)).select(*key, b, *tracked,
                                                                      F.col(order).alias("valid_from"))

@@ -207,9 +207,7 @@ def sparse_series(spark, d):
 def filled_sparse(spark, d):
     """WIN-3 on the sparse daily panel: spine, then forward and backward
     fill per series (segmented by month)."""
-    long = sparse_series(spark, d)
-    spine = FE.date_spine(long, EVENT_TYPES)
-    panel = spine.join(long, ["series_id", "date"], "left")
+    panel = FE.outer_panel(sparse_series(spark, d), EVENT_TYPES)
     return OR.ffill_bfill(panel, ["series_id"], "date", ["value"], F.date_trunc("month", "date"))
 
 
