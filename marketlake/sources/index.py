@@ -57,31 +57,31 @@ def parse_index_lines(lines: DataFrame, line_col: str = "value", compat: bool =
     contains 'CIK' in any case (the older rule, which loses company names
     such as 'CIKA CORP').  ``keep`` carries extra input columns through.
 
-    The stripped fields are produced once per line (a one-row generator per
-    line) so that the predicate chain below reads plain columns instead of
-    re-splitting the line in every predicate.
+    Each derived value is evaluated once per line: the stripped fields, then
+    the typed fields with a validity flag, are each produced by a one-row
+    generator, so Catalyst cannot copy the split / regex / date parse into
+    every predicate that reads them (which doubled the per-line cost).
     """
     keep = keep or []
     line = _strip(F.col(line_col))
     parts = F.split(line, r"\|", -1)
-    fields = F.struct(line.alias("line"), F.size(parts).alias("n"),
+    fields = F.struct(*[F.col(k) for k in keep], line.alias("line"), F.size(parts).alias("n"),
                       *[_strip(F.get(parts, i)).alias(f"f{i}") for i in range(5)])
-    staged = lines.select(*keep, F.inline(F.array(fields)))
+    staged = lines.select(F.inline(F.array(fields)))
     ln = F.col("line")
     header = F.upper(ln).contains("CIK") if compat else F.upper(ln) == F.lit(FV.INDEX_HEADER.upper())
-    valid = staged.where((ln != "") & ~ln.startswith("---") & ~header & (F.col("n") == 5)
-                         & F.col("f0").rlike(r"^[0-9]+$")
-                         & F.col("f4").startswith(FV.INDEX_FILENAME_PREFIX))
-    out = valid.select(
-        *keep,
-        normalize_cik(F.col("f0")).alias("cik"),
-        F.col("f1").alias("company_name"),
-        F.col("f2").alias("form_type"),
-        filed_date(F.col("f3")).alias("filing_date"),
-        F.col("f4").alias("filename"),
-        accession_from_path(F.col("f4")).alias("accession_number"),
-    )
-    return out.where(F.col("filing_date").isNotNull() & F.col("accession_number").isNotNull())
+    ok = ((ln != "") & ~ln.startswith("---") & ~header & (F.col("n") == 5)
+          & F.col("f0").rlike(r"^[0-9]+$") & F.col("f4").startswith(FV.INDEX_FILENAME_PREFIX))
+    typed = F.struct(*[F.col(k) for k in keep], ok.alias("_ok"),
+                     normalize_cik(F.col("f0")).alias("cik"),
+                     F.col("f1").alias("company_name"),
+                     F.col("f2").alias("form_type"),
+                     filed_date(F.col("f3")).alias("filing_date"),
+                     F.col("f4").alias("filename"),
+                     accession_from_path(F.col("f4")).alias("accession_number"))
+    out = staged.select(F.inline(F.array(typed)))
+    return (out.where(F.col("_ok") & F.col("filing_date").isNotNull() & F.col("accession_number").isNotNull())
+               .drop("_ok"))
 
 
 def with_year_quarter_from_path(df: DataFrame, path_col: str = "_path") -> DataFrame:
