@@ -56,7 +56,7 @@ def test_ids_and_text_rules(spark):
 
 
 def test_cells(spark):
-    df = spark.createDataFrame([(["", "ivv ", "iShares Core Fund", "x"],)], "c array<string>")
+    df = spark.createDataFrame([(["", "abc ", "Core Equity Fund", "x"],)], "c array<string>")
     r = df.select(S.detect_ticker(F.col("c")).alias("t"), F.col("c"))
     r = r.select("t", S.detect_name(F.col("c"), F.col("t")).alias("n")).first()
-    assert (r.t, r.n) == ("IVV", "iShares Core Fund")
+    assert (r.t, r.n) == ("ABC", "Core Equity Fund")
