@@ -44,9 +44,9 @@ def series_under_categories(category_ids: DataFrame, series: DataFrame,
                             key: str = "category_id") -> DataFrame:
     """Distinct categories joined to series with a recent end (text
     comparison, as stored)."""
-    cats = category_ids.select(key).distinct()
     recent = series.where(F.col(end_col).cast("string") >= F.lit(min_end))
-    return recent.join(cats, key, "inner")
+    # semi join: each series once per matching category, no distinct needed
+    return recent.join(category_ids.select(key), key, "left_semi")
 
 
 # --------------------------------------------------------------- JOIN-4/5/6
@@ -70,7 +70,7 @@ def new_only(incoming: DataFrame, existing: DataFrame, key: list[str]) -> DataFr
     for k in key:
         p = F.col(k).isNotNull() & (F.trim(F.col(k).cast("string")) != "")
         nonblank = p if nonblank is None else nonblank & p
-    return incoming.where(nonblank).join(existing.select(*key).distinct(), key, "left_anti")
+    return incoming.where(nonblank).join(existing.select(*key), key, "left_anti")
 
 
 # --------------------------------------------------------------------- JOIN-8
@@ -88,7 +88,7 @@ def quarter_calendar(spark, start_year: int, as_of) -> DataFrame:
 def quarters_todo(calendar: DataFrame, loaded: DataFrame, ledger: DataFrame) -> DataFrame:
     """Calendar minus quarters with data, then keep quarters whose ledger
     status is missing, pending or failed."""
-    left = calendar.join(loaded.select("year", "quarter").distinct(), ["year", "quarter"], "left_anti")
+    left = calendar.join(loaded.select("year", "quarter"), ["year", "quarter"], "left_anti")
     j = left.join(ledger.select("year", "quarter", "status"), ["year", "quarter"], "left")
     return j.where(F.col("status").isNull() | F.col("status").isin("pending", "failed"))
 
@@ -125,7 +125,9 @@ def group_reuse(funds: DataFrame, key_col: str, group_col: str, file_col: str,
     last = (funds.where(F.col(file_col).isNotNull())
                  .groupBy(group_col)
                  .agg(F.max_by(F.col(file_col), F.col(seq_col)).alias("group_file")))
-    j = funds.join(last, group_col, "left")
+    # one row per group: broadcast when the group count is small, so a hot
+    # group does not pull all its members into one join task
+    j = funds.join(broadcast_if_small(last), group_col, "left")
     return j.select(
         key_col, group_col,
         F.col("group_file").alias(file_col),
@@ -151,14 +153,14 @@ def lookup_with_default(df: DataFrame, lookup: DataFrame, key: str, name_col: st
 # -------------------------------------------------------------------- JOIN-12
 def orphans(child: DataFrame, parent: DataFrame, fk: list[str], pk: list[str] | None = None) -> DataFrame:
     pk = pk or fk
-    p = parent.select(*[F.col(a).alias(b) for a, b in zip(pk, fk)]).distinct()
+    p = parent.select(*[F.col(a).alias(b) for a, b in zip(pk, fk)])
     return child.join(p, fk, "left_anti")
 
 
 def cascade_keep(child: DataFrame, parent: DataFrame, fk: list[str], pk: list[str] | None = None) -> DataFrame:
     """Rows that survive deleting parents absent from ``parent``."""
     pk = pk or fk
-    p = parent.select(*[F.col(a).alias(b) for a, b in zip(pk, fk)]).distinct()
+    p = parent.select(*[F.col(a).alias(b) for a, b in zip(pk, fk)])
     return child.join(p, fk, "left_semi")
 
 

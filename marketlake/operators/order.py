@@ -150,4 +150,4 @@ def distinct_union(frames: list[DataFrame], col: str) -> DataFrame:
 
 def difference(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
     """SET-4: rows of ``a`` whose key is not in ``b``."""
-    return a.join(b.select(*key).distinct(), key, "left_anti")
+    return a.join(b.select(*key), key, "left_anti")
