@@ -406,15 +406,6 @@ def _stream_groups(keys: list[str], batch_fn, empty_cols: list[str]):
     return run
 
 
-def _per_segment(keys: list[str], fn):
-    """Apply a one-group function to every group of a whole-group batch."""
-    def batch(pdf: pd.DataFrame) -> pd.DataFrame:
-        starts, lengths, _, _ = _segments(pdf, keys)
-        outs = [fn(pdf.iloc[st:st + ln].reset_index(drop=True)) for st, ln in zip(starts, lengths)]
-        return pd.concat(outs, ignore_index=True)
-    return batch
-
-
 def _grouped(df: DataFrame, keys: list[str], order: list[str], per_group, schema: T.StructType) -> DataFrame:
     parts = df.repartition(*keys).sortWithinPartitions(*keys, *order)
     return parts.mapInPandas(_stream_groups(keys, per_group, schema.fieldNames()), schema)

@@ -15,17 +15,19 @@ from .common import broadcast_if_small
 
 # --------------------------------------------------------------------- JOIN-1
 def align_series(long_df: DataFrame, series_ids: list[str], id_col: str = "series_id",
-                 date_col: str = "date", value_col: str = "value") -> DataFrame:
-    """Full-outer alignment of N series on date: one column per series id
-    that has rows, one row per date that any series has, sorted by date.
+                 date_col: str = "date", value_col: str = "value", drop_empty: bool = False) -> DataFrame:
+    """Full-outer alignment of N series on date: one column per series id,
+    one row per date that any series has, sorted by date.
 
     Long rows are pivoted with explicit values: a single shuffle on the
-    date key with partial aggregation, whatever N is.  Ids without rows add
-    no column (as an outer merge of only the non-empty series would).
+    date key with partial aggregation, whatever N is.  With ``drop_empty``
+    an id without rows adds no column (as an outer merge of only the
+    non-empty series would); finding them costs one small distinct job.
     """
-    wanted = long_df.where(F.col(id_col).isin(series_ids))
+    ids = present_ids(long_df, series_ids, id_col) if drop_empty else list(series_ids)
+    wanted = long_df.where(F.col(id_col).isin(ids))
     pivoted = (wanted.groupBy(date_col)
-                     .pivot(id_col, series_ids)
+                     .pivot(id_col, ids)
                      .agg(F.first(value_col, ignorenulls=True)))
     return pivoted.orderBy(date_col)
 

@@ -121,3 +121,10 @@ def closure(categories: DataFrame, root_id: int, id_col: str = "category_id",
         level = nxt
     return seen.withColumn(name_col, F.coalesce(F.col(name_col),
                                                 F.concat(F.lit(default_name), F.col(id_col).cast("string"))))
+
+
+def register_views(df: DataFrame, names: list[str]) -> None:
+    """D-7: register one result under every name user SQL refers to (the
+    path view is read under two names)."""
+    for n in names:
+        df.createOrReplaceTempView(n)

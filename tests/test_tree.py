@@ -29,3 +29,11 @@ def test_closure(spark):
     cats = spark.createDataFrame([(1, "A", None), (2, None, 1), (3, "C", 2), (4, "D", None)], SCHEMA)
     got = {r.category_id: (r.name, r.depth) for r in TR.closure(cats, 1).collect()}
     assert got == {1: ("A", 0), 2: ("Category 2", 1), 3: ("C", 2)}
+
+
+def test_path_view_aliases(spark):
+    cats = spark.createDataFrame([(1, "Interest Rates", None), (2, "Short", 1)], SCHEMA)
+    TR.register_views(TR.paths(cats), ["category_paths", "source_category_paths"])
+    q = "SELECT category_id FROM {} WHERE full_path LIKE '%Interest Rates%' GROUP BY category_id"
+    assert spark.sql(q.format("category_paths")).count() == 2
+    assert spark.sql(q.format("source_category_paths")).count() == 2
