@@ -127,9 +127,12 @@ def group_reuse(funds: DataFrame, key_col: str, group_col: str, file_col: str,
     last = (funds.where(F.col(file_col).isNotNull())
                  .groupBy(group_col)
                  .agg(F.max_by(F.col(file_col), F.col(seq_col)).alias("group_file")))
-    # one row per group: broadcast when the group count is small, so a hot
-    # group does not pull all its members into one join task
-    j = funds.join(broadcast_if_small(last), group_col, "left")
+    # ``last`` has one row per group and is only known after the aggregate
+    # runs: AQE measures it and broadcasts it when small (then a hot group
+    # never meets in one join task); beyond the threshold the sort-merge
+    # join's skew handling splits a hot group's partition.  An explicit size
+    # check here would aggregate the whole table a second time.
+    j = funds.join(last, group_col, "left")
     return j.select(
         key_col, group_col,
         F.col("group_file").alias(file_col),
