@@ -18,6 +18,9 @@ def melt_with_dimensions(df: DataFrame, id_cols: list[str], value_cols: list[str
     'dimension' entry).  Null values and unparseable dates are dropped;
     values become double."""
     dimension_names = dimension_names or {}
+    if len({df.schema[c].dataType.simpleString() for c in value_cols}) > 1:
+        # mixed cell types (numbers and text): unpivot as text, parse below
+        df = df.select(*id_cols, *[F.col(c).cast("string").alias(c) for c in value_cols])
     long = df.unpivot(id_cols, value_cols, var_name, value_name)
     entries = []
     for c in value_cols:
@@ -26,7 +29,11 @@ def melt_with_dimensions(df: DataFrame, id_cols: list[str], value_cols: list[str
     dims = None
     for c, m in entries:
         dims = F.when(F.col(var_name) == c, m) if dims is None else dims.when(F.col(var_name) == c, m)
-    out = long.withColumn("dimensions", dims).withColumn(value_name, F.col(value_name).cast("string").try_cast("double"))
+    from pyspark.sql.types import NumericType
+    vcol = F.col(value_name)
+    as_double = vcol.cast("double") if isinstance(long.schema[value_name].dataType, NumericType) \
+        else F.trim(vcol.cast("string")).try_cast("double")
+    out = long.withColumn("dimensions", dims).withColumn(value_name, as_double)
     out = out.where(F.col(value_name).isNotNull())
     if date_col:
         out = out.where(F.col(date_col).isNotNull())
