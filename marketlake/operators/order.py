@@ -88,6 +88,24 @@ def ffill_bfill(df: DataFrame, key: list[str], order: str, values: list[str], bu
     return j.select(*out)
 
 
+def segmented_lag(df: DataFrame, key: list[str], order: list[str], value: Column | str,
+                  bucket: Column | str, out: str = "prev") -> DataFrame:
+    """``lag(value)`` per key in ``order`` without a window over the whole
+    key: lag inside (key, bucket); a bucket's first row takes the last
+    value of the key's previous non-empty bucket (one summary row per
+    bucket, built from the windowed frame)."""
+    b = "_bucket"
+    v = F.col(value) if isinstance(value, str) else value
+    d = df.withColumn(b, F.col(bucket) if isinstance(bucket, str) else bucket).withColumn("_v", v)
+    w = Window.partitionBy(*key, b).orderBy(*order)
+    local = d.withColumn("_lag", F.lag("_v").over(w)).withColumn("_rn", F.row_number().over(w))
+    last = local.groupBy(*key, b).agg(F.max_by(F.col("_v"), F.col("_rn")).alias("_last"))
+    carry = last.select(*key, b, F.lag("_last").over(Window.partitionBy(*key).orderBy(b)).alias("_cin"))
+    j = local.join(carry, [*key, b], "left")
+    prev = F.when(F.col("_rn") == 1, F.col("_cin")).otherwise(F.col("_lag"))
+    return j.select(*df.columns, prev.alias(out))
+
+
 # --------------------------------------------------------------------- WIN-4
 def change_history(df: DataFrame, key: list[str], order: str, tracked: list[str],
                    bucket: Column | str | None = None) -> DataFrame:

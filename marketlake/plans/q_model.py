@@ -161,15 +161,18 @@ p AS (
 
 def user_chains(spark, d):
     """Two-state transition matrix per user, counted from consecutive
-    events (state = value >= 25).  Counting is a partial aggregation; the
-    previous state comes from a per-user window."""
-    from pyspark.sql import Window
+    events (state = value >= 25).  The previous state comes from a
+    segmented lag (per user and day, carried across days), so a user with a
+    third of all events is still spread over many tasks; counting is a
+    partial aggregation."""
+    from ..operators.order import segmented_lag
     ev = read(spark, d, "events")
     s = F.when(F.col("value") >= 25, 1).otherwise(0)
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    st = ev.select("user_id", s.alias("s"), F.lag(s).over(w).alias("ps"))
+    st = segmented_lag(ev.select("user_id", "ts", "event_id", s.alias("s")), ["user_id"], ["ts", "event_id"],
+                       "s", F.to_date("ts"), out="ps")
     c = st.groupBy("user_id").agg(*[F.count_if((F.col("ps") == i) & (F.col("s") == j)).alias(f"n{i}{j}")
                                     for i in (0, 1) for j in (0, 1)])
+
     def row(i):
         tot = F.col(f"n{i}0") + F.col(f"n{i}1")
         return F.array(*[F.when(tot == 0, F.lit(1.0 if i == j else 0.0)).otherwise(F.col(f"n{i}{j}") / tot)
