@@ -101,8 +101,19 @@ def observation_upsert_sink(table_path: str, part_col: str = "year"):
     return run
 
 
-def start_observation_load(spark: SparkSession, landing_dir: str, table_path: str, checkpoint: str):
-    src = spark.readStream.schema(OBS_SCHEMA).parquet(landing_dir)
+def dedupe_arrivals(stream: DataFrame, arrival_col: str, delay: str,
+                    key: list[str] = ("series_id", "date", "value")) -> DataFrame:
+    """Drop re-sent copies of the same observation that arrive within
+    ``delay`` of each other (state is kept only for the watermark delay)."""
+    return stream.withWatermark(arrival_col, delay).dropDuplicatesWithinWatermark(list(key))
+
+
+def start_observation_load(spark: SparkSession, landing_dir: str, table_path: str, checkpoint: str,
+                           arrival_col: str | None = None, dedupe_delay: str | None = None,
+                           schema: T.StructType = OBS_SCHEMA):
+    src = spark.readStream.schema(schema).parquet(landing_dir)
+    if arrival_col and dedupe_delay:
+        src = dedupe_arrivals(src, arrival_col, dedupe_delay)
     return (src.writeStream.foreachBatch(observation_upsert_sink(table_path))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 

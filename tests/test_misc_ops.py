@@ -58,3 +58,10 @@ def test_run_log(spark, tmp):
     SD.log_runs(SD.run_record(spark, "r2", "all", {"k": 4}, {"aic": 1.2}, {"model_type": "hmm"}), path)
     runs = read_table(spark, path)
     assert sorted(r.run_id for r in runs.collect()) == ["r1", "r2"]
+
+
+def test_filing_filter_limit(spark):
+    rows = [(2021, "QTR1", "10-K", f"edgar/data/{i}/x.txt", "ACME") for i in range(5, 0, -1)]
+    f = spark.createDataFrame(rows, "year int, quarter string, form_type string, filename string, company_name string")
+    got = [r.filename for r in FL.filter_filings(f, limit=2, year=2021, company_name="acm").collect()]
+    assert got == ["edgar/data/1/x.txt", "edgar/data/2/x.txt"]
