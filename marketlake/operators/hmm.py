@@ -406,12 +406,17 @@ def _stream_groups(keys: list[str], batch_fn, empty_cols: list[str]):
     return run
 
 
-def _grouped(df: DataFrame, keys: list[str], order: list[str], per_group, schema: T.StructType) -> DataFrame:
-    parts = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+def _grouped(df: DataFrame, keys: list[str], order: list[str], per_group, schema: T.StructType,
+             prepartitioned: bool = False) -> DataFrame:
+    """``prepartitioned``: ``df`` already holds whole groups per partition,
+    sorted by keys and order (a checkpoint written that way), so the
+    shuffle and sort are skipped."""
+    parts = df if prepartitioned else df.repartition(*keys).sortWithinPartitions(*keys, *order)
     return parts.mapInPandas(_stream_groups(keys, per_group, schema.fieldNames()), schema)
 
 
-def _carry(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features) -> DataFrame:
+def _carry(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features,
+           prepartitioned: bool = False) -> DataFrame:
     k = params.k
     bt = seqs.schema["_block"].dataType
     summ_schema = T.StructType(_schema_of(seqs, seq_cols) + [
@@ -419,7 +424,7 @@ def _carry(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features) -
         T.StructField("M", T.ArrayType(T.DoubleType())), T.StructField("v", T.ArrayType(T.DoubleType())),
         T.StructField("Mm", T.ArrayType(T.DoubleType())), T.StructField("vm", T.ArrayType(T.DoubleType()))])
     summ = _grouped(seqs, [*seq_cols, "_block"], order_cols, _pass1(params, seq_cols, order_cols, features),
-                    summ_schema)
+                    summ_schema, prepartitioned=prepartitioned)
     carry_schema = T.StructType(_schema_of(seqs, seq_cols) + [
         T.StructField("block", bt), T.StructField("is_first", T.BooleanType()),
         T.StructField("carry_in", T.ArrayType(T.DoubleType())),
@@ -492,10 +497,11 @@ def model_metrics(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, feat
                       F.lit(params.d).alias("n_features"))
 
 
-def expected_stats(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features):
+def expected_stats(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features,
+                   prepartitioned: bool = False):
     """E-step: summed sufficient statistics (driver gets k(k+2d+2) numbers)
     and the total log-likelihood under ``params``."""
-    carry = _carry(seqs, params, seq_cols, order_cols, features)
+    carry = _carry(seqs, params, seq_cols, order_cols, features, prepartitioned=prepartitioned)
     schema = T.StructType([T.StructField("kind", T.StringType()), T.StructField("i", T.LongType()),
                            T.StructField("j", T.LongType()), T.StructField("value", T.DoubleType())])
     st = _run_pass3(seqs, carry, params, "stats", seq_cols, order_cols, features, schema)
@@ -560,12 +566,15 @@ def fit(df: DataFrame, seq_cols: list[str], order_cols: list[str], features: lis
         seqs = seqs.select(*seq_cols, *order_cols, "_block",
                            *[((F.col(f) - F.lit(float(mean[i]))) / F.lit(float(std[i]))).alias(f)
                              for i, f in enumerate(features)])
-    seqs = cut_lineage(seqs)
+    # written once, hash-partitioned by (sequence, block) and sorted: every
+    # E-step's first pass then streams it without a shuffle
+    seqs = cut_lineage(seqs.repartition(*seq_cols, "_block")
+                           .sortWithinPartitions(*seq_cols, "_block", *order_cols))
     params = initial_params(seqs, k, features)
     params.scaler_mean, params.scaler_std = mean, std
     history = []
     for _ in range(max_iter):
-        S, ll = expected_stats(seqs, params, seq_cols, order_cols, features)
+        S, ll = expected_stats(seqs, params, seq_cols, order_cols, features, prepartitioned=True)
         history.append(ll)
         params = m_step(S, params)
         if len(history) > 1 and abs(history[-1] - history[-2]) <= tol * max(1.0, abs(history[-2])):
