@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as FV
-from ..functions.periods import banking_period_date, european_period_date, labour_period_date
+from ..functions.periods import banking_period_date, labour_period_date
 from ..functions.scalars import join_notes, normalize_cik
 
 # ------------------------------------------------------------------ SRC-5
@@ -240,8 +240,7 @@ def write_raw_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-# --------------------------------------------------------------- period rules
 __all__ = ["parse_labour_json", "parse_sdmx_json", "read_catalogue_xml", "catalogue_fields",
            "parse_structure_json", "parse_dataflows", "parse_surveys", "parse_fund_list",
            "parse_company_tickers", "listing_union", "read_sheet_csv", "html_pairs", "table_pairs",
-           "embedded_json_block", "write_raw_json", "european_period_date"]
+           "embedded_json_block", "write_raw_json"]
