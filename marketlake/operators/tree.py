@@ -128,3 +128,10 @@ def register_views(df: DataFrame, names: list[str]) -> None:
     path view is read under two names)."""
     for n in names:
         df.createOrReplaceTempView(n)
+
+
+def stored_parent(categories: DataFrame, id_col: str = "category_id", parent_col: str = "parent_id") -> DataFrame:
+    """UPS-1 storage rule for categories: a missing parent is stored as 0
+    (the root id); the root row itself keeps 0.  ``clean_edges`` undoes it
+    for traversal."""
+    return categories.withColumn(parent_col, F.coalesce(F.col(parent_col).cast("long"), F.lit(0).cast("long")))

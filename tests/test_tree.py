@@ -37,3 +37,11 @@ def test_path_view_aliases(spark):
     q = "SELECT category_id FROM {} WHERE full_path LIKE '%Interest Rates%' GROUP BY category_id"
     assert spark.sql(q.format("category_paths")).count() == 2
     assert spark.sql(q.format("source_category_paths")).count() == 2
+
+
+def test_stored_parent_round_trip(spark):
+    cats = spark.createDataFrame([(0, "Root", None), (1, "A", None), (2, "B", 1)], SCHEMA)
+    stored = TR.stored_parent(cats)
+    assert sorted((r.category_id, r.parent_id) for r in stored.collect()) == [(0, 0), (1, 0), (2, 1)]
+    got = {r.category_id: r.depth for r in TR.paths(stored).collect()}
+    assert got == {0: 0, 1: 1, 2: 2}
