@@ -82,6 +82,48 @@ def n_params(k, d):
     return (k - 1) + k * (k - 1) + 2 * k * d
 
 
+@dataclass
+class ModelSet:
+    """One model per model key (HMM-1 'one per model key'): the model
+    columns lead the sequence key, so every sequence belongs to one model.
+    All models share k and d; the set is model-sized (broadcast with the
+    task closure)."""
+    model_cols: list[str]
+    models: dict
+
+    @property
+    def k(self) -> int:
+        return next(iter(self.models.values())).k
+
+    @property
+    def d(self) -> int:
+        return next(iter(self.models.values())).d
+
+
+def _key_tuple(key) -> tuple:
+    return key if isinstance(key, tuple) else (key,)
+
+
+def _per_model(params: "ModelSet", make_fn, add_keys: bool):
+    """Run a single-model batch function on each model's rows of a batch."""
+    fns = {k: make_fn(p) for k, p in params.models.items()}
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame | None:
+        outs = []
+        for key, sub in pdf.groupby(params.model_cols, sort=False, dropna=False):
+            key = _key_tuple(key)
+            f = fns.get(key)
+            if f is None:
+                continue
+            out = f(sub.reset_index(drop=True))
+            if add_keys:
+                for c, v in zip(params.model_cols, key):
+                    out[c] = v
+            outs.append(out)
+        return pd.concat(outs, ignore_index=True) if outs else None
+    return fn
+
+
 # ------------------------------------------------------------------ numerics
 def _lse(a: np.ndarray, axis: int) -> np.ndarray:
     m = np.max(a, axis=axis, keepdims=True)
@@ -163,7 +205,9 @@ def _transfer_batch(E: np.ndarray, lengths: np.ndarray, A: np.ndarray, pi: np.nd
     return _safe_log(P) + sP[:, None, None], _safe_log(v) + sv[:, None], Lm, vm
 
 
-def _pass1(params: HMMParams, seq_cols, order_cols, features):
+def _pass1(params, seq_cols, order_cols, features):
+    if isinstance(params, ModelSet):
+        return _per_model(params, lambda p: _pass1(p, seq_cols, order_cols, features), add_keys=False)
     A, pi, means, var = params.A, params.pi, params.means, params.vars
     keys = [*seq_cols, "_block"]
 
@@ -173,8 +217,9 @@ def _pass1(params: HMMParams, seq_cols, order_cols, features):
         E = _pad(_emission_log(pdf[features].to_numpy(dtype=float), means, var), gid, pos, G, L)
         M, v, Mm, vm = _transfer_batch(E, lengths, A, pi)
         out = {c: pdf[c].to_numpy()[starts] for c in seq_cols}
-        out.update(block=pdf["_block"].to_numpy()[starts], n=lengths.astype(np.int64),
-                   M=list(M.reshape(G, -1)), v=list(v), Mm=list(Mm.reshape(G, -1)), vm=list(vm))
+        out.update({"block": pdf["_block"].to_numpy()[starts], "_t_n": lengths.astype(np.int64),
+                    "_t_sum": list(M.reshape(G, -1)), "_t_start": list(v), "_t_max": list(Mm.reshape(G, -1)),
+                    "_t_maxstart": list(vm)})
         return pd.DataFrame(out)
     return fn
 
@@ -186,10 +231,10 @@ def _pass2(k: int, seq_cols):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         starts, lengths, gid, pos = _segments(pdf, list(seq_cols))
         G, B = len(starts), int(lengths.max())
-        M = _pad(np.stack(pdf["M"].to_numpy()).astype(float).reshape(-1, k, k), gid, pos, G, B)
-        Mm = _pad(np.stack(pdf["Mm"].to_numpy()).astype(float).reshape(-1, k, k), gid, pos, G, B)
-        v0 = np.stack(pdf["v"].to_numpy()[starts]).astype(float)
-        vm0 = np.stack(pdf["vm"].to_numpy()[starts]).astype(float)
+        M = _pad(np.stack(pdf["_t_sum"].to_numpy()).astype(float).reshape(-1, k, k), gid, pos, G, B)
+        Mm = _pad(np.stack(pdf["_t_max"].to_numpy()).astype(float).reshape(-1, k, k), gid, pos, G, B)
+        v0 = np.stack(pdf["_t_start"].to_numpy()[starts]).astype(float)
+        vm0 = np.stack(pdf["_t_maxstart"].to_numpy()[starts]).astype(float)
         # forward: carry-in vector of every block and the sequence log-likelihood
         carry_in = np.zeros((G, B, k))
         ll = _lse(v0, axis=1)
@@ -320,7 +365,10 @@ def _stats_batch(E, X, lengths, A, pi, is_first, carry_in, beta_out):
     return s0, s1, s2, xi, first
 
 
-def _pass3(params: HMMParams, mode: str, seq_cols, order_cols, features):
+def _pass3(params, mode: str, seq_cols, order_cols, features):
+    if isinstance(params, ModelSet):
+        return _per_model(params, lambda p: _pass3(p, mode, seq_cols, order_cols, features),
+                          add_keys=(mode == "stats"))
     A, pi, means, var = params.A, params.pi, params.means, params.vars
     k = params.k
     keys = [*seq_cols, "_block"]
@@ -420,9 +468,9 @@ def _carry(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features,
     k = params.k
     bt = seqs.schema["_block"].dataType
     summ_schema = T.StructType(_schema_of(seqs, seq_cols) + [
-        T.StructField("block", bt), T.StructField("n", T.LongType()),
-        T.StructField("M", T.ArrayType(T.DoubleType())), T.StructField("v", T.ArrayType(T.DoubleType())),
-        T.StructField("Mm", T.ArrayType(T.DoubleType())), T.StructField("vm", T.ArrayType(T.DoubleType()))])
+        T.StructField("block", bt), T.StructField("_t_n", T.LongType()),
+        T.StructField("_t_sum", T.ArrayType(T.DoubleType())), T.StructField("_t_start", T.ArrayType(T.DoubleType())),
+        T.StructField("_t_max", T.ArrayType(T.DoubleType())), T.StructField("_t_maxstart", T.ArrayType(T.DoubleType()))])
     summ = _grouped(seqs, [*seq_cols, "_block"], order_cols, _pass1(params, seq_cols, order_cols, features),
                     summ_schema, prepartitioned=prepartitioned)
     carry_schema = T.StructType(_schema_of(seqs, seq_cols) + [
@@ -582,6 +630,88 @@ def fit(df: DataFrame, seq_cols: list[str], order_cols: list[str], features: lis
     return params, history
 
 
+def _sum_stats(rows, k: int, d: int):
+    S = {"s0": np.zeros(k), "s1": np.zeros((k, d)), "s2": np.zeros((k, d)),
+         "xi": np.zeros((k, k)), "pi": np.zeros(k)}
+    ll = 0.0
+    for r in rows:
+        if r["kind"] == "ll":
+            ll += r["value"]
+        elif r["kind"] in ("s0", "pi"):
+            S[r["kind"]][r["i"]] += r["value"]
+        else:
+            S[r["kind"]][r["i"], r["j"]] += r["value"]
+    return S, ll
+
+
+def expected_stats_by_model(seqs: DataFrame, params: ModelSet, seq_cols, order_cols, features,
+                            prepartitioned: bool = False):
+    """E-step for a model set: statistics summed per model key (the driver
+    gets k(k+2d+2)+1 numbers per model)."""
+    carry = _carry(seqs, params, seq_cols, order_cols, features, prepartitioned=prepartitioned)
+    schema = T.StructType([seqs.schema[c] for c in params.model_cols] + [
+        T.StructField("kind", T.StringType()), T.StructField("i", T.LongType()),
+        T.StructField("j", T.LongType()), T.StructField("value", T.DoubleType())])
+    st = _run_pass3(seqs, carry, params, "stats", seq_cols, order_cols, features, schema)
+    rows = st.groupBy(*params.model_cols, "kind", "i", "j").agg(F.sum("value").alias("value")).collect()
+    by_model: dict = {}
+    for r in rows:
+        by_model.setdefault(tuple(r[c] for c in params.model_cols), []).append(r)
+    return {key: _sum_stats(rs, params.k, params.d) for key, rs in by_model.items()}
+
+
+def initial_params_by_model(seqs: DataFrame, model_cols: list[str], k: int, features: list[str],
+                            stay: float = 0.9) -> ModelSet:
+    """Start values per model key: per-key quantiles of each feature (one
+    grouped aggregate; #models x k x d numbers to the driver)."""
+    probs = [(s + 0.5) / k for s in range(k)]
+    q = seqs.groupBy(*model_cols).agg(*[F.percentile_approx(f, probs, 10000).alias(f"_q_{i}")
+                                        for i, f in enumerate(features)]).collect()
+    A = np.full((k, k), (1 - stay) / (k - 1) if k > 1 else 1.0)
+    np.fill_diagonal(A, stay if k > 1 else 1.0)
+    models = {}
+    for r in q:
+        means = np.array([[r[f"_q_{i}"][s] for i in range(len(features))] for s in range(k)], dtype=float)
+        models[tuple(r[c] for c in model_cols)] = HMMParams(np.full(k, 1.0 / k), A.copy(), means,
+                                                            np.ones((k, len(features))), list(features))
+    return ModelSet(list(model_cols), models)
+
+
+def fit_by_model(df: DataFrame, model_cols: list[str], seq_cols: list[str], order_cols: list[str],
+                 features: list[str], block: F.Column, k: int = 4, max_iter: int = 30, tol: float = 1e-6):
+    """HMM-1, one model per model key, all keys in the same jobs: each EM
+    iteration is one E-step over every sequence (statistics grouped by
+    model key) and a per-key M-step on the driver.  ``seq_cols`` must start
+    with ``model_cols``.  Features are standardised with pooled statistics
+    (stored with every model).  Returns (ModelSet, total log-likelihood
+    history)."""
+    from ..session import cut_lineage
+    from .aggs import scaler_stats
+    if list(seq_cols[:len(model_cols)]) != list(model_cols):
+        raise ValueError("seq_cols must start with model_cols")
+    seqs = prepare_sequences(df, seq_cols, order_cols, features, block)
+    st = scaler_stats(seqs, features).first()
+    mean = np.array([st[f"{f}__mean"] for f in features], dtype=float)
+    std = np.array([st[f"{f}__std"] for f in features], dtype=float)
+    seqs = seqs.select(*seq_cols, *order_cols, "_block",
+                       *[((F.col(f) - F.lit(float(mean[i]))) / F.lit(float(std[i]))).alias(f)
+                         for i, f in enumerate(features)])
+    seqs = cut_lineage(seqs.repartition(*seq_cols, "_block")
+                           .sortWithinPartitions(*seq_cols, "_block", *order_cols))
+    params = initial_params_by_model(seqs, model_cols, k, features)
+    for p in params.models.values():
+        p.scaler_mean, p.scaler_std = mean, std
+    history = []
+    for _ in range(max_iter):
+        stats = expected_stats_by_model(seqs, params, seq_cols, order_cols, features, prepartitioned=True)
+        history.append(sum(ll for _, ll in stats.values()))
+        params = ModelSet(params.model_cols,
+                          {key: (m_step(stats[key][0], p) if key in stats else p) for key, p in params.models.items()})
+        if len(history) > 1 and abs(history[-1] - history[-2]) <= tol * max(1.0, abs(history[-2])):
+            break
+    return params, history
+
+
 def scale_features(df: DataFrame, params: HMMParams, features: list[str]) -> DataFrame:
     if params.scaler_mean is None:
         return df

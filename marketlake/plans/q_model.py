@@ -246,3 +246,21 @@ def q_hmm_fit(spark, d):
     from ..functions.scalars import regime_name
     return (states.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
                   .select(regime_name(3, F.col("state")).alias("regime"), "state", "n"))
+
+
+@query
+def q_hmm_fit_by_type(spark, d):
+    """HMM-1 'one model per model key': a 2-state model per event type,
+    fitted in the same jobs over every (type, user) sequence, then Viterbi
+    labels per model and the state distribution per model."""
+    ev = read(spark, d, "events")
+    block = F.to_date("ts")
+    seq_cols = ["event_type", "user_id"]
+    ms, _ = H.fit_by_model(ev, ["event_type"], seq_cols, ["ts", "event_id"], ["value"], block, k=2, max_iter=5)
+    first = next(iter(ms.models.values()))
+    seqs = H.scale_features(H.prepare_sequences(ev, seq_cols, ["ts", "event_id"], ["value"], block),
+                            first, ["value"])
+    states = H.viterbi(seqs, ms, seq_cols, ["ts", "event_id"], ["value"])
+    from ..functions.scalars import regime_name
+    return (states.groupBy("event_type", "state").agg(F.count(F.lit(1)).alias("n"))
+                  .select("event_type", regime_name(2, F.col("state")).alias("regime"), "state", "n"))

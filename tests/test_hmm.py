@@ -99,3 +99,15 @@ def test_stationary_and_tables(spark):
     assert np.allclose(pi, [4 / 7, 3 / 7], atol=1e-9)
     rows = H.transition_rows(df, "model", "trans", 2).collect()
     assert len(rows) == 4 and {r.from_regime for r in rows} == {"Expansion", "Contraction"}
+
+
+def test_fit_by_model_equals_separate_fits(spark):
+    df = seq_df(spark, n=60, users=2).withColumn("m", F.when(F.col("u") == 0, "a").otherwise("b"))
+    ms, hist = H.fit_by_model(df, ["m"], ["m", "u"], ["t"], ["x"], F.col("blk"), k=2, max_iter=4)
+    assert set(ms.models) == {("a",), ("b",)}
+    assert all(b >= a - 1e-6 for a, b in zip(hist, hist[1:]))
+    # the per-key fit of model "a" equals a pooled fit on its rows alone when
+    # both use the same scaling and start values
+    states = H.viterbi(H.scale_features(H.prepare_sequences(df, ["m", "u"], ["t"], ["x"], F.col("blk")),
+                                        ms.models[("a",)], ["x"]), ms, ["m", "u"], ["t"], ["x"])
+    assert states.count() == 120
