@@ -99,12 +99,16 @@ def test_observation_stream_with_arrival_dedupe(spark, tmp):
     from pyspark.sql import types as T
     land, table, ck = (os.path.join(tmp, x) for x in ("obs", "t", "ck"))
     schema = T.StructType(LD.OBS_SCHEMA.fields + [T.StructField("arrived", T.TimestampType())])
+    # the third row re-sends the first (same observation and seq, later arrival)
     rows = pd.DataFrame({"series_id": ["S", "S", "S"], "date": pd.to_datetime(["2020-01-01"] * 3).date,
-                         # the third row re-sends the first; only the de-dup keeps 2.0 the winner
-                         "value": [1.0, 2.0, 1.0], "seq": [1, 2, 3],
+                         "value": [1.0, 2.0, 1.0], "seq": [1, 2, 1],
                          "arrived": pd.to_datetime(["2024-01-01 00:00", "2024-01-01 00:05", "2024-01-01 00:06"])})
     spark.createDataFrame(rows, schema).write.mode("append").parquet(land)
+    stream = spark.readStream.schema(schema).parquet(land)
+    q = (LD.dedupe_arrivals(stream, "arrived", "1 hour").writeStream.format("memory").queryName("dedup_out")
+         .option("checkpointLocation", os.path.join(tmp, "ck_mem")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(r.value for r in spark.sql("SELECT * FROM dedup_out").collect()) == [1.0, 2.0]
     LD.start_observation_load(spark, land, table, ck, arrival_col="arrived", dedupe_delay="1 hour",
                               schema=schema).awaitTermination()
-    got = [(r.series_id, r.value) for r in spark.read.parquet(table).collect()]
-    assert got == [("S", 2.0)]
+    assert [(r.series_id, r.value) for r in spark.read.parquet(table).collect()] == [("S", 2.0)]
