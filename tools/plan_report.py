@@ -36,7 +36,7 @@ def main():
              "Shuffles = hash/range/single exchanges; Python = Arrow-batched pandas stages.", "",
              "| query | shuffles | broadcasts | windows | python | scans: pushed filters / read schema |", "|---|---|---|---|---|---|"]
     for name in sorted(qs):
-        if name == "q_hmm_fit":
+        if name in ("q_hmm_fit", "q_hmm_fit_by_type"):
             lines.append(f"| {name} | iterative (see operators/hmm.py) | | | | |")
             continue
         df = qs[name](spark, sf_dir)
