@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,20 +127,31 @@ LEDGER_STATE = ("status string, downloaded_at timestamp, failed_at timestamp, er
 
 
 def _ledger_step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Fold one key's new outcome events into its ledger state, vectorized:
+    status and error come from the last event, the success / failure times
+    from the last event of each kind, and the retry count is the failures
+    after the last success (added to the stored count when the batch has no
+    success)."""
     if state.exists:
         status, dl, fl, err, retry, last = state.get
     else:
         status, dl, fl, err, retry, last = None, None, None, None, 0, None
-    events = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "seq"], kind="mergesort")
-    for row in events.itertuples(index=False):
-        if row.outcome == "success":
-            status, dl, err, retry = "success", row.ts, None, 0
-        else:
-            status, fl, err, retry = "failed", row.ts, row.error, int(retry or 0) + 1
-        last = row.ts
-    state.update((status, dl, fl, err, int(retry or 0), last))
+    ev = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "seq"], kind="mergesort")
+    ok = (ev["outcome"] == "success").to_numpy()
+    if ok.any():
+        last_ok = int(np.flatnonzero(ok)[-1])
+        dl = ev["ts"].iloc[last_ok]
+        retry = int((~ok[last_ok + 1:]).sum())
+    else:
+        retry = int(retry or 0) + int((~ok).sum())
+    if (~ok).any():
+        fl = ev["ts"].iloc[int(np.flatnonzero(~ok)[-1])]
+    status = "success" if ok[-1] else "failed"
+    err = None if ok[-1] else ev["error"].iloc[-1]
+    last = ev["ts"].iloc[-1]
+    state.update((status, dl, fl, err, int(retry), last))
     yield pd.DataFrame([{"year": key[0], "quarter": key[1], "status": status, "downloaded_at": dl,
-                         "failed_at": fl, "error_message": err, "retry_count": int(retry or 0),
+                         "failed_at": fl, "error_message": err, "retry_count": int(retry),
                          "last_attempt": last}])
 
 
