@@ -240,3 +240,20 @@ def regime_name(k: int, idx) -> Column:
     if names is None:
         return F.concat(F.lit(FV.REGIME_FALLBACK_PREFIX), (i + 1).cast("string"))
     return F.element_at(F.array(*[F.lit(n) for n in names]), (i + 1).cast("int"))
+
+
+def fund_row_fields(headers, cells) -> Column:
+    """FN-11 + FN-12 together: every fund field from one table row.  The
+    header mapping wins when its cell is non-empty; ticker and name fall
+    back to the cells detected by shape."""
+    ticker = detect_ticker(cells)
+    name = detect_name(cells, ticker)
+    fields = []
+    for field, aliases in FV.HEADER_ALIASES:
+        v = header_field(headers, cells, aliases)
+        if field == "ticker":
+            v = F.coalesce(v, ticker)
+        elif field == "name":
+            v = F.coalesce(v, name)
+        fields.append(v.alias(field))
+    return F.struct(*fields)

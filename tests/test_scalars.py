@@ -60,3 +60,13 @@ def test_cells(spark):
     r = df.select(S.detect_ticker(F.col("c")).alias("t"), F.col("c"))
     r = r.select("t", S.detect_name(F.col("c"), F.col("t")).alias("n")).first()
     assert (r.t, r.n) == ("ABC", "Core Equity Fund")
+
+
+def test_fund_row_fields_precedence(spark):
+    df = spark.createDataFrame([(["Symbol", "Fund Name", "Expense Ratio"], ["", "Core Equity Fund", "0.03%"]),
+                                (["Fund Name", "Ticker"], ["Broad Bond Fund", "bbb"])],
+                               "h array<string>, c array<string>")
+    rows = df.select(S.fund_row_fields(F.col("h"), F.col("c")).alias("f")).select("f.*").collect()
+    # empty ticker cell: no shape-detected ticker either (no short alphanumeric cell)
+    assert (rows[0].ticker, rows[0].name, rows[0].expense_ratio) == (None, "Core Equity Fund", "0.03%")
+    assert (rows[1].ticker, rows[1].name) == ("bbb", "Broad Bond Fund")
