@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, fingerprints, secrets  # noqa: F401
+from . import chat, fingerprints, packing, secrets, toxicity  # noqa: F401
 from .common import ORACLE, QUERIES
 
 
