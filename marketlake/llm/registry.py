@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, fingerprints, packing, secrets, simhash, toxicity  # noqa: F401
+from . import chat, fingerprints, language_model, packing, secrets, simhash, toxicity  # noqa: F401
 from .common import ORACLE, QUERIES
 
 
