@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, fingerprints, language_model, packing, secrets, simhash, toxicity  # noqa: F401
+from . import chat, decontaminate, fingerprints, language_model, licenses, packing, quality, secrets, simhash, toxicity  # noqa: F401
 from .common import ORACLE, QUERIES
 
 
