@@ -119,34 +119,46 @@ def _last_round(left: list[int], num: list[int], size: int) -> list[int]:
 class Layout:
     """Places token ranges of queues into windows."""
 
+    BLOCK = 1 << 15
+
     def __init__(self, phases: list[Phase]):
         self.phases = phases
         self.ends = [[b + int(g) for b, g in zip(p.begin, p.given(np.array([p.windows]))[0])] for p in phases]
 
-    def place(self, queue: int, start: int, length: int):
-        """(offset in range, length, window, offset in window) of each piece."""
-        out, at, stop = [], start, start + length
+    @staticmethod
+    def _window(p: Phase, queue: int, x: np.ndarray) -> np.ndarray:
+        """The window of the phase that holds the queue's token ``x``."""
+        about = x.astype(object) * p.den // p.num[queue] if p.den * int(x.max() + 1) >= 2 ** 62 else x * p.den // p.num[queue]
+        about = about.astype(np.int64)
+        best = np.maximum(about - 2, 0)
+        for step in (-1, 0, 1):
+            w = np.clip(about + step, 0, p.windows - 1)
+            best = np.where(p.given(w)[:, queue] <= x, np.maximum(best, w), best)
+        return best
+
+    def place(self, queue: int, start: np.ndarray, length: np.ndarray):
+        """(which range, offset in range, length, window, offset in window)
+        arrays, in blocks, for token ranges of one queue."""
         for p, ends in zip(self.phases, self.ends):
-            if at >= stop:
-                break
-            if ends[queue] <= at or p.num[queue] == 0:
+            lo = np.maximum(start, p.begin[queue])
+            hi = np.minimum(start + length, ends[queue])
+            which = np.nonzero(lo < hi)[0]
+            if not len(which):
                 continue
-            upto = min(stop, ends[queue])
-            base = at - p.begin[queue]
-            lo = max(0, base * p.den // p.num[queue] - 1)
-            hi = min(p.windows, (upto - p.begin[queue]) * p.den // p.num[queue] + 2)
-            # windows are looked at in blocks: a long document does not need them all at once
-            for w0 in range(lo, hi, 65536):
-                w = np.arange(w0, min(hi, w0 + 65536) + 1)
-                given = p.given(np.minimum(w, p.windows))
-                before = given[:, :queue].sum(axis=1)
-                mine = given[:, queue]
-                from_, to = np.maximum(mine[:-1], base), np.minimum(mine[1:], upto - p.begin[queue])
-                for i in np.nonzero(to > from_)[0]:
-                    offset = int(before[i + 1] - before[i] + from_[i] - mine[i])
-                    out.append((int(from_[i]) + p.begin[queue] - start, int(to[i] - from_[i]), p.first + int(w[i]), offset))
-            at = upto
-        return out
+            base, upto = lo[which] - p.begin[queue], hi[which] - p.begin[queue]
+            first, last = self._window(p, queue, base), self._window(p, queue, upto - 1)
+            until = np.cumsum(last - first + 1)
+            begins = until - (last - first + 1)
+            for at in range(0, int(until[-1]), self.BLOCK):
+                k = np.arange(at, min(int(until[-1]), at + self.BLOCK))
+                of = np.searchsorted(until, k, "right")
+                w = first[of] + k - begins[of]
+                now, then = p.given(w), p.given(w + 1)
+                from_, to = np.maximum(now[:, queue], base[of]), np.minimum(then[:, queue], upto[of])
+                offset = (then - now)[:, :queue].sum(axis=1) + from_ - now[:, queue]
+                some = to > from_
+                doc = which[of]
+                yield tuple(x[some] for x in (doc, from_ + p.begin[queue] - start[doc], to - from_, p.first + w, offset))
 
 
 # ------------------------------------------------------------------ Spark
@@ -178,6 +190,12 @@ def tokenize(docs: DataFrame, make_tokenizer) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "text").mapInArrow(run, _TOKENS)
 
 
+def _crc(ids: bytes, start: int, length: int, total: int) -> int:
+    """crc32 of a piece's ids as little-endian 32-bit numbers."""
+    width = len(ids) // total
+    return zlib.crc32(np.frombuffer(ids, f"<u{width}", length, start * width).astype("<u4"))
+
+
 _PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
            "offset long, source string")
 
@@ -224,20 +242,25 @@ def pack(docs: DataFrame, make_tokenizer, size: int = SIZE, targets: dict | None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lay, place = shared.value
         for b in batches:
-            out: list[list] = [[] for _ in range(8)]
-            cols = [b.column(c) for c in ("doc_id", "source", "n", "ids", "at", "base")]
-            for doc, source, n, ids, at, base in zip(*(c.to_pylist() if c.type != pa.binary() else c for c in cols)):
-                raw = np.frombuffer(ids.as_buffer(), np.uint8)
-                wide = raw.view(np.uint16 if len(raw) == 2 * n else np.uint32).astype("<u4")
-                queue, first = place[source]
-                for start, length, seq, offset in lay.place(queue, first + base + at, n):
-                    crc = zlib.crc32(wide[start:start + length])
-                    for o, v in zip(out, (doc, start, length, crc, n, seq, offset, source)):
-                        o.append(v)
-            types = [pa.int64()] * 7 + [pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, types)],
-                                             names=["doc_id", "start", "length", "ids_crc32", "doc_tokens",
-                                                    "sequence_id", "offset", "source"])
+            n, at, base = (b.column(c).to_numpy(zero_copy_only=False) for c in ("n", "at", "base"))
+            if not len(n):
+                continue
+            # sources are compared by value once per batch, not per row
+            coded = b.column("source").dictionary_encode(null_encoding="encode")
+            spots = np.array([place[s] for s in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+            ids = b.column("ids").to_pylist()
+            for queue in np.unique(spots[:, 0]).tolist():
+                mine = np.nonzero(spots[:, 0] == queue)[0]
+                start = spots[mine, 1] + base[mine] + at[mine]
+                for which, begin, length, seq, offset in lay.place(queue, start, n[mine]):
+                    row = mine[which]
+                    crc = [_crc(ids[r], a, k, total) for r, a, k, total in
+                           zip(row.tolist(), begin.tolist(), length.tolist(), n[row].tolist())]
+                    take = pa.array(row)
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column("doc_id").take(take), *(pa.array(x, pa.int64()) for x in (begin, length, crc, n[row], seq, offset)),
+                         b.column("source").take(take)],
+                        names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
     return rows.select("doc_id", "source", "n", "ids", "at", "base").mapInArrow(run, _PIECES)
 
 
