@@ -175,7 +175,7 @@ def tokenize(docs: DataFrame, make_tokenizer) -> DataFrame:
         seen: dict = {}
         part = TaskContext.get().partitionId()
         for b in batches:
-            ids = [tok.encode(t or "") for t in b.column("text").to_pylist()]
+            ids = [tok.encode(t or b"") for t in b.column("text").to_pylist()]
             sources = b.column("source").to_pylist()
             n = [len(x) // tok.width + 1 for x in ids]
             at = []
@@ -187,7 +187,7 @@ def tokenize(docs: DataFrame, make_tokenizer) -> DataFrame:
                 [b.column("doc_id").cast(pa.int64()), pa.array(sources, pa.string()), pa.array([part] * len(n), pa.int32()),
                  pa.array(at, pa.int64()), pa.array(n, pa.int64()), pa.array([x + end for x in ids], pa.binary())],
                 names=["doc_id", "source", "part", "at", "n", "ids"])
-    return docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "text").mapInArrow(run, _TOKENS)
+    return docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("binary").alias("text")).mapInArrow(run, _TOKENS)
 
 
 def _crc(ids: bytes, start: int, length: int, total: int) -> int:

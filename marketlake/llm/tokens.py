@@ -2,49 +2,71 @@
 
 from __future__ import annotations
 
+import os
 from array import array
 from collections.abc import Callable
 
-CACHE_WORDS = 200_000
+CACHE_CHUNKS = 300_000
+
+
+class _Memo(dict):
+    """Ids of chunks, filled as chunks are asked for.  When it is full the
+    older half is kept aside for one more round, so frequent chunks stay; at
+    most ``2 * CACHE_CHUNKS`` are held."""
+
+    def __init__(self, encode: Callable[[bytes], bytes]):
+        super().__init__()
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            # a full stop or comma after a letter or digit is a token of its own
+            if chunk[-1:] in (b".", b",") and chunk[-2:-1].isalnum():
+                ids = self[chunk[:-1]] + self[chunk[-1:]]
+            else:
+                ids = self.encode(chunk)
+        if len(self) >= CACHE_CHUNKS:
+            self.older = dict(self)
+            self.clear()
+        self[chunk] = ids
+        return ids
 
 
 class WordTokenizer:
-    """A tokenizer whose pre-tokenizer always breaks at blanks and line ends.
+    """A lower-casing tokenizer whose pre-tokenizer breaks at blanks, line
+    ends and between letters and marks.
 
     The ids of a text are then the ids of its blank-separated chunks, one
-    after the other, so each distinct chunk is tokenized once and remembered
-    (at most ``CACHE_WORDS`` of them; the memory is emptied when full).
-    ``encode`` gives little-endian ids of ``width`` bytes each.
+    after the other, so each distinct chunk is tokenized once and remembered.
+    ``encode`` takes UTF-8 and gives little-endian ids of ``width`` bytes.
     """
 
+    _made: dict[str, WordTokenizer] = {}    # one per worker process and file
+
     def __init__(self, file: str):
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(file)
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 65536 else 4
-        self.known: dict[str, bytes] = {}
+        tokenizer = Tokenizer.from_file(file)
+        self.width = 2 if tokenizer.get_vocab_size() <= 65536 else 4
+        kind = "H" if self.width == 2 else "I"
+        self.known = _Memo(lambda c: array(kind, tokenizer.encode(c.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes())
 
-    @staticmethod
-    def from_package(name: str) -> Callable[[], WordTokenizer]:
+    @classmethod
+    def from_package(cls, name: str) -> Callable[[], WordTokenizer]:
         """Maker for a file of the installed tokenizer folder, found on the
         executor that runs it."""
         def make() -> WordTokenizer:
-            import os
-
             import public_tokenizers
             os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # a task has one core
-            return WordTokenizer(public_tokenizers.path(name))
+            file = public_tokenizers.path(name)
+            if file not in WordTokenizer._made:
+                WordTokenizer._made[file] = WordTokenizer(file)
+            return WordTokenizer._made[file]
         return make
 
-    def encode(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
+    def encode(self, text: bytes) -> bytes:
+        # special tokens are matched before the text is lower-cased, so a text
+        # that may hold one keeps its capitals here
+        low = text if b"<|" in text else text.lower()
         known = self.known
-        new = list({c for c in chunks if c not in known})
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = list(set(chunks))
-        kind = "H" if self.width == 2 else "I"
-        for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            for c, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                known[c] = array(kind, e.ids).tobytes()
-        return b"".join([known[c] for c in chunks])
+        return b"".join([known[c] for c in low.replace(b"\n", b" ").split(b" ")])
