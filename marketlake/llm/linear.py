@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+BLOCK_ENTRIES = 1 << 21
+
 
 def sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -35, 35)))
@@ -17,14 +19,26 @@ def fit_logistic(cols, vals, lens, y, weight, dim: int, l2: float, epochs: int,
     n = len(lens)
     if n == 0:
         return np.zeros(dim), 0.0
-    row = np.repeat(np.arange(n, dtype=np.int32), lens)
+    y, weight = np.asarray(y, np.float64), np.asarray(weight, np.float64)
     weight = weight / weight.sum()
+    ends = np.cumsum(lens)
+    blocks, at = [], 0
+    while at < n:   # rows are taken in blocks, so work arrays stay small
+        begin = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, begin + BLOCK_ENTRIES, "right")))
+        blocks.append((at, stop, begin, int(ends[stop - 1])))
+        at = stop
+    row = np.repeat(np.arange(n, dtype=np.int32), lens)
     w, m, s = np.zeros(dim), np.zeros(dim + 1), np.zeros(dim + 1)
     b = 0.0
     for e in range(1, epochs + 1):
-        z = np.bincount(row, vals * w[cols], n) + b
-        g = (sigmoid(z) - y) * weight
-        grad = np.append(np.bincount(cols, vals * g[row], dim) + l2 * w, g.sum())
+        grad = np.append(l2 * w, 0.0)
+        for first, stop, lo, hi in blocks:
+            c, v, r = cols[lo:hi], vals[lo:hi], row[lo:hi] - first
+            z = np.bincount(r, v * w[c], stop - first) + b
+            g = (sigmoid(z) - y[first:stop]) * weight[first:stop]
+            grad[:-1] += np.bincount(c, v * g[r], dim)
+            grad[-1] += g.sum()
         m = 0.9 * m + 0.1 * grad
         s = 0.99 * s + 0.01 * grad * grad
         step = rate * (m / (1 - 0.9 ** e)) / (np.sqrt(s / (1 - 0.99 ** e)) + 1e-8)

@@ -28,8 +28,8 @@ from .linear import fit_logistic, sigmoid
 from .ngrams import buckets, counted
 
 LOW, HIGH, BITS = 3, 5, 20
-SAMPLE_TOXIC, SAMPLE_CLEAN = 3000, 6000
-TRAIN_MAX_CHARS = 50_000
+SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 2500
+TRAIN_MAX_CHARS = 20_000
 FOLDS, HELD_OUT = 5, 0
 
 
@@ -92,9 +92,9 @@ def fit(docs: DataFrame, labels: DataFrame, l2: float = 1e-4, epochs: int = 40)
     ratio[df[0] + df[1] < 2] = 0.0
     lens = np.array([len(c) for c in cols])
     every = np.concatenate(cols)
-    vals = np.concatenate([np.frombuffer(r["counts"], np.int32) / np.float32(max(1, r["chars"]) ** 0.5) for r in got])
-    del got
-    vals = (vals * ratio[every]).astype(np.float32)
+    vals = np.concatenate([(np.frombuffer(r["counts"], np.int32) / max(1, r["chars"]) ** 0.5 * ratio[c]).astype(np.float32)
+                           for r, c in zip(got, cols)])
+    del got, cols
     odds = sizes[0] / sizes[1]
     weight = np.where(y == 1, sizes[1] / n[1] * max(1.0, odds) ** 0.5, sizes[0] / n[0])
     w, b = fit_logistic(every, vals, lens, y, weight, dim, l2, epochs)
