@@ -24,7 +24,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -302,6 +302,18 @@ def _verify(ix, flat, begin, end, d, start, item, found, tried) -> None:
 _LEAKS = "doc_id long, item_id long, item_words int, edits int, end_word int"
 
 
+def _indexes(benchmark: DataFrame, share: float, recall: float, block_words: int):
+    """Broadcast indexes of the benchmark, in blocks of bounded size."""
+    sc = benchmark.sparkSession.sparkContext
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty("text").alias("text"))
+    total = items.agg(F.sum(F.size(F.split("text", r"\s+"))).alias("n")).first()["n"] or 0
+    blocks = max(1, -(-total // block_words))
+    for block in range(blocks):
+        some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        rows = sorted(((r["item_id"], r["text"]) for r in some.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        yield sc.broadcast(build(rows, share, recall))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           share: float = MAX_EDIT_SHARE, recall: float = RECALL, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, item_words, edits, end_word): each document that holds
@@ -312,38 +324,36 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     are reported each; repeated rows are reported each; a null id comes back
     as null; an empty benchmark gives no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty("text").alias("text"))
-    total = items.agg(F.sum(F.size(F.split("text", r"\s+"))).alias("n")).first()["n"] or 0
-    blocks = max(1, -(-total // block_words))
-    found = None
-    for block in range(blocks):
-        some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        rows = sorted(((r["item_id"], r["text"]) for r in some.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        one = _search(docs, spark.sparkContext.broadcast(build(rows, share, recall)), id_col, text_col)
-        found = one if found is None else found.unionByName(one)
-    return found
-
-
-def _search(docs: DataFrame, index, id_col: str, text_col: str) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = index.value
-        for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            rows = search(texts, ix)
-            cols = [[ids[r[0]] for r in rows], *([r[k] for r in rows] for k in (1, 2, 3, 4))]
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             names=["doc_id", "item_id", "item_words", "edits", "end_word"])
-    return docs.select(F.col(id_col).cast("long"), text_or_empty(text_col)).mapInArrow(run, _LEAKS)
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item.  Rows are judged
-    by id: repeated ids go together; rows with a null id stay only if their
-    text is clean of leaks under the null id."""
-    hit = leaks(docs, benchmark, id_col, **options).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, F.col(id_col).cast("long").eqNullSafe(F.col("_hit")), "left_anti")
+    def searcher(index):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                ids = b.column(0).to_pylist()
+                rows = search(b.column(1).to_pylist(), index.value)
+                cols = [[ids[r[0]] for r in rows], *([r[k] for r in rows] for k in (1, 2, 3, 4))]
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                                 names=["doc_id", "item_id", "item_words", "edits", "end_word"])
+        return run
+    rows = docs.select(F.col(id_col).cast("long"), text_or_empty(text_col))
+    found = [rows.mapInArrow(searcher(ix), _LEAKS) for ix in _indexes(benchmark, share, recall, block_words)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", share: float = MAX_EDIT_SHARE,
+                  recall: float = RECALL, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark item; every row is
+    judged by its own whole text and all columns stay.  No shuffle."""
+    def cleaner(index):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                texts = [t or "" for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
+                clean = np.ones(len(texts), bool)
+                clean[[r[0] for r in search(texts, index.value)]] = False
+                yield b.filter(pa.array(clean))
+        return run
+    for ix in _indexes(benchmark, share, recall, block_words):
+        docs = docs.mapInArrow(cleaner(ix), docs.schema)
+    return docs
 
 
 @query()

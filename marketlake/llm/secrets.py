@@ -145,9 +145,9 @@ def scan(df: DataFrame, text_col: str = "text", out: str = "secrets") -> DataFra
     exclusive).  A null text has none; every other column is kept; repeated
     rows are scanned each for itself."""
     text = text_or_empty(text_col)
-    with_base = df.withColumn("_base", base_spans(text))
-    return (with_base.withColumn(out, F.sort_array(F.concat("_base", entropy_spans(text, F.col("_base")))))
-            .drop("_base"))
+    with_base = df.withColumn("__base_spans", base_spans(text))
+    every = F.sort_array(F.concat("__base_spans", entropy_spans(text, F.col("__base_spans"))))
+    return with_base.withColumn(out, every).drop("__base_spans")
 
 
 def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.session import cut_lineage
 
@@ -65,14 +66,19 @@ def simhash(text: bytes, n: int = SHINGLE) -> int:
     return int(np.packbits(votes * 2 > len(starts), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the signed 64-bit fingerprint of each row's whole text."""
+def fingerprints(rows: DataFrame, text_col: str = "text", n: int = SHINGLE) -> DataFrame:
+    """``rows`` with the signed 64-bit fingerprint ``fp`` of each row's whole
+    text in place of the text."""
+    others = [c for c in rows.columns if c != text_col]
+    out = T.StructType([*(rows.schema[c] for c in others), T.StructField("fp", T.LongType())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([simhash(t, n) for t in b.column("b").to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp)], names=["doc_id", "fp"])
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).cast("binary").alias("b")) \
-        .mapInArrow(run, "doc_id long, fp long")
+            texts = b.column(b.schema.get_field_index(text_col))
+            fp = np.array([simhash(t.as_py(), n) for t in texts], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in others), pa.array(fp)],
+                                             names=[*others, "fp"])
+    return rows.select(*others, text_or_empty(text_col).cast("binary").alias(text_col)).mapInArrow(run, out)
 
 
 # ---------------------------------------------------- join of two trie nodes
@@ -232,25 +238,53 @@ def _joiner(depth: int, half: int, most: int, turned: bool):
     return run
 
 
+def _grouped(held: DataFrame, most: int, leaf: int) -> DataFrame:
+    """(fp, component): every distinct fingerprint of ``held (fp)`` and the
+    fingerprint its component goes by."""
+    nodes = cut_lineage(held.select("fp").distinct())
+    count = nodes.count()
+    links = trie_links(nodes, count, False, most, leaf).unionByName(trie_links(nodes, count, True, most, leaf))
+    of = connected_components(cut_lineage(links.distinct()))
+    return nodes.join(of.withColumnRenamed("node", "fp"), "fp", "left") \
+        .select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE,
                     most: int = MAX_BITS, leaf: int = LEAF) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``: its fingerprint
     and the smallest doc_id reachable over links of at most ``most`` differing
     bits.  Null and empty texts have fingerprint 0 and link like any other; a
-    null id is kept and never a component's id unless it has no other; equal
+    null id is kept, and is a component's id only where it has no other; equal
     texts always share a component; other columns are ignored."""
-    held = cut_lineage(fingerprints(docs, id_col, text_col, n))
-    nodes = cut_lineage(held.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    count = nodes.count()
-    links = (trie_links(nodes, count, False, most, leaf).unionByName(trie_links(nodes, count, True, most, leaf)))
-    of = connected_components(cut_lineage(links.distinct()))
-    grouped = nodes.join(of.select(F.col("node").alias("fp"), "component"), "fp", "left") \
-        .select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
+    held = cut_lineage(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), n=n)
+                       .select(F.col("id").cast("long").alias("doc_id"), "fp"))
+    grouped = cut_lineage(_grouped(held, most, leaf))
+    least = (held.groupBy("fp").agg(F.min("doc_id").alias("least")).join(grouped, "fp")
+             .groupBy("component").agg(F.min("least").alias("component_id")))
     by_fp = grouped.join(least, "component").select("fp", "component_id")
     return held.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE,
+             most: int = MAX_BITS, leaf: int = LEAF) -> DataFrame:
+    """``docs`` with one row of each component: its smallest id's (null ids
+    last, equal ids by a hash of the text; of repeated rows any one).  All
+    columns stay.
+
+    A row is known by two hashes of its id and text.  The copies of a group
+    meet in no task: each task keeps its smallest per fingerprint first."""
+    text = text_or_empty(text_col)
+    key = (F.xxhash64(F.col(id_col), text).alias("__k1"), F.xxhash64(F.lit("row"), text, F.col(id_col)).alias("__k2"))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), *key)
+    held = cut_lineage(fingerprints(rows, n=n))
+    grouped = _grouped(held, most, leaf)
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "__k1", "__k2")
+    first = (held.groupBy("fp").agg(F.min(order).alias("o")).join(grouped, "fp")
+             .groupBy("component").agg(F.min("o").alias("o")).select("o.__k1", "o.__k2"))
+    kept = docs.select("*", *key).join(first, ["__k1", "__k2"], "left_semi")
+    return kept.dropDuplicates(["__k1", "__k2"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 @query()
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
