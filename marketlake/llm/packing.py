@@ -16,6 +16,7 @@ default targets, the sources' own token shares, all run dry together.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -81,7 +82,7 @@ def plan(queue_totals: list[int], shares: list[Fraction], size: int = SIZE) -> l
         parts = [size * s / whole for s in live]
         den = 1
         for p in parts:
-            den = den * p.denominator // np.gcd(den, p.denominator) if den < 2 ** 40 else den
+            den = math.lcm(den, p.denominator) if den < 2 ** 40 else den
         if any((p * den).denominator != 1 for p in parts):
             den = 2 ** 31
             num = [int(p * den) for p in parts]
