@@ -1,38 +1,11 @@
-"""Shared helpers: size-checked broadcast, struct ordering, totals."""
+"""Shared helpers."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Sides above this many rows are never broadcast by our code; AQE may still
-# choose a broadcast at run time from measured sizes
-# (spark.sql.adaptive.autoBroadcastJoinThreshold).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows``
-    rows (one bounded job reading at most max_rows + 1 rows); otherwise
-    return it unchanged so the planner keeps a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def broadcast_fixed(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is fixed by construction (a literal seed
     list, a k x k model table, the 25-row nation / 5-row region tables)."""
     return F.broadcast(df)
-
-
-def order_struct(cols: list[str]) -> Column:
-    """Total order over several columns, usable as a max_by / min_by key."""
-    return F.struct(*[F.col(c) for c in cols])
-
-
-def row_struct(df: DataFrame, cols: list[str] | None = None) -> Column:
-    return F.struct(*[F.col(c) for c in (cols or df.columns)])
-
-
-def unpack(df: DataFrame, struct_col: str, prefix_cols: list[str] | None = None) -> DataFrame:
-    return df.select(*(prefix_cols or []), f"{struct_col}.*")

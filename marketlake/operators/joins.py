@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small
 
 
 # --------------------------------------------------------------------- JOIN-1
@@ -144,12 +143,10 @@ def group_reuse(funds: DataFrame, key_col: str, group_col: str, file_col: str,
 
 # -------------------------------------------------------------------- JOIN-11
 def lookup_with_default(df: DataFrame, lookup: DataFrame, key: str, name_col: str,
-                        label: str = "Category ", out_col: str = "category_name",
-                        max_rows: int = 1_000_000) -> DataFrame:
-    """Left lookup; a missing name becomes '<label><id>'.  The lookup side
-    is broadcast only after its size is checked."""
-    lk = broadcast_if_small(lookup.select(key, name_col), max_rows)
-    j = df.join(lk, key, "left")
+                        label: str = "Category ", out_col: str = "category_name") -> DataFrame:
+    """Left lookup; a missing name becomes '<label><id>'.  Whether the lookup
+    side is broadcast follows from its measured bytes (AQE)."""
+    j = df.join(lookup.select(key, name_col), key, "left")
     label_col = F.coalesce(F.col(name_col), F.concat(F.lit(label), F.col(key).cast("string")))
     out = j.withColumn(out_col, label_col)
     return out.drop(name_col) if name_col != out_col else out
@@ -167,7 +164,3 @@ def cascade_keep(child: DataFrame, parent: DataFrame, fk: list[str], pk: list[st
     pk = pk or fk
     p = parent.select(*[F.col(a).alias(b) for a, b in zip(pk, fk)])
     return child.join(p, fk, "left_semi")
-
-
-def eq(a: str, b: str) -> Column:
-    return F.col(a) == F.col(b)

@@ -2,10 +2,10 @@
 
 Paths are built level by level with equi joins of the frontier against the
 edge table (breadth first).  Each level is one join; the loop ends when a
-level is empty (one boolean per level reaches the driver).  Lineage is cut
-with a reliable checkpoint every few levels, so deep trees neither grow
-the plan without bound nor lose work when an executor goes away.  A
-cycle guard (the id already on the path) makes bad data terminate.
+level is empty (one boolean per level reaches the driver), however deep the
+tree.  Every level is written to the checkpoint folder, so plans do not grow
+with the depth and a lost executor costs one level.  A cycle guard (the id
+already on the path, or already seen) makes bad data terminate.
 """
 
 from __future__ import annotations
@@ -13,23 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyspark import StorageLevel
-
 from ..session import cut_lineage
 
-CHECKPOINT_EVERY = 8
-
-
-def _materialize(df: DataFrame, depth: int) -> DataFrame:
-    """Each level is computed once: persisted (memory, spilling to disk) so
-    the emptiness check, the next level and the final union all reuse it;
-    every CHECKPOINT_EVERY levels it is written to the checkpoint folder to
-    cut lineage (a lost executor then re-reads, not re-derives, it)."""
-    if depth % CHECKPOINT_EVERY == 0:
-        return cut_lineage(df)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def clean_edges(categories: DataFrame, id_col: str = "category_id",
                 parent_col: str = "parent_id") -> DataFrame:
     """D-5/D-6: self edges dropped; parent null, '' or 0 (when no row 0
@@ -51,11 +36,11 @@ def _roots(edges: DataFrame, id_col: str, parent_col: str) -> DataFrame:
 
 
 def paths(categories: DataFrame, id_col: str = "category_id", name_col: str = "name",
-          parent_col: str = "parent_id", sep: str = " / ", max_depth: int = 10_000) -> DataFrame:
+          parent_col: str = "parent_id", sep: str = " / ") -> DataFrame:
     """HIER-1/HIER-2: every reachable category with its name path, id path
     and depth (roots have depth 0)."""
     edges = clean_edges(categories, id_col, parent_col).select(id_col, name_col, parent_col)
-    edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
+    edges = cut_lineage(edges)
     level = _roots(edges, id_col, parent_col).select(
         id_col, name_col, parent_col,
         F.col(name_col).cast("string").alias("full_path"),
@@ -65,7 +50,7 @@ def paths(categories: DataFrame, id_col: str = "category_id", name_col: str = "n
     depth = 0
     child = edges.select(F.col(id_col).alias("_cid"), F.col(name_col).alias("_cname"),
                          F.col(parent_col).alias("_cparent"))
-    while depth < max_depth:
+    while True:
         depth += 1
         nxt = (level.join(child, F.col(id_col) == F.col("_cparent"), "inner")
                     .where(~F.array_contains(F.col("path"), F.col("_cid")))
@@ -74,7 +59,7 @@ def paths(categories: DataFrame, id_col: str = "category_id", name_col: str = "n
                             F.concat(F.col("full_path"), F.lit(sep), F.col("_cname")).alias("full_path"),
                             F.array_append(F.col("path"), F.col("_cid")).alias("path"),
                             F.lit(depth).alias("depth")))
-        nxt = _materialize(nxt, depth)
+        nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
         out = out.unionByName(nxt)
@@ -96,25 +81,24 @@ def category_analysis(categories: DataFrame, id_col: str = "category_id", name_c
 
 
 def closure(categories: DataFrame, root_id: int, id_col: str = "category_id",
-            name_col: str = "name", parent_col: str = "parent_id", default_name: str = "Category ",
-            max_depth: int = 10_000) -> DataFrame:
+            name_col: str = "name", parent_col: str = "parent_id", default_name: str = "Category ") -> DataFrame:
     """HIER-4: the root and every descendant (visited once), with the
     distance from the root; missing names get '<default><id>'."""
     edges = clean_edges(categories, id_col, parent_col).select(id_col, name_col, parent_col)
-    edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
+    edges = cut_lineage(edges)
     level = edges.where(F.col(id_col) == root_id).withColumn("depth", F.lit(0))
     seen = level
     child = edges.select(F.col(id_col).alias("_cid"), F.col(name_col).alias("_cname"),
                          F.col(parent_col).alias("_cparent"))
     depth = 0
-    while depth < max_depth:
+    while True:
         depth += 1
         nxt = (level.select(F.col(id_col).alias("_p")).join(child, F.col("_p") == F.col("_cparent"))
                     .select(F.col("_cid").alias(id_col), F.col("_cname").alias(name_col),
                             F.col("_cparent").alias(parent_col), F.lit(depth).alias("depth"))
                     .join(seen.select(id_col), id_col, "left_anti")
                     .dropDuplicates([id_col]))
-        nxt = _materialize(nxt, depth)
+        nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
         seen = seen.unionByName(nxt)

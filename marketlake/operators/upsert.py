@@ -24,6 +24,12 @@ def _tag(df: DataFrame, side: int, seq: Column | None) -> DataFrame:
     return df.withColumn(SEQ, seq if seq is not None else F.lit(0).cast("long")).withColumn(SIDE, F.lit(side))
 
 
+def _row_text(cols: list[str]) -> Column:
+    """Last resort in an order: rows that tie in all else compare by their
+    values as text, so the same rows always give the same winner."""
+    return F.to_json(F.struct(*[F.col(c) for c in cols])) if cols else F.lit("")
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, key: list[str],
            incoming_seq: Column | None = None, keep_from_existing: list[str] | None = None,
            existing_seq: Column | None = None) -> DataFrame:
@@ -41,7 +47,7 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: list[str],
     ex = _tag(existing.select(*key, *cols), 0,
               (existing_seq if existing_seq is not None else F.lit(None)).cast(seq_type))
     u = ex.unionByName(inc)
-    order = F.struct(F.col(SIDE), F.col(SEQ))
+    order = F.struct(F.col(SIDE), F.col(SEQ), _row_text(cols))
     aggs = [F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("_new")]
     for c in keep_from_existing:
         # first row in (side, seq) order: the stored row when there is one
@@ -77,7 +83,7 @@ def insert_ignore(existing: DataFrame, incoming: DataFrame, key: list[str],
     seq = incoming_seq if incoming_seq is not None else F.lit(0)
     inc = incoming.select(*key, *cols, seq.alias(SEQ)).withColumn(SIDE, F.lit(1))
     u = _tag(existing.select(*key, *cols), 0, F.lit(None).cast(inc.schema[SEQ].dataType)).unionByName(inc)
-    order = F.struct(F.col(SIDE), F.col(SEQ))
+    order = F.struct(F.col(SIDE), F.col(SEQ), _row_text(cols))
     g = u.groupBy(*key).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_r"))
     return g.select(*key, "_r.*")
 

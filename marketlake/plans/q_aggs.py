@@ -180,8 +180,8 @@ def q_distinct_vals(spark, d):
 
 SPARSE_SQL = """
 sparse AS (
-  SELECT event_type AS series_id, CAST(ts AS DATE) AS date, round(sum(value), 2) AS value
-  FROM events WHERE value > 45 GROUP BY 1, 2
+  SELECT event_type AS series_id, CAST(ts AS DATE) AS date, round(sum(CASE WHEN value > 45 THEN value END), 2) AS value
+  FROM events GROUP BY 1, 2
 ),
 sspine AS (
   SELECT dd.date, s.series_id FROM (SELECT DISTINCT date FROM sparse) dd
@@ -199,9 +199,11 @@ filled AS (
 
 
 def sparse_series(spark, d):
-    ev = read(spark, d, "events").where(F.col("value") > 45)
-    return (ev.groupBy(F.col("event_type").alias("series_id"), F.to_date("ts").alias("date"))
-              .agg(F.round(F.sum("value"), 2).alias("value")))
+    """Daily totals of the large events; a day without one has a null value
+    (all rows are read and every day stays)."""
+    large = F.when(F.col("value") > 45, F.col("value"))
+    return (read(spark, d, "events").groupBy(F.col("event_type").alias("series_id"), F.to_date("ts").alias("date"))
+            .agg(F.round(F.sum(large), 2).alias("value")))
 
 
 def filled_sparse(spark, d):

@@ -11,8 +11,8 @@ from .registry import query
 
 SPARSE_PANEL_SQL = """
 sparse AS (
-  SELECT event_type AS series_id, CAST(ts AS DATE) AS date, round(sum(value), 2) AS value
-  FROM events WHERE value > 45 GROUP BY 1, 2
+  SELECT event_type AS series_id, CAST(ts AS DATE) AS date, round(sum(CASE WHEN value > 45 THEN value END), 2) AS value
+  FROM events GROUP BY 1, 2
 ),
 spine AS (
   SELECT dd.date, s.series_id FROM (SELECT DISTINCT date FROM sparse) dd

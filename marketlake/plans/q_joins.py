@@ -117,7 +117,7 @@ def q_lookup_default(spark, d):
     c = read(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("category_id"))
     n = read(spark, d, "nation").where(F.col("n_regionkey") != 2) \
         .select(F.col("n_nationkey").alias("category_id"), F.col("n_name").alias("name"))
-    return J.lookup_with_default(c, n, "category_id", "name", max_rows=100_000)
+    return J.lookup_with_default(c, n, "category_id", "name")
 
 
 @query(sql="""

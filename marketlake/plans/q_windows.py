@@ -85,13 +85,12 @@ def q_union_align(spark, d):
 
 @query(sql="""
 SELECT DISTINCT partkey FROM (
-  SELECT l_partkey AS partkey FROM lineitem WHERE l_quantity > 45
-  UNION ALL SELECT p_partkey FROM part WHERE p_size > 45)
+  SELECT l_partkey AS partkey FROM lineitem UNION ALL SELECT p_partkey FROM part)
 WHERE partkey IS NOT NULL""")
 def q_distinct_union(spark, d):
     """SET-3: distinct union of ids discovered by two searches."""
-    a = read(spark, d, "lineitem").where(F.col("l_quantity") > 45).select("l_partkey")
-    b = read(spark, d, "part").where(F.col("p_size") > 45).select("p_partkey")
+    a = read(spark, d, "lineitem").select("l_partkey")
+    b = read(spark, d, "part").select("p_partkey")
     return OR.distinct_union([a, b], "partkey")
 
 

@@ -150,9 +150,8 @@ def read_parsed_quarters(spark: SparkSession, root: str) -> DataFrame:
 def write_parsed_quarters(df: DataFrame, root: str, fmt: str = "parquet") -> None:
     """SRC-4: one folder per (year, quarter).  Overwrites only the quarters
     present in ``df`` (dynamic partition overwrite)."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    w = df.repartition("year", "quarter").write.mode("overwrite").partitionBy("year", "quarter")
+    w = (df.hint("rebalance", F.col("year"), F.col("quarter")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("year", "quarter"))
     if fmt == "csv":
         w.option("header", "true").csv(root)
     else:

@@ -104,7 +104,7 @@ def catalogue_fields(df: DataFrame, limit: int | None = None) -> DataFrame:
                     _first_existing(df, ["_downloadLink", "downloadLink", "link", "_href"]).alias("link"),
                     _first_existing(df, ["_version", "version", "lastUpdate"]).alias("version"))
     out = out.where(F.col("code").isNotNull())
-    return out.orderBy("code").limit(limit) if limit else out
+    return out if limit is None else out.orderBy("code").limit(limit)
 
 
 # ------------------------------------------------------------------ SRC-8

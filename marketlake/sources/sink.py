@@ -1,84 +1,65 @@
-"""Table sinks: typed empty tables, versioned (staged) overwrite, appends.
+"""Table sinks: typed empty tables, overwrite, appends, one folder per code.
 
-A table lives in a folder ``<root>/<name>``.  Each rewrite goes to a new
-``v=<n>`` sub-folder through Spark's own job commit; only after that job
-succeeds is the ``_current`` pointer rewritten.  Readers follow the pointer,
-so a failed or half-finished rewrite is never seen, and Spark never
-overwrites the path it is reading.
+A table is a Parquet folder written and read by Spark itself.  Whether it
+exists is asked of its file system; an error while reading it is an error.
 """
 
 from __future__ import annotations
 
-import os
-import re
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-POINTER = "_current"
-
+from ..session import cut_lineage
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    try:
-        rows = spark.read.text(os.path.join(path, POINTER)).collect()
-    except Exception:  # noqa: BLE001 - no table yet
-        return []
-    return [int(r[0]) for r in rows if re.fullmatch(r"\d+", r[0] or "")]
+BATCH = "batch_id"
 
 
-def current_version(spark: SparkSession, path: str) -> int | None:
-    v = _versions(spark, path)
-    return max(v) if v else None
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder is there (any file system Spark can reach)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """SRC-15: the current version, or an empty frame with ``schema`` when
-    the table does not exist yet."""
-    v = current_version(spark, path)
-    if v is None:
-        if schema is None:
-            raise FileNotFoundError(path)
-        return spark.createDataFrame([], schema)
-    return spark.read.parquet(os.path.join(path, f"v={v}"))
-
-
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
-    """Staged overwrite: write ``v=<n+1>`` then move the pointer."""
-    spark = df.sparkSession
-    v = (current_version(spark, path) or 0) + 1
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(os.path.join(path, f"v={v}"))
-    spark.createDataFrame([(str(v),)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(os.path.join(path, POINTER))
-    return v
-
-
-def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """UPS-12: plain append into the current version (creates v=1)."""
-    spark = df.sparkSession
-    v = current_version(spark, path)
-    if v is None:
-        write_table(df, path, partition_by)
-        return
+    """SRC-15: the table, or an empty frame with ``schema`` when it does not
+    exist yet."""
+    if table_exists(spark, path):
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    if schema is None:
+        raise FileNotFoundError(path)
+    return spark.createDataFrame([], schema)
+
+
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    """Overwrite.  The rows are checkpointed first, so they may come from the
+    table itself.  Readers should not read while it is replaced."""
+    cut_lineage(df).write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+
+
+def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None, batch: str | None = None) -> None:
+    """UPS-12: append.  With a ``batch`` name the rows go to a partition of
+    their own (column ``batch_id``), which a replay of the batch replaces, so
+    nothing is stored twice."""
     w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(os.path.join(path, f"v={v}"))
+    if batch is not None:
+        w = (df.withColumn(BATCH, F.lit(batch)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic"))
+    w.partitionBy(*([BATCH] if batch is not None else []), *(partition_by or [])).parquet(path)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """SRC-19: create-if-missing with the fixed schema."""
-    if current_version(spark, path) is None:
+    if not table_exists(spark, path):
         write_table(spark.createDataFrame([], schema), path)
     return read_table(spark, path)
 
 
 def write_per_key(df: DataFrame, path: str, code_col: str) -> DataFrame:
-    """SRC-16: one folder per code with '/' and '\\' made safe; returns
-    per-code row counts (the ok tally) without collecting rows."""
-    from pyspark.sql import functions as F
+    """SRC-16: one folder per code with '/' and '\\\\' made safe; returns
+    per-code row counts (the ok tally), from what was written.  Large codes
+    are spread over tasks and small ones share one (Spark's rebalancing)."""
     safe = df.withColumn("safe_code", F.translate(F.col(code_col), "/\\", "__"))
-    safe.repartition("safe_code").write.mode("overwrite").partitionBy("safe_code").parquet(path)
-    return safe.groupBy("safe_code").count()
+    safe.hint("rebalance", F.col("safe_code")).write.mode("overwrite").partitionBy("safe_code").parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    return stored.groupBy(F.col("safe_code").cast("string").alias("safe_code")).count()

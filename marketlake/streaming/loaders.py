@@ -10,12 +10,12 @@ table.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -23,32 +23,38 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..operators.upsert import insert_ignore, upsert
 from ..session import cut_lineage
 from ..sources.index import parse_index_lines, with_year_quarter_from_path
+from ..sources.sink import table_exists
 
 INDEX_KEY = ["year", "quarter", "cik", "form_type", "filing_date", "filename"]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - missing table
-        return False
+def _touched(batch: DataFrame, part_cols: list[str]) -> Column:
+    """The partitions of a batch as a condition on stored rows, so that only
+    these are read; nulls match nulls.  The driver holds one row per partition
+    (a calendar quarter or year) of the batch."""
+    held = batch.select(*part_cols).distinct().collect()
+    each = [reduce(Column.__and__, [F.col(c).isNull() if r[c] is None else F.col(c) == F.lit(r[c]) for c in part_cols])
+            for r in held]
+    return reduce(Column.__or__, each, F.lit(False))
 
 
 def merge_partitions(batch: DataFrame, path: str, part_cols: list[str], merge) -> None:
     """Read only the partitions the batch touches, merge, and overwrite just
-    those partitions.  The merged slice is checkpointed first so the write
-    never reads the folder it replaces."""
+    those partitions.  ``merge`` always gets stored rows (none at first), so
+    the first batch is held to the same rules as later ones.  The merged
+    slice is checkpointed first so the write never reads the folder it
+    replaces; an unreadable table fails the batch.  A large partition is
+    written by several tasks."""
     spark = batch.sparkSession
-    if _exists(spark, path):
-        touched = batch.select(*part_cols).distinct()
-        stored = spark.read.parquet(path).join(touched, part_cols, "left_semi")
-        merged = merge(stored, batch)
+    if table_exists(spark, path):
+        stored = spark.read.parquet(path)
+        stored = stored.withColumns({c: F.col(c).cast(batch.schema[c].dataType) for c in part_cols})
+        stored = stored.where(_touched(batch, part_cols))
     else:
-        merged = merge(None, batch)
-    merged = cut_lineage(merged)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (merged.repartition(*part_cols).write.mode("overwrite").partitionBy(*part_cols).parquet(path))
+        stored = None
+    merged = cut_lineage(merge(stored, batch))
+    (merged.hint("rebalance", *[F.col(c) for c in part_cols]).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*part_cols).parquet(path))
 
 
 # --------------------------------------------------------------------- ST-1
@@ -67,7 +73,8 @@ def insert_ignore_sink(table_path: str):
     partitions; stored rows stay (idempotent on replay)."""
     def run(batch: DataFrame, batch_id: int) -> None:
         def merge(stored, b):
-            return b if stored is None else insert_ignore(stored.select(*b.columns), b, INDEX_KEY)
+            stored = b.limit(0) if stored is None else stored.select(*b.columns)
+            return insert_ignore(stored, b, INDEX_KEY)
         merge_partitions(batch, table_path, ["year", "quarter"], merge)
     return run
 
@@ -170,10 +177,3 @@ def retry_queue(ledger: DataFrame, calendar: DataFrame, start_year: int) -> Data
     are pending or failed, from ``start_year`` on."""
     return (ledger.join(calendar, ["year", "quarter"], "inner")
                   .where(F.col("status").isin("pending", "failed") & (F.col("year") >= start_year)))
-
-
-def checkpoint_path(spark: SparkSession, name: str) -> str:
-    """Streaming checkpoints live under the cluster's checkpoint folder."""
-    from ..session import ensure_checkpoint_dir
-    root = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    return os.path.join(root, "streams", name)

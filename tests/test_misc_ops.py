@@ -65,14 +65,3 @@ def test_filing_filter_limit(spark):
     f = spark.createDataFrame(rows, "year int, quarter string, form_type string, filename string, company_name string")
     got = [r.filename for r in FL.filter_filings(f, limit=2, year=2021, company_name="acm").collect()]
     assert got == ["edgar/data/1/x.txt", "edgar/data/2/x.txt"]
-
-
-def test_broadcast_if_small(spark):
-    from marketlake.operators.common import broadcast_if_small
-    small = spark.range(5)
-    big = spark.range(50)
-    j1 = spark.range(100).join(broadcast_if_small(small, max_rows=10), "id")
-    j2 = spark.range(100).join(broadcast_if_small(big, max_rows=10), "id")
-    assert "ResolvedHint" in j1._jdf.queryExecution().analyzed().toString() or j1.count() == 5
-    assert "broadcast" not in j2._jdf.queryExecution().logical().toString().lower()
-    assert j1.count() == 5 and j2.count() == 50

@@ -1,8 +1,10 @@
 """Streaming twins equal their batch twins (availableNow triggers)."""
 
+import datetime as dt
 import os
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from marketlake.operators import upsert as UP
@@ -112,3 +114,52 @@ def test_observation_stream_with_arrival_dedupe(spark, tmp):
     LD.start_observation_load(spark, land, table, ck, arrival_col="arrived", dedupe_delay="1 hour",
                               schema=schema).awaitTermination()
     assert [(r.series_id, r.value) for r in spark.read.parquet(table).collect()] == [("S", 2.0)]
+
+
+# ------------------------------------------------------- keyed sinks lose nothing
+def _obs(spark, rows):
+    return spark.createDataFrame(rows, LD.OBS_SCHEMA)
+
+
+def test_null_dates_of_two_batches_are_kept(spark, tmp):
+    path = os.path.join(tmp, "obs")
+    run = LD.observation_upsert_sink(path)
+    run(_obs(spark, [("A", None, 1.0, 1), ("B", None, 2.0, 2)]), 0)
+    run(_obs(spark, [("C", None, 3.0, 3), ("B", None, 4.0, 4)]), 1)
+    got = {r.series_id: r.value for r in spark.read.parquet(path).collect()}
+    assert got == {"A": 1.0, "B": 4.0, "C": 3.0}
+
+
+def _index_rows(spark, keys):
+    row = [(2024, "QTR1", "0000000001", "8-K", None, f, f"n{k}") for k, f in enumerate(keys)]
+    return spark.createDataFrame(row, "year int, quarter string, cik string, form_type string, filing_date date, "
+                                      "filename string, company_name string")
+
+
+def test_first_batch_stores_a_repeated_key_once(spark, tmp):
+    path = os.path.join(tmp, "idx")
+    run = LD.insert_ignore_sink(path)
+    run(_index_rows(spark, ["f1", "f1", "f2"]), 0)
+    assert sorted(r.filename for r in spark.read.parquet(path).collect()) == ["f1", "f2"]
+    run(_index_rows(spark, ["f2", "f3"]), 1)
+    run(_index_rows(spark, ["f2", "f3"]), 1)   # a replay
+    assert sorted(r.filename for r in spark.read.parquet(path).collect()) == ["f1", "f2", "f3"]
+
+
+def test_unreadable_table_fails_the_batch_and_keeps_its_files(spark, tmp):
+    path = os.path.join(tmp, "obs")
+    run = LD.observation_upsert_sink(path)
+    run(_obs(spark, [("S", dt.date(2024, 1, 1), 1.0, 1)]), 0)
+    folder = os.path.join(path, "year=2024")
+    stored = sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))
+    with open(os.path.join(folder, "zz.parquet"), "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        run(_obs(spark, [("U", dt.date(2024, 1, 2), 2.0, 2)]), 1)
+    assert set(stored) <= set(os.listdir(folder))
+
+
+def test_sinks_leave_the_session_as_it_was(spark, tmp):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    LD.observation_upsert_sink(os.path.join(tmp, "obs"))(_obs(spark, [("S", dt.date(2024, 1, 1), 1.0, 1)]), 0)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
