@@ -35,9 +35,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.scalars import regime_name
 
@@ -112,9 +114,9 @@ def _per_model(params: "ModelSet", make_fn, add_keys: bool):
         outs = []
         for key, sub in pdf.groupby(params.model_cols, sort=False, dropna=False):
             key = _key_tuple(key)
-            f = fns.get(key)
+            f = fns.get(tuple(None if pd.isna(v) else v for v in key))
             if f is None:
-                continue
+                raise KeyError(f"the model set has no model for {dict(zip(params.model_cols, key))}")
             out = f(sub.reset_index(drop=True))
             if add_keys:
                 for c, v in zip(params.model_cols, key):
@@ -144,14 +146,21 @@ def _safe_log(p):
 
 
 # ------------------------------------------------------- batch layout
+def _same(a: pd.Series, b) -> np.ndarray:
+    """Equal values, nulls (and NaN) equal to each other."""
+    if isinstance(b, pd.Series):
+        b = b.set_axis(a.index)
+    none = np.asarray(a.isna()) & np.asarray(pd.isna(b))
+    return np.asarray((a == b).fillna(False), dtype=bool) | none
+
+
 def _segments(pdf: pd.DataFrame, keys: list[str]):
     """Rows sorted by ``keys`` -> (starts, lengths, group id, position)."""
     n = len(pdf)
     change = np.zeros(n, dtype=bool)
     change[0] = True
     for k in keys:
-        col = pdf[k].to_numpy()
-        change[1:] |= col[1:] != col[:-1]
+        change[1:] |= ~_same(pdf[k].iloc[1:], pdf[k].iloc[:-1])
     starts = np.flatnonzero(change)
     lengths = np.diff(np.append(starts, n))
     gid = np.repeat(np.arange(len(starts)), lengths)
@@ -437,10 +446,10 @@ def _stream_groups(keys: list[str], batch_fn, empty_cols: list[str]):
                 pdf = pd.concat([held, pdf], ignore_index=True)
             if not len(pdf):
                 continue
-            last = pdf[keys].iloc[-1]
+            last = {k: pdf[k].iloc[-1] for k in keys}
             same = np.ones(len(pdf), dtype=bool)
             for k in keys:
-                same &= (pdf[k] == last[k]).to_numpy()
+                same &= _same(pdf[k], last[k])
             cut = int(np.flatnonzero(same)[0]) if same.any() else len(pdf)
             held = pdf.iloc[cut:].reset_index(drop=True)
             if cut:
@@ -460,7 +469,23 @@ def _grouped(df: DataFrame, keys: list[str], order: list[str], per_group, schema
     sorted by keys and order (a checkpoint written that way), so the
     shuffle and sort are skipped."""
     parts = df if prepartitioned else df.repartition(*keys).sortWithinPartitions(*keys, *order)
-    return parts.mapInPandas(_stream_groups(keys, per_group, schema.fieldNames()), schema)
+    body = _stream_groups(keys, per_group, schema.fieldNames())
+    out = to_arrow_schema(schema)
+
+    def run(batches):
+        for pdf in body(_to_pandas(b) for b in batches):
+            yield pa.RecordBatch.from_pandas(pdf[schema.fieldNames()], schema=out, preserve_index=False)
+    return parts.mapInArrow(run, schema)
+
+
+_EXACT = {pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype()}
+
+
+def _to_pandas(batch: pa.RecordBatch) -> pd.DataFrame:
+    """Whole numbers stay whole numbers where a column has nulls (ids over
+    2**53 would change as floats)."""
+    kinds = {f.type for f, c in zip(batch.schema, batch.columns) if c.null_count and f.type in _EXACT}
+    return batch.to_pandas(types_mapper=lambda t: _EXACT[t] if t in kinds else None)
 
 
 def _carry(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features,
@@ -502,7 +527,13 @@ def _run_pass3(seqs, carry, params, mode, seq_cols, order_cols, features, schema
 
 def prepare_sequences(df: DataFrame, seq_cols: list[str], order_cols: list[str], features: list[str],
                       block: F.Column) -> DataFrame:
-    return df.select(*seq_cols, *order_cols, *features, block.alias("_block"))
+    """Rows for the model passes.  A null or NaN feature is an error: fill
+    gaps first (``order.ffill_bfill``)."""
+    def known(c):
+        gap = F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+        return F.when(gap, F.raise_error(F.lit(f"feature {c} has a gap; fill it before the model")).cast(df.schema[c].dataType)) \
+            .otherwise(F.col(c)).alias(c)
+    return df.select(*seq_cols, *order_cols, *[known(c) for c in features], block.alias("_block"))
 
 
 def filtered_probabilities(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features) -> DataFrame:

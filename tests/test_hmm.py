@@ -3,6 +3,8 @@
 import math
 
 import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from marketlake.operators import hmm as H
@@ -111,3 +113,33 @@ def test_fit_by_model_equals_separate_fits(spark):
     states = H.viterbi(H.scale_features(H.prepare_sequences(df, ["m", "u"], ["t"], ["x"], F.col("blk")),
                                         ms.models[("a",)], ["x"]), ms, ["m", "u"], ["t"], ["x"])
     assert states.count() == 120
+
+
+# ------------------------------------------------------------- keys and gaps
+def test_null_and_large_keys_come_back_exact(spark):
+    big = 2 ** 53
+    rows = [(k, t, float((t * 7 + i) % 5)) for i, k in enumerate((big, big + 1, None)) for t in range(6)]
+    df = spark.createDataFrame(rows, "seq long, t int, x double").coalesce(1)
+    seqs = H.prepare_sequences(df, ["seq"], ["t"], ["x"], F.lit(0))
+    out = H.viterbi(seqs, P, ["seq"], ["t"], ["x"]).collect()
+    assert sorted((r.seq or 0, r.t) for r in out) == sorted((k or 0, t) for k, t, _ in rows)
+    one = {k: [r.state for r in sorted(out, key=lambda r: r.t) if r.seq == k] for k in (big, big + 1, None)}
+    for k in one:
+        alone = spark.createDataFrame([(1, t, x) for kk, t, x in rows if kk == k], "seq long, t int, x double")
+        want = H.viterbi(H.prepare_sequences(alone, ["seq"], ["t"], ["x"], F.lit(0)), P, ["seq"], ["t"], ["x"]).orderBy("t").collect()
+        assert one[k] == [r.state for r in want]
+
+
+def test_a_gap_in_a_feature_is_an_error(spark):
+    df = spark.createDataFrame([("a", 0, 1.0), ("a", 1, None)], "seq string, t int, x double")
+    with pytest.raises(Exception, match="has a gap"):
+        H.prepare_sequences(df, ["seq"], ["t"], ["x"], F.lit(0)).collect()
+
+
+def test_an_unknown_model_key_is_an_error():
+    one = H.ModelSet(["m"], {("a",): None})
+    fn = H._per_model(one, lambda p: lambda pdf: pdf, False)
+    assert len(fn(pd.DataFrame({"m": ["a"], "x": [1.0]}))) == 1
+    for key in ("b", None):
+        with pytest.raises(KeyError):
+            fn(pd.DataFrame({"m": ["a", key], "x": [1.0, 2.0]}))
