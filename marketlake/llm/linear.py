@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
 BLOCK_ENTRIES = 1 << 21
 
@@ -45,3 +50,12 @@ def fit_logistic(cols, vals, lens, y, weight, dim: int, l2: float, epochs: int,
         w -= step[:-1]
         b -= step[-1]
     return w, float(b)
+
+
+def fit_in_task(rows: DataFrame, fit: Callable[[list[dict]], object]):
+    """``fit`` of a bounded sample's rows, run in one task on an executor; the
+    driver gets the model only."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [r for b in batches for r in b.to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(got))], pa.binary())], names=["model"])
+    return pickle.loads(rows.repartition(1).mapInArrow(run, "model binary").first()["model"])

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import crc_mod, query, ship_package, table
-from .linear import fit_logistic, sigmoid
+from .linear import fit_in_task, fit_logistic, sigmoid
 from .ngrams import buckets, counted
 
 LOW, HIGH, BITS = 1, 3, 18
@@ -181,7 +181,11 @@ def co_train(views: list[_Rows], label: np.ndarray, fold: np.ndarray, rounds: in
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Without labelled rows of both classes every document scores the
     smoothed share of good labels."""
-    got = sorted(sample(docs, labels).collect(), key=lambda r: (r["id"], r["chars"]))
+    return fit_in_task(sample(docs, labels), _fit_rows)
+
+
+def _fit_rows(got: list[dict]) -> Model:
+    got.sort(key=lambda r: (r["id"], r["chars"], r["cols"]))
     label = np.array([-1 if r["label"] is None else r["label"] for r in got], np.int64)
     fold = np.array([r["fold"] for r in got], np.int64)
     fit_rows = label[(label >= 0) & (fold != CALIBRATE)]

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import crc_mod, query, ship_package, table, text_or_empty
-from .linear import fit_logistic, sigmoid
+from .linear import fit_in_task, fit_logistic, sigmoid
 from .ngrams import buckets, counted
 
 LOW, HIGH, BITS = 3, 5, 20
@@ -77,13 +77,16 @@ def fit(docs: DataFrame, labels: DataFrame, l2: float = 1e-4, epochs: int = 40)
     """Fit on the labelled rows outside the held-out fold.  Without rows of
     both classes the model scores every text with the smoothed base rate."""
     rows, sizes = training_rows(docs, labels)
-    got = rows.select("toxic", "text").mapInArrow(_features, "toxic int, chars long, cols binary, counts binary").collect()
+    features = rows.select("toxic", "text").mapInArrow(_features, "toxic int, chars long, cols binary, counts binary")
+    return fit_in_task(features, lambda got: _fit_rows(got, sizes, l2, epochs))
+
+
+def _fit_rows(got: list[dict], sizes: dict[int, int], l2: float, epochs: int) -> Model:
     dim = 1 << BITS
-    y = np.array([r["toxic"] for r in got], dtype=np.float64)
-    if len(set(y)) < 2:
+    if len({r["toxic"] for r in got}) < 2:
         rate = (sizes.get(1, 0) + 0.5) / (sizes.get(0, 0) + sizes.get(1, 0) + 1.0)
         return Model(np.zeros(dim, np.float32), float(np.log(rate / (1 - rate))))
-    got.sort(key=lambda r: (r["toxic"], r["chars"], bytes(r["cols"])))   # the same fit for any order of rows
+    got.sort(key=lambda r: (r["toxic"], r["chars"], r["cols"]))   # the same fit for any order of rows
     y = np.array([r["toxic"] for r in got], dtype=np.float64)
     cols = [np.frombuffer(r["cols"], np.int32) for r in got]
     df = {c: np.bincount(np.concatenate([x for x, t in zip(cols, y) if t == c]), minlength=dim) for c in (0, 1)}
@@ -94,7 +97,6 @@ def fit(docs: DataFrame, labels: DataFrame, l2: float = 1e-4, epochs: int = 40)
     every = np.concatenate(cols)
     vals = np.concatenate([(np.frombuffer(r["counts"], np.int32) / max(1, r["chars"]) ** 0.5 * ratio[c]).astype(np.float32)
                            for r, c in zip(got, cols)])
-    del got, cols
     odds = sizes[0] / sizes[1]
     weight = np.where(y == 1, sizes[1] / n[1] * max(1.0, odds) ** 0.5, sizes[0] / n[0])
     w, b = fit_logistic(every, vals, lens, y, weight, dim, l2, epochs)
