@@ -18,15 +18,6 @@ from .order import ffill_bfill
 METHODS = ("pct_change", "diff", "log_diff", "raw")
 
 
-def date_spine(long_df: DataFrame, series_ids: list[str], id_col: str = "series_id",
-               date_col: str = "date") -> DataFrame:
-    """Every (series, date) where the date is one that any series has: the
-    outer-merged panel's keys.  The distinct dates are a small set (one
-    row per date), fanned out to the fixed series list by explode."""
-    dates = long_df.where(F.col(id_col).isin(series_ids)).select(date_col).distinct()
-    return dates.select(date_col, F.explode(F.array(*[F.lit(s) for s in series_ids])).alias(id_col))
-
-
 def outer_panel(long_df: DataFrame, series_ids: list[str], id_col: str = "series_id",
                 date_col: str = "date", value_col: str = "value") -> DataFrame:
     """The outer-merged panel in long form (series, date, value or null):

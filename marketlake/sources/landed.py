@@ -112,21 +112,28 @@ STRUCTURE_SCHEMA = ("structure struct<dimensions: map<string, struct<label: stri
                     "values: array<struct<id: string, label: string>>>>>")
 
 
-def parse_structure_json(docs: DataFrame, text_col: str = "value", lang: str = "en") -> DataFrame:
-    """Dimension id -> label (a string, or a per-language map) and values.
-    One row per (dimension, value); keywords text joins the dimension ids."""
-    j = docs.select(F.from_json(F.col(text_col), STRUCTURE_SCHEMA).alias("j"))
-    e = j.select(F.explode("j.structure.dimensions").alias("dim", "d"))
+def parse_structure_json(docs: DataFrame, text_col: str = "value", lang: str = "en",
+                         dataset_col: str | None = None) -> DataFrame:
+    """Dimension id -> label (a string, or a per-language map) and values: one
+    row per (dimension, value), with the dimension's position and, where
+    ``dataset_col`` names it, the code of the dataset the payload is of."""
+    keep = [F.col(dataset_col).alias("dataset")] if dataset_col else []
+    j = docs.select(*keep, F.from_json(F.col(text_col), STRUCTURE_SCHEMA).alias("j"))
+    keep = ["dataset"] if dataset_col else []
+    e = j.select(*keep, F.posexplode("j.structure.dimensions").alias("position", "dim", "d"))
     label = F.coalesce(F.get_json_object(F.col("d.label"), f"$.{lang}"), F.col("d.label"))
-    v = e.select("dim", label.alias("dim_label"), F.explode_outer("d.values").alias("v"))
-    return v.select("dim", "dim_label", F.col("v.id").alias("value_id"),
+    v = e.select(*keep, "position", "dim", label.alias("dim_label"), F.explode_outer("d.values").alias("v"))
+    return v.select(*keep, "position", "dim", "dim_label", F.col("v.id").alias("value_id"),
                     F.coalesce(F.get_json_object(F.col("v.label"), f"$.{lang}"), F.col("v.label")).alias("value_label"))
 
 
 def dimension_keywords(structure_rows: DataFrame) -> DataFrame:
-    """FN-18: ', '-joined dimension ids (one row)."""
-    return structure_rows.select("dim").distinct().agg(
-        F.array_join(F.array_sort(F.collect_list("dim")), ", ").alias("keywords"))
+    """FN-18: ', '-joined dimension ids in their given order, one row per
+    dataset (one in all where rows carry no dataset)."""
+    by = ["dataset"] if "dataset" in structure_rows.columns else []
+    dims = structure_rows.groupBy(*by, "dim").agg(F.min("position").alias("position"))
+    listed = F.array_sort(F.collect_list(F.struct("position", "dim")))
+    return dims.groupBy(*by).agg(F.array_join(F.transform(listed, lambda d: d["dim"]), ", ").alias("keywords"))
 
 
 # ------------------------------------------------------------------ SRC-9
@@ -215,15 +222,18 @@ def html_pairs(pages: DataFrame, id_cols: list[str], html_col: str, pattern: str
                     & ~F.lower(F.col("key")).isin([w for w in FV.KV_HEADER_WORDS if w])))
 
 
-def table_pairs(pages: DataFrame, id_cols: list[str], html_col: str) -> DataFrame:
-    """Section tables: each row's first two cells -> key, value."""
-    row = r"<tr[^>]*>\s*<t[dh][^>]*>(.*?)</t[dh]>\s*<t[dh][^>]*>(.*?)</t[dh]>"
-    h = F.col(html_col)
-    pairs = F.arrays_zip(F.regexp_extract_all(h, F.lit("(?is)" + row), 1).alias("key"),
-                         F.regexp_extract_all(h, F.lit("(?is)" + row), 2).alias("value"))
-    e = pages.select(*id_cols, F.explode(pairs).alias("kv"))
+def table_pairs(pages: DataFrame, id_cols: list[str], html_col: str, section: str | None = None) -> DataFrame:
+    """Each table row's first two cells -> key, value; rows of one cell have
+    none.  ``section``: only tables within the element of that id (up to its
+    end tag or the next element with an id of its own kind)."""
+    html = F.col(html_col)
+    if section is not None:
+        html = F.regexp_extract(html, rf"""(?is)<(\w+)[^>]*\sid=["']{section}["'][^>]*>(.*?)</\1>""", 2)
+    row = F.explode(F.regexp_extract_all(html, F.lit(r"(?is)<tr(?:\s[^>]*)?>(.*?)</tr>"), 1)).alias("row")
+    cells = F.regexp_extract_all(F.col("row"), F.lit(r"(?is)<t[dh](?:\s[^>]*)?>(.*?)</t[dh]>"), 1)
     strip = lambda c: F.trim(F.regexp_replace(c, "<[^>]+>", ""))
-    return (e.select(*id_cols, strip(F.col("kv.key")).alias("key"), strip(F.col("kv.value")).alias("value"))
+    e = pages.select(*id_cols, row).select(*id_cols, cells.alias("cells")).where(F.size("cells") >= 2)
+    return (e.select(*id_cols, strip(F.col("cells")[0]).alias("key"), strip(F.col("cells")[1]).alias("value"))
              .where((F.col("key") != "") & (F.col("value") != "")
                     & ~F.lower(F.col("key")).isin([w for w in FV.KV_HEADER_WORDS if w])))
 

@@ -96,6 +96,21 @@ def test_embedded_json_block(spark):
     assert out[0].valuationMeasures == {"pe": "12.5", "pb": "3"} and out[1].valuationMeasures is None
 
 
+def test_table_pairs_rows_of_one_cell_and_sections(spark):
+    html = ("<div><table><thead><tr><th>Title</th></tr></thead><tr><td>Fee</td><td>1%</td></tr></table></div>"
+            "<section id='facts'><table><tr><td>Size</td><td><b>5</b></td></tr></table></section>")
+    pages = docs(spark, [html]).withColumn("id", F.lit(1))
+    assert [(r.key, r.value) for r in L.table_pairs(pages, ["id"], "value").collect()] == [("Fee", "1%"), ("Size", "5")]
+    assert [(r.key, r.value) for r in L.table_pairs(pages, ["id"], "value", section="facts").collect()] == [("Size", "5")]
+
+
+def test_keywords_per_dataset_in_given_order(spark):
+    body = '{"structure": {"dimensions": {"%s": {"label": "x", "values": []}, "%s": {"label": "y", "values": []}}}}'
+    df = spark.createDataFrame([("A", body % ("unit", "freq")), ("B", body % ("geo", "age"))], "code string, value string")
+    rows = L.parse_structure_json(df, dataset_col="code")
+    assert {r.dataset: r.keywords for r in L.dimension_keywords(rows).collect()} == {"A": "unit, freq", "B": "geo, age"}
+
+
 def test_table_pairs(spark):
     html = "<table><tr><th>Key</th><th>Value</th></tr><tr><td><b>Fees</b></td><td>0.03%</td></tr><tr><td></td><td>x</td></tr></table>"
     out = L.table_pairs(docs(spark, [html]).withColumn("id", F.lit(1)), ["id"], "value").collect()
