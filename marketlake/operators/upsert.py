@@ -136,6 +136,7 @@ def ledger_fold(outcomes: DataFrame, key: list[str], ts: str, outcome: str, erro
 
     success: status=success, downloaded_at=ts, retry_count=0, error=null;
     failed:  status=failed, failed_at=ts, error=message, retry_count+1;
+    other outcomes (pending, skipped): status and last_attempt only, no error;
     other fields keep their previous value.
 
     Expressed as aggregates instead of a sequential fold:
@@ -147,17 +148,17 @@ def ledger_fold(outcomes: DataFrame, key: list[str], ts: str, outcome: str, erro
     ever gathered in one place.
     """
     order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.struct(F.col(ts))
-    ok = F.col(outcome) == "success"
+    ok, failed = F.col(outcome) == "success", F.col(outcome) == "failed"
     s1 = outcomes.groupBy(*key).agg(
         F.max_by(F.col(outcome), order).alias("status"),
         F.max_by(F.col(error), order).alias("_last_error"),
         F.max(F.when(ok, order)).alias("_last_ok"),
         F.max(F.when(ok, F.col(ts))).alias("downloaded_at"),
-        F.max(F.when(~ok, F.col(ts))).alias("failed_at"),
+        F.max(F.when(failed, F.col(ts))).alias("failed_at"),
         F.max(F.col(ts)).alias("last_attempt"))
-    j = outcomes.select(*key, order.alias("_o"), ok.alias("_ok")).join(s1.select(*key, "_last_ok"), key, "inner")
+    j = outcomes.select(*key, order.alias("_o"), failed.alias("_failed")).join(s1.select(*key, "_last_ok"), key, "inner")
     retries = j.groupBy(*key).agg(
-        F.count_if(~F.col("_ok") & (F.col("_last_ok").isNull() | (F.col("_o") > F.col("_last_ok"))))
+        F.count_if(F.col("_failed") & (F.col("_last_ok").isNull() | (F.col("_o") > F.col("_last_ok"))))
         .alias("retry_count"))
     out = s1.join(retries, key, "inner")
     return out.select(*key, "status", "downloaded_at", "failed_at",

@@ -135,26 +135,26 @@ LEDGER_STATE = ("status string, downloaded_at timestamp, failed_at timestamp, er
 
 def _ledger_step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Fold one key's new outcome events into its ledger state, vectorized:
-    status and error come from the last event, the success / failure times
-    from the last event of each kind, and the retry count is the failures
-    after the last success (added to the stored count when the batch has no
+    status and error come from the last event (an error only of a failure),
+    the success / failure times from the last event of each kind, and the
+    retry count is the failures after the last success (added to the stored count when the batch has no
     success)."""
     if state.exists:
         status, dl, fl, err, retry, last = state.get
     else:
         status, dl, fl, err, retry, last = None, None, None, None, 0, None
     ev = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "seq"], kind="mergesort")
-    ok = (ev["outcome"] == "success").to_numpy()
+    ok, bad = (ev["outcome"] == "success").to_numpy(), (ev["outcome"] == "failed").to_numpy()
     if ok.any():
         last_ok = int(np.flatnonzero(ok)[-1])
         dl = ev["ts"].iloc[last_ok]
-        retry = int((~ok[last_ok + 1:]).sum())
+        retry = int(bad[last_ok + 1:].sum())
     else:
-        retry = int(retry or 0) + int((~ok).sum())
-    if (~ok).any():
-        fl = ev["ts"].iloc[int(np.flatnonzero(~ok)[-1])]
-    status = "success" if ok[-1] else "failed"
-    err = None if ok[-1] else ev["error"].iloc[-1]
+        retry = int(retry or 0) + int(bad.sum())
+    if bad.any():
+        fl = ev["ts"].iloc[int(np.flatnonzero(bad)[-1])]
+    status = ev["outcome"].iloc[-1]
+    err = ev["error"].iloc[-1] if bad[-1] else None
     last = ev["ts"].iloc[-1]
     state.update((status, dl, fl, err, int(retry), last))
     yield pd.DataFrame([{"year": key[0], "quarter": key[1], "status": status, "downloaded_at": dl,

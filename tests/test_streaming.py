@@ -58,7 +58,9 @@ def test_ledger_state_stream_equals_batch_fold(spark, tmp):
     land = os.path.join(tmp, "outcomes")
     schema = "year int, quarter string, outcome string, error string, ts timestamp, seq long"
     rows = [(2020, "QTR1", "failed", "e1", "2024-01-01 00:00:00", 1), (2020, "QTR1", "success", None, "2024-01-02 00:00:00", 2),
-            (2020, "QTR1", "failed", "e3", "2024-01-03 00:00:00", 3), (2020, "QTR2", "failed", "x", "2024-01-01 00:00:00", 4)]
+            (2020, "QTR1", "failed", "e3", "2024-01-03 00:00:00", 3), (2020, "QTR2", "failed", "x", "2024-01-01 00:00:00", 4),
+            (2020, "QTR3", "pending", None, "2024-01-01 00:00:00", 5), (2020, "QTR4", "failed", "y", "2024-01-01 00:00:00", 6),
+            (2020, "QTR4", "skipped", "late", "2024-01-02 00:00:00", 7)]
     df = spark.createDataFrame(rows, "year int, quarter string, outcome string, error string, ts string, seq long") \
         .withColumn("ts", F.to_timestamp("ts"))
     df.where("seq <= 2").coalesce(1).write.mode("append").parquet(land)
@@ -79,6 +81,8 @@ def test_ledger_state_stream_equals_batch_fold(spark, tmp):
         b = batch[key]
         assert (r.status, r.retry_count, r.error_message) == (b.status, b.retry_count, b.error_message)
     assert latest[(2020, "QTR1")].retry_count == 1 and latest[(2020, "QTR1")].status == "failed"
+    assert (latest[(2020, "QTR3")].status, latest[(2020, "QTR3")].retry_count) == ("pending", 0)
+    assert (latest[(2020, "QTR4")].status, latest[(2020, "QTR4")].retry_count, latest[(2020, "QTR4")].error_message) == ("skipped", 1, None)
     cal = spark.createDataFrame([(2020, "QTR1"), (2020, "QTR2")], "year int, quarter string")
     assert LD.retry_queue(spark.sql("SELECT * FROM ledger_out2"), cal, 2020).count() == 2
 
