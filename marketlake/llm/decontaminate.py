@@ -10,6 +10,10 @@ key; a window and an item of the same length with equal keys are a candidate,
 and the exact edit distance decides.  The number of repetitions follows from
 the target recall, by the hit rate measured on edited copies of the items.
 
+Items of more than ``PIECE_WORDS`` words are searched by their pieces: of an
+item within the edit share, at least one piece is within it too; the whole
+item is then verified.
+
 All windows of every item length are looked at, at every word.  Before the
 walk, windows are dropped that hold too few of the benchmark's word pairs: an
 edit spoils at most two pairs, so a window within k edits of an item of n
@@ -38,7 +42,8 @@ RECALL = 0.98
 SAMPLES = 3               # sampled places in a key
 REACH = 1.6               # steps of the walk per word of the window
 BLOCK_WORDS = 2_000_000
-WINDOW_BLOCK = 1 << 16    # windows embedded at once
+WINDOW_BLOCK = 1 << 14    # windows embedded at once
+PIECE_WORDS = 128         # longer items are searched by pieces of at most so many words
 TEXT_BLOCK = 4_000_000    # characters searched at once
 SEED = 20_240_131
 
@@ -120,13 +125,15 @@ def best_edits(item: list[int], text: list[int]) -> tuple[int, int]:
 class Index:
     """A block of the benchmark: its words, word pairs and keys per length."""
     items: list[tuple[int, list[int]]] = field(default_factory=list)
+    pieces: list[list[int]] = field(default_factory=list)            # distinct
+    holders: list[list[tuple[int, int, int]]] = field(default_factory=list)   # by piece: item, least and largest place in it
     vocabulary: dict[bytes, int] = field(default_factory=dict)
     pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     lengths: list[int] = field(default_factory=list)
     walks: int = 0
     samples: int = SAMPLES
     share: float = MAX_EDIT_SHARE
-    tables: dict = field(default_factory=dict)   # (n, walk) -> sorted keys, item places
+    tables: dict = field(default_factory=dict)   # (n, walk) -> sorted keys, their pieces
 
     @property
     def pad(self) -> int:
@@ -146,21 +153,45 @@ def build(rows: list[tuple[int, str]], share: float = MAX_EDIT_SHARE, recall: fl
             ix.items.append((item, ids))
     if not ix.items:
         return ix
-    ix.lengths = sorted({len(w) for _, w in ix.items})
-    ix.pairs = np.unique(np.concatenate([ix.pair_code(np.array(w, np.int64)) for _, w in ix.items]))
+    _cut(ix)
+    ix.lengths = sorted({len(w) for w in ix.pieces})
+    ix.pairs = np.unique(np.concatenate([ix.pair_code(np.array(w, np.int64)) for w in ix.pieces]))
     ix.walks = repetitions(ix, recall)
     steps = int(ix.lengths[-1] * REACH) + 1
-    flat, starts = _joined([w for _, w in ix.items], ix.pad, steps)
-    of = {n: np.array([i for i, (_, w) in enumerate(ix.items) if len(w) == n]) for n in ix.lengths}
-    for walk in range(ix.walks):
-        written = embed(flat, starts, steps, walk)
-        for n, which in of.items():
-            k = keys(written, which, n, walk, samples)
-            order = np.argsort(k, kind="stable")
-            ix.tables[n, walk] = (k[order], which[order])
+    of = {n: np.array([i for i, w in enumerate(ix.pieces) if len(w) == n]) for n in ix.lengths}
+    found: dict[tuple[int, int], list] = {(n, walk): [] for n in ix.lengths for walk in range(ix.walks)}
+    for n, every in of.items():
+        for at in range(0, len(every), WINDOW_BLOCK):
+            some = every[at:at + WINDOW_BLOCK]
+            flat, starts = _joined([ix.pieces[i] for i in some], ix.pad, steps)
+            for walk in range(ix.walks):
+                found[n, walk].append(keys(embed(flat, starts, steps, walk), np.arange(len(some)), n, walk, samples))
+    for (n, walk), k in found.items():
+        k = np.concatenate(k)
+        order = np.argsort(k, kind="stable")
+        ix.tables[n, walk] = (k[order], of[n][order])
     return ix
 
 
+def _cut(ix: Index) -> None:
+    """Items to distinct pieces of about equal length."""
+    number: dict[tuple[int, ...], int] = {}
+    for i, (_, words) in enumerate(ix.items):
+        parts = -(-len(words) // PIECE_WORDS)
+        edges = [len(words) * p // parts for p in range(parts + 1)]
+        for a, z in zip(edges[:-1], edges[1:]):
+            piece = tuple(words[a:z])
+            k = number.setdefault(piece, len(ix.pieces))
+            if k == len(ix.pieces):
+                ix.pieces.append(list(piece))
+                ix.holders.append([])
+            held = ix.holders[k]
+            if held and held[-1][0] == i:
+                held[-1] = (i, held[-1][1], a)
+            else:
+                held.append((i, a, a))
+
+
 def _joined(texts: list, pad: int, gap: int) -> tuple[np.ndarray, np.ndarray]:
     """All texts in one array, each followed by ``gap`` pads, and their starts."""
     lens = np.array([len(t) for t in texts], np.int64)
@@ -173,10 +204,10 @@ def _joined(texts: list, pad: int, gap: int) -> tuple[np.ndarray, np.ndarray]:
 
 def repetitions(ix: Index, recall: float, trials: int = 8, most_items: int = 64, probe_walks: int = 24) -> int:
     """Walks needed for ``recall`` at the largest edit distance: edited copies
-    of up to ``most_items`` items are made at that distance and their hits per
+    of up to ``most_items`` pieces are made at that distance and their hits per
     walk counted."""
     rng = np.random.default_rng(SEED)
-    some = [ix.items[i][1] for i in np.linspace(0, len(ix.items) - 1, min(most_items, len(ix.items))).astype(int)]
+    some = [ix.pieces[i] for i in np.linspace(0, len(ix.pieces) - 1, min(most_items, len(ix.pieces))).astype(int)]
     originals, edited = [], []
     for w in some:
         for _ in range(trials):
@@ -230,6 +261,7 @@ def _search_some(texts: list[str], ix: Index) -> list[tuple[int, int, int, int,
     if not by_n:
         return []
     tried: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    seen: set[tuple[int, int]] = set()
     found: dict[tuple[int, int], tuple[int, int]] = {}
     every = np.unique(np.concatenate(list(by_n.values())))
     for lo in range(0, len(every), WINDOW_BLOCK):
@@ -245,9 +277,13 @@ def _search_some(texts: list[str], ix: Index) -> list[tuple[int, int, int, int,
                 first, last = np.searchsorted(known, k, "left"), np.searchsorted(known, k, "right")
                 for r in np.nonzero(last > first)[0]:
                     start = int(starts[rows[r]])
-                    d = int(np.searchsorted(begins, start, "right")) - 1
-                    for item in which[first[r]:last[r]].tolist():
-                        _verify(ix, flat, int(begins[d]), int(ends[d]), d, start, item, found, tried)
+                    for piece in which[first[r]:last[r]].tolist():
+                        if (start, piece) in seen:
+                            continue
+                        seen.add((start, piece))
+                        d = int(np.searchsorted(begins, start, "right")) - 1
+                        for holder in ix.holders[piece]:
+                            _verify(ix, flat, int(begins[d]), int(ends[d]), d, start, holder, found, tried)
     return [(d, ix.items[i][0], len(ix.items[i][1]), e, end) for (d, i), (e, end) in sorted(found.items())]
 
 
@@ -281,16 +317,18 @@ def _windows(flat, begins, ends, ix: Index) -> dict[int, np.ndarray]:
     return out
 
 
-def _verify(ix, flat, begin, end, d, start, item, found, tried) -> None:
-    """Exact distance of the item to the best run near the window; a stretch
-    of two items' lengths around it is searched at once and not again."""
+def _verify(ix, flat, begin, end, d, start, holder, found, tried) -> None:
+    """Exact distance of the whole item to the best run around the place that
+    the window gives it; a stretch of two items' lengths around it is searched
+    at once and not again."""
+    item, first, last = holder
     words = ix.items[item][1]
     n, k = len(words), max_edits(len(words), ix.share)
-    lo, hi = max(begin, start - k), min(end, start + n + k)
+    lo, hi = max(begin, start - last - k), min(end, start - first + n + k)
     done = tried.setdefault((d, item), [])
     if found.get((d, item), (1,))[0] == 0 or any(a <= lo and hi <= z for a, z in done):
         return
-    lo, hi = max(begin, start - n), min(end, start + 2 * n)
+    lo, hi = max(begin, start - last - n), min(end, start - first + 2 * n)
     done.append((lo, hi))
     edits, stop = best_edits(words, flat[lo:hi].tolist())
     if edits <= k and edits < found.get((d, item), (k + 1,))[0]:
