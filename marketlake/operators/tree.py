@@ -18,8 +18,8 @@ from ..session import cut_lineage
 def clean_edges(categories: DataFrame, id_col: str = "category_id",
                 parent_col: str = "parent_id") -> DataFrame:
     """D-5/D-6: self edges dropped; parent null, '' or 0 (when no row 0
-    exists) means root; when a row 0 exists it is the only root and rows
-    hanging from it keep parent 0."""
+    exists) means root; when a row 0 exists, rows hanging from it keep parent
+    0, and rows with a null or '' parent are roots beside it."""
     p = F.col(parent_col)
     return categories.withColumn(
         parent_col, F.when(p.isNull() | (p.cast("string") == "") | (p == F.col(id_col)), F.lit(None))

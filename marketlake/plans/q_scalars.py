@@ -451,21 +451,19 @@ def q_first_link(spark, d):
 
 
 @query(sql="""
-SELECT n_nationkey AS k, i AS regime_idx,
-  CASE WHEN n_nationkey = 2 THEN ['Expansion', 'Contraction'][i + 1]
-       WHEN n_nationkey = 3 THEN ['Expansion', 'Peak', 'Contraction'][i + 1]
-       WHEN n_nationkey = 4 THEN ['Expansion', 'Peak', 'Contraction', 'Trough'][i + 1]
+SELECT k, i AS regime_idx,
+  CASE WHEN k = 2 THEN ['Expansion', 'Contraction'][i + 1]
+       WHEN k = 3 THEN ['Expansion', 'Peak', 'Contraction'][i + 1]
+       WHEN k = 4 THEN ['Expansion', 'Peak', 'Contraction', 'Trough'][i + 1]
        ELSE 'Regime_' || CAST(i + 1 AS VARCHAR) END AS regime
-FROM nation, range(0, 25) r(i)
-WHERE n_nationkey >= 2 AND i < n_nationkey""")
+FROM (SELECT n_nationkey + 2 AS k FROM nation) n, range(0, 27) r(i)
+WHERE i < k""")
 def q_regime_names(spark, d):
-    """HMM-8: names of the states for each model size k (k from nation keys)."""
-    n = read(spark, d, "nation").where(F.col("n_nationkey") >= 2).select(F.col("n_nationkey").alias("k"))
+    """HMM-8: names of the states for each model size k (nation keys plus 2)."""
+    n = read(spark, d, "nation").select((F.col("n_nationkey") + 2).alias("k"))
     x = n.select("k", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("regime_idx"))
-    names = F.coalesce(
-        *[F.when(F.col("k") == k, F.element_at(F.array(*[F.lit(v) for v in FV.REGIME_NAMES[k]]),
-                                              (F.col("regime_idx") + 1).cast("int"))) for k in sorted(FV.REGIME_NAMES)],
-        F.concat(F.lit(FV.REGIME_FALLBACK_PREFIX), (F.col("regime_idx") + 1).cast("string")))
+    named = [F.when(F.col("k") == k, S.regime_name(k, "regime_idx")) for k in (2, 3, 4)]
+    names = F.coalesce(*named, S.regime_name(0, "regime_idx"))
     return x.select("k", F.col("regime_idx").cast("long").alias("regime_idx"), names.alias("regime"))
 
 
