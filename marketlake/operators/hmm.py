@@ -17,7 +17,7 @@ coarse time grain (a day, a month) that cuts each sequence into pieces:
                              statistics
 
 Each pass is a hash repartition on the group key, a sort within
-partitions, and one ``mapInPandas`` that streams through many groups per
+partitions, and one ``mapInArrow`` that streams through many groups per
 task (grouped-map UDFs pay a fixed cost per group, which dominates when
 blocks are small).
 
@@ -42,6 +42,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.scalars import regime_name
+from ..session import ship_package
 
 LOG2PI = math.log(2.0 * math.pi)
 
@@ -435,7 +436,7 @@ def _schema_of(df: DataFrame, cols):
 
 
 def _stream_groups(keys: list[str], batch_fn, empty_cols: list[str]):
-    """mapInPandas body: rows arrive sorted by ``keys`` (then order).  Each
+    """Task body: rows arrive sorted by ``keys`` (then order).  Each
     Arrow batch is cut after its last complete group; the trailing group is
     held back until the next batch shows whether it continues.  ``batch_fn``
     gets whole groups only and handles many of them at once."""
@@ -469,6 +470,7 @@ def _grouped(df: DataFrame, keys: list[str], order: list[str], per_group, schema
     sorted by keys and order (a checkpoint written that way), so the
     shuffle and sort are skipped."""
     parts = df if prepartitioned else df.repartition(*keys).sortWithinPartitions(*keys, *order)
+    ship_package(df.sparkSession)
     body = _stream_groups(keys, per_group, schema.fieldNames())
     out = to_arrow_schema(schema)
 
@@ -828,4 +830,5 @@ def stationary_table(models: DataFrame, key_cols: list[str], trans_col: str, k:
             for i in range(k):
                 out[f"pi_{i}"] = pi[:, i]
             yield out
+    ship_package(models.sparkSession)
     return models.select(*key_cols, trans_col).mapInPandas(run, schema)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed_values as FV
+from ..session import ship_package
 from ..functions.scalars import accession_from_path, filed_date, normalize_cik
 
 INDEX_SCHEMA = T.StructType([
@@ -123,6 +124,7 @@ def read_index_binary(spark: SparkSession, path: str, compat: bool = False) -> D
     """SRC-2 fallback for gzip bytes without a '.gz' name: each landed file is
     one task (files are bounded: one quarter each), unzipped if it is gzip,
     invalid UTF-8 dropped, then the same JVM parse as ``read_index_text``."""
+    ship_package(spark)
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     lines = files.mapInPandas(_gunzip_lines, "_path string, value string")
     parsed = parse_index_lines(lines, keep=["_path"], compat=compat)

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.upsert import insert_ignore, upsert
-from ..session import cut_lineage
+from ..session import cut_lineage, ship_package
 from ..sources.index import parse_index_lines, with_year_quarter_from_path
 from ..sources.sink import table_exists
 
@@ -166,6 +166,7 @@ def ledger_state_stream(outcomes: DataFrame) -> DataFrame:
     """UPS-9 over a stream of (year, quarter, outcome, error, ts, seq):
     keyed state per quarter, one updated ledger row per key and batch.
     Only the batch's new events of a key are held, never its history."""
+    ship_package(outcomes.sparkSession)
     return (outcomes.groupBy("year", "quarter")
             .applyInPandasWithState(_ledger_step, LEDGER_OUT, LEDGER_STATE, "update",
                                     GroupStateTimeout.NoTimeout))
