@@ -35,7 +35,7 @@ from .tokens import WordTokenizer
 
 SIZE = 2048
 END_ID = 1
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 32 << 20
 
 
 # ------------------------------------------------------------------ schedule
@@ -236,8 +236,9 @@ def pack(docs: DataFrame, make_tokenizer, size: int = SIZE, targets: dict | None
             first += totals[s]
     shared = spark.sparkContext.broadcast((layout, where))
     small = bases.select(F.col("part").alias("p"), F.col("source").alias("s"), "base")
-    # one row per (task, source): broadcast behind a count of its rows
-    small = F.broadcast(small) if small.count() <= MAX_BROADCAST_ROWS else small
+    # one row per (task, source): broadcast behind a check of its bytes
+    size_of = small.agg(F.sum(F.coalesce(F.octet_length("s"), F.lit(0)) + 32)).first()[0] or 0
+    small = F.broadcast(small) if size_of <= MAX_BROADCAST_BYTES else small
     rows = held.join(small, (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -403,10 +403,12 @@ def test_toxicity_whole_text_and_odd_rows(spark, make_docs, documents, labels):
 
 def test_quality_on_held_out_rows(documents, labels):
     model = quality.fit(documents, labels)
-    got = quality.score(documents.select("doc_id", "text", "lang", "source"), model).join(labels, "doc_id").collect()
+    got = quality.score(documents.select("doc_id", "text", "lang", "source"), model) \
+        .join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id").collect()
     held = [r for r in got if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
-    good = [r["quality"] >= 0.5 for r in held if r["quality_"] == 1] if "quality_" in held[0] else None
-    assert good is None or sum(good) / len(good) > 0.95
+    good, bad = ([r["quality"] >= 0.5 for r in held if r["label"] == k] for k in (1, 0))
+    assert sum(good) / len(good) > 0.95
+    assert sum(bad) / len(bad) < 0.5
 
 
 def test_co_training_gains_from_the_pool():
