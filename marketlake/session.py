@@ -56,7 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not configured:
-        if not sc.master.startswith("local["):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="marketlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
