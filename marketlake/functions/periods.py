@@ -37,7 +37,7 @@ def labour_period_date(year, period) -> Column:
     impossible months (Q05, S03) give null."""
     y = F.trim(_c(year).cast("string")).try_cast("int")
     p = F.trim(_c(period))
-    n = F.substring(p, 2, 100).try_cast("int")
+    n = F.substr(p, F.lit(2)).try_cast("int")
     month = (F.when(p.startswith("M"), F.when(n.between(1, 12), n).otherwise(F.lit(1)))
               .when(p.startswith("Q"), F.when(n.isNull(), F.lit(1)).otherwise((n - 1) * 3 + 1))
               .when(p.startswith("S"), F.when(n.isNull(), F.lit(1)).otherwise((n - 1) * 6 + 1))

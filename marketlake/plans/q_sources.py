@@ -64,7 +64,7 @@ def q_json_explode(spark, d):
 
 # ------------------------------------------------------------------- SRC-11
 def _symbol(name_col, bal_col, nation_col):
-    base = F.substring(F.col(name_col), 10, 100)
+    base = F.substr(F.col(name_col), F.lit(10))
     return (F.when(F.col(nation_col) == 0, F.lit(None))
              .when(F.col(bal_col) < 0, F.concat(base, F.lit(".PR")))
              .when(F.col(bal_col) < 100, F.lit(" "))
