@@ -461,3 +461,17 @@ def test_license_scan_on_documents(documents):
 def test_license_odd_rows(make_docs):
     assert licenses.scan(make_docs(ODD)).count() == 0
     assert licenses.scan(make_docs([])).count() == 0
+
+
+def prose(n, seed):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9))) for _ in range(n))
+
+
+def test_license_among_ordinary_words(make_docs):
+    notices = [("Released under the MIT License.", "MIT"), ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+               ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0")]
+    rows = [(k, f"{prose(30, k)} {t} {prose(30, k + 10)}") for k, (t, _) in enumerate(notices)]
+    rows.append((3, " ".join(f"{t} {prose(5, 20)}" for t, _ in notices)))
+    got = {(r["doc_id"], r["license"]): rows[r["doc_id"]][1][r["start"]:r["end"]] for r in licenses.scan(make_docs(rows)).collect()}
+    assert got == {(d, name): t for k, (t, name) in enumerate(notices) for d in (k, 3)}
