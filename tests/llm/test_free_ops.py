@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import re
+import textwrap
 import zlib
 from fractions import Fraction
 
@@ -475,3 +476,14 @@ def test_license_among_ordinary_words(make_docs):
     rows.append((3, " ".join(f"{t} {prose(5, 20)}" for t, _ in notices)))
     got = {(r["doc_id"], r["license"]): rows[r["doc_id"]][1][r["start"]:r["end"]] for r in licenses.scan(make_docs(rows)).collect()}
     assert got == {(d, name): t for k, (t, name) in enumerate(notices) for d in (k, 3)}
+
+
+def test_license_wrapped_over_lines(make_docs):
+    long = {name: text for name, text in licenses.TEMPLATES if len(text) > 120 and "Apache" not in text}
+    assert {"MIT", "GPL-3.0-or-later"} <= set(long)
+    rows = []
+    for k, text in enumerate(long.values()):
+        for width, mark in ((80, "\n"), (40, "\r\n"), (60, "\n# "), (1, "\n")):
+            rows.append((len(rows), f"{prose(40, k)}\n\n" + mark.join(textwrap.wrap(text, width, break_long_words=False)) + f"\n\n{prose(40, k + 50)}"))
+    got = [(r["doc_id"], r["license"], r["differing_words"]) for r in licenses.scan(make_docs(rows)).collect()]
+    assert sorted(got) == [(d, list(long)[d // 4], 0) for d in range(len(rows))]
