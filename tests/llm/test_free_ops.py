@@ -487,3 +487,35 @@ def test_license_wrapped_over_lines(make_docs):
             rows.append((len(rows), f"{prose(40, k)}\n\n" + mark.join(textwrap.wrap(text, width, break_long_words=False)) + f"\n\n{prose(40, k + 50)}"))
     got = [(r["doc_id"], r["license"], r["differing_words"]) for r in licenses.scan(make_docs(rows)).collect()]
     assert sorted(got) == [(d, list(long)[d // 4], 0) for d in range(len(rows))]
+
+
+SIBLINGS = [
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0"),
+    ("This work is licensed under a Creative Commons Attribution 3.0 Unported License.", "CC-BY-3.0"),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+    ("This work is licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1"),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+    ("This work is licensed under the GNU General Public License, version 3 or any later version.", "GPL-3.0-or-later"),
+    ("This work is licensed under the GNU General Public License, version 3.0.", "GPL-3.0"),
+    ("This work is licensed under the GNU General Public License, version 4.", None),
+    ("This work is licensed under the GNU Frugal General Public License, version 3.7.", None),
+    ("Licensed under the Apache License, Version 2.0.1", None), ("Licensed under the Academic License, Version 2.0.", None),
+    ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"), ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"),
+    ("Licensed under the Eclipse Public License v2.0", "EPL-2.0"),
+    ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+]
+
+
+def test_license_siblings(make_docs):
+    bsd = dict(licenses.TEMPLATES)
+    numbered = bsd["BSD-3-Clause"].replace(": Redis", ": 1. Redis").replace(". Redis", ". 2. Redis").replace(
+        "Neither the name of the copyright holder", "3. Neither the name of Example Research Inc.")
+    rows = [*SIBLINGS, (numbered, "BSD-3-Clause"), (bsd["BSD-2-Clause"], "BSD-2-Clause"), (bsd["MIT-0"], "MIT-0")]
+    got = {r["doc_id"]: r["license"] for r in licenses.scan(make_docs([(k, t) for k, (t, _) in enumerate(rows)])).collect()}
+    assert got == {k: name for k, (_, name) in enumerate(rows) if name}
+
+
+def test_every_license_template_is_reported_by_its_name(make_docs):
+    rows = list(enumerate(t for _, t in licenses.TEMPLATES))
+    got = sorted((r["doc_id"], r["license"], r["differing_words"]) for r in licenses.scan(make_docs(rows)).collect())
+    assert got == [(k, name, 0) for k, (name, _) in enumerate(licenses.TEMPLATES)]
