@@ -7,8 +7,9 @@ windows at small edit distance soon stand on the same words again, so edit
 distance becomes Hamming distance of the written sequences.  Each repetition
 takes a walk of its own and a few sampled places of the written sequence as a
 key; a window and an item of the same length with equal keys are a candidate,
-and the exact edit distance decides.  The number of repetitions follows from
-the target recall, by the hit rate measured on edited copies of the items.
+and the exact edit distance decides.  The number of repetitions of each window
+length follows from the target recall, by the hits measured on edited copies of
+the items of that length.
 
 Items of more than ``PIECE_WORDS`` words are searched by their pieces: of an
 item within the edit share, at least one piece is within it too; the whole
@@ -25,6 +26,7 @@ what is sent is bounded however large it is.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -130,7 +132,8 @@ class Index:
     vocabulary: dict[bytes, int] = field(default_factory=dict)
     pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     lengths: list[int] = field(default_factory=list)
-    walks: int = 0
+    of: dict[int, np.ndarray] = field(default_factory=dict)          # pieces by length
+    walks: dict[int, int] = field(default_factory=dict)              # by length
     samples: int = SAMPLES
     share: float = MAX_EDIT_SHARE
     tables: dict = field(default_factory=dict)   # (n, walk) -> sorted keys, their pieces
@@ -156,20 +159,21 @@ def build(rows: list[tuple[int, str]], share: float = MAX_EDIT_SHARE, recall: fl
     _cut(ix)
     ix.lengths = sorted({len(w) for w in ix.pieces})
     ix.pairs = np.unique(np.concatenate([ix.pair_code(np.array(w, np.int64)) for w in ix.pieces]))
+    sizes = np.array([len(w) for w in ix.pieces])
+    ix.of = {n: np.nonzero(sizes == n)[0] for n in ix.lengths}
     ix.walks = repetitions(ix, recall)
     steps = int(ix.lengths[-1] * REACH) + 1
-    of = {n: np.array([i for i, w in enumerate(ix.pieces) if len(w) == n]) for n in ix.lengths}
-    found: dict[tuple[int, int], list] = {(n, walk): [] for n in ix.lengths for walk in range(ix.walks)}
-    for n, every in of.items():
+    found: dict[tuple[int, int], list] = {(n, walk): [] for n in ix.lengths for walk in range(ix.walks[n])}
+    for n, every in ix.of.items():
         for at in range(0, len(every), WINDOW_BLOCK):
             some = every[at:at + WINDOW_BLOCK]
             flat, starts = _joined([ix.pieces[i] for i in some], ix.pad, steps)
-            for walk in range(ix.walks):
+            for walk in range(ix.walks[n]):
                 found[n, walk].append(keys(embed(flat, starts, steps, walk), np.arange(len(some)), n, walk, samples))
     for (n, walk), k in found.items():
         k = np.concatenate(k)
         order = np.argsort(k, kind="stable")
-        ix.tables[n, walk] = (k[order], of[n][order])
+        ix.tables[n, walk] = (k[order], ix.of[n][order])
     return ix
 
 
@@ -202,36 +206,60 @@ def _joined(texts: list, pad: int, gap: int) -> tuple[np.ndarray, np.ndarray]:
     return flat, starts
 
 
-def repetitions(ix: Index, recall: float, trials: int = 8, most_items: int = 64, probe_walks: int = 24) -> int:
-    """Walks needed for ``recall`` at the largest edit distance: edited copies
-    of up to ``most_items`` pieces are made at that distance and their hits per
-    walk counted."""
+def repetitions(ix: Index, recall: float, copies: int = 96, probe_walks: int = 64, most_walks: int = 4096) -> dict[int, int]:
+    """Walks needed for ``recall`` at the largest edit distance, by piece
+    length: ``copies`` edited copies of pieces of that length are made at that
+    distance and their hits counted over ``probe_walks`` walks, twice as many
+    until they are enough.  A copy that was hit by h of w walks is missed by n
+    of them with chance C(w - h, n) / C(w, n); the mean of this over the
+    copies, and one standard error, stay within 1 - recall."""
     rng = np.random.default_rng(SEED)
-    some = [ix.pieces[i] for i in np.linspace(0, len(ix.pieces) - 1, min(most_items, len(ix.pieces))).astype(int)]
-    originals, edited = [], []
-    for w in some:
-        for _ in range(trials):
-            v = list(w)
-            for _ in range(max_edits(len(w), ix.share)):
-                kind, at = rng.integers(3), int(rng.integers(max(1, len(v))))
-                if kind == 0 and v:
-                    v[at] = 0
-                elif kind == 1:
-                    v.insert(at, 0)
-                elif len(v) > 1:
-                    del v[at]
-            originals.append(w)
-            edited.append(v)
-    steps = int(max(map(len, originals)) * REACH) + 1
-    (fa, sa), (fb, sb) = _joined(originals, ix.pad, steps), _joined(edited, ix.pad, steps)
-    hits = 0
-    for walk in range(probe_walks):
-        a, b = embed(fa, sa, steps, 1_000_000 + walk), embed(fb, sb, steps, 1_000_000 + walk)
-        for n in {len(w) for w in originals}:
-            of = np.nonzero([len(w) == n for w in originals])[0]
-            hits += int((keys(a, of, n, walk, ix.samples) == keys(b, of, n, walk, ix.samples)).sum())
-    p = min(0.999, max(hits / (probe_walks * len(originals)), 1e-3))
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - p)))
+    need = {n: 1 for n in ix.lengths}
+    pairs: dict[int, list] = {}
+    for n in ix.lengths:
+        if not max_edits(n, ix.share):
+            continue   # equal windows have equal keys
+        every = [i for i in ix.of[n]]
+        some = [ix.pieces[i] for i in every[:: max(1, len(every) // copies)][:copies]]
+        pairs[n] = [(w, _edited(w, max_edits(n, ix.share), rng)) for w, _ in zip(itertools.cycle(some), range(copies))]
+    hits = {n: np.zeros(copies, np.int64) for n in pairs}
+    done = 0
+    while pairs:
+        upto = 2 * done or probe_walks
+        order = sorted(pairs)
+        steps = int(order[-1] * REACH) + 1
+        fa, sa = _joined([w for n in order for w, _ in pairs[n]], ix.pad, steps)
+        fb, sb = _joined([v for n in order for _, v in pairs[n]], ix.pad, steps)
+        for walk in range(done, upto):
+            a, b = embed(fa, sa, steps, 1_000_000 + walk), embed(fb, sb, steps, 1_000_000 + walk)
+            for k, n in enumerate(order):
+                of = np.arange(k * copies, (k + 1) * copies)
+                hits[n] += keys(a, of, n, walk, ix.samples) == keys(b, of, n, walk, ix.samples)
+        done = upto
+        for n in order:
+            missed = np.ones(copies)
+            for walks in range(1, done + 1):
+                missed = missed * np.maximum(0, done - hits[n] - walks + 1) / (done - walks + 1)
+                if missed.mean() + missed.std() / math.sqrt(copies) <= 1 - recall:
+                    break
+            need[n] = walks
+            if walks <= done // 2 or done >= most_walks:
+                del pairs[n]
+    return need
+
+
+def _edited(words: list[int], edits: int, rng: np.random.Generator) -> list[int]:
+    """A copy with ``edits`` words changed, put in or left out."""
+    v = list(words)
+    for _ in range(edits):
+        kind, at = rng.integers(3), int(rng.integers(max(1, len(v))))
+        if kind == 0 and v:
+            v[at] = 0
+        elif kind == 1:
+            v.insert(at, 0)
+        elif len(v) > 1:
+            del v[at]
+    return v
 
 
 # -------------------------------------------------------------------- search
@@ -267,11 +295,14 @@ def _search_some(texts: list[str], ix: Index) -> list[tuple[int, int, int, int,
     for lo in range(0, len(every), WINDOW_BLOCK):
         starts = every[lo:lo + WINDOW_BLOCK]
         inside = {n: np.nonzero(np.isin(starts, s, assume_unique=True))[0] for n, s in by_n.items()}
-        for walk in range(ix.walks):
-            written = embed(flat, starts, gap, walk)
+        inside = {n: rows for n, rows in inside.items() if len(rows)}
+        for walk in range(max((ix.walks[n] for n in inside), default=0)):
+            if any(ix.walks[n] <= walk for n in inside):   # on with the lengths that need more walks
+                inside = {n: starts[rows] for n, rows in inside.items() if ix.walks[n] > walk}
+                starts = np.unique(np.concatenate(list(inside.values())))
+                inside = {n: np.searchsorted(starts, s) for n, s in inside.items()}
+            written = embed(flat, starts, int(max(inside) * REACH) + 1, walk)
             for n, rows in inside.items():
-                if not len(rows):
-                    continue
                 known, which = ix.tables[n, walk]
                 k = keys(written, rows, n, walk, ix.samples)
                 first, last = np.searchsorted(known, k, "left"), np.searchsorted(known, k, "right")

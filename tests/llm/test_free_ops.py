@@ -355,6 +355,31 @@ def test_edited_leaks_reach_the_target_recall(spark, make_docs):
         assert sum((k, k) in got for k in range(len(items))) >= 0.95 * len(items)
 
 
+def test_recall_holds_at_every_length_of_a_mixed_benchmark():
+    rng = random.Random(5)
+    lens = [5, 6, 9] * 60 + [59] * 30 + [128] * 30
+    items = [(k, " ".join(f"w{rng.randrange(3000)}" for _ in range(n))) for k, n in enumerate(lens)]
+    ix = decontaminate.build(items)
+    found, trials = collections.Counter(), 3
+    for _ in range(trials):
+        texts = []
+        for _, t in items:
+            w = t.split()
+            for _ in range(decontaminate.max_edits(len(w))):
+                at, kind = rng.randrange(len(w)), rng.randrange(3)
+                if kind == 0:
+                    w[at] = "changed"
+                elif kind == 1:
+                    w.insert(at, "more")
+                elif len(w) > 1:
+                    del w[at]
+            f = [f"filler{rng.randrange(400)}" for _ in range(40)]
+            texts.append(" ".join(f[:20] + w + f[20:]))
+        found.update(lens[a] for a, i, *_ in decontaminate.search(texts, ix) if a == i)
+    for n in set(lens):
+        assert found[n] >= 0.95 * trials * lens.count(n)
+
+
 def test_decontaminate_odd_rows(spark, make_docs):
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "token"), (None, "negative id"), (5, LONG), (5, LONG)],
                                   "item_id long, text string")
