@@ -20,6 +20,3 @@ def spark():
 @pytest.fixture()
 def tmp(tmp_path):
     return str(tmp_path)
-
-
-SF_SMALL = "/root/testdata/sf0.001"

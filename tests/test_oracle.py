@@ -2,11 +2,9 @@
 
 import pytest
 
-from harness import compare, duck
+from harness import SF_SMALL, compare, duck
 from marketlake.plans.registry import all_oracles, all_queries
 
-from conftest import SF_SMALL
-
 ORACLES = all_oracles()
 
 
