@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, fingerprints, language_model, licenses, packing, quality, secrets, simhash, toxicity  # noqa: F401
+from . import (  # noqa: F401
+    block_names, chat, decontaminate, fingerprints, language_model, licenses, packing, quality, secrets, simhash, toxicity)
 from .common import ORACLE, QUERIES
 
 
