@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from . import (  # noqa: F401
-    block_names, chat, decontaminate, fingerprints, language_model, licenses, packing, quality, secrets, simhash, toxicity)
+    block_names, chat, decontaminate, filter_audit, fingerprints, language_model, licenses, manifest, packing, quality, secrets,
+    simhash, toxicity)
 from .common import ORACLE, QUERIES
 
 
