@@ -119,9 +119,10 @@ def manifest(df: DataFrame, group: str = "lang", order: str = "doc_id", fields:
     """
     names = fields or FIELDS
     own = {c: F.col(c) for c in names}
-    leaves = df.select(F.col(group).alias("grp"), F.col(order).alias("ord"),
-                       leaf_digest([own[c] for c in names]).alias("digest"),
-                       leaf_digest([(tampered or {}).get(c, own[c]) for c in names]).alias("forged"))
+    # written first: the sort reads its rows twice, the texts are read once
+    leaves = cut_lineage(df.select(F.col(group).alias("grp"), F.col(order).alias("ord"),
+                                   leaf_digest([own[c] for c in names]).alias("digest"),
+                                   leaf_digest([(tampered or {}).get(c, own[c]) for c in names]).alias("forged")))
     by_order = [F.col(c).asc_nulls_first() for c in ("grp", "ord", "digest")]
     ranked = ranks(ordered(leaves, by_order), ["grp"])
     sizes = ranked.groupBy("grp").agg(F.count("*").alias("n"))
