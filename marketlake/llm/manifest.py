@@ -14,6 +14,7 @@ groups' roots are the leaves of one more tree.  A node carries the interval
 
 The steps (left and right digests) of a family's parent up to the root are
 handed down, so that a row's proof is its own family's step and those.
+Digests move as 32 bytes and are hashed as hexadecimal text.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from .ranks import ordered, ranks
 
 FAN = 8
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
-_STEPS = "array<struct<left:string,right:string>>"
+_STEPS = "array<struct<left:binary,right:binary>>"
 
 
 def leaf_digest(fields: list[Column]) -> Column:
@@ -37,8 +38,12 @@ def leaf_digest(fields: list[Column]) -> Column:
         F.concat(F.octet_length(v).cast("string"), F.lit(":"), v), F.lit("-"))) for f in fields]), 256)
 
 
+def _hex(digests: Column) -> Column:
+    return F.lower(F.hex(digests))
+
+
 def _joined(members: Column) -> Column:
-    return F.array_join(F.transform(members, lambda c: c["digest"]), "")
+    return F.aggregate(members, F.lit(b""), lambda all_, c: F.concat(all_, c["digest"]))
 
 
 def _step(members: Column, lo: Column, hi: Column) -> Column:
@@ -49,12 +54,12 @@ def _step(members: Column, lo: Column, hi: Column) -> Column:
 
 def fold(steps: Column, digest: Column) -> Column:
     """The root that follows from a leaf's digest and its steps."""
-    return F.aggregate(steps, digest, lambda d, s: F.sha2(F.concat(s["left"], d, s["right"]), 256))
+    return F.aggregate(steps, digest, lambda d, s: F.sha2(F.concat(_hex(s["left"]), d, _hex(s["right"])), 256))
 
 
 def proof(steps: Column) -> Column:
     """SHA-256 of all siblings, left to right, level by level."""
-    return F.sha2(F.array_join(F.transform(steps, lambda s: F.concat(s["left"], s["right"])), ""), 256)
+    return F.sha2(F.array_join(F.transform(steps, lambda s: _hex(F.concat(s["left"], s["right"]))), ""), 256)
 
 
 def families(leaves: DataFrame, carried: list[str], fan: int = FAN) -> tuple[list[DataFrame], DataFrame]:
@@ -75,7 +80,7 @@ def families(leaves: DataFrame, carried: list[str], fan: int = FAN) -> tuple[lis
                   .agg(F.sort_array(F.collect_list(member)).alias("members"))
                   .select("tree", "n", "at", F.element_at("members", 1)["lo"].alias("lo"),
                           F.element_at("members", -1)["hi"].alias("hi"), "members",
-                          F.sha2(_joined(F.col("members")), 256).alias("digest")))
+                          F.unhex(F.sha2(_hex(_joined(F.col("members"))), 256)).alias("digest")))
         levels.append(cut_lineage(family))
         nodes = levels[-1].select("tree", "n", "lo", "hi", "digest")
         roots = roots.unionByName(nodes.where(F.col("n") <= wide).select("tree", "digest"))
@@ -85,21 +90,25 @@ def families(leaves: DataFrame, carried: list[str], fan: int = FAN) -> tuple[lis
 
 def with_steps(levels: list[DataFrame], above: DataFrame, fan: int = FAN) -> DataFrame | None:
     """The families of the lowest level with ``steps`` of their parent up to
-    the root: ``above (tree, steps)`` are those of each tree's own root.
-    None where no tree has a family."""
+    the root: ``above (tree, steps, *handed)`` are those of each tree's own
+    root, and what else each of its families gets.  None where no tree has a
+    family."""
+    handed = [c for c in above.columns if c not in ("tree", "steps")]
     rows, width = None, fan ** len(levels)
     for family in reversed(levels):
         at_root = family.where(F.col("n") <= width).join(above, "tree")
         if rows is None:
             rows = at_root
         else:
-            node = rows.select(F.col("tree").alias("__tree"), "steps", "members", F.explode("members").alias("c")).select(
-                "__tree", F.col("c.lo").alias("__lo"), F.col("c.hi").alias("__hi"),
+            node = rows.select(F.col("tree").alias("__tree"), "steps", "members", *handed, F.explode("members").alias("c"))
+            node = node.select(
+                "__tree", *handed, F.col("c.lo").alias("__lo"), F.col("c.hi").alias("__hi"),
                 F.concat(F.array(_step(F.col("members"), F.col("c.lo"), F.col("c.hi"))), "steps").alias("steps"))
             inside = ((F.col("tree") == F.col("__tree")) & (F.col("at") == F.expr(f"__lo div {width}"))
                       & (F.col("__lo") <= F.col("lo")) & (F.col("hi") <= F.col("__hi")))
             below = family.where(F.col("n") > width).join(node, inside)
-            rows = below.select(*family.columns, "steps").unionByName(at_root.select(*family.columns, "steps"))
+            out = [*family.columns, "steps", *handed]
+            rows = below.select(*out).unionByName(at_root.select(*out))
         width //= fan
     return rows
 
@@ -107,8 +116,9 @@ def with_steps(levels: list[DataFrame], above: DataFrame, fan: int = FAN) -> Dat
 def manifest(df: DataFrame, group: str = "lang", order: str = "doc_id", fields: list[str] | None = None,
              tampered: dict[str, Column] | None = None, fan: int = FAN) -> DataFrame:
     """One row per row of ``df``: (order, leaf, subroot, root, steps,
-    tampered_leaf).  ``steps``: array<struct<left,right>>, the siblings'
-    digests of each level up to the root; ``tampered_leaf``: the leaf of the
+    tampered_leaf), digests in hexadecimal.  ``steps``:
+    array<struct<left,right>>, the siblings' digests of each level up to the
+    root, 32 bytes each; ``tampered_leaf``: the leaf of the
     row with the fields of ``tampered`` in place of its own.
 
     Leaves stand by ``order`` (null first), then leaf digest, so repeated rows
@@ -121,8 +131,8 @@ def manifest(df: DataFrame, group: str = "lang", order: str = "doc_id", fields:
     own = {c: F.col(c) for c in names}
     # written first: the sort reads its rows twice, the texts are read once
     leaves = cut_lineage(df.select(F.col(group).alias("grp"), F.col(order).alias("ord"),
-                                   leaf_digest([own[c] for c in names]).alias("digest"),
-                                   leaf_digest([(tampered or {}).get(c, own[c]) for c in names]).alias("forged")))
+                                   F.unhex(leaf_digest([own[c] for c in names])).alias("digest"),
+                                   F.unhex(leaf_digest([(tampered or {}).get(c, own[c]) for c in names])).alias("forged")))
     by_order = [F.col(c).asc_nulls_first() for c in ("grp", "ord", "digest")]
     ranked = ranks(ordered(leaves, by_order), ["grp"])
     sizes = ranked.groupBy("grp").agg(F.count("*").alias("n"))
@@ -146,18 +156,17 @@ def manifest(df: DataFrame, group: str = "lang", order: str = "doc_id", fields:
     above = cut_lineage(above.join(tops.select(F.col("rank").alias("tree"), F.col("digest").alias("subroot")), "tree")
                         .crossJoin(F.broadcast(root.select(F.col("digest").alias("root")))))   # the root is one row
 
-    alone = (rows.where("n = 1").join(above, "tree")
-             .select(F.col("ord").alias(order), F.col("digest").alias("leaf"), "subroot", "root", "steps",
-                     F.col("forged").alias("tampered_leaf")))
-    low = with_steps(levels, above.select("tree", "steps"), fan)
+    def shown(leaf: str, steps: Column) -> list[Column]:
+        return [F.col(f"{leaf}ord").alias(order), _hex(F.col(f"{leaf}digest")).alias("leaf"),
+                _hex(F.col("subroot")).alias("subroot"), _hex(F.col("root")).alias("root"), steps.alias("steps"),
+                _hex(F.col(f"{leaf}forged")).alias("tampered_leaf")]
+    alone = rows.where("n = 1").join(above, "tree").select(*shown("", F.col("steps")))
+    low = with_steps(levels, above, fan)
     if low is None:
         return alone
-    each = low.select("tree", "steps", "members", F.explode("members").alias("c")).join(
-        above.select("tree", "subroot", "root"), "tree")
-    return each.select(
-        F.col("c.ord").alias(order), F.col("c.digest").alias("leaf"), "subroot", "root",
-        F.concat(F.array(_step(F.col("members"), F.col("c.lo"), F.col("c.hi"))), "steps").alias("steps"),
-        F.col("c.forged").alias("tampered_leaf")).unionByName(alone)
+    each = low.select("steps", "members", "subroot", "root", F.explode("members").alias("c"))
+    own_step = F.array(_step(F.col("members"), F.col("c.lo"), F.col("c.hi")))
+    return each.select(*shown("c.", F.concat(own_step, "steps"))).unionByName(alone)
 
 
 def _tree_sql(name: str, tree: str, levels: int) -> str:
