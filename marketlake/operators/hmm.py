@@ -1,54 +1,61 @@
 """Gaussian hidden Markov regimes over many keyed sequences (HMM-*).
 
-Rows are (seq_id, order columns, block, features...).  ``block`` is a
-coarse time grain (a day, a month) that cuts each sequence into pieces:
-
-  pass 1  per (seq, block)   one k x k transfer matrix per block
-                             (sum-product and max-product), plus the
-                             first-block start vectors
-  pass 2  per seq            ordered fold over the block summaries of one
-                             sequence (its length is the number of blocks,
-                             not of rows): carry-in forward vector, carry-out
-                             backward vector, Viterbi entry and end states,
-                             log-likelihood
-  pass 3  per (seq, block)   the block's carry row travels with its data rows
-                             (one union, one shuffle): filtered
-                             probabilities, Viterbi states, or EM sufficient
-                             statistics
-
-Each pass is a hash repartition on the group key, a sort within
-partitions, and one ``mapInArrow`` that streams through many groups per
-task (grouped-map UDFs pay a fixed cost per group, which dominates when
-blocks are small).
-
-No sequence is ever gathered in one task, so one sequence holding a third
-of all rows is spread over as many tasks as it has blocks.  EM (HMM-1)
-aggregates the statistics with a global groupBy-sum: only
-k*(k + 2d + 1) + 1 numbers reach the driver per iteration.
+The rows of all sequences form one chain, sorted by (sequence, order): where a
+sequence starts, the transition is the start distribution whatever came
+before.  ``prepare_sequences`` sorts the chain over the cluster, cuts it into
+chunks of ``CHUNK`` consecutive rows wherever sequences begin or end, and
+writes it once, hash-partitioned and sorted by chunk.  A sequence of any
+length spreads over as many tasks as it has chunks, and a chunk of many short
+sequences is one piece of work.
+
+  pass 1  per chunk     transfer matrices of its first and last piece (the
+                        sequences that other chunks may share)
+  pass 2  per sequence  ordered fold over those pieces: what enters each
+                        piece from the left (forward vector, Viterbi entry) and
+                        from the right (backward vector, Viterbi end)
+  pass 3  per chunk     filtered probabilities, Viterbi states, log-likelihood
+                        or EM statistics, given what enters it
+
+Within a chunk the same scan runs once more over segments of ``STEP`` rows, all
+segments in lockstep, so that no loop is longer than a segment and a chunk's
+number of segments, and nothing is padded.
+
+Passes 1 and 3 are cogroups on the chunk: the chunked table keeps its
+partitioning and order, so an iteration of EM moves only parameters, pieces
+and statistics.  Models are rows of a table keyed by ``model_cols`` (none: one
+model for all) that is joined to the chunks that hold its sequences; the
+M-step is an aggregation by model key.  Nothing is collected by model.
 """
 
 from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.scalars import regime_name
-from ..session import ship_package
+from ..session import cut_lineage, cut_lineage_partitioned, ship_package
 
 LOG2PI = math.log(2.0 * math.pi)
+CHUNK = 65_536        # rows of a chunk: what one call of a pass holds
+STEP = 256            # rows of a segment
+CHUNK_COL, AT_COL = "__chunk", "__at"
+OF_COL = "__of"       # the chunk of a parameter or carry row
 
 
 @dataclass
 class HMMParams:
+    """One model.  With a scaler, the means and variances are of
+    (x - scaler_mean) / scaler_std, and the passes scale the features."""
     pi: np.ndarray            # (k,)
     A: np.ndarray             # (k, k) rows sum to 1
     means: np.ndarray         # (k, d)
@@ -56,6 +63,7 @@ class HMMParams:
     features: list[str] = field(default_factory=list)
     scaler_mean: np.ndarray | None = None   # (d,) stored with the model (D-16)
     scaler_std: np.ndarray | None = None
+    converged: bool | None = None           # of a fitted model: within tol before max_iter
 
     @property
     def k(self) -> int:
@@ -85,490 +93,531 @@ def n_params(k, d):
     return (k - 1) + k * (k - 1) + 2 * k * d
 
 
+# ------------------------------------------------------------- model tables
+PARAM_COLS = ["pi", "trans", "means", "vars", "scale_mean", "scale_std"]
+_PARAMS = [T.StructField(c, T.ArrayType(T.DoubleType())) for c in PARAM_COLS]
+
+
 @dataclass
-class ModelSet:
-    """One model per model key (HMM-1 'one per model key'): the model
-    columns lead the sequence key, so every sequence belongs to one model.
-    All models share k and d; the set is model-sized (broadcast with the
-    task closure)."""
+class Models:
+    """Models as rows of ``df``: the key columns, then ``PARAM_COLS`` as flat
+    arrays (row-major), and for fitted models ``log_likelihood``, ``history``,
+    ``iterations`` and ``converged``.  The key columns lead the sequence key,
+    so that every sequence belongs to one model."""
+    df: DataFrame
     model_cols: list[str]
-    models: dict
-
-    @property
-    def k(self) -> int:
-        return next(iter(self.models.values())).k
+    k: int
+    features: list[str]
 
-    @property
-    def d(self) -> int:
-        return next(iter(self.models.values())).d
+    @staticmethod
+    def of(spark: SparkSession, params: HMMParams) -> "Models":
+        """A table of one model for all sequences."""
+        def flat(a):
+            return None if a is None else [float(x) for x in np.asarray(a).ravel()]
+        row = tuple(flat(a) for a in (params.pi, params.A, params.means, params.vars, params.scaler_mean, params.scaler_std))
+        return Models(spark.createDataFrame([row], T.StructType(_PARAMS)), [], params.k, list(params.features))
 
+    def one(self) -> HMMParams:
+        """The single model of a table without key columns."""
+        if self.model_cols:
+            raise ValueError("a table of keyed models is not one model")
+        r = self.df.first()
+        k, d = self.k, len(self.features)
+        arr = [None if r[c] is None else np.array(r[c], float) for c in PARAM_COLS]
+        return HMMParams(arr[0], arr[1].reshape(k, k), arr[2].reshape(k, d), arr[3].reshape(k, d), list(self.features),
+                         arr[4], arr[5], r["converged"] if "converged" in self.df.columns else None)
 
-def _key_tuple(key) -> tuple:
-    return key if isinstance(key, tuple) else (key,)
 
+def _models(seqs: DataFrame, params: "HMMParams | Models") -> Models:
+    return params if isinstance(params, Models) else Models.of(seqs.sparkSession, params)
 
-def _per_model(params: "ModelSet", make_fn, add_keys: bool):
-    """Run a single-model batch function on each model's rows of a batch."""
-    fns = {k: make_fn(p) for k, p in params.models.items()}
 
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame | None:
-        outs = []
-        for key, sub in pdf.groupby(params.model_cols, sort=False, dropna=False):
-            key = _key_tuple(key)
-            f = fns.get(tuple(None if pd.isna(v) else v for v in key))
-            if f is None:
-                raise KeyError(f"the model set has no model for {dict(zip(params.model_cols, key))}")
-            out = f(sub.reset_index(drop=True))
-            if add_keys:
-                for c, v in zip(params.model_cols, key):
-                    out[c] = v
-            outs.append(out)
-        return pd.concat(outs, ignore_index=True) if outs else None
-    return fn
+# ------------------------------------------------------------------ sequences
+def prepare_sequences(df: DataFrame, seq_cols: list[str], order_cols: list[str], features: list[str],
+                      chunk_rows: int = CHUNK) -> DataFrame:
+    """The chunked table of the model passes (see above), written to the
+    checkpoint folder.  Rows that tie in ``order_cols`` stand by their
+    features.  A null or NaN feature is an error: fill gaps first
+    (``order.ffill_bfill``).  Null sequence keys are keys."""
+    def known(c):
+        gap = F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+        return F.when(gap, F.raise_error(F.lit(f"feature {c} has a gap; fill it before the model")).cast("double")) \
+            .otherwise(F.col(c).cast("double")).alias(c)
+    plain = [c for c in dict.fromkeys([*seq_cols, *order_cols]) if c not in features]
+    rows = df.select(*plain, *[known(c) for c in features])
+    in_part = F.monotonically_increasing_id()
+    chunk = F.shiftleft(F.shiftright(AT_COL, 33), 33) + F.floor(F.col(AT_COL).bitwiseAND(F.lit((1 << 33) - 1)) / chunk_rows)
+    # sorted by all columns: a task that runs again numbers its rows alike
+    placed = rows.orderBy(*seq_cols, *order_cols, *features).withColumn(AT_COL, in_part).withColumn(CHUNK_COL, chunk)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage_partitioned(placed.repartition(n, CHUNK_COL).sortWithinPartitions(CHUNK_COL, AT_COL))
+
+
+# ------------------------------------------------------ one chunk in numpy
+def _changes(rows: pa.Table, cols: list[str]) -> np.ndarray:
+    """True where a row's ``cols`` differ from the row before (nulls equal
+    nulls, NaN equals NaN); True at row 0."""
+    n = rows.num_rows
+    out = np.zeros(n, bool)
+    out[:1] = True
+    for c in cols:
+        v = rows[c].combine_chunks()
+        a, b = v.slice(1), v.slice(0, n - 1)
+        differs = pc.fill_null(pc.not_equal(a, b), False)
+        if pa.types.is_floating(v.type):
+            differs = pc.and_(differs, pc.invert(pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False)))
+        differs = pc.or_(differs, pc.xor(pc.is_null(a), pc.is_null(b)))
+        out[1:] |= differs.to_numpy(zero_copy_only=False)
+    return out
 
 
-# ------------------------------------------------------------------ numerics
-def _lse(a: np.ndarray, axis: int) -> np.ndarray:
-    m = np.max(a, axis=axis, keepdims=True)
-    m = np.where(np.isfinite(m), m, 0.0)
-    with np.errstate(divide="ignore"):
-        return np.squeeze(m, axis=axis) + np.log(np.sum(np.exp(a - m), axis=axis))
+def _stack(col, shape: tuple) -> np.ndarray:
+    return np.array(col.to_pylist(), float).reshape(len(col), *shape)
 
 
 def _emission_log(X: np.ndarray, means: np.ndarray, var: np.ndarray) -> np.ndarray:
-    """(T, k) log N(x_t; mean_s, var_s), diagonal, summed over features."""
+    """(n, k) log N(x_t; mean_s, var_s), diagonal, summed over features."""
     diff = X[:, None, :] - means[None, :, :]
     return -0.5 * np.sum(LOG2PI + np.log(var)[None] + diff * diff / var[None], axis=2)
 
 
+class _Chunk:
+    """Rows of a chunk with what the passes need of them: emission
+    log-densities, sequence starts and the model of each row."""
+
+    def __init__(self, rows: pa.Table, side: pa.Table, seq_cols, model_cols, features, k):
+        at = rows[AT_COL].to_numpy()
+        if len(at) > 1 and (np.diff(at) < 0).any():
+            rows = rows.take(np.argsort(at, kind="stable"))
+        self.rows, self.n, self.k, d = rows, rows.num_rows, k, len(features)
+        self.start = _changes(rows, seq_cols)
+        self.runs = np.flatnonzero(_changes(rows, model_cols)) if model_cols else np.zeros(1, np.int64)
+        models = side.filter(pc.is_valid(side["pi"]))
+        at_model = {tuple(r.values()): i for i, r in enumerate(models.select(model_cols).to_pylist())} if model_cols \
+            else {(): 0} if models.num_rows else {}
+        keys = [tuple(r.values()) for r in rows.select(model_cols).take(self.runs).to_pylist()] if model_cols else [()]
+        missing = next((key for key in keys if key not in at_model), None)
+        if missing is not None:
+            raise KeyError(f"the model table has no model for {dict(zip(model_cols, missing))}")
+        models = models.take([at_model[key] for key in keys])
+        self.A, self.pi = _stack(models["trans"], (k, k)), _stack(models["pi"], (k,))
+        means, var = _stack(models["means"], (k, d)), _stack(models["vars"], (k, d))
+        ends = np.append(self.runs[1:], self.n)
+        self.model = np.repeat(np.arange(len(self.runs)), ends - self.runs)
+        self.X = np.column_stack([rows[f].to_numpy() for f in features]).astype(float)
+        self.E = np.empty((self.n, k))
+        scale = [(m, s) for m, s in zip(models["scale_mean"].to_pylist(), models["scale_std"].to_pylist())]
+        for i, (a, b) in enumerate(zip(self.runs, ends)):
+            if scale[i][0] is not None:
+                self.X[a:b] = (self.X[a:b] - np.array(scale[i][0])) / np.array(scale[i][1])
+            self.E[a:b] = _emission_log(self.X[a:b], means[i], var[i])
+
+    def border_pieces(self) -> list[tuple[int, int, int]]:
+        """(which, from, to): the piece that may go on from the chunk before
+        and, unless it is the same, the one that may go on in the next."""
+        starts = np.flatnonzero(self.start[1:]) + 1
+        if not len(starts):
+            return [(0, 0, self.n)]
+        return [(0, 0, int(starts[0])), (1, int(starts[-1]), self.n)]
+
+
+class _Chain:
+    """Rows [a, b) of a chunk cut into segments of ``STEP`` rows.  ``first``:
+    row a starts a sequence."""
+
+    def __init__(self, c: _Chunk, a: int, b: int, first: bool):
+        self.n, self.k = b - a, c.k
+        self.S = -(-self.n // STEP)
+        self.last = self.n - (self.S - 1) * STEP        # rows of the last segment
+        self.A, self.pi = c.A, c.pi
+        reset = c.start[a:b].copy()
+        reset[0] = first
+        self.E, self.reset, self.m = (self._cut(x) for x in (c.E[a:b], reset, c.model[a:b]))
+        self.peak = self.E.max(axis=2)
+        self.W = np.exp(self.E - self.peak[:, :, None])
+
+    def _cut(self, x: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.S * STEP, *x.shape[1:]), x.dtype)
+        out[:self.n] = x
+        return out.reshape(self.S, STEP, *x.shape[1:])
+
+    def flat(self, x: np.ndarray) -> np.ndarray:
+        return x.reshape(self.S * STEP, *x.shape[2:])[:self.n]
+
+    def active(self, t: int) -> int:
+        return self.S if t < self.last else self.S - 1
+
+    def steps(self):
+        return range(STEP if self.S > 1 else self.last)
+
+    # sums of paths
+    def transfers(self):
+        """Per segment (k + 1, k) row-normalised weights from the state before
+        it (row k: from a sequence start) to the state at its end, and the
+        logarithms of their row sums."""
+        k = self.k
+        P, scale = np.zeros((self.S, k + 1, k)), np.zeros((self.S, k + 1))
+        for t in self.steps():
+            s = self.active(t)
+            A, pi, r = self.A[self.m[:s, t]], self.pi[self.m[:s, t]], self.reset[:s, t]
+            Q = np.concatenate([A, pi[:, None, :]], axis=1) if t == 0 else P[:s] @ A
+            if r.any():
+                mass = np.ones((int(r.sum()), k + 1)) if t == 0 else P[:s][r].sum(axis=2)
+                Q[r] = mass[:, :, None] * pi[r][:, None, :]
+            Q *= self.W[:s, t][:, None, :]
+            total = Q.sum(axis=2)
+            with np.errstate(divide="ignore"):
+                scale[:s] += np.log(total) + self.peak[:s, t][:, None]
+            P[:s] = Q / np.where(total > 0, total, 1.0)[:, :, None]
+        return P, scale
+
+    def carried(self, P, scale, into: np.ndarray) -> np.ndarray:
+        """The forward vector that enters each segment."""
+        out = np.empty((self.S, self.k))
+        out[0] = into
+        for s in range(1, self.S):
+            out[s] = _through(out[s - 1][None], np.zeros(1), P[s - 1], scale[s - 1])[0][0]
+        return out
+
+    def forward(self, entering: np.ndarray):
+        """Filtered probabilities and log normalisers of all rows."""
+        alpha, norm = np.zeros((self.S, STEP, self.k)), np.zeros((self.S, STEP))
+        now = entering.copy()
+        for t in self.steps():
+            s = self.active(t)
+            nxt = np.einsum("si,sij->sj", now[:s], self.A[self.m[:s, t]])
+            r = self.reset[:s, t]
+            nxt[r] = self.pi[self.m[:s, t]][r]
+            nxt *= self.W[:s, t]
+            total = nxt.sum(axis=1)
+            with np.errstate(divide="ignore"):
+                norm[:s, t] = np.log(total) + self.peak[:s, t]
+            now[:s] = nxt / total[:, None]
+            alpha[:s, t] = now[:s]
+        return alpha, norm
+
+    def backward(self, P, scale, after: np.ndarray) -> np.ndarray:
+        """Backward vectors of all rows, each normalised; ``after`` is that of
+        the last row."""
+        ends = np.empty((self.S, self.k))
+        ends[-1] = after
+        for s in range(self.S - 1, 0, -1):
+            ends[s - 1] = _before(P[s], scale[s], ends[s])
+        beta = np.zeros((self.S, STEP, self.k))
+        now = ends.copy()
+        beta[:-1, STEP - 1] = ends[:-1]
+        beta[-1, self.last - 1] = ends[-1]
+        for t in range(STEP - 2 if self.S > 1 else self.last - 2, -1, -1):
+            s = self.active(t + 1)                      # segments with a row t + 1
+            prev = np.einsum("sij,sj->si", self.A[self.m[:s, t + 1]], self.W[:s, t + 1] * now[:s])
+            prev[self.reset[:s, t + 1]] = 1.0
+            now[:s] = prev / prev.sum(axis=1, keepdims=True)
+            beta[:s, t] = now[:s]
+        return beta
+
+    # best paths
+    def best_transfers(self) -> np.ndarray:
+        """Per segment (k + 1, k) best log weight from the state before it (row
+        k: from a sequence start) to the state at its end."""
+        M = np.zeros((self.S, self.k + 1, self.k))
+        for t in self.steps():
+            s = self.active(t)
+            logA, logpi = _safe_log(self.A[self.m[:s, t]]), _safe_log(self.pi[self.m[:s, t]])
+            r = self.reset[:s, t]
+            if t == 0:
+                N = np.concatenate([logA, logpi[:, None, :]], axis=1)
+                N[r] = logpi[r][:, None, :]
+            else:
+                N = np.max(M[:s, :, :, None] + logA[:, None, :, :], axis=2)
+                N[r] = M[:s][r].max(axis=2)[:, :, None] + logpi[r][:, None, :]
+            M[:s] = N + self.E[:s, t][:, None, :]
+        return M
+
+    def states(self, M: np.ndarray, into: np.ndarray, end: int) -> np.ndarray:
+        """The best state of each row, given the log weights ``into`` of the
+        state before the chain and the state of its last row.  Ties go to the
+        lowest state."""
+        now = np.empty((self.S, self.k))
+        now[0] = into
+        for s in range(1, self.S):
+            best = np.max(now[s - 1][:, None] + M[s - 1][:self.k], axis=0)
+            now[s] = best - best.max()
+        back = np.zeros((self.S, STEP, self.k), np.int64)
+        for t in self.steps():
+            s = self.active(t)
+            logA, logpi = _safe_log(self.A[self.m[:s, t]]), _safe_log(self.pi[self.m[:s, t]])
+            cand = now[:s, :, None] + logA
+            r = self.reset[:s, t]
+            cand[r] = now[:s][r][:, :, None] + logpi[r][:, None, :]
+            b = np.argmax(cand, axis=1)
+            back[:s, t] = b
+            best = np.take_along_axis(cand, b[:, None, :], axis=1)[:, 0, :] + self.E[:s, t]
+            now[:s] = best - best.max(axis=1, keepdims=True)
+        # the state before a segment as a function of the state at its end
+        trace = np.tile(np.arange(self.k), (self.S, 1))
+        for t in reversed(self.steps()):
+            s = self.active(t)
+            trace[:s] = np.take_along_axis(back[:s, t], trace[:s], axis=1)
+        cur = np.empty(self.S, np.int64)
+        cur[-1] = end
+        for s in range(self.S - 1, 0, -1):
+            cur[s - 1] = trace[s, cur[s]]
+        out = np.zeros((self.S, STEP), np.int32)
+        for t in reversed(self.steps()):
+            s = self.active(t)
+            out[:s, t] = cur[:s]
+            cur[:s] = back[np.arange(s), t, cur[:s]]
+        return self.flat(out)
+
+
 def _safe_log(p):
     with np.errstate(divide="ignore"):
         return np.log(p)
 
 
-# ------------------------------------------------------- batch layout
-def _same(a: pd.Series, b) -> np.ndarray:
-    """Equal values, nulls (and NaN) equal to each other."""
-    if isinstance(b, pd.Series):
-        b = b.set_axis(a.index)
-    none = np.asarray(a.isna()) & np.asarray(pd.isna(b))
-    return np.asarray((a == b).fillna(False), dtype=bool) | none
-
-
-def _segments(pdf: pd.DataFrame, keys: list[str]):
-    """Rows sorted by ``keys`` -> (starts, lengths, group id, position)."""
-    n = len(pdf)
-    change = np.zeros(n, dtype=bool)
-    change[0] = True
-    for k in keys:
-        change[1:] |= ~_same(pdf[k].iloc[1:], pdf[k].iloc[:-1])
-    starts = np.flatnonzero(change)
-    lengths = np.diff(np.append(starts, n))
-    gid = np.repeat(np.arange(len(starts)), lengths)
-    pos = np.arange(n) - starts[gid]
-    return starts, lengths, gid, pos
-
-
-def _pad(values: np.ndarray, gid, pos, G: int, L: int, fill: float = 0.0) -> np.ndarray:
-    out = np.full((G, L) + values.shape[1:], fill)
-    out[gid, pos] = values
-    return out
-
-
-# ------------------------------------------------------------------- pass 1
-def _transfer_batch(E: np.ndarray, lengths: np.ndarray, A: np.ndarray, pi: np.ndarray):
-    """Block summaries for G blocks at once from padded emission logs
-    E (G, L, k): log M (G,k,k) over paths from the state before the block to
-    the state at its last step; log v (G,k) started from the initial
-    distribution (used when the block opens its sequence); and the
-    max-product versions for Viterbi.  Sum-product runs in scaled linear
-    space, max-product in log space."""
-    G, L, k = E.shape
-    logA, logpi = _safe_log(A), _safe_log(pi)
-    E0 = E[:, 0, :]
-    m0 = E0.max(axis=1)
-    w = np.exp(E0 - m0[:, None])
-    P = A[None, :, :] * w[:, None, :]
-    v = pi[None, :] * w
-    sP, sv = m0.copy(), m0.copy()
-    Lm = logA[None, :, :] + E0[:, None, :]
-    vm = logpi[None, :] + E0
-    for t in range(1, L):
-        act = lengths > t
-        if not act.any():
-            break
-        Et = E[act, t, :]
-        mt = Et.max(axis=1)
-        w = np.exp(Et - mt[:, None])
-        Pa = np.einsum("gij,jk->gik", P[act], A) * w[:, None, :]
-        va = (v[act] @ A) * w
-        cP = Pa.max(axis=(1, 2))
-        cv = va.max(axis=1)
-        cP = np.where(cP > 0, cP, 1.0)
-        cv = np.where(cv > 0, cv, 1.0)
-        P[act] = Pa / cP[:, None, None]
-        v[act] = va / cv[:, None]
-        sP[act] += mt + np.log(cP)
-        sv[act] += mt + np.log(cv)
-        Lm[act] = np.max(Lm[act][:, :, :, None] + logA[None, None, :, :], axis=2) + Et[:, None, :]
-        vm[act] = np.max(vm[act][:, :, None] + logA[None, :, :], axis=1) + Et
-    return _safe_log(P) + sP[:, None, None], _safe_log(v) + sv[:, None], Lm, vm
-
-
-def _pass1(params, seq_cols, order_cols, features):
-    if isinstance(params, ModelSet):
-        return _per_model(params, lambda p: _pass1(p, seq_cols, order_cols, features), add_keys=False)
-    A, pi, means, var = params.A, params.pi, params.means, params.vars
-    keys = [*seq_cols, "_block"]
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        starts, lengths, gid, pos = _segments(pdf, keys)
-        G, L = len(starts), int(lengths.max())
-        E = _pad(_emission_log(pdf[features].to_numpy(dtype=float), means, var), gid, pos, G, L)
-        M, v, Mm, vm = _transfer_batch(E, lengths, A, pi)
-        out = {c: pdf[c].to_numpy()[starts] for c in seq_cols}
-        out.update({"block": pdf["_block"].to_numpy()[starts], "_t_n": lengths.astype(np.int64),
-                    "_t_sum": list(M.reshape(G, -1)), "_t_start": list(v), "_t_max": list(Mm.reshape(G, -1)),
-                    "_t_maxstart": list(vm)})
-        return pd.DataFrame(out)
-    return fn
-
-
-# ------------------------------------------------------------------- pass 2
-def _pass2(k: int, seq_cols):
-    """Ordered fold over block summaries, for all sequences of a batch in
-    lockstep (the loop runs over block positions, not over sequences)."""
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        starts, lengths, gid, pos = _segments(pdf, list(seq_cols))
-        G, B = len(starts), int(lengths.max())
-        M = _pad(np.stack(pdf["_t_sum"].to_numpy()).astype(float).reshape(-1, k, k), gid, pos, G, B)
-        Mm = _pad(np.stack(pdf["_t_max"].to_numpy()).astype(float).reshape(-1, k, k), gid, pos, G, B)
-        v0 = np.stack(pdf["_t_start"].to_numpy()[starts]).astype(float)
-        vm0 = np.stack(pdf["_t_maxstart"].to_numpy()[starts]).astype(float)
-        # forward: carry-in vector of every block and the sequence log-likelihood
-        carry_in = np.zeros((G, B, k))
-        ll = _lse(v0, axis=1)
-        prev = v0 - ll[:, None]
+def _through(v, scale, P, p_scale):
+    """Rows ``v`` (normalised, log sums ``scale``) carried through a transfer."""
+    k = P.shape[1]
+    top = p_scale[:k].max()
+    top = top if np.isfinite(top) else 0.0
+    out = v @ (np.exp(p_scale[:k] - top)[:, None] * P[:k])
+    total = out.sum(axis=1)
+    return out / np.where(total > 0, total, 1.0)[:, None], scale + _safe_log(total) + top
+
+
+def _before(P, p_scale, after):
+    """The normalised backward vector before a transfer."""
+    k = P.shape[1]
+    top = p_scale[:k].max()
+    out = np.exp(p_scale[:k] - (top if np.isfinite(top) else 0.0)) * (P[:k] @ after)
+    return out / out.sum()
+
+
+# -------------------------------------------------------------------- pass 1
+def _piece_rows(c: _Chunk, best: bool):
+    for which, a, b in c.border_pieces():
+        chain = _Chain(c, a, b, first=which == 1)
+        if best:
+            M = chain.best_transfers()
+            rows = M[0]
+            for s in range(1, chain.S):
+                rows = np.max(rows[:, :, None] + M[s][None, :c.k], axis=1)
+            yield which, a, rows, np.zeros(c.k + 1)
+        else:
+            P, scale = chain.transfers()
+            rows, sums = P[0], scale[0]
+            for s in range(1, chain.S):
+                rows, sums = _through(rows, sums, P[s], scale[s])
+            yield which, a, rows, sums
+
+
+# -------------------------------------------------------------------- pass 2
+def _fold_pieces(pieces: pa.Table, k: int, best: bool) -> dict:
+    """What enters each piece of one sequence, pieces in order."""
+    B = pieces.num_rows
+    R, scale = _stack(pieces["rows"], (k + 1, k)), _stack(pieces["sums"], (k + 1,))
+    carry, after = np.full((B, k), 1.0 / k), np.full((B, k), 1.0 / k)
+    entry, end = np.full(B, -1, np.int64), np.zeros(B, np.int64)
+    if best:
+        delta, came = R[0, k], np.zeros((B, k), np.int64)
         for b in range(1, B):
-            act = lengths > b
-            carry_in[act, b] = prev[act]
-            vec = _lse(prev[act][:, :, None] + M[act, b], axis=1)
-            norm = _lse(vec, axis=1)
-            ll[act] += norm
-            prev[act] = vec - norm[:, None]
-        # backward: beta at the last step of each block (0 = log 1 for the last)
-        beta_out = np.zeros((G, B, k))
+            cand = delta[:, None] + R[b, :k]
+            came[b] = np.argmax(cand, axis=0)
+            delta = cand.max(axis=0)
+        end[-1] = np.argmax(delta)
         for b in range(B - 1, 0, -1):
-            act = lengths > b
-            nb = _lse(M[act, b] + beta_out[act, b][:, None, :], axis=2)
-            beta_out[act, b - 1] = nb - nb.max(axis=1, keepdims=True)
-        # Viterbi over blocks: best entry state per block, then backtrack
-        delta = vm0.copy()
-        best_in = np.zeros((G, B, k), dtype=np.int64)
+            entry[b] = end[b - 1] = came[b, end[b]]
+    else:
+        v = R[0, k][None]
         for b in range(1, B):
-            act = lengths > b
-            cand = delta[act][:, :, None] + Mm[act, b]
-            bi = np.argmax(cand, axis=1)
-            best_in[act, b] = bi
-            delta[act] = np.take_along_axis(cand, bi[:, None, :], axis=1)[:, 0, :]
-        end_state = np.zeros((G, B), dtype=np.int64)
-        entry = np.full((G, B), -1, dtype=np.int64)
-        end_state[np.arange(G), lengths - 1] = np.argmax(delta, axis=1)
+            carry[b] = v[0]
+            v, _ = _through(v, np.zeros(1), R[b], scale[b])
         for b in range(B - 1, 0, -1):
-            act = np.flatnonzero(lengths > b)
-            entry[act, b] = best_in[act, b, end_state[act, b]]
-            end_state[act, b - 1] = entry[act, b]
-        out = {c: pdf[c].to_numpy() for c in seq_cols}
-        out.update(block=pdf["block"].to_numpy(), is_first=pos == 0,
-                   carry_in=list(carry_in[gid, pos]), beta_out=list(beta_out[gid, pos]),
-                   entry_state=entry[gid, pos], end_state=end_state[gid, pos], seq_loglik=ll[gid])
-        return pd.DataFrame(out)
-    return fn
-
-
-# ------------------------------------------------------------------- pass 3
-def _start_vectors(A, pi, is_first, carry_in):
-    """Predicted state distribution for each block's first step."""
-    prev = np.exp(carry_in - carry_in.max(axis=1, keepdims=True))
-    prev = prev / prev.sum(axis=1, keepdims=True)
-    return np.where(is_first[:, None], pi[None, :], prev @ A), prev
-
-
-def _forward_batch(E, lengths, A, pi, is_first, carry_in):
-    G, L, k = E.shape
-    a, _ = _start_vectors(A, pi, is_first, carry_in)
-    probs = np.zeros((G, L, k))
-    lognorm = np.zeros((G, L))
-    for t in range(L):
-        act = lengths > t
-        Et = E[act, t, :]
-        mt = Et.max(axis=1)
-        at = (a[act] if t == 0 else a[act] @ A) * np.exp(Et - mt[:, None])
-        ssum = at.sum(axis=1)
-        with np.errstate(divide="ignore"):
-            lognorm[act, t] = np.log(ssum) + mt
-        at = at / ssum[:, None]
-        a[act] = at
-        probs[act, t] = at
-    return probs, lognorm
-
-
-def _viterbi_batch(E, lengths, A, pi, is_first, entry, end):
-    G, L, k = E.shape
-    logA, logpi = _safe_log(A), _safe_log(pi)
-    start = np.where(is_first[:, None], logpi[None, :], logA[np.maximum(entry, 0)])
-    d = start + E[:, 0, :]
-    bp = np.zeros((G, L, k), dtype=np.int64)
-    for t in range(1, L):
-        act = lengths > t
-        cand = d[act][:, :, None] + logA[None, :, :]
-        b = np.argmax(cand, axis=1)              # first maximum: lowest state on ties
-        bp[act, t] = b
-        d[act] = np.take_along_axis(cand, b[:, None, :], axis=1)[:, 0, :] + E[act, t, :]
-    states = np.zeros((G, L), dtype=np.int64)
-    states[np.arange(G), lengths - 1] = end
-    for t in range(L - 1, 0, -1):
-        act = np.flatnonzero(lengths > t)
-        states[act, t - 1] = bp[act, t, states[act, t]]
-    return states
-
-
-def _stats_batch(E, X, lengths, A, pi, is_first, carry_in, beta_out):
-    G, L, k = E.shape
-    W = np.exp(E - E.max(axis=2, keepdims=True))
-    start, prev = _start_vectors(A, pi, is_first, carry_in)
-    valid = np.arange(L)[None, :] < lengths[:, None]
-    alpha = np.zeros((G, L, k))
-    a = start * W[:, 0, :]
-    alpha[:, 0] = a / a.sum(axis=1, keepdims=True)
-    for t in range(1, L):
-        act = lengths > t
-        a = (alpha[act, t - 1] @ A) * W[act, t]
-        alpha[act, t] = a / a.sum(axis=1, keepdims=True)
-    beta = np.zeros((G, L, k))
-    bo = np.exp(beta_out - beta_out.max(axis=1, keepdims=True))
-    bo = bo / bo.sum(axis=1, keepdims=True)
-    for t in range(L - 1, -1, -1):
-        last = lengths - 1 == t
-        beta[last, t] = bo[last]
-        inner = lengths - 1 > t
-        if inner.any():
-            b = (W[inner, t + 1] * beta[inner, t + 1]) @ A.T
-            beta[inner, t] = b / b.sum(axis=1, keepdims=True)
-    g = alpha * beta
-    gs = g.sum(axis=2, keepdims=True)
-    g = np.where(valid[:, :, None], g / np.where(gs > 0, gs, 1.0), 0.0)
-    s0 = g.sum(axis=(0, 1))
-    s1 = np.einsum("gtk,gtd->kd", g, X)
-    s2 = np.einsum("gtk,gtd->kd", g, X * X)
-    xi = np.zeros((k, k))
-    if L > 1:
-        x = alpha[:, :-1, :, None] * A[None, None] * (W[:, 1:] * beta[:, 1:])[:, :, None, :]
-        xs = x.sum(axis=(2, 3), keepdims=True)
-        x = x / np.where(xs > 0, xs, 1.0)
-        xi += (x * valid[:, 1:, None, None]).sum(axis=(0, 1))
-    nf = ~is_first
-    if nf.any():
-        x = prev[nf][:, :, None] * A[None] * (W[nf, 0] * beta[nf, 0])[:, None, :]
-        xi += (x / x.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-    first = g[is_first, 0].sum(axis=0) if is_first.any() else np.zeros(k)
-    return s0, s1, s2, xi, first
-
-
-def _pass3(params, mode: str, seq_cols, order_cols, features):
-    if isinstance(params, ModelSet):
-        return _per_model(params, lambda p: _pass3(p, mode, seq_cols, order_cols, features),
-                          add_keys=(mode == "stats"))
-    A, pi, means, var = params.A, params.pi, params.means, params.vars
-    k = params.k
-    keys = [*seq_cols, "_block"]
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        head = pdf[pdf["_kind"] == 0]
-        rows = pdf[pdf["_kind"] == 1].reset_index(drop=True)
-        if not len(rows):
-            return _empty(mode, seq_cols, order_cols, k)
-        starts, lengths, gid, pos = _segments(rows, keys)
-        hs, hl, _, _ = _segments(head.reset_index(drop=True), keys)
-        if len(hs) != len(starts):
-            raise ValueError("carry rows do not match data blocks")
-        G, L = len(starts), int(lengths.max())
-        Xr = rows[features].to_numpy(dtype=float)
-        E = _pad(_emission_log(Xr, means, var), gid, pos, G, L)
-        is_first = head["is_first"].to_numpy(dtype=bool)
-        cin = np.stack(head["carry_in"].to_numpy()).astype(float)
-        if mode == "forward":
-            probs, lognorm = _forward_batch(E, lengths, A, pi, is_first, cin)
-            out = rows[seq_cols + order_cols].copy()
-            out["probs"] = list(probs[gid, pos])
-            out["step_loglik"] = lognorm[gid, pos]
-            return out
-        if mode == "viterbi":
-            st = _viterbi_batch(E, lengths, A, pi, is_first, head["entry_state"].to_numpy(dtype=np.int64),
-                                head["end_state"].to_numpy(dtype=np.int64))
-            out = rows[seq_cols + order_cols].copy()
-            out["state"] = st[gid, pos].astype(np.int32)
-            return out
-        X = _pad(Xr, gid, pos, G, L)
-        bo = np.stack(head["beta_out"].to_numpy()).astype(float)
-        s0, s1, s2, xi, first = _stats_batch(E, X, lengths, A, pi, is_first, cin, bo)
-        recs = []
-        recs += [("s0", i, 0, float(s0[i])) for i in range(k)]
-        recs += [("s1", i, j, float(s1[i, j])) for i in range(k) for j in range(s1.shape[1])]
-        recs += [("s2", i, j, float(s2[i, j])) for i in range(k) for j in range(s2.shape[1])]
-        recs += [("xi", i, j, float(xi[i, j])) for i in range(k) for j in range(k)]
-        recs += [("pi", i, 0, float(first[i])) for i in range(k)]
-        recs.append(("ll", 0, 0, float(head["seq_loglik"].to_numpy(dtype=float)[is_first].sum())))
-        return pd.DataFrame(recs, columns=["kind", "i", "j", "value"])
-    return fn
-
-
-def _empty(mode, seq_cols, order_cols, k):
-    cols = {"forward": seq_cols + order_cols + ["probs", "step_loglik"],
-            "viterbi": seq_cols + order_cols + ["state"],
-            "stats": ["kind", "i", "j", "value"]}[mode]
-    return pd.DataFrame({c: [] for c in cols})
+            after[b - 1] = _before(R[b], scale[b], after[b])
+    return {"carry_in": list(carry), "beta_out": list(after), "entry_state": entry, "end_state": end,
+            "is_first": np.arange(B) == 0}
+
+
+CARRY_COLS = [T.StructField("which", T.IntegerType()), T.StructField("is_first", T.BooleanType()),
+              T.StructField("carry_in", T.ArrayType(T.DoubleType())), T.StructField("beta_out", T.ArrayType(T.DoubleType())),
+              T.StructField("entry_state", T.LongType()), T.StructField("end_state", T.LongType())]
+
+
+# -------------------------------------------------------------------- pass 3
+class _Entered:
+    """A chunk's chain with what enters it from both sides."""
+
+    def __init__(self, c: _Chunk, side: pa.Table):
+        found = {r["which"]: r for r in side.filter(pc.is_valid(side["which"])).to_pylist()}
+        left, right = found[0], found[max(found)]
+        self.c, self.first = c, left["is_first"]
+        self.chain = _Chain(c, 0, c.n, first=self.first)
+        self.carry_in, self.after = np.array(left["carry_in"]), np.array(right["beta_out"])
+        self.entry, self.end = left["entry_state"], right["end_state"]
+
+    def filtered(self):
+        P, scale = self.chain.transfers()
+        alpha, norm = self.chain.forward(self.chain.carried(P, scale, self.carry_in))
+        return P, scale, self.chain.flat(alpha), self.chain.flat(norm)
+
+    def best_states(self):
+        into = np.zeros(self.c.k)
+        if not self.first:
+            into[:] = -np.inf
+            into[self.entry] = 0.0
+        return self.chain.states(self.chain.best_transfers(), into, self.end)
+
+    def stats(self) -> np.ndarray:
+        """Per model of the chunk one row: s0, s1, s2, xi, pi, log-likelihood
+        (see ``_split_stats``)."""
+        c, k = self.c, self.c.k
+        P, scale, alpha, norm = self.filtered()
+        beta = self.chain.flat(self.chain.backward(P, scale, self.after))
+        W = self.chain.flat(self.chain.W)
+        reset = self.chain.flat(self.chain.reset)
+        g = alpha * beta
+        g /= g.sum(axis=1, keepdims=True)
+        prev = np.vstack([self.carry_in[None], alpha[:-1]])
+        xi = prev[:, :, None] * c.A[c.model] * (W * beta)[:, None, :]
+        xi[reset] = 0.0
+        total = xi.sum(axis=(1, 2), keepdims=True)
+        xi /= np.where(total > 0, total, 1.0)
+        each = [g, np.einsum("nk,nd->nkd", g, c.X).reshape(c.n, -1), np.einsum("nk,nd->nkd", g, c.X * c.X).reshape(c.n, -1),
+                xi.reshape(c.n, k * k), g * reset[:, None], norm[:, None]]
+        return np.hstack([np.add.reduceat(x, c.runs, axis=0) for x in each])
+
+
+def _split_stats(S: np.ndarray, k: int, d: int):
+    """(s0, s1, s2, xi, pi, log-likelihood) of rows of ``stats``."""
+    cuts = np.cumsum([k, k * d, k * d, k * k, k])
+    s0, s1, s2, xi, pi, ll = np.split(S, cuts, axis=1)
+    return s0, s1.reshape(-1, k, d), s2.reshape(-1, k, d), xi.reshape(-1, k, k), pi, ll[:, 0]
+
+
+def n_stats(k: int, d: int) -> int:
+    return k + 2 * k * d + k * k + k + 1
+
+
+# ------------------------------------------------------------- Spark passes
+def _fields(df: DataFrame, cols) -> list[T.StructField]:
+    return [df.schema[c] for c in cols]
 
 
-# --------------------------------------------------------------- public API
-def _schema_of(df: DataFrame, cols):
-    return [df.schema[c] for c in cols]
+def chunk_keys(seqs: DataFrame, model_cols: list[str]) -> DataFrame:
+    """(chunk, model key) of the chunked table: no shuffle, a chunk is in one
+    partition."""
+    return seqs.select(F.col(CHUNK_COL).alias(OF_COL), *[F.col(c).alias(c) for c in model_cols]).distinct()
 
 
-def _stream_groups(keys: list[str], batch_fn, empty_cols: list[str]):
-    """Task body: rows arrive sorted by ``keys`` (then order).  Each
-    Arrow batch is cut after its last complete group; the trailing group is
-    held back until the next batch shows whether it continues.  ``batch_fn``
-    gets whole groups only and handles many of them at once."""
-    def run(batches):
-        held = None
-        for pdf in batches:
-            if held is not None and len(held):
-                pdf = pd.concat([held, pdf], ignore_index=True)
-            if not len(pdf):
-                continue
-            last = {k: pdf[k].iloc[-1] for k in keys}
-            same = np.ones(len(pdf), dtype=bool)
-            for k in keys:
-                same &= _same(pdf[k], last[k])
-            cut = int(np.flatnonzero(same)[0]) if same.any() else len(pdf)
-            held = pdf.iloc[cut:].reset_index(drop=True)
-            if cut:
-                yield _apply(pdf.iloc[:cut].reset_index(drop=True))
-        if held is not None and len(held):
-            yield _apply(held)
-
-    def _apply(pdf):
-        out = batch_fn(pdf)
-        return out if out is not None else pd.DataFrame({c: [] for c in empty_cols})
-    return run
-
-
-def _grouped(df: DataFrame, keys: list[str], order: list[str], per_group, schema: T.StructType,
-             prepartitioned: bool = False) -> DataFrame:
-    """``prepartitioned``: ``df`` already holds whole groups per partition,
-    sorted by keys and order (a checkpoint written that way), so the
-    shuffle and sort are skipped."""
-    parts = df if prepartitioned else df.repartition(*keys).sortWithinPartitions(*keys, *order)
-    ship_package(df.sparkSession)
-    body = _stream_groups(keys, per_group, schema.fieldNames())
+def _chunk_params(keys: DataFrame, models: Models) -> DataFrame:
+    """The parameters that each chunk needs, a row per chunk and model."""
+    table = models.df.select(*models.model_cols, *PARAM_COLS)
+    if not models.model_cols:
+        return keys.crossJoin(F.broadcast(table))       # one row
+    same = F.lit(True)
+    for c in models.model_cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    table = table.select(*[F.col(c).alias(f"__{c}") for c in models.model_cols], *PARAM_COLS)
+    return keys.join(table, same).select(*keys.columns, *PARAM_COLS)
+
+
+def _by_chunk(seqs: DataFrame, side: DataFrame, fn: Callable, schema: T.StructType) -> DataFrame:
+    ship_package(seqs.sparkSession)
     out = to_arrow_schema(schema)
 
-    def run(batches):
-        for pdf in body(_to_pandas(b) for b in batches):
-            yield pa.RecordBatch.from_pandas(pdf[schema.fieldNames()], schema=out, preserve_index=False)
-    return parts.mapInArrow(run, schema)
-
-
-_EXACT = {pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype()}
-
-
-def _to_pandas(batch: pa.RecordBatch) -> pd.DataFrame:
-    """Whole numbers stay whole numbers where a column has nulls (ids over
-    2**53 would change as floats)."""
-    kinds = {f.type for f, c in zip(batch.schema, batch.columns) if c.null_count and f.type in _EXACT}
-    return batch.to_pandas(types_mapper=lambda t: _EXACT[t] if t in kinds else None)
-
-
-def _carry(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features,
-           prepartitioned: bool = False) -> DataFrame:
-    k = params.k
-    bt = seqs.schema["_block"].dataType
-    summ_schema = T.StructType(_schema_of(seqs, seq_cols) + [
-        T.StructField("block", bt), T.StructField("_t_n", T.LongType()),
-        T.StructField("_t_sum", T.ArrayType(T.DoubleType())), T.StructField("_t_start", T.ArrayType(T.DoubleType())),
-        T.StructField("_t_max", T.ArrayType(T.DoubleType())), T.StructField("_t_maxstart", T.ArrayType(T.DoubleType()))])
-    summ = _grouped(seqs, [*seq_cols, "_block"], order_cols, _pass1(params, seq_cols, order_cols, features),
-                    summ_schema, prepartitioned=prepartitioned)
-    carry_schema = T.StructType(_schema_of(seqs, seq_cols) + [
-        T.StructField("block", bt), T.StructField("is_first", T.BooleanType()),
-        T.StructField("carry_in", T.ArrayType(T.DoubleType())),
-        T.StructField("beta_out", T.ArrayType(T.DoubleType())),
-        T.StructField("entry_state", T.LongType()), T.StructField("end_state", T.LongType()),
-        T.StructField("seq_loglik", T.DoubleType())])
-    carry = _grouped(summ, list(seq_cols), ["block"], _pass2(k, seq_cols), carry_schema)
-    return carry.withColumnRenamed("block", "_block")
-
-
-CARRY_COLS = ["is_first", "carry_in", "beta_out", "entry_state", "end_state", "seq_loglik"]
-
-
-def _run_pass3(seqs, carry, params, mode, seq_cols, order_cols, features, schema):
-    """Carry rows and data rows of a block meet in one shuffle: both are
-    unioned with a ``_kind`` tag (0 = carry, 1 = data) and the carry row
-    sorts first inside its (seq, block) group."""
-    data = seqs.select(*seq_cols, "_block", *order_cols, *features, F.lit(1).alias("_kind"),
-                       *[F.lit(None).cast(carry.schema[c].dataType).alias(c) for c in CARRY_COLS])
-    head = carry.select(*seq_cols, "_block",
-                        *[F.lit(None).cast(seqs.schema[c].dataType).alias(c) for c in order_cols + features],
-                        F.lit(0).alias("_kind"), *CARRY_COLS)
-    both = data.unionByName(head)
-    fn = _pass3(params, mode, seq_cols, order_cols, features)
-    return _grouped(both, [*seq_cols, "_block"], ["_kind", *order_cols], fn, schema)
+    def run(rows: pa.Table, with_it: pa.Table) -> pa.Table:
+        cols = fn(rows, with_it) if rows.num_rows else {f: [] for f in out.names}
+        return pa.table([pa.array(cols[f.name], f.type) if not isinstance(cols[f.name], (pa.Array, pa.ChunkedArray))
+                         else cols[f.name] for f in out], schema=out)
+    return seqs.groupBy(CHUNK_COL).cogroup(side.groupBy(OF_COL)).applyInArrow(run, schema)
+
+
+def _piece_carries(seqs: DataFrame, params: DataFrame, models: Models, seq_cols, best: bool) -> DataFrame:
+    """Passes 1 and 2: what enters the border pieces of each chunk."""
+    k, model_cols, features = models.k, models.model_cols, models.features
+    doubles = T.ArrayType(T.DoubleType())
+    schema = T.StructType([*_fields(seqs, seq_cols), T.StructField(CHUNK_COL, T.LongType()), T.StructField("which", T.IntegerType()),
+                           T.StructField("rows", doubles), T.StructField("sums", doubles)])
+
+    def pieces(rows, side):
+        c = _Chunk(rows, side, seq_cols, model_cols, features, k)
+        found = list(_piece_rows(c, best))
+        at = c.rows.take([a for _, a, _, _ in found])
+        return {**{s: at[s] for s in seq_cols}, CHUNK_COL: at[CHUNK_COL], "which": [w for w, *_ in found],
+                "rows": [r.ravel() for _, _, r, _ in found], "sums": [s for *_, s in found]}
+    summaries = _by_chunk(seqs, params, pieces, schema)
+    carry_schema = T.StructType([T.StructField(OF_COL, T.LongType()), *CARRY_COLS])
+    out = to_arrow_schema(carry_schema)
+
+    def fold(group: pa.Table) -> pa.Table:
+        group = group.sort_by([(CHUNK_COL, "ascending"), ("which", "ascending")])
+        cols = {OF_COL: group[CHUNK_COL], "which": group["which"], **_fold_pieces(group, k, best)}
+        return pa.table([cols[f.name] if isinstance(cols[f.name], pa.ChunkedArray) else pa.array(cols[f.name], f.type)
+                         for f in out], schema=out)
+    return summaries.groupBy(*seq_cols).applyInArrow(fold, carry_schema)
+
+
+def _run(seqs: DataFrame, params: "HMMParams | Models", seq_cols, fn, schema, best: bool = False,
+         keys: DataFrame | None = None) -> DataFrame:
+    """All three passes; ``fn`` turns an entered chunk into output columns."""
+    models = _models(seqs, params)
+    k, model_cols, features = models.k, models.model_cols, models.features
+    if list(seq_cols[:len(model_cols)]) != list(model_cols):
+        raise ValueError("seq_cols must start with the model columns")
+    per_chunk = _chunk_params(chunk_keys(seqs, model_cols) if keys is None else keys, models)
+    carries = _piece_carries(seqs, per_chunk, models, seq_cols, best)
+    side = per_chunk.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in CARRY_COLS]).unionByName(
+        carries.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in [*_fields(seqs, model_cols), *_PARAMS]]))
 
+    def chunk(rows, with_it):
+        return fn(_Entered(_Chunk(rows, with_it, seq_cols, model_cols, features, k), with_it))
+    return _by_chunk(seqs, side, chunk, schema)
 
-def prepare_sequences(df: DataFrame, seq_cols: list[str], order_cols: list[str], features: list[str],
-                      block: F.Column) -> DataFrame:
-    """Rows for the model passes.  A null or NaN feature is an error: fill
-    gaps first (``order.ffill_bfill``)."""
-    def known(c):
-        gap = F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
-        return F.when(gap, F.raise_error(F.lit(f"feature {c} has a gap; fill it before the model")).cast(df.schema[c].dataType)) \
-            .otherwise(F.col(c)).alias(c)
-    return df.select(*seq_cols, *order_cols, *[known(c) for c in features], block.alias("_block"))
+
+def _lists(x: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), pa.array(x.ravel()))
 
 
-def filtered_probabilities(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features) -> DataFrame:
+# --------------------------------------------------------------- public API
+def filtered_probabilities(seqs: DataFrame, params: "HMMParams | Models", seq_cols, order_cols, features=None) -> DataFrame:
     """HMM-3: p(state_t | x_1..t) per row, as columns p_0..p_{k-1}, and the
     per-step log normaliser (their sum per sequence is its log-likelihood)."""
-    carry = _carry(seqs, params, seq_cols, order_cols, features)
-    schema = T.StructType(_schema_of(seqs, seq_cols + order_cols) + [
-        T.StructField("probs", T.ArrayType(T.DoubleType())), T.StructField("step_loglik", T.DoubleType())])
-    out = _run_pass3(seqs, carry, params, "forward", seq_cols, order_cols, features, schema)
-    return out.select(*seq_cols, *order_cols,
-                      *[F.col("probs")[i].alias(f"p_{i}") for i in range(params.k)], "step_loglik")
+    cols = list(dict.fromkeys([*seq_cols, *order_cols]))
+    schema = T.StructType([*_fields(seqs, cols), T.StructField("probs", T.ArrayType(T.DoubleType())),
+                           T.StructField("step_loglik", T.DoubleType())])
 
+    def fn(e: _Entered):
+        _, _, alpha, norm = e.filtered()
+        return {**{c: e.c.rows[c] for c in cols}, "probs": _lists(alpha), "step_loglik": norm}
+    out = _run(seqs, params, seq_cols, fn, schema)
+    return out.select(*cols, *[F.col("probs")[i].alias(f"p_{i}") for i in range(params.k)], "step_loglik")
 
-def viterbi(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features) -> DataFrame:
+
+def viterbi(seqs: DataFrame, params: "HMMParams | Models", seq_cols, order_cols, features=None) -> DataFrame:
     """HMM-2: most likely state per row (ties -> lowest state)."""
-    carry = _carry(seqs, params, seq_cols, order_cols, features)
-    schema = T.StructType(_schema_of(seqs, seq_cols + order_cols) + [T.StructField("state", T.IntegerType())])
-    return _run_pass3(seqs, carry, params, "viterbi", seq_cols, order_cols, features, schema)
+    cols = list(dict.fromkeys([*seq_cols, *order_cols]))
+    schema = T.StructType([*_fields(seqs, cols), T.StructField("state", T.IntegerType())])
+    return _run(seqs, params, seq_cols, lambda e: {**{c: e.c.rows[c] for c in cols}, "state": e.best_states()}, schema, best=True)
+
 
+def sequence_loglik(seqs: DataFrame, params: "HMMParams | Models", seq_cols, order_cols=None, features=None) -> DataFrame:
+    """Log-likelihood and number of rows of each sequence."""
+    schema = T.StructType([*_fields(seqs, seq_cols), T.StructField("log_likelihood", T.DoubleType()), T.StructField("n", T.LongType())])
 
-def sequence_loglik(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features) -> DataFrame:
-    """Log-likelihood per sequence plus its row count (from pass 2 only)."""
-    carry = _carry(seqs, params, seq_cols, order_cols, features)
-    n = seqs.groupBy(*seq_cols).agg(F.count(F.lit(1)).alias("n"))
-    ll = carry.groupBy(*seq_cols).agg(F.first("seq_loglik").alias("log_likelihood"))
-    return ll.join(n, seq_cols)
+    def fn(e: _Entered):
+        starts = np.flatnonzero(e.c.start)
+        at = e.c.rows.take(starts)
+        return {**{s: at[s] for s in seq_cols}, "log_likelihood": np.add.reduceat(e.filtered()[3], starts),
+                "n": np.diff(np.append(starts, e.c.n))}
+    parts = _run(seqs, params, seq_cols, fn, schema)
+    return parts.groupBy(*seq_cols).agg(F.sum("log_likelihood").alias("log_likelihood"), F.sum("n").alias("n"))
 
 
-def model_metrics(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features) -> DataFrame:
+def model_metrics(seqs: DataFrame, params: HMMParams, seq_cols, order_cols=None, features=None) -> DataFrame:
     """HMM-4: total log-likelihood, AIC = -2L + 2p, BIC = -2L + ln(n) p with
     n the number of rows; one row."""
     p = params.n_params()
-    per = sequence_loglik(seqs, params, seq_cols, order_cols, features)
+    per = sequence_loglik(seqs, params, seq_cols)
     tot = per.agg(F.sum("log_likelihood").alias("log_likelihood"), F.sum("n").alias("n_samples"))
     L = F.col("log_likelihood")
     return tot.select(L.alias("log_likelihood"),
@@ -578,174 +627,139 @@ def model_metrics(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, feat
                       F.lit(params.d).alias("n_features"))
 
 
-def expected_stats(seqs: DataFrame, params: HMMParams, seq_cols, order_cols, features,
-                   prepartitioned: bool = False):
-    """E-step: summed sufficient statistics (driver gets k(k+2d+2) numbers)
-    and the total log-likelihood under ``params``."""
-    carry = _carry(seqs, params, seq_cols, order_cols, features, prepartitioned=prepartitioned)
-    schema = T.StructType([T.StructField("kind", T.StringType()), T.StructField("i", T.LongType()),
-                           T.StructField("j", T.LongType()), T.StructField("value", T.DoubleType())])
-    st = _run_pass3(seqs, carry, params, "stats", seq_cols, order_cols, features, schema)
-    sums = st.groupBy("kind", "i", "j").agg(F.sum("value").alias("value")).collect()
-    ll = sum(r["value"] for r in sums if r["kind"] == "ll")
-    k, d = params.k, params.d
-    S = {"s0": np.zeros(k), "s1": np.zeros((k, d)), "s2": np.zeros((k, d)),
-         "xi": np.zeros((k, k)), "pi": np.zeros(k)}
-    for r in sums:
-        if r["kind"] == "ll":
-            continue
-        if r["kind"] in ("s0", "pi"):
-            S[r["kind"]][r["i"]] += r["value"]
-        else:
-            S[r["kind"]][r["i"], r["j"]] += r["value"]
-    return S, float(ll if ll is not None else float("nan"))
-
-
-def m_step(S, params: HMMParams, var_floor: float = 1e-3) -> HMMParams:
-    k = params.k
-    s0 = np.maximum(S["s0"], 1e-12)
-    pi = S["pi"] / S["pi"].sum() if S["pi"].sum() > 0 else params.pi
-    rows = S["xi"].sum(axis=1, keepdims=True)
-    A = np.where(rows > 0, S["xi"] / np.where(rows > 0, rows, 1), params.A)
-    means = S["s1"] / s0[:, None]
-    var = np.maximum(S["s2"] / s0[:, None] - means ** 2, var_floor)
-    pi = np.maximum(pi, 1e-12)
-    A = np.maximum(A, 1e-12)
-    return HMMParams(pi / pi.sum(), A / A.sum(axis=1, keepdims=True), means, var, params.features,
-                     params.scaler_mean, params.scaler_std)
-
-
-def initial_params(seqs: DataFrame, k: int, features: list[str], stay: float = 0.9) -> HMMParams:
-    """Deterministic start: state s takes the ((s + 0.5) / k) quantile of
-    each (standardised) feature as its mean, unit variance, uniform start,
-    ``stay`` on the diagonal."""
-    probs = [(s + 0.5) / k for s in range(k)]
-    q = seqs.approxQuantile(features, probs, 1e-4)
-    means = np.array([[q[f][s] for f in range(len(features))] for s in range(k)], dtype=float)
-    A = np.full((k, k), (1 - stay) / (k - 1) if k > 1 else 1.0)
-    np.fill_diagonal(A, stay if k > 1 else 1.0)
-    return HMMParams(np.full(k, 1.0 / k), A, means, np.ones((k, len(features))), list(features))
-
-
-def fit(df: DataFrame, seq_cols: list[str], order_cols: list[str], features: list[str], block: F.Column,
-        k: int = 4, max_iter: int = 30, tol: float = 1e-6, scale: bool = True):
-    """HMM-1: EM fit of one pooled model over all sequences.
-
-    Features are standardised once (population std, 0 -> 1) and the scaler
-    is stored with the model.  The prepared sequence table is written to
-    the checkpoint folder so each iteration re-reads it instead of
-    recomputing its lineage.  Returns (params, log-likelihood history).
+# ------------------------------------------------------------------------ EM
+def expected_stats(seqs: DataFrame, params: "HMMParams | Models", seq_cols, keys: DataFrame | None = None) -> DataFrame:
+    """E-step: one row per model, its key and ``stats`` (array, see
+    ``_split_stats``), summed over its sequences."""
+    models = _models(seqs, params)
+    k, d, model_cols = models.k, len(models.features), models.model_cols
+    schema = T.StructType([*_fields(seqs, model_cols), T.StructField("stats", T.ArrayType(T.DoubleType()))])
+
+    def fn(e: _Entered):
+        at = e.c.rows.take(e.c.runs)
+        return {**{c: at[c] for c in model_cols}, "stats": _lists(e.stats())}
+    parts = _run(seqs, models, seq_cols, fn, schema, keys=keys)
+    sums = [F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(n_stats(k, d))]
+    each = parts.groupBy(*model_cols).agg(*sums)
+    return each.select(*model_cols, F.array(*[f"s{i}" for i in range(n_stats(k, d))]).alias("stats"))
+
+
+FIT_COLS = [T.StructField("log_likelihood", T.DoubleType()), T.StructField("history", T.ArrayType(T.DoubleType())),
+            T.StructField("iterations", T.IntegerType()), T.StructField("converged", T.BooleanType())]
+
+
+def m_step(models: Models, stats: DataFrame, tol: float = 1e-6, var_floor: float = 1e-3) -> Models:
+    """The next parameters of each model from its statistics, as rows.  A
+    model that has converged keeps its parameters; one converges when its
+    log-likelihood changed by at most ``tol`` of itself since the last step."""
+    k, d, keys = models.k, len(models.features), models.model_cols
+    named = stats.select(*[F.col(c).alias(f"__{c}") for c in keys], "stats")
+    if keys:
+        same = F.lit(True)
+        for c in keys:
+            same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+        both = models.df.join(named, same, "left")
+    else:
+        both = models.df.crossJoin(F.broadcast(named))      # one row each
+    schema = T.StructType([*_fields(models.df, keys), *_PARAMS, *FIT_COLS])
+    out = to_arrow_schema(schema)
+
+    def run(batches):
+        for b in batches:
+            rows = b.to_pylist()
+            for r in rows:
+                if r["converged"] or r["stats"] is None:
+                    r["converged"] = True
+                    continue
+                s0, s1, s2, xi, start, ll = (x[0] for x in _split_stats(np.array([r["stats"]]), k, d))
+                pi = np.maximum(start / start.sum() if start.sum() > 0 else np.array(r["pi"]), 1e-12)
+                total = xi.sum(axis=1, keepdims=True)
+                A = np.where(total > 0, xi / np.where(total > 0, total, 1.0), np.array(r["trans"]).reshape(k, k))
+                A = np.maximum(A, 1e-12)
+                weight = np.maximum(s0, 1e-12)[:, None]
+                means = s1 / weight
+                var = np.maximum(s2 / weight - means ** 2, var_floor)
+                before, now = r["log_likelihood"], float(ll)
+                r |= {"pi": (pi / pi.sum()).tolist(), "trans": (A / A.sum(axis=1, keepdims=True)).ravel().tolist(),
+                      "means": means.ravel().tolist(), "vars": var.ravel().tolist(), "log_likelihood": now,
+                      "history": [*(r["history"] or []), now], "iterations": r["iterations"] + 1,
+                      "converged": before is not None and abs(now - before) <= tol * max(1.0, abs(before))}
+            yield pa.RecordBatch.from_pylist([{f: r[f] for f in out.names} for r in rows], schema=out)
+    return Models(both.mapInArrow(run, schema), keys, k, models.features)
+
+
+def initial_models(seqs: DataFrame, k: int, features: list[str], model_cols: list[str] | None = None,
+                   scale: bool = True, stay: float = 0.9) -> Models:
+    """Deterministic start of each model from the rows of its key: state s
+    takes the ((s + 0.5) / k) quantile of each feature as its mean, unit
+    variance, uniform start, ``stay`` on the diagonal.  ``scale``: features are
+    standardised by the key's own mean and population deviation (0 -> 1)."""
+    keys = list(model_cols or [])
+    at = [(s + 0.5) / k for s in range(k)]
+    found = seqs.groupBy(*keys).agg(
+        *[F.percentile_approx(f, at, 10000).alias(f"_q_{i}") for i, f in enumerate(features)],
+        *[F.avg(f).alias(f"_m_{i}") for i, f in enumerate(features)],
+        *[F.stddev_pop(f).alias(f"_s_{i}") for i, f in enumerate(features)])
+    d, one = range(len(features)), F.lit(1.0)
+    mean = [F.col(f"_m_{i}") if scale else F.lit(0.0) for i in d]
+    std = [F.when(F.col(f"_s_{i}") > 0, F.col(f"_s_{i}")).otherwise(one) if scale else one for i in d]
+    moved = (1 - stay) / (k - 1) if k > 1 else 0.0
+    empty = F.lit(None).cast("array<double>")
+    df = found.where(F.col("_q_0").isNotNull()).select(
+        *keys, F.array(*[F.lit(1.0 / k)] * k).alias("pi"),
+        F.array(*[F.lit((stay if k > 1 else 1.0) if i == j else moved) for i in range(k) for j in range(k)]).alias("trans"),
+        F.array(*[(F.col(f"_q_{i}")[s] - mean[i]) / std[i] for s in range(k) for i in d]).alias("means"),
+        F.array(*[one] * (k * len(features))).alias("vars"),
+        (F.array(*mean) if scale else empty).alias("scale_mean"), (F.array(*std) if scale else empty).alias("scale_std"),
+        F.lit(None).cast("double").alias("log_likelihood"), empty.alias("history"), F.lit(0).alias("iterations"),
+        F.lit(False).alias("converged"))
+    return Models(df, keys, k, list(features))
+
+
+def fit_models(seqs: DataFrame, model_cols: list[str], seq_cols: list[str], features: list[str], k: int = 4,
+               max_iter: int = 200, tol: float = 1e-6, scale: bool = True) -> Models:
+    """HMM-1: EM fits of one model per key of ``model_cols`` (none: one for
+    all), every model in the same jobs, over a table of ``prepare_sequences``.
+
+    Each model starts, is scaled and converges by its own rows, so it equals
+    a fit of those alone.  The loop ends when every model has converged;
+    models that have not after ``max_iter`` steps say so in ``converged``.
+    The driver sees one count per step.
     """
-    from ..session import cut_lineage
-    from .aggs import scaler_stats
-    seqs = prepare_sequences(df, seq_cols, order_cols, features, block)
-    mean = std = None
-    if scale:
-        st = scaler_stats(seqs, features).first()
-        mean = np.array([st[f"{f}__mean"] for f in features], dtype=float)
-        std = np.array([st[f"{f}__std"] for f in features], dtype=float)
-        seqs = seqs.select(*seq_cols, *order_cols, "_block",
-                           *[((F.col(f) - F.lit(float(mean[i]))) / F.lit(float(std[i]))).alias(f)
-                             for i, f in enumerate(features)])
-    # written once, hash-partitioned by (sequence, block) and sorted: every
-    # E-step's first pass then streams it without a shuffle
-    seqs = cut_lineage(seqs.repartition(*seq_cols, "_block")
-                           .sortWithinPartitions(*seq_cols, "_block", *order_cols))
-    params = initial_params(seqs, k, features)
-    params.scaler_mean, params.scaler_std = mean, std
-    history = []
+    models = initial_models(seqs, k, features, model_cols, scale)
+    models.df = cut_lineage(models.df)
+    keys = cut_lineage_partitioned(chunk_keys(seqs, models.model_cols))
     for _ in range(max_iter):
-        S, ll = expected_stats(seqs, params, seq_cols, order_cols, features, prepartitioned=True)
-        history.append(ll)
-        params = m_step(S, params)
-        if len(history) > 1 and abs(history[-1] - history[-2]) <= tol * max(1.0, abs(history[-2])):
+        models = m_step(models, expected_stats(seqs, models, seq_cols, keys), tol)
+        models.df = cut_lineage(models.df)
+        if models.df.where(~F.col("converged")).isEmpty():
             break
-    return params, history
-
-
-def _sum_stats(rows, k: int, d: int):
-    S = {"s0": np.zeros(k), "s1": np.zeros((k, d)), "s2": np.zeros((k, d)),
-         "xi": np.zeros((k, k)), "pi": np.zeros(k)}
-    ll = 0.0
-    for r in rows:
-        if r["kind"] == "ll":
-            ll += r["value"]
-        elif r["kind"] in ("s0", "pi"):
-            S[r["kind"]][r["i"]] += r["value"]
-        else:
-            S[r["kind"]][r["i"], r["j"]] += r["value"]
-    return S, ll
-
-
-def expected_stats_by_model(seqs: DataFrame, params: ModelSet, seq_cols, order_cols, features,
-                            prepartitioned: bool = False):
-    """E-step for a model set: statistics summed per model key (the driver
-    gets k(k+2d+2)+1 numbers per model)."""
-    carry = _carry(seqs, params, seq_cols, order_cols, features, prepartitioned=prepartitioned)
-    schema = T.StructType([seqs.schema[c] for c in params.model_cols] + [
-        T.StructField("kind", T.StringType()), T.StructField("i", T.LongType()),
-        T.StructField("j", T.LongType()), T.StructField("value", T.DoubleType())])
-    st = _run_pass3(seqs, carry, params, "stats", seq_cols, order_cols, features, schema)
-    rows = st.groupBy(*params.model_cols, "kind", "i", "j").agg(F.sum("value").alias("value")).collect()
-    by_model: dict = {}
-    for r in rows:
-        by_model.setdefault(tuple(r[c] for c in params.model_cols), []).append(r)
-    return {key: _sum_stats(rs, params.k, params.d) for key, rs in by_model.items()}
-
-
-def initial_params_by_model(seqs: DataFrame, model_cols: list[str], k: int, features: list[str],
-                            stay: float = 0.9) -> ModelSet:
-    """Start values per model key: per-key quantiles of each feature (one
-    grouped aggregate; #models x k x d numbers to the driver)."""
-    probs = [(s + 0.5) / k for s in range(k)]
-    q = seqs.groupBy(*model_cols).agg(*[F.percentile_approx(f, probs, 10000).alias(f"_q_{i}")
-                                        for i, f in enumerate(features)]).collect()
-    A = np.full((k, k), (1 - stay) / (k - 1) if k > 1 else 1.0)
-    np.fill_diagonal(A, stay if k > 1 else 1.0)
-    models = {}
-    for r in q:
-        means = np.array([[r[f"_q_{i}"][s] for i in range(len(features))] for s in range(k)], dtype=float)
-        models[tuple(r[c] for c in model_cols)] = HMMParams(np.full(k, 1.0 / k), A.copy(), means,
-                                                            np.ones((k, len(features))), list(features))
-    return ModelSet(list(model_cols), models)
+    return models
+
+
+def fit(df: DataFrame, seq_cols: list[str], order_cols: list[str], features: list[str], k: int = 4,
+        max_iter: int = 200, tol: float = 1e-6, scale: bool = True, chunk_rows: int = CHUNK):
+    """HMM-1, one pooled model over all sequences: (params, log-likelihood
+    before each step); ``params.converged`` tells whether EM did."""
+    seqs = prepare_sequences(df, seq_cols, order_cols, features, chunk_rows)
+    found = fit_models(seqs, [], seq_cols, features, k, max_iter, tol, scale)
+    return found.one(), list(found.df.first()["history"])
 
 
 def fit_by_model(df: DataFrame, model_cols: list[str], seq_cols: list[str], order_cols: list[str],
-                 features: list[str], block: F.Column, k: int = 4, max_iter: int = 30, tol: float = 1e-6):
-    """HMM-1, one model per model key, all keys in the same jobs: each EM
-    iteration is one E-step over every sequence (statistics grouped by
-    model key) and a per-key M-step on the driver.  ``seq_cols`` must start
-    with ``model_cols``.  Features are standardised with pooled statistics
-    (stored with every model).  Returns (ModelSet, total log-likelihood
-    history)."""
-    from ..session import cut_lineage
-    from .aggs import scaler_stats
+                 features: list[str], k: int = 4, max_iter: int = 200, tol: float = 1e-6,
+                 chunk_rows: int = CHUNK) -> Models:
+    """HMM-1, one model per model key (see ``fit_models``).  ``seq_cols`` must
+    start with ``model_cols``."""
     if list(seq_cols[:len(model_cols)]) != list(model_cols):
         raise ValueError("seq_cols must start with model_cols")
-    seqs = prepare_sequences(df, seq_cols, order_cols, features, block)
-    st = scaler_stats(seqs, features).first()
-    mean = np.array([st[f"{f}__mean"] for f in features], dtype=float)
-    std = np.array([st[f"{f}__std"] for f in features], dtype=float)
-    seqs = seqs.select(*seq_cols, *order_cols, "_block",
-                       *[((F.col(f) - F.lit(float(mean[i]))) / F.lit(float(std[i]))).alias(f)
-                         for i, f in enumerate(features)])
-    seqs = cut_lineage(seqs.repartition(*seq_cols, "_block")
-                           .sortWithinPartitions(*seq_cols, "_block", *order_cols))
-    params = initial_params_by_model(seqs, model_cols, k, features)
-    for p in params.models.values():
-        p.scaler_mean, p.scaler_std = mean, std
-    history = []
-    for _ in range(max_iter):
-        stats = expected_stats_by_model(seqs, params, seq_cols, order_cols, features, prepartitioned=True)
-        history.append(sum(ll for _, ll in stats.values()))
-        params = ModelSet(params.model_cols,
-                          {key: (m_step(stats[key][0], p) if key in stats else p) for key, p in params.models.items()})
-        if len(history) > 1 and abs(history[-1] - history[-2]) <= tol * max(1.0, abs(history[-2])):
-            break
-    return params, history
+    seqs = prepare_sequences(df, seq_cols, order_cols, features, chunk_rows)
+    return fit_models(seqs, model_cols, seq_cols, features, k, max_iter, tol)
 
 
 def scale_features(df: DataFrame, params: HMMParams, features: list[str]) -> DataFrame:
+    """``df`` with the features as the model sees them (the passes scale by
+    themselves)."""
     if params.scaler_mean is None:
         return df
     return df.select(*[c for c in df.columns if c not in features],
@@ -753,7 +767,7 @@ def scale_features(df: DataFrame, params: HMMParams, features: list[str]) -> Dat
                        .alias(f) for i, f in enumerate(features)])
 
 
-# ------------------------------------------------------------ model tables
+# -------------------------------------------------------- tables of results
 def stationary(A: np.ndarray, iters: int = 10_000, tol: float = 1e-13) -> np.ndarray:
     """HMM-7 for one k x k matrix (driver-side helper for a fitted model):
     power iteration on the lazy chain (I + A) / 2."""

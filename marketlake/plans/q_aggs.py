@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..operators import aggs as AG
 from ..operators import features as FE
+from ..operators import hmm as H
 from ..operators import order as OR
 from .q_joins import DAILY_SQL, EVENT_TYPES
 from .registry import query
@@ -90,17 +94,47 @@ def pct_panel(spark, d):
     return FE.prepare_features(daily_series(spark, d), EVENT_TYPES, "pct_change")
 
 
-def _regime_of_mean(cols):
-    m = sum((F.col(c) for c in cols[1:]), F.col(cols[0])) / len(cols)
-    return F.when(m > 0.1, 0).when(m < -0.1, 2).otherwise(1)
+# Fixed three-state model of the daily changes (Expansion, Peak, Contraction).
+REGIME_PI = [0.4, 0.4, 0.2]
+REGIME_A = [[0.6, 0.3, 0.1], [0.25, 0.5, 0.25], [0.1, 0.3, 0.6]]
+REGIME_MEAN, REGIME_VAR = [0.2, 0.0, -0.2], [0.09, 0.04, 0.09]
+
+
+def regime_model() -> H.HMMParams:
+    wide = np.ones((1, len(EVENT_TYPES)))
+    return H.HMMParams(np.array(REGIME_PI), np.array(REGIME_A), np.array(REGIME_MEAN)[:, None] * wide,
+                       np.array(REGIME_VAR)[:, None] * wide, EVENT_TYPES)
+
+
+def _viterbi_sql(names: list[str], source: str) -> str:
+    """CTEs up to ``lab``: the rows of ``source`` (one sequence by date) with
+    the model's most likely state as ``regime_idx``."""
+    k = range(len(REGIME_PI))
+    log = lambda p: repr(math.log(p))
+    emission = [" + ".join(f"(-0.5 * (ln(2 * pi() * {REGIME_VAR[s]}) + (x - {REGIME_MEAN[s]!r}) * (x - {REGIME_MEAN[s]!r}) / {REGIME_VAR[s]}))"
+                           .replace("x ", f'"{c}" ') for c in names) for s in k]
+    best = [f"greatest({', '.join(f'v.d{i} + {log(REGIME_A[i][j])}' for i in k)})" for j in k]
+    came = ["CASE " + " ".join(f"WHEN v.d{i} + {log(REGIME_A[i][j])} = {best[j]} THEN {i}" for i in k) + " END" for j in k]
+    last = "CASE " + " ".join(f"WHEN v.d{i} = greatest({', '.join(f'v.d{x}' for x in k)}) THEN {i}" for i in k) + " END"
+    return f"""
+em AS (SELECT *, row_number() OVER (ORDER BY date) AS t, {', '.join(f'{emission[s]} AS e{s}' for s in k)} FROM {source}),
+vit AS (
+  SELECT t, {', '.join(f'{log(REGIME_PI[s])} + e{s} AS d{s}' for s in k)}, {', '.join(f'CAST(NULL AS INTEGER) AS b{s}' for s in k)}
+  FROM em WHERE t = 1
+  UNION ALL
+  SELECT n.t, {', '.join(f'{best[s]} + n.e{s}' for s in k)}, {', '.join(came)}
+  FROM vit v JOIN em n ON n.t = v.t + 1
+),
+bt AS (
+  SELECT v.t, {last} AS state, {', '.join(f'v.b{s}' for s in k)} FROM vit v WHERE v.t = (SELECT max(t) FROM vit)
+  UNION ALL
+  SELECT v.t, CASE b.state {' '.join(f'WHEN {s} THEN b.b{s}' for s in k)} END, {', '.join(f'v.b{s}' for s in k)}
+  FROM bt b JOIN vit v ON v.t = b.t - 1
+),
+lab AS (SELECT em.*, bt.state AS regime_idx FROM em JOIN bt USING (t))"""
 
 
-@query(sql="WITH " + PCT_PANEL_SQL + """,
-lab AS (
-  SELECT *, CASE WHEN (click + error + purchase + signup + "view") / 5 > 0.1 THEN 0
-                 WHEN (click + error + purchase + signup + "view") / 5 < -0.1 THEN 2 ELSE 1 END AS regime_idx
-  FROM complete
-),
+@query(sql="WITH RECURSIVE " + PCT_PANEL_SQL.strip() + "," + _viterbi_sql(["click", "error", "purchase", "signup", "view"], "complete") + """,
 long AS (
   SELECT regime_idx, 'click' AS feature, click AS x FROM lab UNION ALL
   SELECT regime_idx, 'error', error FROM lab UNION ALL
@@ -113,12 +147,13 @@ SELECT CASE regime_idx WHEN 0 THEN 'Expansion' WHEN 1 THEN 'Peak' ELSE 'Contract
        round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std, round(min(x), 6) AS min, round(max(x), 6) AS max
 FROM long GROUP BY regime_idx, feature""")
 def q_regime_stats(spark, d):
-    """Flagship (HMM-9/AGG-5/AGG-6/FEAT-1/JOIN-1): daily series aligned by
-    type -> padded percent change -> regime per date from the mean change
-    (3 regimes) -> per regime and feature: n, mean, population std, min,
-    max."""
-    panel = pct_panel(spark, d)
-    lab = panel.withColumn("regime_idx", _regime_of_mean(EVENT_TYPES))
+    """Flagship (HMM-2/HMM-9/AGG-5/AGG-6/FEAT-1/JOIN-1): daily series aligned
+    by type -> padded percent change -> most likely regime of each date under
+    a three-state model -> per regime and feature: n, mean, population std,
+    min, max."""
+    panel = pct_panel(spark, d).withColumn("panel", F.lit("events"))
+    seqs = H.prepare_sequences(panel, ["panel"], ["date"], EVENT_TYPES)
+    lab = H.viterbi(seqs, regime_model(), ["panel"], ["date", *EVENT_TYPES]).withColumnRenamed("state", "regime_idx")
     return AG.regime_characteristics(lab, "regime_idx", EVENT_TYPES, k=3, decimals=6)
 
 

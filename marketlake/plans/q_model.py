@@ -1,9 +1,9 @@
 """Registered queries: hidden-Markov regime operators (HMM-*).
 
 Sequences are the events of each user ordered by (ts, event_id); the
-observation is ``value``; blocks are calendar days.  Fixed parameters make
-the forward pass, Viterbi path and metrics checkable against a recursive
-SQL twin; ``q_hmm_fit`` runs EM and has no SQL twin.
+observation is ``value``.  Fixed parameters make the forward pass, Viterbi
+path, metrics and one EM step checkable against a recursive SQL twin; the fits
+run EM steps until they converge and have none.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
+from ..functions.scalars import regime_name
 from ..operators import hmm as H
 from .registry import query
 from .tables import read
@@ -22,6 +23,8 @@ PI = [0.6, 0.4]
 A = [[0.9, 0.1], [0.2, 0.8]]
 MEANS = [[10.0], [30.0]]
 VARS = [[25.0], [100.0]]
+# The fits end when the log-likelihood changes by no more than this share.
+EM_TOL = 1e-3
 
 
 def fixed_params() -> H.HMMParams:
@@ -30,7 +33,7 @@ def fixed_params() -> H.HMMParams:
 
 def user_sequences(spark, d):
     ev = read(spark, d, "events")
-    return H.prepare_sequences(ev, ["user_id"], ["ts", "event_id"], ["value"], F.to_date("ts"))
+    return H.prepare_sequences(ev, ["user_id"], ["ts", "event_id"], ["value"])
 
 
 def _lse2(a: str, b: str) -> str:
@@ -233,34 +236,83 @@ def q_stationary(spark, d):
     return st.select("user_id", F.round("pi_0", 6).alias("pi_0"), F.round("pi_1", 6).alias("pi_1"))
 
 
+# the backward vectors, normalised, from the last row of each sequence on
+EM_SQL = FORWARD_SQL + f""",
+n AS (SELECT user_id, max(t) AS tt FROM seq GROUP BY user_id),
+bw AS (
+  SELECT user_id, tt AS t, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1 FROM n
+  UNION ALL
+  SELECT user_id, t, l0 - {_lse2('l0', 'l1')}, l1 - {_lse2('l0', 'l1')}
+  FROM (
+    SELECT b.user_id, b.t - 1 AS t,
+           {_lse2(_L['a00'] + ' + e.e0 + b.b0', _L['a01'] + ' + e.e1 + b.b1')} AS l0,
+           {_lse2(_L['a10'] + ' + e.e0 + b.b0', _L['a11'] + ' + e.e1 + b.b1')} AS l1
+    FROM bw b JOIN em e ON e.user_id = b.user_id AND e.t = b.t WHERE b.t > 1) s
+),
+g AS (
+  SELECT f.user_id, f.t, em.x, exp(f.a0 + b.b0) / (exp(f.a0 + b.b0) + exp(f.a1 + b.b1)) AS g0
+  FROM fw f JOIN bw b USING (user_id, t) JOIN em USING (user_id, t)
+),
+x AS (
+  SELECT {', '.join(f"exp(f.a{i} + {_L[f'a{i}{j}']} + e.e{j} + b.b{j} - m) AS x{i}{j}" for i in (0, 1) for j in (0, 1))}
+  FROM fw f JOIN em e ON e.user_id = f.user_id AND e.t = f.t + 1 JOIN bw b ON b.user_id = e.user_id AND b.t = e.t,
+    LATERAL (SELECT greatest({', '.join(f"f.a{i} + {_L[f'a{i}{j}']} + e.e{j} + b.b{j}" for i in (0, 1) for j in (0, 1))}) AS m)
+),
+xi AS (SELECT {', '.join(f"sum(x{i}{j} / (x00 + x01 + x10 + x11)) AS n{i}{j}" for i in (0, 1) for j in (0, 1))} FROM x),
+ll AS (SELECT sum(fw.ll) AS ll FROM fw JOIN n ON fw.user_id = n.user_id AND fw.t = n.tt),
+s AS (
+  SELECT sum(g0) AS w0, sum(1 - g0) AS w1, sum(g0 * x) / sum(g0) AS m0, sum((1 - g0) * x) / sum(1 - g0) AS m1,
+         sum(g0 * x * x) / sum(g0) AS q0, sum((1 - g0) * x * x) / sum(1 - g0) AS q1,
+         avg(g0) FILTER (WHERE t = 1) AS p0
+  FROM g
+)
+SELECT 0 AS state, round(p0, 6) AS pi, round(n00 / (n00 + n01), 6) AS to_0, round(n01 / (n00 + n01), 6) AS to_1,
+       round(m0, 5) AS mean, round(q0 - m0 * m0, 4) AS var, round(ll, 3) AS log_likelihood FROM s, xi, ll
+UNION ALL
+SELECT 1, round(1 - p0, 6), round(n10 / (n10 + n11), 6), round(n11 / (n10 + n11), 6), round(m1, 5), round(q1 - m1 * m1, 4),
+       round(ll, 3) FROM s, xi, ll"""
+
+
+@query(sql=EM_SQL)
+def q_em_step(spark, d):
+    """HMM-1: one EM step (E-step over all events, M-step) from the fixed
+    two-state model: the new parameters, a row per state."""
+    seqs = user_sequences(spark, d)
+    start = H.Models.of(spark, fixed_params())
+    null = F.lit(None)
+    start.df = start.df.select("*", null.cast("double").alias("log_likelihood"), null.cast("array<double>").alias("history"),
+                               F.lit(0).alias("iterations"), F.lit(False).alias("converged"))
+    found = H.m_step(start, H.expected_stats(seqs, start, ["user_id"])).df
+    each = found.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("state"))
+    return each.select("state", F.round(F.col("pi")[F.col("state")], 6).alias("pi"),
+                       *[F.round(F.col("trans")[F.col("state") * 2 + j], 6).alias(f"to_{j}") for j in (0, 1)],
+                       F.round(F.col("means")[F.col("state")], 5).alias("mean"),
+                       F.round(F.col("vars")[F.col("state")], 4).alias("var"),
+                       F.round("log_likelihood", 3).alias("log_likelihood"))
+
+
 @query
 def q_hmm_fit(spark, d):
     """HMM-1/HMM-9/AGG-5: EM fit of a pooled 3-state model on per-user
-    sequences, then Viterbi labels and the regime distribution."""
-    ev = read(spark, d, "events")
-    block = F.to_date("ts")
-    params, _ = H.fit(ev, ["user_id"], ["ts", "event_id"], ["value"], block, k=3, max_iter=8)
-    seqs = H.scale_features(H.prepare_sequences(ev, ["user_id"], ["ts", "event_id"], ["value"], block),
-                            params, ["value"])
-    states = H.viterbi(seqs, params, ["user_id"], ["ts", "event_id"], ["value"])
-    from ..functions.scalars import regime_name
+    sequences until it converges, then Viterbi labels and the regime
+    distribution."""
+    seqs = user_sequences(spark, d)
+    models = H.fit_models(seqs, [], ["user_id"], ["value"], k=3, tol=EM_TOL)
+    states = H.viterbi(seqs, models, ["user_id"], ["ts", "event_id"])
     return (states.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
-                  .select(regime_name(3, F.col("state")).alias("regime"), "state", "n"))
+                  .crossJoin(F.broadcast(models.df.select("iterations", "converged")))      # one row
+                  .select(regime_name(3, F.col("state")).alias("regime"), "state", "n", "iterations", "converged"))
 
 
 @query
 def q_hmm_fit_by_type(spark, d):
     """HMM-1 'one model per model key': a 2-state model per event type,
-    fitted in the same jobs over every (type, user) sequence, then Viterbi
-    labels per model and the state distribution per model."""
-    ev = read(spark, d, "events")
-    block = F.to_date("ts")
+    fitted in the same jobs over every (type, user) sequence until each has
+    converged, then Viterbi labels and the state distribution per model."""
     seq_cols = ["event_type", "user_id"]
-    ms, _ = H.fit_by_model(ev, ["event_type"], seq_cols, ["ts", "event_id"], ["value"], block, k=2, max_iter=5)
-    first = next(iter(ms.models.values()))
-    seqs = H.scale_features(H.prepare_sequences(ev, seq_cols, ["ts", "event_id"], ["value"], block),
-                            first, ["value"])
-    states = H.viterbi(seqs, ms, seq_cols, ["ts", "event_id"], ["value"])
-    from ..functions.scalars import regime_name
+    seqs = H.prepare_sequences(read(spark, d, "events"), seq_cols, ["ts", "event_id"], ["value"])
+    models = H.fit_models(seqs, ["event_type"], seq_cols, ["value"], k=2, tol=EM_TOL)
+    states = H.viterbi(seqs, models, seq_cols, ["ts", "event_id"])
     return (states.groupBy("event_type", "state").agg(F.count(F.lit(1)).alias("n"))
-                  .select("event_type", regime_name(2, F.col("state")).alias("regime"), "state", "n"))
+                  .join(models.df.select("event_type", "iterations", "converged"), "event_type")
+                  .select("event_type", regime_name(2, F.col("state")).alias("regime"), "state", "n", "iterations", "converged"))

@@ -90,5 +90,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_lineage_partitioned(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint that keeps the partitioning and order of ``df``, so
+    that later joins and groups on them need no shuffle.  Adaptive execution
+    would hide both, so it is off while this one table is written."""
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return cut_lineage(df.select("*"))      # planned anew under this setting
+    finally:
+        conf.set("spark.sql.adaptive.enabled", before)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

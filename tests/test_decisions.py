@@ -18,7 +18,7 @@ def test_d15_indicator_key_includes_database(spark):
 def test_d16_scaler_stored_with_model(spark):
     rows = [(u, t, float(t % 7 + 10 * u), t // 5) for u in range(2) for t in range(30)]
     df = spark.createDataFrame(rows, "u long, t long, x double, blk long")
-    params, _ = H.fit(df, ["u"], ["t"], ["x"], F.col("blk"), k=2, max_iter=2)
+    params, _ = H.fit(df, ["u"], ["t"], ["x"], k=2, max_iter=2)
     assert params.scaler_mean is not None and params.scaler_std is not None
     scaled = H.scale_features(df, params, ["x"]).agg(F.avg("x").alias("m")).first().m
     assert abs(scaled) < 1e-9

@@ -3,7 +3,6 @@
 import math
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,56 +37,120 @@ def dense_forward(x, p):
     return np.array(out), ll
 
 
-def test_forward_matches_dense_and_blocks_do_not_matter(spark):
+@pytest.mark.parametrize("chunk", [7, 50, 100_000])
+def test_forward_matches_dense_at_any_chunk_size(spark, chunk):
     df = seq_df(spark)
-    for block in (F.col("blk"), F.lit(0)):
-        seqs = H.prepare_sequences(df, ["u"], ["t"], ["x"], block)
-        got = H.filtered_probabilities(seqs, P, ["u"], ["t"], ["x"]).orderBy("u", "t").collect()
-        pdf = df.orderBy("u", "t").toPandas()
-        for u in range(3):
-            ref, _ = dense_forward(pdf[pdf.u == u].x.tolist(), P)
-            mine = np.array([[r.p_0, r.p_1] for r in got if r.u == u])
-            assert np.allclose(mine, ref, atol=1e-9)
-            assert np.allclose(mine.sum(axis=1), 1.0)
+    seqs = H.prepare_sequences(df, ["u"], ["t"], ["x"], chunk)
+    got = H.filtered_probabilities(seqs, P, ["u"], ["t"]).orderBy("u", "t").collect()
+    pdf = df.orderBy("u", "t").toPandas()
+    for u in range(3):
+        ref, _ = dense_forward(pdf[pdf.u == u].x.tolist(), P)
+        mine = np.array([[r.p_0, r.p_1] for r in got if r.u == u])
+        assert np.allclose(mine, ref, atol=1e-9)
+        assert np.allclose(mine.sum(axis=1), 1.0)
 
 
-def test_loglik_and_metrics(spark):
-    df = seq_df(spark)
-    seqs = H.prepare_sequences(df, ["u"], ["t"], ["x"], F.col("blk"))
-    m = H.model_metrics(seqs, P, ["u"], ["t"], ["x"]).first()
-    pdf = df.orderBy("u", "t").toPandas()
-    ref = sum(dense_forward(pdf[pdf.u == u].x.tolist(), P)[1] for u in range(3))
-    assert math.isclose(m.log_likelihood, ref, rel_tol=1e-9)
-    assert m.n_samples == 360 and math.isclose(m.aic, -2 * ref + 2 * P.n_params())
-    assert math.isclose(m.bic, -2 * ref + math.log(360) * P.n_params())
+def many_lengths(spark, seed=3):
+    """One sequence of several segments with most rows, and many short ones."""
+    rng = np.random.default_rng(seed)
+    rows = [(u, t, float(rng.normal(3.0 * (t // 9 % 2), 1.0)))
+            for u, n in [(0, 1500), *((u, 1 + u % 5) for u in range(1, 120))] for t in range(n)]
+    return spark.createDataFrame(rows, "u long, t long, x double")
 
 
-def _path_loglik(x, states, p):
+def test_hot_sequence_is_split_and_results_stay(spark):
+    df = many_lengths(spark)
+    one = H.prepare_sequences(df.coalesce(1), ["u"], ["t"], ["x"])
+    cut = H.prepare_sequences(df, ["u"], ["t"], ["x"], 400)
+    chunks = cut.where("u = 0").select(H.CHUNK_COL).distinct().count()
+    assert chunks >= 4 and cut.groupBy(H.CHUNK_COL).count().agg(F.max("count")).first()[0] <= 400
+    pdf = df.orderBy("u", "t").toPandas()
+    for seqs in (one, cut):
+        probs = H.filtered_probabilities(seqs, P, ["u"], ["t"]).orderBy("u", "t").toPandas()
+        states = H.viterbi(seqs, P, ["u"], ["t"]).orderBy("u", "t").toPandas()
+        ll = {r.u: r.log_likelihood for r in H.sequence_loglik(seqs, P, ["u"]).collect()}
+        for u in (0, 1, 57, 119):
+            x = pdf[pdf.u == u].x.tolist()
+            ref, total = dense_forward(x, P)
+            assert np.allclose(probs[probs.u == u][["p_0", "p_1"]].to_numpy(), ref, atol=1e-9)
+            assert math.isclose(ll[u], total, rel_tol=1e-9)
+            assert states[states.u == u].state.tolist() == dense_viterbi(x, P)
+
+
+def dense_viterbi(x, p):
     E = H._emission_log(np.array(x)[:, None], p.means, p.vars)
-    ll = math.log(p.pi[states[0]]) + E[0, states[0]]
+    d, back = np.log(p.pi) + E[0], []
     for t in range(1, len(x)):
-        ll += math.log(p.A[states[t - 1], states[t]]) + E[t, states[t]]
-    return ll
+        cand = d[:, None] + np.log(p.A)
+        back.append(cand.argmax(axis=0))
+        d = cand.max(axis=0) + E[t]
+    out = [int(d.argmax())]
+    for b in reversed(back):
+        out.append(int(b[out[-1]]))
+    return out[::-1]
+
+
+def dense_stats(x, p):
+    """s0, s1, s2, xi, pi of one sequence by plain forward-backward."""
+    E = np.exp(H._emission_log(np.array(x)[:, None], p.means, p.vars))
+    n, k = E.shape
+    a, b = np.zeros((n, k)), np.ones((n, k))
+    a[0] = p.pi * E[0]
+    a[0] /= a[0].sum()
+    for t in range(1, n):
+        a[t] = a[t - 1] @ p.A * E[t]
+        a[t] /= a[t].sum()
+    for t in range(n - 2, -1, -1):
+        b[t] = p.A @ (E[t + 1] * b[t + 1])
+        b[t] /= b[t].sum()
+    g = a * b
+    g /= g.sum(axis=1, keepdims=True)
+    xi = np.zeros((k, k))
+    for t in range(1, n):
+        x_t = a[t - 1][:, None] * p.A * (E[t] * b[t])[None]
+        xi += x_t / x_t.sum()
+    x = np.array(x)
+    return np.concatenate([g.sum(0), (g * x[:, None]).sum(0), (g * x[:, None] ** 2).sum(0), xi.ravel(), g[0]])
+
+
+def test_em_statistics_match_dense(spark):
+    df = many_lengths(spark)
+    pdf = df.orderBy("u", "t").toPandas()
+    want = sum(dense_stats(pdf[pdf.u == u].x.tolist(), P) for u in range(120))
+    for chunk in (37, 400, 100_000):
+        got = H.expected_stats(H.prepare_sequences(df, ["u"], ["t"], ["x"], chunk), P, ["u"]).first()["stats"]
+        assert np.allclose(got[:-1], want, rtol=1e-8)
+
+
+def test_em_moves_no_rows(spark):
+    """No exchange between the chunked table and the passes of a step."""
+    seqs = H.prepare_sequences(many_lengths(spark), ["u"], ["t"], ["x"], 400)
+    keys = H.cut_lineage_partitioned(H.chunk_keys(seqs, []))
+    plan = H.expected_stats(seqs, P, ["u"], keys)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    scans = [i for i, line in enumerate(lines) if "Scan ExistingRDD" in line and "u#" in line and H.AT_COL in line]
+    assert len(scans) == 2 and plan.count("FlatMapCoGroupsInArrow") == 2
+    for i in scans:     # up to the cogroup that reads it there is a projection at most
+        assert "FlatMapCoGroupsInArrow" in lines[i - 1] + lines[i - 2] and "Exchange" not in lines[i - 1]
 
 
-def test_viterbi_beats_constant_paths_and_is_block_invariant(spark):
+def test_loglik_and_metrics(spark):
     df = seq_df(spark)
-    res = {}
-    for name, block in (("blk", F.col("blk")), ("one", F.lit(0))):
-        seqs = H.prepare_sequences(df, ["u"], ["t"], ["x"], block)
-        res[name] = [r.state for r in H.viterbi(seqs, P, ["u"], ["t"], ["x"]).orderBy("u", "t").collect()]
-    assert res["blk"] == res["one"]
+    seqs = H.prepare_sequences(df, ["u"], ["t"], ["x"], 30)
+    m = H.model_metrics(seqs, P, ["u"], ["t"], ["x"]).first()
     pdf = df.orderBy("u", "t").toPandas()
-    for u in range(3):
-        x = pdf[pdf.u == u].x.tolist()
-        st = res["blk"][u * 120:(u + 1) * 120]
-        best = _path_loglik(x, st, P)
-        assert best >= _path_loglik(x, [0] * 120, P) and best >= _path_loglik(x, [1] * 120, P)
+    ref = sum(dense_forward(pdf[pdf.u == u].x.tolist(), P)[1] for u in range(3))
+    assert math.isclose(m.log_likelihood, ref, rel_tol=1e-9)
+    assert m.n_samples == 360 and math.isclose(m.aic, -2 * ref + 2 * P.n_params())
+    assert math.isclose(m.bic, -2 * ref + math.log(360) * P.n_params())
 
 
 def test_em_loglik_non_decreasing(spark):
     df = seq_df(spark, n=80)
-    params, hist = H.fit(df, ["u"], ["t"], ["x"], F.col("blk"), k=2, max_iter=6)
+    params, hist = H.fit(df, ["u"], ["t"], ["x"], k=2, max_iter=6, tol=0.0)
+    assert len(hist) == 6 and params.converged is False
+    done, more = H.fit(df, ["u"], ["t"], ["x"], k=2, max_iter=60, tol=1e-3)
+    assert done.converged is True and len(more) < 60
     assert all(b >= a - 1e-6 for a, b in zip(hist, hist[1:]))
     assert np.allclose(params.A.sum(axis=1), 1.0) and math.isclose(params.pi.sum(), 1.0)
     assert H.HMMParams.from_json(params.to_json()).k == 2
@@ -104,15 +167,27 @@ def test_stationary_and_tables(spark):
 
 
 def test_fit_by_model_equals_separate_fits(spark):
-    df = seq_df(spark, n=60, users=2).withColumn("m", F.when(F.col("u") == 0, "a").otherwise("b"))
-    ms, hist = H.fit_by_model(df, ["m"], ["m", "u"], ["t"], ["x"], F.col("blk"), k=2, max_iter=4)
-    assert set(ms.models) == {("a",), ("b",)}
-    assert all(b >= a - 1e-6 for a, b in zip(hist, hist[1:]))
-    # the per-key fit of model "a" equals a pooled fit on its rows alone when
-    # both use the same scaling and start values
-    states = H.viterbi(H.scale_features(H.prepare_sequences(df, ["m", "u"], ["t"], ["x"], F.col("blk")),
-                                        ms.models[("a",)], ["x"]), ms, ["m", "u"], ["t"], ["x"])
-    assert states.count() == 120
+    key = F.when(F.col("u") == 0, "a").when(F.col("u") == 1, F.lit(None)).otherwise("b")
+    df = seq_df(spark, n=60, users=4).withColumn("m", key)
+    found = H.fit_by_model(df, ["m"], ["m", "u"], ["t"], ["x"], k=2, max_iter=5, chunk_rows=50)
+    rows = {r["m"]: r for r in found.df.collect()}
+    assert set(rows) == {"a", "b", None}
+    for m, r in rows.items():
+        alone, hist = H.fit(df.where(F.col("m").eqNullSafe(F.lit(m))), ["u"], ["t"], ["x"], k=2, max_iter=5)
+        assert np.allclose(r["history"], hist[:r["iterations"]], rtol=1e-9)
+        for col, want in (("pi", alone.pi), ("trans", alone.A), ("means", alone.means), ("vars", alone.vars),
+                          ("scale_mean", alone.scaler_mean), ("scale_std", alone.scaler_std)):
+            assert np.allclose(r[col], want.ravel(), rtol=1e-6, atol=1e-9), (m, col)
+    seqs = H.prepare_sequences(df, ["m", "u"], ["t"], ["x"])
+    assert H.viterbi(seqs, found, ["m", "u"], ["t"]).count() == 240
+
+
+def test_many_models_at_once(spark):
+    df = spark.range(6000).select((F.col("id") % 1000).alias("m"), F.floor(F.col("id") / 1000).alias("t"),
+                                  F.pmod(F.col("id") * 7919, F.lit(101)).cast("double").alias("x"))
+    found = H.fit_by_model(df, ["m"], ["m"], ["t"], ["x"], k=2, max_iter=2)
+    assert found.df.count() == 1000
+    assert found.df.where(F.size("history") > 0).count() == 1000
 
 
 # ------------------------------------------------------------- keys and gaps
@@ -120,26 +195,24 @@ def test_null_and_large_keys_come_back_exact(spark):
     big = 2 ** 53
     rows = [(k, t, float((t * 7 + i) % 5)) for i, k in enumerate((big, big + 1, None)) for t in range(6)]
     df = spark.createDataFrame(rows, "seq long, t int, x double").coalesce(1)
-    seqs = H.prepare_sequences(df, ["seq"], ["t"], ["x"], F.lit(0))
+    seqs = H.prepare_sequences(df, ["seq"], ["t"], ["x"])
     out = H.viterbi(seqs, P, ["seq"], ["t"], ["x"]).collect()
     assert sorted((r.seq or 0, r.t) for r in out) == sorted((k or 0, t) for k, t, _ in rows)
     one = {k: [r.state for r in sorted(out, key=lambda r: r.t) if r.seq == k] for k in (big, big + 1, None)}
     for k in one:
         alone = spark.createDataFrame([(1, t, x) for kk, t, x in rows if kk == k], "seq long, t int, x double")
-        want = H.viterbi(H.prepare_sequences(alone, ["seq"], ["t"], ["x"], F.lit(0)), P, ["seq"], ["t"], ["x"]).orderBy("t").collect()
+        want = H.viterbi(H.prepare_sequences(alone, ["seq"], ["t"], ["x"]), P, ["seq"], ["t"], ["x"]).orderBy("t").collect()
         assert one[k] == [r.state for r in want]
 
 
 def test_a_gap_in_a_feature_is_an_error(spark):
     df = spark.createDataFrame([("a", 0, 1.0), ("a", 1, None)], "seq string, t int, x double")
     with pytest.raises(Exception, match="has a gap"):
-        H.prepare_sequences(df, ["seq"], ["t"], ["x"], F.lit(0)).collect()
+        H.prepare_sequences(df, ["seq"], ["t"], ["x"]).collect()
 
 
-def test_an_unknown_model_key_is_an_error():
-    one = H.ModelSet(["m"], {("a",): None})
-    fn = H._per_model(one, lambda p: lambda pdf: pdf, False)
-    assert len(fn(pd.DataFrame({"m": ["a"], "x": [1.0]}))) == 1
-    for key in ("b", None):
-        with pytest.raises(KeyError):
-            fn(pd.DataFrame({"m": ["a", key], "x": [1.0, 2.0]}))
+def test_an_unknown_model_key_is_an_error(spark):
+    df = spark.createDataFrame([("a", 0, 1.0), ("b", 0, 2.0)], "m string, t int, x double")
+    known = H.initial_models(df.where("m = 'a'"), 1, ["x"], ["m"])
+    with pytest.raises(Exception, match="no model for"):
+        H.viterbi(H.prepare_sequences(df, ["m"], ["t"], ["x"]), known, ["m"], ["t"]).collect()
