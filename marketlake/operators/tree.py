@@ -1,20 +1,25 @@
 """Hierarchies (HIER-*): paths, depth, branch/leaf analysis, closure.
 
-Paths are built level by level with equi joins of the frontier against the
-edge table (breadth first).  Each level is one join; the loop ends when a
-level is empty (one boolean per level reaches the driver), however deep the
-tree.  Every level is written to the checkpoint folder, so plans do not grow
-with the depth and a lost executor costs one level.  A cycle guard (the id
-already on the path, or already seen) makes bad data terminate.
+Pointer doubling: every row knows the stretch of its path from itself up to,
+but without, some ancestor.  A round puts the ancestor's own stretch before
+it, so stretches double and a tree of depth n takes log2(n) rounds, each one
+equi join of a table with itself.  Rows whose stretch begins at a root are
+done.  A stretch that would hold an id twice is a cycle and is dropped; rows
+below a parent that does not exist find none and go too.
+
+Every round is written to the checkpoint folder, so plans do not grow with the
+depth and a lost executor costs one round; one boolean a round reaches the
+driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+
 def clean_edges(categories: DataFrame, id_col: str = "category_id",
                 parent_col: str = "parent_id") -> DataFrame:
     """D-5/D-6: self edges dropped; parent null, '' or 0 (when no row 0
@@ -26,45 +31,60 @@ def clean_edges(categories: DataFrame, id_col: str = "category_id",
         .otherwise(p.cast("long")))
 
 
-def _roots(edges: DataFrame, id_col: str, parent_col: str) -> DataFrame:
-    """Roots: parent null; also rows whose parent does not exist when that
-    parent is 0 (the conventional root id)."""
-    ids = edges.select(F.col(id_col).alias("_pid"))
-    dangling_zero = (edges.where(F.col(parent_col) == 0)
-                          .join(ids, F.col(parent_col) == F.col("_pid"), "left_anti"))
-    return edges.where(F.col(parent_col).isNull()).unionByName(dangling_zero)
+def _with_ancestor(edges: DataFrame, id_col: str, parent_col: str) -> DataFrame:
+    """``edges`` with ``_anc``: the parent, null for roots.  A parent 0 that
+    has no row (the conventional root id) makes its rows roots."""
+    zero = edges.agg(F.coalesce(F.max(F.col(id_col) == 0), F.lit(False)).alias("_has_zero"))
+    up = F.when((F.col(parent_col) == 0) & ~F.col("_has_zero"), F.lit(None)).otherwise(F.col(parent_col))
+    return edges.crossJoin(F.broadcast(zero)).withColumn("_anc", up).drop("_has_zero")      # one row
 
 
 def paths(categories: DataFrame, id_col: str = "category_id", name_col: str = "name",
           parent_col: str = "parent_id", sep: str = " / ") -> DataFrame:
     """HIER-1/HIER-2: every reachable category with its name path, id path
-    and depth (roots have depth 0)."""
+    and depth (roots have depth 0).  A category under several parents has a
+    row for each path."""
     edges = clean_edges(categories, id_col, parent_col).select(id_col, name_col, parent_col)
-    edges = cut_lineage(edges)
-    level = _roots(edges, id_col, parent_col).select(
-        id_col, name_col, parent_col,
-        F.col(name_col).cast("string").alias("full_path"),
-        F.array(F.col(id_col)).alias("path"),
-        F.lit(0).alias("depth"))
-    out = level
-    depth = 0
-    child = edges.select(F.col(id_col).alias("_cid"), F.col(name_col).alias("_cname"),
-                         F.col(parent_col).alias("_cparent"))
+    now = _with_ancestor(edges, id_col, parent_col).select(
+        id_col, name_col, parent_col, "_anc", F.array(F.col(id_col)).alias("path"),
+        F.array(F.col(name_col).cast("string")).alias("_names"))
+    while True:
+        above = now.select(F.col(id_col).alias("_id"), F.col("_anc").alias("_up"), F.col("path").alias("_path"),
+                           F.col("_names").alias("_above"))
+        grown = (now.where(F.col("_anc").isNotNull()).join(above, F.col("_anc") == F.col("_id"))
+                 .where(~F.arrays_overlap("_path", "path"))
+                 .select(id_col, name_col, parent_col, F.col("_up").alias("_anc"), F.concat("_path", "path").alias("path"),
+                         F.concat("_above", "_names").alias("_names")))
+        now = cut_lineage(now.where(F.col("_anc").isNull()).unionByName(grown))
+        if now.where(F.col("_anc").isNotNull()).isEmpty():
+            break
+    # a null name leaves no path, as in a concatenation
+    whole = F.when(~F.exists("_names", lambda n: n.isNull()), F.array_join("_names", sep))
+    return now.select(id_col, name_col, parent_col, whole.alias("full_path"), "path",
+                      (F.size("path") - 1).alias("depth"))
+
+
+def distances(edges: DataFrame, is_source: Column, id_col: str = "category_id") -> DataFrame:
+    """(id, depth): fewest steps down from a source row to each row that can
+    be reached, by pointer doubling on ``_anc`` without the paths.  Rows in or
+    below a cycle come near a source within as many steps as there are rows or
+    never, which ends the rounds."""
+    now = edges.select(F.col(id_col).alias("_id"), F.when(~is_source, F.col("_anc")).alias("_up"),
+                       F.when(is_source, 0).otherwise(1).alias("_hops")).where(is_source | F.col("_up").isNotNull())
+    rows, reach = None, 1
     while True:
-        depth += 1
-        nxt = (level.join(child, F.col(id_col) == F.col("_cparent"), "inner")
-                    .where(~F.array_contains(F.col("path"), F.col("_cid")))
-                    .select(F.col("_cid").alias(id_col), F.col("_cname").alias(name_col),
-                            F.col("_cparent").alias(parent_col),
-                            F.concat(F.col("full_path"), F.lit(sep), F.col("_cname")).alias("full_path"),
-                            F.array_append(F.col("path"), F.col("_cid")).alias("path"),
-                            F.lit(depth).alias("depth")))
-        nxt = cut_lineage(nxt)
-        if nxt.isEmpty():
+        above = now.select(F.col("_id").alias("_over"), F.col("_up").alias("_next"), F.col("_hops").alias("_more"))
+        grown = (now.where(F.col("_up").isNotNull()).join(above, F.col("_up") == F.col("_over"))
+                 .select("_id", F.col("_next").alias("_up"), (F.col("_hops") + F.col("_more")).alias("_hops")))
+        now = cut_lineage(now.where(F.col("_up").isNull()).unionByName(grown)
+                          .groupBy("_id", "_up").agg(F.min("_hops").alias("_hops")))
+        reach *= 2
+        if now.where(F.col("_up").isNotNull()).isEmpty():
             break
-        out = out.unionByName(nxt)
-        level = nxt
-    return out
+        rows = edges.count() if rows is None else rows
+        if reach > rows:
+            break
+    return now.where(F.col("_up").isNull()).select(F.col("_id").alias(id_col), F.col("_hops").alias("depth"))
 
 
 def category_analysis(categories: DataFrame, id_col: str = "category_id", name_col: str = "name",
@@ -74,7 +94,8 @@ def category_analysis(categories: DataFrame, id_col: str = "category_id", name_c
     from .joins import branch_flags
     edges = clean_edges(categories, id_col, parent_col)
     flags = branch_flags(edges, id_col, parent_col)
-    depth = paths(categories, id_col, name_col, parent_col).groupBy(id_col).agg(F.min("depth").alias("_d"))
+    up = _with_ancestor(edges, id_col, parent_col)
+    depth = distances(up, F.col("_anc").isNull(), id_col).withColumnRenamed("depth", "_d")
     j = flags.join(depth, id_col, "left")
     return j.select(id_col, name_col, parent_col, "is_branch", "child_count",
                     F.coalesce(F.col("_d"), F.lit(0)).alias("parent_count"))
@@ -85,26 +106,10 @@ def closure(categories: DataFrame, root_id: int, id_col: str = "category_id",
     """HIER-4: the root and every descendant (visited once), with the
     distance from the root; missing names get '<default><id>'."""
     edges = clean_edges(categories, id_col, parent_col).select(id_col, name_col, parent_col)
-    edges = cut_lineage(edges)
-    level = edges.where(F.col(id_col) == root_id).withColumn("depth", F.lit(0))
-    seen = level
-    child = edges.select(F.col(id_col).alias("_cid"), F.col(name_col).alias("_cname"),
-                         F.col(parent_col).alias("_cparent"))
-    depth = 0
-    while True:
-        depth += 1
-        nxt = (level.select(F.col(id_col).alias("_p")).join(child, F.col("_p") == F.col("_cparent"))
-                    .select(F.col("_cid").alias(id_col), F.col("_cname").alias(name_col),
-                            F.col("_cparent").alias(parent_col), F.lit(depth).alias("depth"))
-                    .join(seen.select(id_col), id_col, "left_anti")
-                    .dropDuplicates([id_col]))
-        nxt = cut_lineage(nxt)
-        if nxt.isEmpty():
-            break
-        seen = seen.unionByName(nxt)
-        level = nxt
-    return seen.withColumn(name_col, F.coalesce(F.col(name_col),
-                                                F.concat(F.lit(default_name), F.col(id_col).cast("string"))))
+    below = distances(edges.withColumn("_anc", F.col(parent_col)), F.col(id_col) == root_id, id_col)
+    one = edges.groupBy(id_col).agg(F.min(F.struct(parent_col, name_col)).alias("_row"))
+    name = F.coalesce(F.col(f"_row.{name_col}"), F.concat(F.lit(default_name), F.col(id_col).cast("string")))
+    return below.join(one, id_col).select(id_col, name.alias(name_col), F.col(f"_row.{parent_col}").alias(parent_col), "depth")
 
 
 def register_views(df: DataFrame, names: list[str]) -> None:
