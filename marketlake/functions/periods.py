@@ -45,6 +45,10 @@ def labour_period_date(year, period) -> Column:
     return _month_start(y, month)
 
 
+# a day, alone or with a time of day
+ISO_DAY = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+
+
 def _iso(s: Column) -> Column:
     return F.try_to_date(F.substring(s, 1, 10), "yyyy-MM-dd")
 
@@ -53,7 +57,8 @@ def european_period_date(x, iso_week: bool = False) -> Column:
     """'2020-01-15' (ISO) | '2020Q1' | '2020M01' | '2020-01' | '2020' |
     '2020-W05' -> period start.  Weeks map to January 1 unless
     ``iso_week`` asks for the Monday of that ISO week.  Each branch is
-    guarded by one cheap pattern test; parts are cut by position."""
+    guarded by one cheap pattern test of the whole text; parts are cut by
+    position."""
     s = F.trim(_c(x).cast("string"))
     y4 = F.substring(s, 1, 4)
     if iso_week:
@@ -61,19 +66,19 @@ def european_period_date(x, iso_week: bool = False) -> Column:
         week = F.date_add(F.date_trunc("week", jan4).cast("date"), (F.substring(s, 7, 2).cast("int") - 1) * 7)
     else:
         week = _month_start(y4, F.lit(1))
-    return (F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}"), _iso(s))
-             .when(s.rlike(r"^\d{4}[Qq][1-4]"), _month_start(y4, (F.substring(s, 6, 1).cast("int") - 1) * 3 + 1))
-             .when(s.rlike(r"^\d{4}[Mm]\d{2}"), _month_start(y4, F.substring(s, 6, 2)))
+    return (F.when(s.rlike(ISO_DAY), _iso(s))
+             .when(s.rlike(r"^\d{4}[Qq][1-4]$"), _month_start(y4, (F.substring(s, 6, 1).cast("int") - 1) * 3 + 1))
+             .when(s.rlike(r"^\d{4}[Mm]\d{2}$"), _month_start(y4, F.substring(s, 6, 2)))
              .when(s.rlike(r"^\d{4}-\d{2}$"), _month_start(y4, F.substring(s, 6, 2)))
              .when(s.rlike(r"^\d{4}$"), _month_start(y4, F.lit(1)))
-             .when(s.rlike(r"^\d{4}-[Ww]\d{2}"), week))
+             .when(s.rlike(r"^\d{4}-[Ww]\d{2}$"), week))
 
 
 def banking_period_date(x) -> Column:
     """'2020-01-15' (ISO) | '2020-Q1' | '2020-01' | '2020' -> period start."""
     s = F.trim(_c(x).cast("string"))
     y4 = F.substring(s, 1, 4)
-    return (F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}"), _iso(s))
-             .when(s.rlike(r"^\d{4}-[Qq][1-4]"), _month_start(y4, (F.substring(s, 7, 1).cast("int") - 1) * 3 + 1))
-             .when(s.rlike(r"^\d{4}-\d{2}"), _month_start(y4, F.substring(s, 6, 2)))
+    return (F.when(s.rlike(ISO_DAY), _iso(s))
+             .when(s.rlike(r"^\d{4}-[Qq][1-4]$"), _month_start(y4, (F.substring(s, 7, 1).cast("int") - 1) * 3 + 1))
+             .when(s.rlike(r"^\d{4}-\d{2}$"), _month_start(y4, F.substring(s, 6, 2)))
              .when(s.rlike(r"^\d{4}$"), _month_start(y4, F.lit(1))))

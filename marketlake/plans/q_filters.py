@@ -88,7 +88,7 @@ def q_universe(spark, d):
     """FLT-8: trimmed, non-empty, distinct tickers."""
     c = read(spark, d, "customer")
     t = (F.when(F.col("c_acctbal") < 0, F.lit("  ")).when(F.col("c_nationkey") == 1, F.lit(None))
-          .otherwise(F.concat(F.lit(" "), F.substring("c_name", 10, 100), F.lit(" "))))
+          .otherwise(F.concat(F.lit(" "), F.substr(F.col("c_name"), F.lit(10)), F.lit(" "))))
     return FL.universe(c.select(t.alias("t")), "t")
 
 
@@ -195,7 +195,7 @@ WHERE (c1 <> '' OR c2 <> '' OR c3 <> '') AND coalesce(nullif(c1, ''), nullif(c2,
 def q_usable_rows(spark, d):
     """FLT-15: drop all-empty rows, then rows with neither ticker nor name."""
     p = read(spark, d, "part")
-    cells = F.array(F.when(F.col("p_size") < 20, F.lit("")).otherwise(F.upper(F.substring("p_brand", 7, 100))),
+    cells = F.array(F.when(F.col("p_size") < 20, F.lit("")).otherwise(F.upper(F.substr(F.col("p_brand"), F.lit(7)))),
                     F.when(F.col("p_retailprice") < 1200, F.lit("")).otherwise(F.col("p_name")),
                     F.when(F.col("p_size") < 10, F.lit("")).otherwise(F.col("p_type")))
     rows = p.select("p_partkey", cells.alias("cells"))

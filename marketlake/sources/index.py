@@ -2,23 +2,19 @@
 
 The landed index is pipe-delimited text.  Parsing is one narrow projection
 over ``read.text`` lines: split, predicate chain, scalar rules.  No line ever
-leaves the JVM and no file is read whole into one task except the
-extensionless-gzip fallback, whose unit is one landed file.
+leaves the JVM and no file is read whole into one task; gzip without its
+extension is unzipped as a stream (``files``).
 """
 
 from __future__ import annotations
 
-import gzip
-from typing import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed_values as FV
-from ..session import ship_package
 from ..functions.scalars import accession_from_path, filed_date, normalize_cik
+from .files import GzipLines, parse_files
 
 INDEX_SCHEMA = T.StructType([
     T.StructField("cik", T.StringType()),
@@ -104,29 +100,11 @@ def read_index_text(spark: SparkSession, path: str, compat: bool = False) -> Dat
     return with_year_quarter_from_path(parsed).drop("_path")
 
 
-def _gunzip_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        paths, values = [], []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            data = bytes(content)
-            try:
-                data = gzip.decompress(data)
-            except (OSError, EOFError):
-                pass
-            text = data.decode("utf-8", errors="ignore")
-            for ln in text.split("\n"):
-                paths.append(path)
-                values.append(ln)
-        yield pd.DataFrame({"_path": paths, "value": values})
-
-
 def read_index_binary(spark: SparkSession, path: str, compat: bool = False) -> DataFrame:
-    """SRC-2 fallback for gzip bytes without a '.gz' name: each landed file is
-    one task (files are bounded: one quarter each), unzipped if it is gzip,
+    """SRC-2 for gzip bytes without a '.gz' name: every file is a stream that
+    is unzipped a piece at a time if it begins as gzip (``files.GzipLines``);
     invalid UTF-8 dropped, then the same JVM parse as ``read_index_text``."""
-    ship_package(spark)
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    lines = files.mapInPandas(_gunzip_lines, "_path string, value string")
+    lines = parse_files(spark, path, GzipLines, "_path string, value string")
     parsed = parse_index_lines(lines, keep=["_path"], compat=compat)
     return with_year_quarter_from_path(parsed).drop("_path")
 

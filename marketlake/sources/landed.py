@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as FV
 from ..functions.periods import banking_period_date, labour_period_date
 from ..functions.scalars import join_notes, normalize_cik
+from .files import CATALOGUE_TAGS, Catalogue, parse_files
 
 # ------------------------------------------------------------------ SRC-5
 LABOUR_SCHEMA = (
@@ -79,31 +80,13 @@ def parse_sdmx_json(docs: DataFrame, text_col: str = "value", code_col: str | No
 
 
 # ------------------------------------------------------------------ SRC-7
-def read_catalogue_xml(spark: SparkSession, path: str, row_tag: str = "dataset",
+def read_catalogue_xml(spark: SparkSession, path: str, tags: tuple[str, ...] = CATALOGUE_TAGS,
                        limit: int | None = None) -> DataFrame:
-    """Namespaced catalogue XML; ``rowTag`` is the local element name.
-    code, title, description, link and version by ordered fallback over
-    attributes then child elements; title falls back to the code."""
-    df = (spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", "true")
-          .option("attributePrefix", "_").load(path))
-    return catalogue_fields(df, limit)
-
-
-def _first_existing(df: DataFrame, names: list[str]):
-    cols = [F.col(f"`{n}`").cast("string") for n in names if n in df.columns]
-    cols = [F.nullif(F.trim(c), F.lit("")) for c in cols]
-    return F.coalesce(*cols) if cols else F.lit(None).cast("string")
-
-
-def catalogue_fields(df: DataFrame, limit: int | None = None) -> DataFrame:
-    code = _first_existing(df, ["_id", "_code", "code", "id", "_name"])
-    title = _first_existing(df, ["title", "_title", "name", "label"])
-    out = df.select(code.alias("code"),
-                    F.coalesce(title, code).alias("title"),
-                    _first_existing(df, ["description", "_description", "shortDescription"]).alias("description"),
-                    _first_existing(df, ["_downloadLink", "downloadLink", "link", "_href"]).alias("link"),
-                    _first_existing(df, ["_version", "version", "lastUpdate"]).alias("version"))
-    out = out.where(F.col("code").isNotNull())
+    """Catalogue XML of any namespaces in one pass: (node, code, title,
+    description, link, version) of every element whose local name is in
+    ``tags`` (``files.Catalogue``).  ``limit``: the first by code."""
+    out = parse_files(spark, path, Catalogue, "path string, node string, code string, title string, description string, "
+                      "link string, version string", tuple(tags)).drop("path")
     return out if limit is None else out.orderBy("code").limit(limit)
 
 
@@ -250,7 +233,7 @@ def write_raw_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-__all__ = ["parse_labour_json", "parse_sdmx_json", "read_catalogue_xml", "catalogue_fields",
+__all__ = ["parse_labour_json", "parse_sdmx_json", "read_catalogue_xml",
            "parse_structure_json", "parse_dataflows", "parse_surveys", "parse_fund_list",
            "parse_company_tickers", "listing_union", "read_sheet_csv", "html_pairs", "table_pairs",
            "embedded_json_block", "write_raw_json"]
