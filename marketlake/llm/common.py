@@ -32,6 +32,15 @@ def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it while a column of ``df`` has that
+    name (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, also where ``body`` uses
     it inside a lambda."""
@@ -42,3 +51,19 @@ def crc_mod(id_col: str | Column, n: int) -> Column:
     """crc32 of the id's text, modulo ``n`` (a null id counts as the empty text)."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
     return F.pmod(F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")), F.lit(n))
+
+
+def bounded_sample(rows: DataFrame, n: int, max_chars: int, long_rows: int, seed: str) -> DataFrame:
+    """At most ``n`` of ``rows (id, chars, ...)``, drawn by a hash of the id
+    from those of up to ``max_chars``; where these are fewer, the shortest
+    longer ones too, at most ``long_rows`` of them."""
+    short = F.col("chars") <= max_chars
+    drawn = rows.orderBy((~short).cast("int"), F.when(short, F.xxhash64("id", F.lit(seed))).otherwise(F.col("chars")), "id").limit(n)
+    return drawn.where(short).unionByName(drawn.where(~short).orderBy("chars", "id").limit(long_rows))
+
+
+def row_chars(docs: DataFrame) -> DataFrame:
+    """(id, chars) of each id: the length of its shortest text, null counted as
+    empty."""
+    return (docs.select(F.col("doc_id").alias("id"), F.length(text_or_empty("text")).alias("chars"))
+            .where("id is not null").groupBy("id").agg(F.min("chars").alias("chars")))

@@ -12,13 +12,16 @@ scaling), and the calibrated log odds are combined, less the prior's that both
 contain.  All documents are then scored in one pass over their whole texts.
 
 The fit uses a bounded sample: at most ``LABELLED`` labelled rows and ``POOL``
-unlabelled rows, drawn by a hash of the id, of texts up to ``TRAIN_MAX_CHARS``.
+unlabelled rows, drawn by a hash of the id from texts up to
+``TRAIN_MAX_CHARS``; where these are fewer, the shortest longer ones too, at
+most ``LONG_ROWS``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_mod, query, ship_package, table
+from .common import bounded_sample, crc_mod, free_name, query, row_chars, ship_package, table
 from .linear import fit_in_task, fit_logistic, sigmoid
 from .ngrams import buckets, counted
 
 LOW, HIGH, BITS = 1, 3, 18
 META_BITS = 12
-LABELLED, POOL, TRAIN_MAX_CHARS = 4000, 4000, 20_000
+LABELLED, POOL, TRAIN_MAX_CHARS, LONG_ROWS = 4000, 4000, 20_000, 25
 ROUNDS, PER_ROUND = 4, 200
 FOLDS, HELD_OUT, CALIBRATE = 5, 0, 1
 EPOCHS, L2_TEXT, L2_META = 30, 1e-4, 1e-4
@@ -98,15 +101,15 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Labelled rows outside the held-out fold (label 0 or 1) and pool rows
     (label null), with the features of both views.  An id labelled more than
     once takes the majority, ties good; null labels are ignored."""
-    by_hash = F.xxhash64("id", F.lit("quality sample"))
     marked = (labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("double").alias("q"))
               .where("id is not null and q is not null").groupBy("id").agg((F.avg("q") >= 0.5).cast("int").alias("label")))
-    ids = docs.select(F.col("doc_id").cast("long").alias("id")).where("id is not null").join(marked, "id", "left")
+    ids = row_chars(docs).select(F.col("id").cast("long").alias("id"), "chars").join(marked, "id", "left")
     open_ = ids.where(crc_mod("id", FOLDS) != HELD_OUT)
-    chosen = (open_.where("label is not null").orderBy(by_hash).limit(LABELLED)
-              .unionByName(open_.where("label is null").orderBy(by_hash).limit(POOL)).dropDuplicates(["id"]))
+    chosen = reduce(DataFrame.unionByName, [
+        bounded_sample(open_.where(is_kind), n, TRAIN_MAX_CHARS, LONG_ROWS, "quality sample")
+        for is_kind, n in (("label is not null", LABELLED), ("label is null", POOL))])
     rows = (docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"), "lang", "source")
-            .join(F.broadcast(chosen), "id").where(F.length("text") <= TRAIN_MAX_CHARS)
+            .join(F.broadcast(chosen), "id").where(F.length("text") == F.col("chars"))
             .select("id", "label", crc_mod("id", FOLDS).cast("int").alias("fold"), "text", "lang", "source"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,9 +207,11 @@ def _fit_rows(got: list[dict]) -> Model:
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Add text_view, meta_view and quality (0 to 1) to each row.  Null texts
     are empty, null languages and sources are values of their own; repeated
-    rows score alike.  ``docs`` holds ``text_col``, lang and source."""
+    rows score alike; an empty table has no rows.  ``docs`` holds ``text_col``,
+    lang and source; where it has a column of one of the new names, that score
+    gets an underscore behind its name."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    new = ("text_view", "meta_view", "quality")
+    new = [free_name(docs, c) for c in ("text_view", "meta_view", "quality")]
     schema = T.StructType([*docs.schema.fields, *(T.StructField(c, T.DoubleType()) for c in new)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

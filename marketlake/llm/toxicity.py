@@ -8,8 +8,9 @@ sum over its n-grams, in segments of bounded size.
 
 The fit uses a bounded sample of the labelled rows (``SAMPLE_TOXIC`` and
 ``SAMPLE_CLEAN`` rows, drawn by a hash of the id, weighted back to the class
-sizes of all training rows); training texts over ``TRAIN_MAX_CHARS`` are left
-out of the fit.  Scoring covers all rows and whole texts.
+sizes of all training rows) of up to ``TRAIN_MAX_CHARS``; a class with fewer
+takes its shortest longer rows too, at most ``LONG_ROWS``.  Scoring covers all
+rows and whole texts.
 """
 
 from __future__ import annotations
@@ -23,13 +24,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_mod, query, ship_package, table, text_or_empty
+from .common import bounded_sample, crc_mod, free_name, query, row_chars, ship_package, table, text_or_empty
 from .linear import fit_in_task, fit_logistic, sigmoid
 from .ngrams import buckets, counted
 
 LOW, HIGH, BITS = 3, 5, 20
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 2500
-TRAIN_MAX_CHARS = 20_000
+TRAIN_MAX_CHARS, LONG_ROWS = 20_000, 25
 FOLDS, HELD_OUT = 5, 0
 
 
@@ -52,14 +53,13 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[i
     marked = (labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("double").alias("t"))
               .where("id is not null and t is not null").where(crc_mod("id", FOLDS) != HELD_OUT)
               .groupBy("id").agg((F.avg("t") >= 0.5).cast("int").alias("toxic")))
-    there = marked.join(docs.select(F.col("doc_id").alias("id")), "id", "left_semi")
+    there = marked.join(row_chars(docs), "id")
     sizes = {r["toxic"]: r["count"] for r in there.groupBy("toxic").count().collect()}
-    by_hash = F.xxhash64("id", F.lit("toxicity sample"))
-    picked = [there.where(F.col("toxic") == c).orderBy(by_hash).limit(n)
+    picked = [bounded_sample(there.where(F.col("toxic") == c), n, TRAIN_MAX_CHARS, LONG_ROWS, "toxicity sample")
               for c, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))]
-    sample = picked[0].unionByName(picked[1])   # at most SAMPLE_TOXIC + SAMPLE_CLEAN rows of two numbers
+    sample = picked[0].unionByName(picked[1])   # at most SAMPLE_TOXIC + SAMPLE_CLEAN rows of three numbers
     rows = (docs.select(F.col("doc_id").alias("id"), text_or_empty("text").alias("text"))
-            .join(F.broadcast(sample), "id").where(F.length("text") <= TRAIN_MAX_CHARS))
+            .join(F.broadcast(sample), "id").where(F.length("text") == F.col("chars")).select("id", "toxic", "text"))
     return rows, sizes
 
 
@@ -105,8 +105,11 @@ def _fit_rows(got: list[dict], sizes: dict[int, int], l2: float, epochs: int) ->
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "toxicity") -> DataFrame:
     """Add the toxicity of each row's whole text (0 to 1).  Null text is the
-    empty text, which gets the bias's score; other columns stay; repeated rows
-    score alike.  The model is one array of 4 * 2**BITS bytes."""
+    empty text, which gets the bias's score; an empty table has no rows; other
+    columns stay, and where one is named ``out`` the score gets an underscore
+    behind its name; repeated rows score alike; texts of any length are scored
+    in segments.  The model is one array of 4 * 2**BITS bytes."""
+    out = free_name(docs, out)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
 

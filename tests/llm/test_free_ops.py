@@ -544,3 +544,29 @@ def test_every_license_template_is_reported_by_its_name(make_docs):
     rows = list(enumerate(t for _, t in licenses.TEMPLATES))
     got = sorted((r["doc_id"], r["license"], r["differing_words"]) for r in licenses.scan(make_docs(rows)).collect())
     assert got == [(k, name, 0) for k, (name, _) in enumerate(licenses.TEMPLATES)]
+
+
+# ----------------------------------------------- bounded samples, clashing names
+
+def test_long_labelled_rows_still_teach(spark, make_docs, monkeypatch):
+    """All toxic rows are over the length limit: the shortest of them are taken."""
+    monkeypatch.setattr(toxicity, "TRAIN_MAX_CHARS", 200)
+    rows = [(i, ("you vile idiot scum " if i % 2 else "a calm and pleasant day ") * (30 + i if i % 2 else 3)) for i in range(1, 121)]
+    flags = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
+    sample, sizes = toxicity.training_rows(make_docs(rows), flags)
+    got = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    assert got[1] == toxicity.LONG_ROWS and got[0] == sizes[0] and sizes[1] > got[1]
+    model = toxicity.fit(make_docs(rows), flags)
+    assert model.score("you vile idiot scum") > 0.5 > model.score("a calm and pleasant day")
+
+
+def test_scores_beside_columns_of_their_names(spark, make_docs):
+    rows = [(i, ("vile idiot " if i % 2 else "calm day ") * 5) for i in range(1, 60)]
+    flags = spark.createDataFrame([(i, i % 2, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
+    docs = make_docs(rows).withColumn("Toxicity", F.lit("mine")).withColumn("quality", F.lit("mine"))
+    out = toxicity.score(docs, toxicity.fit(docs, flags))
+    assert out.columns[-1] == "toxicity_" and out.where("Toxicity = 'mine' and toxicity_ between 0 and 1").count() == len(rows)
+    both = quality.score(docs, quality.fit(docs, flags))
+    assert both.columns[-3:] == ["text_view", "meta_view", "quality_"]
+    assert both.where("quality = 'mine' and quality_ between 0 and 1").count() == len(rows)
+    assert toxicity.score(docs.limit(0), toxicity.fit(docs, flags)).count() == 0
