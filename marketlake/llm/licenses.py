@@ -1,11 +1,14 @@
-"""License scans by wording and conditional compression.
+"""License scans by conditional compression.
 
 A candidate block (the words around a licence cue, as many on either side as
-the longest template with its edits has, across line ends) is searched for
-every licence template, by the exact differences in wording.  Each separate span within the differences allowed is reported with
-them, and with the share of its size that it saves when compressed with the
-template as a raw zstandard dictionary.  The span is compressed by itself, so
-the words around it weigh nothing.
+the longest template with its edits has, across line ends) is compressed by
+itself and with every template as raw zstandard dictionary; a template's rank
+is the size that it saves.  Templates are confirmed in that order by the exact
+differences in wording: each separate span within the differences allowed is
+reported with them and with the share of its own size that it saves.  A span
+goes to the first template that explains it.  Confirming ends with the last
+template that shares enough word pairs to match, whatever it saves, so that a
+low rank loses nothing.
 """
 
 from __future__ import annotations
@@ -27,7 +30,8 @@ from .license_texts import NAME_WORDS, TEMPLATES
 CUE = (r"licen[cs]e|copyright|all\W+rights\W+reserved|permission\W+(is|to)\W|redistribution\W+and\W+use|gnu\W+general"
        r"|general\W+public|creative\W+commons|cc\W+by|cc0|unencumbered")
 MAX_EDIT_SHARE = 0.15   # wording differences per word of the template
-DIFFERENCE_COST = 3     # words explained that one difference outweighs
+LEVEL = 3               # of compression
+WINDOW = 4              # longest templates in a window that is compressed at once
 
 _CUE = re.compile(CUE, re.IGNORECASE | re.ASCII)
 _WORD = re.compile(r"\w+")
@@ -40,24 +44,48 @@ def _plain(text: str) -> str:
     return " ".join(_WORD.findall(text.lower()))
 
 
-@lru_cache(1024)
+@lru_cache(2048)
 def _compressor(wording: str):
     import zstandard
-    raw = zstandard.ZstdCompressionDict(wording.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT) if wording else None
-    return zstandard.ZstdCompressor(level=19, dict_data=raw, write_checksum=False)
+    raw = None
+    if wording:
+        raw = zstandard.ZstdCompressionDict(wording.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        raw.precompute_compress(level=LEVEL)
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=raw, write_checksum=False, write_content_size=False, write_dict_id=False)
+
+
+def compressed_size(data: bytes, wording: str) -> int:
+    """Bytes of ``data`` compressed with a template as raw dictionary (none:
+    by itself)."""
+    return len(_compressor(wording).compress(data))
+
+
+def by_size_saved(words: list[str], templates: tuple) -> list[int]:
+    """The templates in the order of the bytes they save of ``words``, most
+    first, then the shorter template.  Long runs of words are compressed in
+    windows that overlap by the longest template, so that the dictionary stays
+    in reach; a template counts where it saves most."""
+    every, _ = _prepared(templates)
+    most = reach(templates)
+    saved = [0] * len(every)
+    for at in range(0, max(1, len(words) - most), (WINDOW - 1) * most):
+        data = " ".join(words[at:at + WINDOW * most]).encode()
+        alone = compressed_size(data, "")
+        saved = [max(s, alone - compressed_size(data, joined)) for s, (_, _, _, joined) in zip(saved, every)]
+    return sorted(range(len(every)), key=lambda i: (-saved[i], len(every[i][1]), i))
 
 
 @lru_cache(8)
 def _prepared(templates: tuple):
-    """(name, words, word pairs a match has at least) of each template, and the
-    templates that hold a word pair."""
+    """(name, words, word pairs a match has at least, joined words) of each
+    template, and the templates that hold a word pair."""
     out, holders = [], {}
     for i, (name, text) in enumerate(templates):
         words = _plain(text).split()
         pairs = set(zip(words, words[1:]))
         for pair in pairs:
             holders.setdefault(pair, []).append(i)
-        out.append((name, words, len(pairs) - 2 * int(MAX_EDIT_SHARE * len(words))))
+        out.append((name, words, len(pairs) - 2 * int(MAX_EDIT_SHARE * len(words)), " ".join(words)))
     return out, holders
 
 
@@ -138,31 +166,28 @@ def _spans(wording: list[str], words: list[str]) -> Iterator[tuple[int, int, int
 def explain(block: str, templates: tuple = TEMPLATES) -> list[tuple[int, int, str, float, int, str]]:
     """(start, end, licence, share of the span's size saved, wording
     differences, what differs) of each separate span of the block that a
-    template explains.  Every template is confirmed that shares enough word
-    pairs with the block: a difference spoils at most two, so none is lost.  A
-    span that differs in words of the name or version, or whose version goes
-    on, is none.  Of overlapping spans the one with most words explained stays."""
+    template explains, spans of the templates that save most first.  A template
+    that shares too few word pairs with the block is passed over: a difference
+    spoils at most two, so it cannot match.  A span that differs in words of
+    the name or version, or whose version goes on, is none."""
     every, holders = _prepared(templates)
     places = [m.span() for m in _WORD.finditer(block)]
     words = [block[a:z].lower() for a, z in places]
     shared = Counter(i for pair in set(zip(words, words[1:])) for i in holders.get(pair, ()))
-    found = []
-    for i, n in shared.items():
-        _, wording, need = every[i]
-        for a, z, edits in _spans(wording, words) if n >= need else ():
-            further = _DIGIT.search(wording[-1]) and _FURTHER.match(block, places[z - 1][1])
-            if not further and (not edits or _same_name(wording, words[a:z])):
-                found.append((DIFFERENCE_COST * edits - len(wording), i, a, z, edits))
+    if not any(n >= every[i][2] for i, n in shared.items()):
+        return []
     out, taken = [], bytearray(len(words))
-    for _, i, a, z, edits in sorted(found):
-        if any(taken[a:z]):
-            continue
-        taken[a:z] = b"\1" * (z - a)
-        name, wording, _ = every[i]
-        data = " ".join(words[a:z]).encode()
-        saved = 1 - len(_compressor(" ".join(wording)).compress(data)) / len(_compressor("").compress(data))
-        start, end = places[a][0], _CLOSING.match(block, places[z - 1][1]).end()
-        out.append((start, end, name, saved, edits, _differences(wording, words[a:z]) if edits else ""))
+    for i in by_size_saved(words, templates):
+        name, wording, need, joined = every[i]
+        for a, z, edits in sorted(_spans(wording, words), key=lambda x: (x[2], x[0])) if shared[i] >= need else ():
+            further = _DIGIT.search(wording[-1]) and _FURTHER.match(block, places[z - 1][1])
+            if further or any(taken[a:z]) or edits and not _same_name(wording, words[a:z]):
+                continue
+            taken[a:z] = b"\1" * (z - a)
+            data = " ".join(words[a:z]).encode()
+            saved = 1 - compressed_size(data, joined) / compressed_size(data, "")
+            start, end = places[a][0], _CLOSING.match(block, places[z - 1][1]).end()
+            out.append((start, end, name, saved, edits, _differences(wording, words[a:z]) if edits else ""))
     return sorted(out)
 
 
@@ -182,7 +207,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     """One row per separate span that a template explains: doc_id, license,
     start, end (code points), saved, differing_words, differences.  Null and
     empty texts have none; repeated rows are reported each; a null id comes
-    back as null; other columns are ignored."""
+    back as null; an empty table has no rows; texts of any length are searched
+    around their cues; of templates that save the same the shorter, then the
+    earlier, is confirmed first; other columns are ignored, whatever their
+    names."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []

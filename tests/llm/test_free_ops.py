@@ -540,6 +540,28 @@ def test_license_siblings(make_docs):
     assert got == {k: name for k, (_, name) in enumerate(rows) if name}
 
 
+def test_rank_comes_from_conditional_compression(monkeypatch):
+    """Of templates that confirm overlapping spans the one that saves most
+    wins; without the compressor the results are wrong."""
+    notices = {name: text for name, text in licenses.TEMPLATES if len(text.split()) > 90 and name.startswith("BSD")}
+    assert len(notices) == 3
+    words = "some ordinary words before a notice " * 8
+    blocks_ = {name: f"{words}{text} {words}" for name, text in notices.items()}
+    assert all([h[2] for h in licenses.explain(b)] == [name] for name, b in blocks_.items())
+    for name, block in blocks_.items():
+        order = licenses.by_size_saved(licenses._plain(block).split(), licenses.TEMPLATES)
+        assert licenses.TEMPLATES[order[0]] == (name, notices[name])
+    monkeypatch.setattr(licenses, "compressed_size", lambda data, wording: 100)
+    assert not any([h[2] for h in licenses.explain(b)] == [name] for name, b in blocks_.items())
+
+
+def test_a_notice_far_into_a_long_block_is_ranked():
+    name, text = next(t for t in licenses.TEMPLATES if t[0] == "MIT" and len(t[1].split()) > 150)
+    long = "the license word returns here and there " * 3000 + text
+    order = licenses.by_size_saved(licenses._plain(long).split(), licenses.TEMPLATES)
+    assert licenses.TEMPLATES[order[0]] == (name, text)
+
+
 def test_every_license_template_is_reported_by_its_name(make_docs):
     rows = list(enumerate(t for _, t in licenses.TEMPLATES))
     got = sorted((r["doc_id"], r["license"], r["differing_words"]) for r in licenses.scan(make_docs(rows)).collect())
