@@ -11,7 +11,7 @@ first word is the end token.
 Counts cover all training documents.  The exchange of counts is packed:
 documents are tokenized into chunks of about ``CHUNK_TOKENS`` tokens; a chunk
 asks for the count of each of its distinct n-grams once, as one sorted array
-of 64-bit hashes per range of hashes (``part``); each part adds up what all
+of hashes per range of hashes (``part``); each part adds up what all
 chunks hold and answers every chunk with one array.  So an n-gram that is
 frequent everywhere costs one entry per chunk, no key is hot, and what is
 shuffled follows the number of distinct n-grams per chunk.  Nothing of the
@@ -41,8 +41,12 @@ EM_SHARE = 10                 # one in so many training documents is held out fo
 BUCKETS = 24                  # of the context's frequency
 STEPS, RATIO_BINS = 4, 160    # histogram bins per octave of a ratio of probabilities, and their number
 
+# Bits of an n-gram's hash.  Of 10^11 distinct n-grams fewer than one in a
+# million shares its hash with another.
+HASH_BITS = 56
 _U = np.uint64
-_END_HASH = _U(0x2545F4914F6CDD1D)
+_SHIFT = _U(64 - HASH_BITS)
+_END_HASH = _U(0x2545F4914F6CDD1D) >> _SHIFT
 
 
 # ---------------------------------------------------------------- chunks
@@ -56,13 +60,16 @@ class _Words(dict):
 
 
 def _zip(a: np.ndarray) -> bytes:
+    """Compressed byte by byte place: the high bytes of numbers are alike."""
     import zstandard
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
+    planes = np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def _unzip(b: bytes, kind) -> np.ndarray:
     import zstandard
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 _CHUNKS = ("chunk long, doc_ids binary, roles binary, lens binary, types binary, tokens binary, "
@@ -73,15 +80,15 @@ def _pack_chunk(part: int, number: int, ids, roles, docs, words: _Words) -> dict
     import xxhash
     types = np.empty(len(words) + 1, _U)
     types[0] = _END_HASH
-    types[1:] = [xxhash.xxh64_intdigest(w) for w in words]
+    types[1:] = [xxhash.xxh64_intdigest(w) >> int(_SHIFT) for w in words]
     roles = np.array(roles, np.uint8)     # 0 scored only, 1 training, 2 training and EM
     lens = np.array([len(d) for d in docs], np.int64)
     tokens = np.concatenate(docs)
     fold = np.concatenate([tokens[:0], *[d for d, r in zip(docs, roles) if r == 2]])
     used, fold = np.unique(fold, return_inverse=True)
     return {"chunk": (part << 32) | number, "doc_ids": np.array(ids, np.int64).tobytes(), "roles": roles.tobytes(),
-            "lens": lens.tobytes(), "types": types.tobytes(), "tokens": _zip(tokens), "n_tokens": int(lens.sum()),
-            "train_tokens": int(lens[roles > 0].sum()), "fold_types": types[used].tobytes(),
+            "lens": lens.tobytes(), "types": _zip(types), "tokens": _zip(tokens), "n_tokens": int(lens.sum()),
+            "train_tokens": int(lens[roles > 0].sum()), "fold_types": _zip(types[used]),
             "fold_tokens": _zip(fold.astype(np.uint32)), "fold_count": len(fold)}
 
 
@@ -126,7 +133,7 @@ def _bigram_hash(codes: np.ndarray, types: np.ndarray) -> np.ndarray:
     v, w = types[codes // len(types)], types[codes % len(types)]
     h = (v ^ (w * _U(0x9E3779B97F4A7C15))) * _U(0xD6E8FEB86659FD93)
     h = ((h ^ (h >> _U(32))) + w) * _U(0xFF51AFD7ED558CCD)
-    return h ^ (h >> _U(29))
+    return (h ^ (h >> _U(29))) >> _SHIFT
 
 
 # ------------------------------------------------- asking for and giving counts
@@ -148,7 +155,7 @@ def _undeltas(raw: bytes) -> np.ndarray:
 
 def _cuts(sorted_hashes: np.ndarray, parts: int) -> np.ndarray:
     """Borders of ``parts`` equal hash ranges in a sorted array."""
-    edges = np.array([(i << 64) // parts for i in range(1, parts)], _U)
+    edges = np.array([(i << HASH_BITS) // parts for i in range(1, parts)], _U)
     return np.concatenate([[0], np.searchsorted(sorted_hashes, edges), [len(sorted_hashes)]])
 
 
@@ -162,7 +169,7 @@ def requests(chunks: DataFrame, bigram_parts: int, word_parts: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for chunk, roles, lens, types, tokens in zip(*(b.column(c).to_pylist() for c in range(5))):
-                types, tokens = np.frombuffer(types, _U), _unzip(tokens, np.uint32)
+                types, tokens = _unzip(types, _U), _unzip(tokens, np.uint32)
                 role = np.repeat(np.frombuffer(roles, np.uint8), np.frombuffer(lens, np.int64))
                 train, fold = (role > 0), (role == 2)
                 codes, which = np.unique(_bigrams(tokens, len(types)), return_inverse=True)
@@ -265,7 +272,7 @@ def histogram(chunks: DataFrame, given: DataFrame, bigram_parts: int, tokens: in
     unit = 1.0 / (types + 1)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        held, own = _unzip(left.column("fold_tokens")[0].as_py(), np.uint32), np.frombuffer(left.column("fold_types")[0].as_py(), _U)
+        held, own = _unzip(left.column("fold_tokens")[0].as_py(), np.uint32), _unzip(left.column("fold_types")[0].as_py(), _U)
         pair, context, word, _, which = _aligned(held, own, *_given(right, "deleted", bigram_parts))
         n = np.bincount(which, minlength=len(pair)).astype(np.float64)
         f2 = np.where(context > 0, pair / np.maximum(context, 1), 0.0)
@@ -314,7 +321,7 @@ def score_chunks(chunks: DataFrame, given: DataFrame, model: Model, bigram_parts
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         m = shared.value
-        own, tokens = np.frombuffer(left.column("types")[0].as_py(), _U), _unzip(left.column("tokens")[0].as_py(), np.uint32)
+        own, tokens = _unzip(left.column("types")[0].as_py(), _U), _unzip(left.column("tokens")[0].as_py(), np.uint32)
         lens = np.frombuffer(left.column("lens")[0].as_py(), np.int64)
         pair, context, word, by_type, which = _aligned(tokens, own, *_given(right, "total", bigram_parts))
         starts = np.cumsum(lens) - lens
