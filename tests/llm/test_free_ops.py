@@ -592,3 +592,12 @@ def test_scores_beside_columns_of_their_names(spark, make_docs):
     assert both.columns[-3:] == ["text_view", "meta_view", "quality_"]
     assert both.where("quality = 'mine' and quality_ between 0 and 1").count() == len(rows)
     assert toxicity.score(docs.limit(0), toxicity.fit(docs, flags)).count() == 0
+
+
+def test_words_sent_to_the_model_keep_their_ids():
+    file = public_tokenizers.path("word_bpe_49k.json")
+    plain, ours = Tokenizer.from_file(file), tokens.WordTokenizer(file)
+    rng = random.Random(6)
+    for _ in range(3000):
+        text = "".join(rng.choice("abcz019.,'s-éüßÉÑñ́ \n$_İſ漢") for _ in range(rng.randrange(1, 20)))
+        assert np.frombuffer(ours.encode(text.encode()), "<u2").tolist() == plain.encode(text, add_special_tokens=False).ids, text
