@@ -17,6 +17,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # keyed stream state with timers needs this store
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Partial aggregation stays on for hot keys; files are split at 128 MB.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }

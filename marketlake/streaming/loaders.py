@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.upsert import insert_ignore, upsert
 from ..session import cut_lineage, ship_package
@@ -129,47 +129,81 @@ def start_observation_load(spark: SparkSession, landing_dir: str, table_path: st
 # --------------------------------------------------------------------- ST-4
 LEDGER_OUT = ("year int, quarter string, status string, downloaded_at timestamp, failed_at timestamp, "
               "error_message string, retry_count int, last_attempt timestamp")
+EXPIRED = "pending too long"
 LEDGER_STATE = ("status string, downloaded_at timestamp, failed_at timestamp, error_message string, "
                 "retry_count int, last_attempt timestamp")
 
 
-def _ledger_step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Fold one key's new outcome events into its ledger state, vectorized:
-    status and error come from the last event (an error only of a failure),
-    the success / failure times from the last event of each kind, and the
-    retry count is the failures after the last success (added to the stored count when the batch has no
-    success)."""
-    if state.exists:
-        status, dl, fl, err, retry, last = state.get
-    else:
-        status, dl, fl, err, retry, last = None, None, None, None, 0, None
-    ev = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "seq"], kind="mergesort")
-    ok, bad = (ev["outcome"] == "success").to_numpy(), (ev["outcome"] == "failed").to_numpy()
-    if ok.any():
-        last_ok = int(np.flatnonzero(ok)[-1])
-        dl = ev["ts"].iloc[last_ok]
-        retry = int(bad[last_ok + 1:].sum())
-    else:
-        retry = int(retry or 0) + int(bad.sum())
-    if bad.any():
-        fl = ev["ts"].iloc[int(np.flatnonzero(bad)[-1])]
-    status = ev["outcome"].iloc[-1]
-    err = ev["error"].iloc[-1] if bad[-1] else None
-    last = ev["ts"].iloc[-1]
-    state.update((status, dl, fl, err, int(retry), last))
-    yield pd.DataFrame([{"year": key[0], "quarter": key[1], "status": status, "downloaded_at": dl,
-                         "failed_at": fl, "error_message": err, "retry_count": int(retry),
-                         "last_attempt": last}])
-
-
-def ledger_state_stream(outcomes: DataFrame) -> DataFrame:
+class LedgerProcessor(StatefulProcessor):
+    """One quarter's ledger row as typed state.  With ``pending_ms``, a
+    quarter that stays pending so long after its last event is turned into a
+    failure by an event-time timer."""
+
+    def __init__(self, pending_ms: int | None = None):
+        self.pending_ms = pending_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.row = handle.getValueState("ledger", LEDGER_STATE)
+
+    def _put(self, key, status, done, failed, error, retries, last) -> Iterator[pd.DataFrame]:
+        self.row.update((status, done, failed, error, int(retries), last))
+        yield pd.DataFrame([{"year": key[0], "quarter": key[1], "status": status, "downloaded_at": done, "failed_at": failed,
+                             "error_message": error, "retry_count": int(retries), "last_attempt": last}])
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        """Fold the batch's new outcome events into the state: status and
+        error come from the last event (an error only of a failure), the
+        success and failure times from the last event of each kind, and the
+        retry count is the failures after the last success (added to the
+        stored count when the batch has no success)."""
+        status, done, failed, error, retries, last = self.row.get() if self.row.exists() else (None,) * 4 + (0, None)
+        ev = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "seq"], kind="mergesort")
+        ok, bad = (ev["outcome"] == "success").to_numpy(), (ev["outcome"] == "failed").to_numpy()
+        if ok.any():
+            last_ok = int(np.flatnonzero(ok)[-1])
+            done = ev["ts"].iloc[last_ok]
+            retries = int(bad[last_ok + 1:].sum())
+        else:
+            retries = int(retries or 0) + int(bad.sum())
+        if bad.any():
+            failed = ev["ts"].iloc[int(np.flatnonzero(bad)[-1])]
+        status, last = ev["outcome"].iloc[-1], ev["ts"].iloc[-1]
+        error = ev["error"].iloc[-1] if bad[-1] else None
+        if self.pending_ms is not None:
+            for old in list(self.handle.listTimers()):
+                self.handle.deleteTimer(old)
+            if status == "pending":
+                self.handle.registerTimer(int(last.timestamp() * 1000) + self.pending_ms)
+        yield from self._put(key, status, done, failed, error, retries, last)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        status, done, failed, error, retries, last = self.row.get()
+        if status == "pending":
+            at = pd.Timestamp(expiredTimerInfo.getExpiryTimeInMs(), unit="ms")
+            yield from self._put(key, "failed", done, at, EXPIRED, int(retries or 0) + 1, last)
+
+    def close(self) -> None:
+        pass
+
+
+def ledger_state_stream(outcomes: DataFrame, pending_after: str | None = None, lateness: str = "0 seconds") -> DataFrame:
     """UPS-9 over a stream of (year, quarter, outcome, error, ts, seq):
     keyed state per quarter, one updated ledger row per key and batch.
-    Only the batch's new events of a key are held, never its history."""
-    ship_package(outcomes.sparkSession)
-    return (outcomes.groupBy("year", "quarter")
-            .applyInPandasWithState(_ledger_step, LEDGER_OUT, LEDGER_STATE, "update",
-                                    GroupStateTimeout.NoTimeout))
+    Only the batch's new events of a key are held, never its history.
+
+    ``pending_after`` (an interval such as ``2 hours``): quarters whose last
+    event is pending that long behind the stream's watermark (events up to
+    ``lateness`` late) fail with the message ``EXPIRED``.  Needs the session's
+    state store provider of ``build_session``."""
+    spark = outcomes.sparkSession
+    ship_package(spark)
+    if pending_after is None:
+        return (outcomes.groupBy("year", "quarter")
+                .transformWithStateInPandas(LedgerProcessor(), LEDGER_OUT, "Update", "None"))
+    wait = spark.range(1).select(F.unix_millis(F.timestamp_seconds(F.lit(0)) + F.expr(f"interval {pending_after}"))).first()[0]
+    return (outcomes.withWatermark("ts", lateness).groupBy("year", "quarter")
+            .transformWithStateInPandas(LedgerProcessor(wait), LEDGER_OUT, "Update", "EventTime"))
 
 
 # --------------------------------------------------------------------- ST-5

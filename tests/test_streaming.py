@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlake.operators import upsert as UP
 from marketlake.streaming import loaders as LD
+from marketlake.streaming.progress import progress, with_progress
 from marketlake.streaming.incremental import arriving_after_high_water
 
 HEADER = "CIK|Company Name|Form Type|Date Filed|Filename"
@@ -167,3 +168,65 @@ def test_sinks_leave_the_session_as_it_was(spark, tmp):
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     LD.observation_upsert_sink(os.path.join(tmp, "obs"))(_obs(spark, [("S", dt.date(2024, 1, 1), 1.0, 1)]), 0)
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+# ------------------------------------------------------------- load progress
+def test_restarted_load_skips_committed_batches(spark, tmp):
+    land, table, ck, log = (os.path.join(tmp, x) for x in ("land", "table", "ck", "log"))
+    applied, broken = [], [True]
+
+    def sink(batch, batch_id):
+        if batch_id == 1 and broken[0]:
+            raise RuntimeError("killed")
+        applied.append((batch_id, batch.count()))
+        batch.write.mode("append").parquet(table)
+
+    def load(checkpoint, **kw):
+        src = spark.readStream.schema("id long, name string").option("maxFilesPerTrigger", 1).parquet(land)
+        q = src.writeStream.foreachBatch(with_progress(sink, log, "name", **kw)).option("checkpointLocation", checkpoint)
+        q = q.trigger(availableNow=True).start()
+        q.awaitTermination()
+    for i in range(3):
+        spark.range(i * 10, i * 10 + 5 + i).selectExpr("id", "concat('s', id) name").coalesce(1).write.mode("append").parquet(land)
+    with pytest.raises(Exception, match="killed"):
+        load(ck)
+    r = progress(spark, log).first()
+    assert (r["batches"], r["total_rows"], r["last_batch"], r["last_key"]) == (1, 5, 0, "s4")
+    broken[0] = False
+    load(ck)
+    assert applied == [(0, 5), (1, 6), (2, 7)]
+    r = progress(spark, log).first()
+    assert (r["batches"], r["total_rows"], r["last_batch"], r["last_key"]) == (3, 18, 2, "s26")
+    assert spark.read.parquet(table).count() == 18
+    # a replay of a committed batch under the same name does nothing; a new checkpoint is a load of its own
+    run = with_progress(sink, log, "name", stream=r["stream"])
+    run(spark.range(3).selectExpr("id", "'x' name"), 2)
+    assert len(applied) == 3 and progress(spark, log).count() == 1
+    load(os.path.join(tmp, "ck2"))
+    assert len(applied) == 6 and progress(spark, log).count() == 2
+    with pytest.raises(ValueError, match="stream name"):
+        with_progress(sink, log, "name")(spark.range(1).selectExpr("id", "'x' name"), 0)
+
+
+def test_pending_quarters_expire_by_timer(spark, tmp):
+    land, out, ck = (os.path.join(tmp, x) for x in ("land", "out", "ck"))
+    schema = "year int, quarter string, outcome string, error string, ts timestamp, seq long"
+
+    def put(*rows):
+        df = spark.createDataFrame([(y, q, o, None, t, n) for n, (y, q, o, t) in enumerate(rows)],
+                                   "year int, quarter string, outcome string, error string, ts string, seq long")
+        df.withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode("append").parquet(land)
+        src = spark.readStream.schema(schema).parquet(land)
+        (LD.ledger_state_stream(src, "2 hours").writeStream.outputMode("update")
+         .foreachBatch(lambda b, i: b.withColumn("batch", F.lit(i)).write.mode("append").parquet(out))
+         .option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination())
+    put((2020, "QTR1", "pending", "2024-01-01 00:00:00"), (2020, "QTR2", "pending", "2024-01-01 00:00:00"))
+    put((2020, "QTR1", "success", "2024-01-01 01:00:00"))
+    put((2020, "QTR3", "success", "2024-01-01 05:00:00"))
+    put((2020, "QTR3", "success", "2024-01-01 06:00:00"))
+    last = {r.quarter: r for r in spark.read.parquet(out).groupBy("quarter").agg(
+        F.max_by(F.struct("status", "error_message", "retry_count", "failed_at"), F.struct("batch", "retry_count")).alias("r"))
+        .select("quarter", "r.*").collect()}
+    assert last["QTR1"].status == "success" and last["QTR3"].status == "success"
+    assert (last["QTR2"].status, last["QTR2"].error_message, last["QTR2"].retry_count) == ("failed", LD.EXPIRED, 1)
+    assert last["QTR2"].failed_at == dt.datetime(2024, 1, 1, 2, 0)
