@@ -103,3 +103,20 @@ def prepare_features(long_df: DataFrame, series_ids: list[str], method: str = "p
     """FEAT-1..5: the model input panel; dates travel with their rows."""
     return to_wide_complete(change_long(long_df, series_ids, method, **kw), series_ids,
                             decimals=decimals)
+
+
+# ---------------------------------------------------------------------- FS-1
+def feature_range(df: DataFrame, ts: str, start: Column, end: Column) -> DataFrame:
+    """The rows of a feature view between ``start`` (in) and ``end`` (out); the
+    bounds are pushed to the scan."""
+    return df.where((F.col(ts) >= start) & (F.col(ts) < end))
+
+
+def latest_features(df: DataFrame, key: list[str], ts: str, features: list[str],
+                    tiebreak: list[str] | None = None) -> DataFrame:
+    """FS-1: the features of each key as of its latest row: (key, features,
+    ts).  One partial aggregation, so a key of any size is no burden; a null
+    ``ts`` is never the latest."""
+    order = F.struct(ts, *(tiebreak or []))
+    rows = df.where(F.col(ts).isNotNull()).groupBy(*key).agg(F.max_by(F.struct(*features, ts), order).alias("_r"))
+    return rows.select(*key, *[F.col(f"_r.{c}").alias(c) for c in (*features, ts)])

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed_values as FV
+
 
 
 # --------------------------------------------------------------------- JOIN-1
@@ -31,6 +33,18 @@ def align_series(long_df: DataFrame, series_ids: list[str], id_col: str = "serie
     return pivoted.orderBy(date_col)
 
 
+PANELS = {"macro": FV.KEY_MACRO_SERIES, "gdp": FV.GDP_COMPONENT_SERIES}
+
+
+def indicator_panel(long_df: DataFrame, panel: str, id_col: str = "series_id", date_col: str = "date",
+                    value_col: str = "value") -> DataFrame:
+    """JOIN-2: a named panel (``PANELS``) aligned on date; series of it that
+    have no rows add no column."""
+    if panel not in PANELS:
+        raise ValueError(f"unknown panel {panel!r}, not one of {sorted(PANELS)}")
+    return align_series(long_df, PANELS[panel], id_col, date_col, value_col, drop_empty=True)
+
+
 def present_ids(long_df: DataFrame, series_ids: list[str], id_col: str = "series_id") -> list[str]:
     """Ids among ``series_ids`` that have at least one row (at most
     len(series_ids) small values reach the driver)."""

@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 # --------------------------------------------------------------------- WIN-1
@@ -107,11 +108,23 @@ def segmented_lag(df: DataFrame, key: list[str], order: list[str], value: Column
 
 
 # --------------------------------------------------------------------- WIN-4
+def default_bucket(df: DataFrame, order: str) -> Column:
+    """A grain of ``order`` that keeps its order, to split a key's rows by."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, T.StringType):
+        return F.substring(order, 1, 7)
+    if isinstance(kind, T.NumericType):
+        return F.floor(F.col(order) / 4096)
+    return F.date_trunc("month", F.col(order))
+
+
 def change_history(df: DataFrame, key: list[str], order: str, tracked: list[str],
                    bucket: Column | str | None = None) -> DataFrame:
     """Snapshot history (SCD-2): rows where any tracked value differs from
     the previous row of the same key, with ``valid_from`` = the row's order
     value and ``valid_to`` = the next change's (null for the current one).
+    ``bucket``: by default a month of a date, 4096 of a whole number, the first
+    seven characters of a text (a month of an ISO date).
 
     Segmented: windows run per (key, bucket); a bucket's first row compares
     with the last row of the key's previous non-empty bucket, and a bucket's
@@ -119,7 +132,8 @@ def change_history(df: DataFrame, key: list[str], order: str, tracked: list[str]
     come from one-row-per-bucket summaries.
     """
     b = "_bucket"
-    d = df.withColumn(b, F.lit(0) if bucket is None else (F.col(bucket) if isinstance(bucket, str) else bucket))
+    bucket = default_bucket(df, order) if bucket is None else bucket
+    d = df.withColumn(b, F.col(bucket) if isinstance(bucket, str) else bucket)
     cur = F.struct(*[F.col(c) for c in tracked])
     w = Window.partitionBy(*key, b).orderBy(order)
     local = (d.withColumn("_prev_local", F.lag(cur).over(w))

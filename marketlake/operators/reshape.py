@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.periods import banking_period_date, european_period_date
 from ..functions.scalars import classify_label
 
 
@@ -40,6 +42,60 @@ def melt_with_dimensions(df: DataFrame, id_cols: list[str], value_cols: list[str
     return out
 
 
+# Names that a time column goes by.
+TIME_NAMES = ("time", "time_period", "time period", "period", "date", "obs_time", "year")
+# Formats tried on a column's values, in this order.
+TIME_FORMATS = {
+    "european": european_period_date,
+    "banking": banking_period_date,
+    "compact": lambda c: F.when(c.rlike(r"^\d{8}$"), F.try_to_date(c, "yyyyMMdd")),
+    "day first": lambda c: F.when(c.rlike(r"^\d{2}/\d{2}/\d{4}$"), F.try_to_date(c, "dd/MM/yyyy")),
+}
+
+
+def _time_value(df: DataFrame, column: str, how: str) -> Column:
+    if how == "date":
+        return F.col(column).cast("date")
+    return TIME_FORMATS[how](F.trim(F.col(column).cast("string")))
+
+
+def detect_time_column(df: DataFrame, least: float = 0.9) -> tuple[str, str] | None:
+    """(column, format) of the time column: a date or timestamp, or the column
+    of which the largest share of values reads as periods in one of
+    ``TIME_FORMATS``, at least ``least`` of those not null.  Columns named as in
+    ``TIME_NAMES`` come before others, then dates, then the larger share, then
+    the earlier; numbers count only under such a name.  One aggregate over all
+    columns; the driver gets one count per column and format."""
+    named = {c for c in df.columns if c.strip().lower() in TIME_NAMES}
+    kinds = {c: df.schema[c].dataType for c in df.columns}
+    dates = [c for c, k in kinds.items() if isinstance(k, (T.DateType, T.TimestampType, T.TimestampNTZType))]
+    texts = [c for c, k in kinds.items() if isinstance(k, T.StringType) or c in named and isinstance(k, T.IntegralType)]
+    tried = [(c, how) for c in texts for how in TIME_FORMATS]
+    counts = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(texts)],
+                    *[F.count(_time_value(df, c, how)).alias(f"t{i}") for i, (c, how) in enumerate(tried)]).first() if texts else {}
+    rows = {c: counts[f"n{i}"] for i, c in enumerate(texts)}
+    found = [(c, "date", 1.0) for c in dates]
+    found += [(c, how, counts[f"t{i}"] / rows[c]) for i, (c, how) in enumerate(tried) if rows[c]]
+    at, formats = {c: i for i, c in enumerate(df.columns)}, ["date", *TIME_FORMATS]
+    fit = [x for x in found if x[2] >= least]
+    best = min(fit, key=lambda x: (x[0] not in named, x[1] != "date", -x[2], at[x[0]], formats.index(x[1])), default=None)
+    return best and best[:2]
+
+
+def melt_detected(df: DataFrame, dimension_names: dict[str, dict[str, str]] | None = None,
+                  time: tuple[str, str] | None = None) -> DataFrame:
+    """RSH-1 on a table as it landed: its time column is found and parsed to
+    ``date``, every other column becomes rows (date, variable, value,
+    dimensions); rows without a date or a number are dropped.  ``time`` gives
+    the column and format instead.  ValueError where no column holds times."""
+    time = time or detect_time_column(df)
+    if time is None:
+        raise ValueError(f"no column of {df.columns} holds times")
+    rest = [c for c in df.columns if c != time[0]]
+    dated = df.select(_time_value(df, *time).alias("date"), *rest).where(F.col("date").isNotNull())
+    return melt_with_dimensions(dated, ["date"], rest, dimension_names, date_col="date")
+
+
 # --------------------------------------------------------------------- RSH-2
 def to_long_map(df: DataFrame, id_cols: list[str], extra_cols: list[str] | None = None) -> DataFrame:
     """Free columns -> one map<string,string> column (stored long form)."""

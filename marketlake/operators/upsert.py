@@ -3,14 +3,14 @@
 Each upsert is one union of both sides followed by one keyed aggregation
 (``max_by`` / ``min_by`` over a (side, seq) order): a single shuffle on the
 key with map-side partial aggregation, so a hot key never gathers its rows
-in one task.  The sink (``sources.sink``) then writes the result to a fresh
-versioned folder and flips the pointer.
+in one task.  ``sources.sink`` writes the result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import dims_to_json
 from .order import keep_last
@@ -24,10 +24,11 @@ def _tag(df: DataFrame, side: int, seq: Column | None) -> DataFrame:
     return df.withColumn(SEQ, seq if seq is not None else F.lit(0).cast("long")).withColumn(SIDE, F.lit(side))
 
 
-def _row_text(cols: list[str]) -> Column:
-    """Last resort in an order: rows that tie in all else compare by their
-    values as text, so the same rows always give the same winner."""
-    return F.to_json(F.struct(*[F.col(c) for c in cols])) if cols else F.lit("")
+def _row_hash(df: DataFrame, cols: list[str]) -> Column:
+    """Last resort in an order: rows that tie in all else compare by a hash of
+    their values, so the same rows always give the same winner."""
+    plain = [F.to_json(F.col(c)) if isinstance(df.schema[c].dataType, T.MapType) else F.col(c) for c in cols]
+    return F.xxhash64(*plain) if plain else F.lit(0)
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: list[str],
@@ -47,7 +48,7 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: list[str],
     ex = _tag(existing.select(*key, *cols), 0,
               (existing_seq if existing_seq is not None else F.lit(None)).cast(seq_type))
     u = ex.unionByName(inc)
-    order = F.struct(F.col(SIDE), F.col(SEQ), _row_text(cols))
+    order = F.struct(F.col(SIDE), F.col(SEQ), _row_hash(existing, cols))
     aggs = [F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("_new")]
     for c in keep_from_existing:
         # first row in (side, seq) order: the stored row when there is one
@@ -83,7 +84,7 @@ def insert_ignore(existing: DataFrame, incoming: DataFrame, key: list[str],
     seq = incoming_seq if incoming_seq is not None else F.lit(0)
     inc = incoming.select(*key, *cols, seq.alias(SEQ)).withColumn(SIDE, F.lit(1))
     u = _tag(existing.select(*key, *cols), 0, F.lit(None).cast(inc.schema[SEQ].dataType)).unionByName(inc)
-    order = F.struct(F.col(SIDE), F.col(SEQ), _row_text(cols))
+    order = F.struct(F.col(SIDE), F.col(SEQ), _row_hash(existing, cols))
     g = u.groupBy(*key).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_r"))
     return g.select(*key, "_r.*")
 

@@ -129,15 +129,13 @@ def q_hmm_metrics(spark, d):
 
 
 @query(sql="""
-SELECT n_nationkey, n_regionkey + 2 AS k, n_nationkey % 4 + 1 AS d,
-       (n_regionkey + 1) + (n_regionkey + 2) * (n_regionkey + 1) + 2 * (n_regionkey + 2) * (n_nationkey % 4 + 1) AS n_params
-FROM nation""")
+SELECT p_partkey, k, d, (k - 1) + k * (k - 1) + 2 * k * d AS n_params
+FROM (SELECT p_partkey, p_size % 7 + 2 AS k, p_partkey % 4 + 1 AS d FROM part)""")
 def q_param_count(spark, d):
     """HMM-5: (k-1) + k(k-1) + 2kd over a grid of model sizes."""
-    n = read(spark, d, "nation")
-    k, dd = F.col("n_regionkey") + 2, F.col("n_nationkey") % 4 + 1
-    return n.select("n_nationkey", k.alias("k"), dd.alias("d"),
-                    ((k - 1) + k * (k - 1) + 2 * k * dd).alias("n_params"))
+    n = read(spark, d, "part")
+    k, dd = F.col("p_size") % 7 + 2, F.col("p_partkey") % 4 + 1
+    return n.select("p_partkey", k.alias("k"), dd.alias("d"), H.n_params(k, dd).alias("n_params"))
 
 
 CHAIN_SQL = """

@@ -8,6 +8,7 @@ from ..functions.scalars import benchmark_key, quarter_label
 from ..operators.filters import ids_from_query
 from ..operators.upsert import ledger_lookup
 from ..sources.landed import dimension_keywords, embedded_json_block, parse_structure_json, table_pairs
+from .q_filters import LEDGER_SQL, quarter_ledger
 from .registry import query
 from .tables import read
 
@@ -29,15 +30,20 @@ def q_table_pairs(spark, d):
 
 # ------------------------------------------------------------- SRC-8, FN-18
 @query(sql="""
-SELECT n_name AS dataset, CASE WHEN n_regionkey % 2 = 0 THEN 'unit, geo' ELSE 'geo, time, unit' END AS keywords FROM nation""")
+SELECT 'P' || CAST(p_partkey AS VARCHAR) AS dataset,
+       CASE WHEN p_size % 2 = 0 THEN 'unit, ' || lower(p_brand) ELSE lower(p_brand) || ', time, unit' END AS keywords FROM part""")
 def q_dim_keywords(spark, d):
     """FN-18/SRC-8: the dimensions of each dataset in their given order."""
-    n = read(spark, d, "nation")
-    dim = lambda k, v: f'"{k}": {{"label": {{"en": "{k}"}}, "values": [{{"id": "{v}", "label": "{v}"}}, {{"id": "z", "label": "z"}}]}}'
-    even, odd = (f'{{"structure": {{"dimensions": {{{x}}}}}}}' for x in (
-        ", ".join((dim("unit", "EUR"), dim("geo", "DE"))), ", ".join((dim("geo", "DE"), dim("time", "M"), dim("unit", "EUR")))))
-    body = F.when(F.col("n_regionkey") % 2 == 0, F.lit(even)).otherwise(F.lit(odd))
-    rows = parse_structure_json(n.select(F.col("n_name").alias("code"), body.alias("value")), dataset_col="code")
+    p = read(spark, d, "part")
+
+    def dim(k, v):
+        return F.concat(F.lit('"'), k, F.lit('": {"label": {"en": "'), k, F.lit(f'"}}, "values": [{{"id": "{v}", "label": "{v}"}}]}}'))
+    brand, unit, time = F.lower("p_brand"), F.lit("unit"), F.lit("time")
+    dims = F.when(F.col("p_size") % 2 == 0, F.concat_ws(", ", dim(unit, "EUR"), dim(brand, "DE"))).otherwise(
+        F.concat_ws(", ", dim(brand, "DE"), dim(time, "M"), dim(unit, "EUR")))
+    body = F.concat(F.lit('{"structure": {"dimensions": {'), dims, F.lit("}}}"))
+    code = F.concat(F.lit("P"), F.col("p_partkey").cast("string"))
+    rows = parse_structure_json(p.select(code.alias("code"), body.alias("value")), dataset_col="code")
     return dimension_keywords(rows)
 
 
@@ -89,10 +95,8 @@ def q_quarter_label(spark, d):
 
 
 # -------------------------------------------------------------------- UPS-10
-@query(sql="""
-SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1 AND n_nationkey = (SELECT min(n_nationkey) FROM nation WHERE n_regionkey = 1)""")
+@query(sql="WITH " + LEDGER_SQL + """
+SELECT year, quarter, status, retry_count FROM ledger WHERE year = 1996 AND quarter = 'QTR2'""")
 def q_ledger_lookup(spark, d):
     """UPS-10: one ledger row by its key, or none."""
-    n = read(spark, d, "nation")
-    first = n.where("n_regionkey = 1").agg(F.min("n_nationkey")).first()[0]
-    return ledger_lookup(n, n_regionkey=1, n_nationkey=first).select("n_nationkey", "n_name")
+    return ledger_lookup(quarter_ledger(spark, d), year=1996, quarter="QTR2").select("year", "quarter", "status", "retry_count")

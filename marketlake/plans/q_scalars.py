@@ -186,25 +186,25 @@ def _country_sql(geo: str, sid: str) -> str:
 
 COUNTRY_INPUT_SQL = """
 x AS (
-  SELECT n_nationkey,
-    CASE WHEN n_regionkey = 0 THEN n_name || ' (CAN)' WHEN n_regionkey = 1 THEN 'in ' || n_name ELSE NULL END AS geography,
-    upper(substr(n_name, 1, 3)) || 'GDP' || CASE WHEN n_nationkey % 3 = 0 THEN 'AUS' ELSE '' END AS series_id
-  FROM nation
+  SELECT c_custkey,
+    CASE WHEN c_nationkey % 5 = 0 THEN c_name || ' (CAN)' WHEN c_nationkey % 5 = 1 THEN 'in ' || c_mktsegment ELSE NULL END AS geography,
+    upper(substr(c_mktsegment, 1, 3)) || 'GDP' || CASE WHEN c_custkey % 3 = 0 THEN 'AUS' ELSE '' END AS series_id
+  FROM customer
 )"""
 
 
 @query(sql="WITH " + COUNTRY_INPUT_SQL + """
-SELECT n_nationkey, geography, series_id, """ + _country_sql("geography", "series_id") + """ AS country FROM x""")
+SELECT c_custkey, geography, series_id, """ + _country_sql("geography", "series_id") + """ AS country FROM x""")
 def q_country(spark, d):
     """FN-8: country from geography text or series id, longest code first
     (so 'AUS' is not read as 'US'), default United States."""
-    n = read(spark, d, "nation")
-    geo = (F.when(F.col("n_regionkey") == 0, F.concat("n_name", F.lit(" (CAN)")))
-            .when(F.col("n_regionkey") == 1, F.concat(F.lit("in "), "n_name")))
-    sid = F.concat(F.upper(F.substring("n_name", 1, 3)), F.lit("GDP"),
-                   F.when(F.col("n_nationkey") % 3 == 0, F.lit("AUS")).otherwise(F.lit("")))
-    x = n.select("n_nationkey", geo.alias("geography"), sid.alias("series_id"))
-    return x.select("n_nationkey", "geography", "series_id",
+    c = read(spark, d, "customer")
+    geo = (F.when(F.col("c_nationkey") % 5 == 0, F.concat("c_name", F.lit(" (CAN)")))
+            .when(F.col("c_nationkey") % 5 == 1, F.concat(F.lit("in "), "c_mktsegment")))
+    sid = F.concat(F.upper(F.substring("c_mktsegment", 1, 3)), F.lit("GDP"),
+                   F.when(F.col("c_custkey") % 3 == 0, F.lit("AUS")).otherwise(F.lit("")))
+    x = c.select("c_custkey", geo.alias("geography"), sid.alias("series_id"))
+    return x.select("c_custkey", "geography", "series_id",
                     S.country_of(F.col("series_id"), F.col("geography")).alias("country"))
 
 
@@ -240,13 +240,13 @@ GRID_SUFFIXES = ["0000000001", "0000000002", "U00000001"]
 
 
 @query(sql="""
-SELECT n_nationkey, 'LAU' || upper(substr(n_name, 1, 2)) || s.suffix AS candidate_id
-FROM nation, (VALUES ('0000000001'), ('0000000002'), ('U00000001')) s(suffix)""")
+SELECT c_custkey, 'LAU' || upper(substr(c_mktsegment, 1, 2)) || s.suffix AS candidate_id
+FROM customer, (VALUES ('0000000001'), ('0000000002'), ('U00000001')) s(suffix)""")
 def q_id_grid(spark, d):
     """FN-10: candidate ids, prefix x fixed suffix list (per-row fan-out)."""
-    n = read(spark, d, "nation")
-    prefix = F.concat(F.lit("LAU"), F.upper(F.substring("n_name", 1, 2)))
-    return n.select("n_nationkey", S.id_grid(prefix, GRID_SUFFIXES).alias("candidate_id"))
+    c = read(spark, d, "customer")
+    prefix = F.concat(F.lit("LAU"), F.upper(F.substring("c_mktsegment", 1, 2)))
+    return c.select("c_custkey", S.id_grid(prefix, GRID_SUFFIXES).alias("candidate_id"))
 
 
 CELLS_SQL = """
@@ -432,11 +432,11 @@ def q_stringify(spark, d):
 
 
 @query(sql="""
-SELECT n_nationkey, n_name || ' (' || CAST(n_nationkey AS VARCHAR) || ')' AS description FROM nation""")
+SELECT p_partkey, p_name || ' (' || CAST(p_partkey AS VARCHAR) || ')' AS description FROM part""")
 def q_format(spark, d):
     """FN-22: 'name (code)' descriptions."""
-    n = read(spark, d, "nation")
-    return n.select("n_nationkey", S.describe_code(F.col("n_name"), F.col("n_nationkey")).alias("description"))
+    p = read(spark, d, "part")
+    return p.select("p_partkey", S.describe_code(F.col("p_name"), F.col("p_partkey")).alias("description"))
 
 
 @query(sql=f"""
@@ -451,20 +451,21 @@ def q_first_link(spark, d):
 
 
 @query(sql="""
-SELECT k, i AS regime_idx,
+SELECT p_partkey, k, i AS regime_idx,
   CASE WHEN k = 2 THEN ['Expansion', 'Contraction'][i + 1]
        WHEN k = 3 THEN ['Expansion', 'Peak', 'Contraction'][i + 1]
        WHEN k = 4 THEN ['Expansion', 'Peak', 'Contraction', 'Trough'][i + 1]
        ELSE 'Regime_' || CAST(i + 1 AS VARCHAR) END AS regime
-FROM (SELECT n_nationkey + 2 AS k FROM nation) n, range(0, 27) r(i)
+FROM (SELECT p_partkey, p_size % 6 + 2 AS k FROM part) n, range(0, 8) r(i)
 WHERE i < k""")
 def q_regime_names(spark, d):
-    """HMM-8: names of the states for each model size k (nation keys plus 2)."""
-    n = read(spark, d, "nation").select((F.col("n_nationkey") + 2).alias("k"))
-    x = n.select("k", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("regime_idx"))
+    """HMM-8: names of the states of a model of size k for each part (its size
+    modulo 6, plus 2)."""
+    n = read(spark, d, "part").select("p_partkey", (F.col("p_size") % 6 + 2).alias("k"))
+    x = n.select("p_partkey", "k", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("regime_idx"))
     named = [F.when(F.col("k") == k, S.regime_name(k, "regime_idx")) for k in (2, 3, 4)]
     names = F.coalesce(*named, S.regime_name(0, "regime_idx"))
-    return x.select("k", F.col("regime_idx").cast("long").alias("regime_idx"), names.alias("regime"))
+    return x.select("p_partkey", "k", F.col("regime_idx").cast("long").alias("regime_idx"), names.alias("regime"))
 
 
 @query(sql="""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import upsert as UP
-from ..functions.scalars import dims_to_json, json_to_dims
+from ..functions.scalars import json_to_dims
 from .oracle import INDEX_PARSED
 from .q_sources import filings
 from .q_windows import LINE_COLS, LINE_SEQ
@@ -85,12 +85,12 @@ def q_upsert_dims(spark, d):
     dimensions map (key order inside the map ignored)."""
     ev = read(spark, d, "events").select(F.col("event_type").alias("code"), F.to_date("ts").alias("date"),
                                          json_to_dims(F.col("props")).alias("dimensions"), "value")
-    ev = ev.withColumn("dim_key", dims_to_json(F.col("dimensions")))
-    e = (ev.where(F.dayofmonth("date") <= 20).groupBy("code", "date", "dim_key")
-           .agg(F.round(F.sum("value"), 2).alias("value")))
-    n = (ev.where(F.dayofmonth("date") >= 10).groupBy("code", "date", "dim_key")
-           .agg(F.count(F.lit(1)).cast("double").alias("value")))
-    return UP.upsert(e, n, ["code", "date", "dim_key"])
+    key = UP.dims_key("dimensions")
+    by = lambda rows, value: rows.groupBy("code", "date", key.alias("k")).agg(
+        F.any_value("dimensions").alias("dimensions"), value.alias("value")).drop("k")
+    e = by(ev.where(F.dayofmonth("date") <= 20), F.round(F.sum("value"), 2))
+    n = by(ev.where(F.dayofmonth("date") >= 10), F.count(F.lit(1)).cast("double"))
+    return UP.upsert_dimensional(e, n).select("code", "date", "dim_key", "value")
 
 
 @query(sql="WITH " + INDEX_PARSED + """,

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import features as FE
 from ..operators import order as OR
 from .q_aggs import SPARSE_SQL, filled_sparse
 from .registry import query
@@ -111,12 +112,9 @@ WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25'
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def q_latest_features(spark, d):
     """FS-1: materialise a time range, latest row per key."""
-    ev = read(spark, d, "events").where(
-        (F.col("ts") >= F.lit("2024-01-05").cast("timestamp_ntz"))
-        & (F.col("ts") < F.lit("2024-01-25").cast("timestamp_ntz")))
-    latest = ev.groupBy("user_id").agg(
-        F.max_by(F.struct("event_type", "value", "ts"), F.struct("ts", "event_id")).alias("r"))
-    return latest.select("user_id", "r.event_type", "r.value", "r.ts")
+    at = lambda t: F.lit(t).cast("timestamp_ntz")
+    ev = FE.feature_range(read(spark, d, "events"), "ts", at("2024-01-05"), at("2024-01-25"))
+    return FE.latest_features(ev, ["user_id"], "ts", ["event_type", "value"], ["event_id"])
 
 
 @query(sql="""

@@ -6,19 +6,25 @@ exists is asked of its file system; an error while reading it is an error.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
-
 BATCH = "batch_id"
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the folder is there (any file system Spark can reach)."""
+def _place(spark: SparkSession, path: str):
+    """(file system, path) of a folder, in any file system Spark can reach."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder is there."""
+    fs, where = _place(spark, path)
+    return fs.exists(where)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -32,17 +38,36 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Overwrite.  The rows are checkpointed first, so they may come from the
-    table itself.  Readers should not read while it is replaced."""
-    cut_lineage(df).write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+    """Overwrite.  The new table is written beside the old one and takes its
+    place once it is complete, so a write that fails leaves the old table, and
+    the rows may come from the table itself.  Readers should not read while it
+    is replaced."""
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    fs, where = _place(spark, path)
+    _, new = _place(spark, f"{path}.{mark}.new")
+    _, old = _place(spark, f"{path}.{mark}.old")
+    try:
+        df.write.partitionBy(*(partition_by or [])).parquet(new.toString())
+    except Exception:
+        fs.delete(new, True)
+        raise
+    if fs.exists(where) and not fs.rename(where, old):
+        raise OSError(f"the table {path} cannot be replaced; its new rows are in {new}")
+    if not fs.rename(new, where):
+        fs.rename(old, where)
+        raise OSError(f"the table {path} cannot be replaced; its new rows are in {new}")
+    fs.delete(old, True)
 
 
 def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None, batch: str | None = None) -> None:
     """UPS-12: append.  With a ``batch`` name the rows go to a partition of
-    their own (column ``batch_id``), which a replay of the batch replaces, so
-    nothing is stored twice."""
+    their own (column ``batch_id``, which ``df`` must not have), which a replay
+    of the batch replaces, so nothing is stored twice.  Without one a replay
+    appends again."""
     w = df.write.mode("append")
     if batch is not None:
+        if BATCH in (c.lower() for c in df.columns):
+            raise ValueError(f"the rows have a column {BATCH} of their own; rename it first")
         w = (df.withColumn(BATCH, F.lit(batch)).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic"))
     w.partitionBy(*([BATCH] if batch is not None else []), *(partition_by or [])).parquet(path)
