@@ -1,11 +1,18 @@
 """Change features over many series at once (FEAT-*).
 
-Input is long form (series_id, date, value).  Every series is handled by
-its own key, never by one global date order.  Lags use the segmented scan
-of ``order.ffill_bfill`` so a very long series is split by time bucket.
-
-Output is wide (date + one column per series) with rows kept only where
-every feature is present, like ``dropna()`` on the panel.
+Input is long form (series_id, date, value), and so is the work: there is no
+column per series.  The union of all dates is the spine, each date with its
+position.  A series' row knows the position of its neighbours, by a lag in the
+segmented scan of ``order`` (a very long series is split by stretches of the
+spine), so that:
+
+- a difference needs the row before it at the position before it;
+- a padded percent change also holds on the dates without a row, up to the
+  series' next one: its rows cover ranges of positions, and only the dates
+  that come out are written down.
+
+Dates count where every series has a feature, like ``dropna()`` on the panel
+that these rows are; ``to_wide`` turns a named panel of few series to columns.
 """
 
 from __future__ import annotations
@@ -13,21 +20,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .order import ffill_bfill
+from .order import segmented_lag
 
 METHODS = ("pct_change", "diff", "log_diff", "raw")
 
 
+STRETCH = 512       # positions of the spine to a window
+
+
+def date_spine(long_df: DataFrame, date_col: str = "date") -> DataFrame:
+    """(pos, date): every date of any series, in order.  One row with the
+    dates: each task sends those it has once, and there are as many as the
+    calendar has."""
+    days = long_df.where(F.col(date_col).isNotNull()).agg(F.sort_array(F.collect_set(date_col)).alias("_days"))
+    return days.select(F.posexplode("_days").alias("_pos", date_col))
+
+
+def observed(long_df: DataFrame, spine: DataFrame, id_col: str = "series_id", date_col: str = "date",
+             value_col: str = "value") -> DataFrame:
+    """(series, position, value): the rows that have a value, one to a series
+    and date."""
+    rows = long_df.where(F.col(value_col).isNotNull()).groupBy(id_col, date_col).agg(F.first(value_col).alias("_value"))
+    return rows.join(spine, date_col).select(id_col, F.col("_pos"), F.col("_value").cast("double").alias("_value"))
+
+
 def outer_panel(long_df: DataFrame, series_ids: list[str], id_col: str = "series_id",
                 date_col: str = "date", value_col: str = "value") -> DataFrame:
-    """The outer-merged panel in long form (series, date, value or null):
-    one pivot on date (one shuffle, partial aggregation) and an unpivot
-    back, instead of a distinct-dates spine joined to the values."""
-    wide = (long_df.where(F.col(id_col).isin(series_ids))
-                   .groupBy(date_col).pivot(id_col, series_ids).agg(F.first(value_col)))
-    stacked = F.explode(F.array(*[F.struct(F.lit(s).alias(id_col), F.col(f"`{s}`").alias(value_col))
-                                  for s in series_ids]))
-    return wide.select(date_col, stacked.alias("_s")).select(f"_s.{id_col}", date_col, f"_s.{value_col}")
+    """The outer-merged panel in long form: (series, date, value or null) for
+    every named series on every date of the spine."""
+    rows = long_df.where(F.col(id_col).isin(series_ids))
+    grid = date_spine(rows, date_col).select(date_col, F.explode(F.array(*[F.lit(s) for s in series_ids])).alias(id_col))
+    first = rows.groupBy(id_col, date_col).agg(F.first(value_col, ignorenulls=True).alias(value_col))
+    return grid.join(first, [id_col, date_col], "left").select(id_col, date_col, value_col)
 
 
 def _ratio_minus_one(cur: Column, prev: Column) -> Column:
@@ -39,10 +63,10 @@ def _ratio_minus_one(cur: Column, prev: Column) -> Column:
              .otherwise(cur / prev - 1))
 
 
-def change_long(long_df: DataFrame, series_ids: list[str], method: str,
-                id_col: str = "series_id", date_col: str = "date", value_col: str = "value",
-                bucket: Column | None = None) -> DataFrame:
-    """Per-series change on the outer-merged date spine (long form).
+def change_long(long_df: DataFrame, series_ids: list[str] | None, method: str,
+                id_col: str = "series_id", date_col: str = "date", value_col: str = "value") -> DataFrame:
+    """Per-series change on the spine of all dates, long form (series, date,
+    feature), rows without a feature left out.  ``series_ids``: None for all.
 
     pct_change pads gaps first (previous value carried forward), then
     divides by the previous padded value; diff and log_diff use the
@@ -50,40 +74,59 @@ def change_long(long_df: DataFrame, series_ids: list[str], method: str,
     """
     if method not in METHODS:
         raise ValueError(f"Unknown method: {method}")
-    vals = long_df.where(F.col(id_col).isin(series_ids)).select(id_col, date_col, value_col)
-    panel = outer_panel(vals, series_ids, id_col, date_col, value_col)
+    vals = long_df if series_ids is None else long_df.where(F.col(id_col).isin(series_ids))
+    vals = vals.select(id_col, date_col, value_col)
+    spine = date_spine(vals, date_col)
+    rows = observed(vals, spine, id_col, date_col, value_col)
     if method == "raw":
-        return panel.select(id_col, date_col, F.col(value_col).alias("feature"))
-    bucket = bucket if bucket is not None else F.date_trunc("month", F.col(date_col))
-    v = F.col(value_col)
-    if method == "log_diff":
-        # shift by the global minimum when it is <= 0 (one number to the driver)
-        gmin = vals.agg(F.min(value_col)).first()[0]
-        shift = abs(gmin) + 1 if gmin is not None and gmin <= 0 else 0.0
-        panel = panel.withColumn(value_col, F.ln(v + F.lit(shift)))
-    if method == "pct_change":
-        f = ffill_bfill(panel, [id_col], date_col, [value_col], bucket, backward=False, keep_prev=True)
-        feat = _ratio_minus_one(F.col(value_col), F.col(f"{value_col}__prev"))
-        return f.select(id_col, date_col, feat.alias("feature"))
-    # diff / log_diff: previous row of the spine, not padded
-    prev_row = _prev_row(panel, id_col, date_col, value_col, bucket)
-    return prev_row.select(id_col, date_col, (F.col(value_col) - F.col("_prev")).alias("feature"))
-
-
-def _prev_row(panel: DataFrame, id_col: str, date_col: str, value_col: str, bucket: Column) -> DataFrame:
-    """Value of the previous spine row per series (nulls kept) via the
-    segmented scan: lag inside (series, bucket), and for a bucket's first
-    row the last row of the previous bucket (summary built from the
-    windowed frame, so no extra shuffle of the rows)."""
-    from pyspark.sql import Window
-    d = panel.withColumn("_b", bucket)
-    w = Window.partitionBy(id_col, "_b").orderBy(date_col)
-    local = d.withColumn("_prev_local", F.lag(value_col).over(w)).withColumn("_rn", F.row_number().over(w))
-    last_of_bucket = local.groupBy(id_col, "_b").agg(F.max_by(F.col(value_col), F.col("_rn")).alias("_lastv"))
-    wb = Window.partitionBy(id_col).orderBy("_b")
-    carry = last_of_bucket.select(id_col, "_b", F.lag("_lastv").over(wb).alias("_cin"))
-    j = local.join(carry, [id_col, "_b"], "left")
-    return j.withColumn("_prev", F.when(F.col("_rn") == 1, F.col("_cin")).otherwise(F.col("_prev_local")))
+        found = rows.withColumn("feature", F.col("_value"))
+    else:
+        if method == "log_diff":
+            # shift by the global minimum when it is <= 0 (one row joined to all)
+            least = vals.agg(F.min(value_col).cast("double").alias("_least"))
+            shift = F.when(F.col("_least") <= 0, F.abs("_least") + 1).otherwise(F.lit(0.0))
+            rows = rows.crossJoin(F.broadcast(least)).select(id_col, "_pos", F.ln(F.col("_value") + shift).alias("_value"))
+        stretch = F.floor(F.col("_pos") / STRETCH)
+        rows = segmented_lag(rows, [id_col], ["_pos"], F.struct("_value", "_pos"), stretch, out="_before")
+        if method == "pct_change":
+            found = _padded_change(rows, spine, id_col)
+        else:
+            here = F.col("_before._pos") == F.col("_pos") - 1
+            found = rows.withColumn("feature", F.when(here, F.col("_value") - F.col("_before._value")))
+    known = found.where(F.col("feature").isNotNull() & ~F.isnan("feature"))
+    return known.join(spine, "_pos").select(id_col, date_col, "feature")
+
+
+def _padded_change(rows: DataFrame, spine: DataFrame, id_col: str) -> DataFrame:
+    """Each row and the positions up to the series' next row: the change from
+    the value before it, then of its value to itself."""
+    back = segmented_lag(rows, [id_col], [F.col("_pos").desc()], "_pos", -F.floor(F.col("_pos") / STRETCH), out="_next")
+    end = spine.agg(F.max("_pos").alias("_end"))
+    last = F.coalesce(F.col("_next") - 1, F.col("_end"))
+    covered = back.crossJoin(F.broadcast(end)).select(      # one row
+        id_col, "_value", "_before", F.col("_pos").alias("_own"), F.explode(F.sequence(F.col("_pos"), last)).alias("_pos"))
+    prev = F.when(F.col("_pos") == F.col("_own"), F.col("_before._value")).otherwise(F.col("_value"))
+    return covered.select(id_col, "_pos", _ratio_minus_one(F.col("_value"), prev).alias("feature"))
+
+
+def complete_dates(features: DataFrame, n_series: int | DataFrame, date_col: str = "date") -> DataFrame:
+    """The rows of dates on which every one of ``n_series`` has a feature;
+    ``n_series`` may be a one-row frame with that number."""
+    per_date = features.groupBy(date_col).agg(F.count("*").alias("_n"))
+    if isinstance(n_series, int):
+        whole = per_date.where(F.col("_n") == n_series)
+    else:
+        only = n_series.columns[0]
+        whole = per_date.crossJoin(F.broadcast(n_series)).where(F.col("_n") == F.col(only))
+    return features.join(whole.select(date_col), date_col, "left_semi")
+
+
+def complete_long(long_df: DataFrame, method: str = "pct_change", id_col: str = "series_id", date_col: str = "date",
+                  value_col: str = "value") -> DataFrame:
+    """FEAT-1..4 over all series of the table, however many: (series, date,
+    feature) of the dates on which every series has one."""
+    n = long_df.select(id_col).distinct().agg(F.count("*").alias("_series"))
+    return complete_dates(change_long(long_df, None, method, id_col, date_col, value_col), n, date_col)
 
 
 def to_wide_complete(long_feat: DataFrame, series_ids: list[str], id_col: str = "series_id",
