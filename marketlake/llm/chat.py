@@ -84,7 +84,8 @@ def format_chat(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", rol
 
     Turns stand by ``turn`` (null first), then role, then body; repeated rows
     are turns of their own.  A null role is the empty role; a null
-    conversation id is a conversation.  Other columns are ignored.  Offsets
+    conversation id is a conversation; an empty table has no rows; a very long
+    conversation is one long row.  Other columns are ignored, whatever their names.  Offsets
     are running sums in the window that orders the turns, so a conversation is
     shuffled once; its rendered text is one row by nature of the output.
     """

@@ -128,7 +128,9 @@ def with_next(df: DataFrame, id_col: str, cols: list[str], tie: str) -> DataFram
 def fingerprint(df: DataFrame, text_col: str = "text", out: str = "sketch", k: int = K, n: int = SHINGLE) -> DataFrame:
     """Add the bottom-k sketch of each row's whole text as ``out``.  Null text
     is the empty text; equal texts have equal sketches; repeated rows keep
-    theirs; all other columns stay."""
+    theirs; texts of any length are read whole (one array of hashes per text);
+    an empty table stays empty; a column named ``out`` is replaced, all other
+    columns stay."""
     return df.withColumn(out, sketch(F.col(text_col), k, n))
 
 

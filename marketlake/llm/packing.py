@@ -40,6 +40,8 @@ MAX_BROADCAST_BYTES = 32 << 20
 
 # ------------------------------------------------------------------ schedule
 
+CELLS = 1 << 20     # figures of (window, queue) that are held at once
+
 @dataclass
 class Phase:
     """Windows ``first`` to ``first + windows`` with fixed quanta.  ``num[q] /
@@ -50,6 +52,15 @@ class Phase:
     den: int
     begin: list[int]
 
+    def step(self) -> int:
+        """Windows whose figures of all queues are held at once."""
+        return max(1, CELLS // max(1, len(self.num)))
+
+    def given_by(self, w: np.ndarray, queue: int) -> np.ndarray:
+        """Tokens one queue gave in the phase's first ``w`` windows."""
+        n = self.step()
+        return np.concatenate([w[:0], *[self.given(w[i:i + n])[:, queue] for i in range(0, len(w), n)]])
+
     def given(self, w: np.ndarray) -> np.ndarray:
         """Tokens each queue gave in the phase's first ``w`` windows: (len(w), queues)."""
         num = np.array(self.num, dtype=object) if self.windows * max(self.num) >= 2 ** 62 else np.array(self.num, np.int64)
@@ -134,7 +145,7 @@ class Layout:
         best = np.maximum(about - 2, 0)
         for step in (-1, 0, 1):
             w = np.clip(about + step, 0, p.windows - 1)
-            best = np.where(p.given(w)[:, queue] <= x, np.maximum(best, w), best)
+            best = np.where(p.given_by(w, queue) <= x, np.maximum(best, w), best)
         return best
 
     def place(self, queue: int, start: np.ndarray, length: np.ndarray):
@@ -150,8 +161,9 @@ class Layout:
             first, last = self._window(p, queue, base), self._window(p, queue, upto - 1)
             until = np.cumsum(last - first + 1)
             begins = until - (last - first + 1)
-            for at in range(0, int(until[-1]), self.BLOCK):
-                k = np.arange(at, min(int(until[-1]), at + self.BLOCK))
+            block = min(self.BLOCK, p.step())
+            for at in range(0, int(until[-1]), block):
+                k = np.arange(at, min(int(until[-1]), at + block))
                 of = np.searchsorted(until, k, "right")
                 w = first[of] + k - begins[of]
                 now, then = p.given(w), p.given(w + 1)

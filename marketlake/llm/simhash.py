@@ -255,7 +255,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and the smallest doc_id reachable over links of at most ``most`` differing
     bits.  Null and empty texts have fingerprint 0 and link like any other; a
     null id is kept, and is a component's id only where it has no other; equal
-    texts always share a component; other columns are ignored."""
+    texts and repeated rows always share a component; texts of any length are
+    read whole; an empty table has no rows; other columns are ignored."""
     held = cut_lineage(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), n=n)
                        .select(F.col("id").cast("long").alias("doc_id"), "fp"))
     grouped = cut_lineage(_grouped(held, most, leaf))
@@ -268,20 +269,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE,
              most: int = MAX_BITS, leaf: int = LEAF) -> DataFrame:
     """``docs`` with one row of each component: its smallest id's (null ids
-    last, equal ids by a hash of the text; of repeated rows any one).  All
-    columns stay.
+    last, equal ids by a hash of the text, then of the whole row; of rows alike
+    in all columns one).  All columns stay, whatever their names; an empty
+    table stays empty; texts of any length are read whole.
 
-    A row is known by two hashes of its id and text.  The copies of a group
+    A row is known by two hashes of all its columns.  The copies of a group
     meet in no task: each task keeps its smallest per fingerprint first."""
     text = text_or_empty(text_col)
-    key = (F.xxhash64(F.col(id_col), text).alias("__k1"), F.xxhash64(F.lit("row"), text, F.col(id_col)).alias("__k2"))
+    whole = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`")
+             for f in docs.schema]
+    key = (F.xxhash64(text).alias("__k0"), F.xxhash64(*whole).alias("__k1"), F.xxhash64(F.lit("row"), *whole).alias("__k2"))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), *key)
     held = cut_lineage(fingerprints(rows, n=n))
     grouped = _grouped(held, most, leaf)
-    order = F.struct(F.col("id").isNull().alias("none"), "id", "__k1", "__k2")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "__k0", "__k1", "__k2")
     first = (held.groupBy("fp").agg(F.min(order).alias("o")).join(grouped, "fp")
              .groupBy("component").agg(F.min("o").alias("o")).select("o.__k1", "o.__k2"))
-    kept = docs.select("*", *key).join(first, ["__k1", "__k2"], "left_semi")
+    kept = docs.select("*", *key[1:]).join(first, ["__k1", "__k2"], "left_semi")
     return kept.dropDuplicates(["__k1", "__k2"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

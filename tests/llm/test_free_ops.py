@@ -5,6 +5,7 @@ import math
 import random
 import re
 import textwrap
+import tracemalloc
 import zlib
 from fractions import Fraction
 
@@ -601,3 +602,51 @@ def test_words_sent_to_the_model_keep_their_ids():
     for _ in range(3000):
         text = "".join(rng.choice("abcz019.,'s-éüßÉÑñ́ \n$_İſ漢") for _ in range(rng.randrange(1, 20)))
         assert np.frombuffer(ours.encode(text.encode()), "<u2").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_placing_many_queues_takes_bounded_memory():
+    totals = [50_000 + 37 * q for q in range(1500)]
+    lay = packing.Layout(packing.plan(totals, [Fraction(t, sum(totals)) for t in totals], 2048))
+    start, length = np.arange(0, 50_000, 500), np.full(100, 500)
+    tracemalloc.start()
+    placed = [x for x in lay.place(7, start, length)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(int(n.sum()) for _, _, n, _, _ in placed) == 50_000 and peak < 200 << 20
+
+
+def deficit_round_robin(totals, size):
+    """Step by step: every window gives each queue its share, rests carried."""
+    whole, left, carry, windows = sum(totals), list(totals), [Fraction(0)] * len(totals), []
+    while all(n * whole >= size * t for n, t in zip(left, totals)):       # every queue can give a whole quantum
+        due = [c + Fraction(size * t, whole) for c, t in zip(carry, totals)]
+        give = [int(d) for d in due]
+        rest = [d - g for d, g in zip(due, give)]
+        for q in sorted(range(len(totals)), key=lambda q: (-rest[q], q))[:size - sum(give)]:
+            give[q] += 1
+        carry = [d - g for d, g in zip(due, give)]
+        left = [n - g for n, g in zip(left, give)]
+        windows.append(give)
+    return windows
+
+
+def test_schedule_is_a_deficit_round_robin():
+    for totals in ([700, 200, 101], [5000, 4999, 1, 1234], [64, 64]):
+        size = 64
+        shares = [Fraction(t, sum(totals)) for t in totals]
+        phases = packing.plan(totals, shares, size)
+        windows = deficit_round_robin(totals, size)
+        first = phases[0]
+        for w in range(1, min(first.windows, len(windows)) + 1):
+            want = [sum(g[q] for g in windows[:w]) for q in range(len(totals))]
+            got = first.given(np.array([w]))[0].tolist()
+            # sums of w windows agree to the token that a carried rest may give earlier or later
+            assert sum(got) == w * size and all(abs(a - b) <= 1 for a, b in zip(got, want)), (totals, w)
+            assert all(abs(a - w * size * s) < 1 for a, s in zip(got, shares))
+
+
+def test_repeated_ids_keep_the_same_row_every_time(spark, make_docs):
+    rows = [(1, "alpha beta gamma delta epsilon")] * 6 + [(2, "quite other words stand in here")]
+    docs = make_docs(rows).withColumn("score", F.concat(F.lit("v"), F.monotonically_increasing_id()))
+    kept = {tuple(sorted((r["doc_id"], r["score"]) for r in simhash.keep_one(docs.repartition(n, "score")).collect())) for n in (1, 4)}
+    assert len(kept) == 1 and len(next(iter(kept))) == 2
