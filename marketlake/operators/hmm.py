@@ -145,11 +145,15 @@ def prepare_sequences(df: DataFrame, seq_cols: list[str], order_cols: list[str],
             .otherwise(F.col(c).cast("double")).alias(c)
     plain = [c for c in dict.fromkeys([*seq_cols, *order_cols]) if c not in features]
     rows = df.select(*plain, *[known(c) for c in features])
-    in_part = F.monotonically_increasing_id()
+    spark = df.sparkSession
+    # partitions as the rows ask for, at least one to a core, at most as many as the session's shuffles have
+    wanted = max(rows.count() // chunk_rows, spark.sparkContext.defaultParallelism)
+    n = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted))
     chunk = F.shiftleft(F.shiftright(AT_COL, 33), 33) + F.floor(F.col(AT_COL).bitwiseAND(F.lit((1 << 33) - 1)) / chunk_rows)
     # sorted by all columns: a task that runs again numbers its rows alike
-    placed = rows.orderBy(*seq_cols, *order_cols, *features).withColumn(AT_COL, in_part).withColumn(CHUNK_COL, chunk)
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = list(dict.fromkeys([*seq_cols, *order_cols, *features]))
+    placed = (rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn(AT_COL, F.monotonically_increasing_id()).withColumn(CHUNK_COL, chunk))
     return cut_lineage_partitioned(placed.repartition(n, CHUNK_COL).sortWithinPartitions(CHUNK_COL, AT_COL))
 
 

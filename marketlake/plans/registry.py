@@ -26,7 +26,7 @@ def query(fn: QueryFn | None = None, *, sql: str | None = None):
 def all_queries() -> dict[str, QueryFn]:
     # importing the modules fills QUERIES / ORACLE
     from . import (q_sources, q_filters, q_joins, q_aggs, q_windows, q_upserts,  # noqa: F401
-                   q_scalars, q_reshape, q_tree, q_features, q_model, q_payloads, q_landed)
+                   q_scalars, q_reshape, q_tree, q_features, q_model, q_payloads, q_landed, q_stored)
     return dict(QUERIES)
 
 

@@ -5,9 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# keyed stream state with timers needs this store
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass":
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -17,9 +23,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # keyed stream state with timers needs this store
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    **STATE_STORE,
     # Partial aggregation stays on for hot keys; files are split at 128 MB.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
@@ -86,6 +90,19 @@ def ship_package(spark: SparkSession) -> None:
     sc._marketlake_shipped = True
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for a while; what was there before comes back."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives the
     loss of any executor; never a machine-local copy)."""
@@ -97,13 +114,8 @@ def cut_lineage_partitioned(df: DataFrame) -> DataFrame:
     """Reliable checkpoint that keeps the partitioning and order of ``df``, so
     that later joins and groups on them need no shuffle.  Adaptive execution
     would hide both, so it is off while this one table is written."""
-    conf = df.sparkSession.conf
-    before = conf.get("spark.sql.adaptive.enabled")
-    conf.set("spark.sql.adaptive.enabled", "false")
-    try:
+    with settings(df.sparkSession, {"spark.sql.adaptive.enabled": "false"}):
         return cut_lineage(df.select("*"))      # planned anew under this setting
-    finally:
-        conf.set("spark.sql.adaptive.enabled", before)
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -24,6 +24,7 @@ from ..operators.upsert import insert_ignore, upsert
 from ..session import cut_lineage, ship_package
 from ..sources.index import parse_index_lines, with_year_quarter_from_path
 from ..sources.sink import table_exists
+from .progress import with_progress
 
 INDEX_KEY = ["year", "quarter", "cik", "form_type", "filing_date", "filename"]
 
@@ -80,9 +81,14 @@ def insert_ignore_sink(table_path: str):
 
 
 def start_index_load(spark: SparkSession, landing_dir: str, table_path: str, checkpoint: str,
-                     available_now: bool = True):
+                     available_now: bool = True, progress_path: str | None = None, stream: str | None = None):
+    """``progress_path``: where a record of each batch is kept (UPS-11); the
+    last filename says how far the load is."""
+    sink = insert_ignore_sink(table_path)
+    if progress_path:
+        sink = with_progress(sink, progress_path, "filename", stream)
     q = (index_stream(spark, landing_dir).writeStream
-         .foreachBatch(insert_ignore_sink(table_path))
+         .foreachBatch(sink)
          .option("checkpointLocation", checkpoint))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
     return q.start()
@@ -118,11 +124,16 @@ def dedupe_arrivals(stream: DataFrame, arrival_col: str, delay: str,
 
 def start_observation_load(spark: SparkSession, landing_dir: str, table_path: str, checkpoint: str,
                            arrival_col: str | None = None, dedupe_delay: str | None = None,
-                           schema: T.StructType = OBS_SCHEMA):
+                           schema: T.StructType = OBS_SCHEMA, progress_path: str | None = None, stream: str | None = None):
+    """``progress_path``: where a record of each batch is kept (UPS-11); the
+    last series says how far the load is."""
+    sink = observation_upsert_sink(table_path)
+    if progress_path:
+        sink = with_progress(sink, progress_path, "series_id", stream)
     src = spark.readStream.schema(schema).parquet(landing_dir)
     if arrival_col and dedupe_delay:
         src = dedupe_arrivals(src, arrival_col, dedupe_delay)
-    return (src.writeStream.foreachBatch(observation_upsert_sink(table_path))
+    return (src.writeStream.foreachBatch(sink)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
