@@ -65,4 +65,4 @@ def test_query_matches_its_sql(spark, name):
 
 def test_one_query_per_operator():
     names = sorted(registry.all_queries(), key=lambda n: int(n[2:].split("_")[0]))
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
