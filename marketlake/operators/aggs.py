@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import regime_name
+from ..session import cut_lineage
 
 
 # --------------------------------------------------------------------- AGG-1
@@ -81,13 +82,26 @@ def regime_characteristics(df: DataFrame, regime_col: str, features: list[str],
 def members(df: DataFrame, group_col: str, member_col: str, sep: str = ",") -> DataFrame:
     """Group -> sorted member list (as text), member count and unique count.
     The list is a catalogue-sized value per group (funds per benchmark);
-    for unbounded groups use the counts only."""
+    ``member_rows`` lists groups without a bound."""
     return df.groupBy(group_col).agg(
         F.array_join(F.array_sort(F.collect_list(member_col)), sep).alias("members"),
         F.count(member_col).alias("n_members"),
         F.count_distinct(member_col).alias("n_unique"))
 
 
+def member_rows(df: DataFrame, group_col: str, member_col: str, per_row: int = 10_000) -> DataFrame:
+    """The members of groups of any size, in rows of at most ``per_row``:
+    (group, part, members: sorted array).  The pairs are sorted over the
+    cluster and cut by their place, so a group with a third of all rows is in
+    as many rows and tasks as it needs; parts of a group ascend in order but
+    need not be full.  Null members are left out, repeated ones stay."""
+    at = F.monotonically_increasing_id()
+    placed = cut_lineage(df.where(F.col(member_col).isNotNull()).select(group_col, member_col)
+                         .orderBy(group_col, member_col).withColumn("_at", at))
+    part = F.floor(F.col("_at") / per_row)
+    return placed.groupBy(group_col, part.alias("part")).agg(F.array_sort(F.collect_list(member_col)).alias("members"))
+
+
 # --------------------------------------------------------------------- AGG-8
 def tally(df: DataFrame, outcome_col: str, by: list[str] | None = None) -> DataFrame:
     """success / failed / skipped / total counts of a job-result table."""

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from marketlake.operators import aggs as AG
 from marketlake.operators import features as FE
 from marketlake.operators import joins as J
 from marketlake.operators import order as OR
@@ -88,3 +89,13 @@ def test_ties_of_an_upsert_have_one_winner(spark):
     for n in (1, 3):
         assert sorted(map(str, UP.upsert(old, new.repartition(n, "v"), ["k"]).collect())) == first
     assert len(first) == 2
+
+
+def test_members_of_a_group_without_bound(spark):
+    rows = [("big", i * 7919 % 5000) for i in range(5000)] + [("small", 2), ("small", 2), ("none", None), (None, 1)]
+    out = AG.member_rows(spark.createDataFrame(rows, "g string, m int"), "g", "m", per_row=300).collect()
+    assert max(len(r.members) for r in out) <= 300
+    listed = {}
+    for r in sorted(out, key=lambda r: r.part):
+        listed.setdefault(r.g, []).extend(r.members)
+    assert listed == {"big": list(range(5000)), "small": [2, 2], None: [1]}

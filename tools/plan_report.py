@@ -20,7 +20,7 @@ def summarise(plan: str) -> dict:
         "shuffles": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)", plan)),
         "broadcasts": plan.count("BroadcastExchange"),
         "windows": len(re.findall(r"\bWindow\b", plan)),
-        "python": len(re.findall(r"MapInPandas|FlatMapGroupsInPandas|ArrowEvalPython|BatchEvalPython", plan)),
+        "python": len(re.findall(r"MapIn(?:Pandas|Arrow)|FlatMap(?:Co)?GroupsIn(?:Pandas|Arrow)|ArrowEvalPython|BatchEvalPython", plan)),
         "scans": scans,
     }
 
@@ -33,7 +33,8 @@ def main():
     lines = ["# Physical plans of the registered queries", "",
              f"Generated by `tools/plan_report.py {sf_dir}` (physical plans before AQE re-planning; at run time AQE",
              "may turn small shuffled joins into broadcasts and coalesce partitions).",
-             "Shuffles = hash/range/single exchanges; Python = Arrow-batched pandas stages.", "",
+             "Shuffles = hash/range/single exchanges; Python = Arrow-batched stages. What a query wrote before its last plan",
+             "(checkpoints, stored tables, streams) is not counted.", "",
              "| query | shuffles | broadcasts | windows | python | scans: pushed filters / read schema |", "|---|---|---|---|---|---|"]
     for name in sorted(qs):
         if name in ("q_hmm_fit", "q_hmm_fit_by_type"):
