@@ -109,13 +109,12 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     other columns are ignored, whatever their names.
     """
     keyed, names = keyed_rows(df, id_col, text_col, size, key)
-    named = cut_lineage(identities(keyed, names))
-    rows = named.join(keyed.drop("keys"), "row")
+    rows = cut_lineage(identities(keyed, names).join(keyed.drop("keys"), "row"))
     first = F.min(F.struct(-F.col("size"), F.col("id").isNull(), F.col("id"), F.col("tie"), F.col("row").alias("row")))
     groups = rows.groupBy("round", "name").agg(F.count("*").alias("n"), first.alias("first")).select(
         "round", "name", "n", F.col("n").alias("group_size"), F.col("first.id").alias("keep_id"),
         F.col("first.row").alias("keep_row"))
-    out = look_up(rows, cut_lineage(groups), ["round", "name"], "n", named.count())
+    out = look_up(rows, cut_lineage(groups), ["round", "name"], "n", rows.count())
     return out.select(F.col("id").alias(id_col), "keep_id", "group_size",
                       (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256")
 

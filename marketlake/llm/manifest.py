@@ -153,8 +153,9 @@ def manifest(df: DataFrame, group: str = "lang", order: str = "doc_id", fields:
         above = top_steps.select("steps", "members", F.explode("members").alias("c")).select(
             F.col("c.lo").alias("tree"),
             F.concat(F.array(_step(F.col("members"), F.col("c.lo"), F.col("c.hi"))), "steps").alias("steps"))
+    whole = root.first()      # one digest, none of an empty table
     above = cut_lineage(above.join(tops.select(F.col("rank").alias("tree"), F.col("digest").alias("subroot")), "tree")
-                        .crossJoin(F.broadcast(root.select(F.col("digest").alias("root")))))   # the root is one row
+                        .withColumn("root", F.lit(bytes(whole["digest"]) if whole else None).cast("binary")))
 
     def shown(leaf: str, steps: Column) -> list[Column]:
         return [F.col(f"{leaf}ord").alias(order), _hex(F.col(f"{leaf}digest")).alias("leaf"),
