@@ -16,13 +16,15 @@ sequences is one piece of work.
   pass 3  per chunk     filtered probabilities, Viterbi states, log-likelihood
                         or EM statistics, given what enters it
 
-Within a chunk the same scan runs once more over segments of ``STEP`` rows, all
-segments in lockstep, so that no loop is longer than a segment and a chunk's
-number of segments, and nothing is padded.
+Within a chunk the sequences are cut into segments of at most ``STEP`` rows, all
+segments in lockstep: no loop is longer than a segment and the number of
+segments that go on from another, and nothing is padded.  Only the segments of
+sequences that have several need transfer matrices and the same scan once more.
 
 Passes 1 and 3 are cogroups on the chunk: the chunked table keeps its
 partitioning and order, so an iteration of EM moves only parameters, pieces
-and statistics.  Models are rows of a table keyed by ``model_cols`` (none: one
+and statistics.  EM reads a chunk as one row of arrays (``pack_chunks``), not
+row by row, at each of its steps.  Models are rows of a table keyed by ``model_cols`` (none: one
 model for all) that is joined to the chunks that hold its sequences; the
 M-step is an aggregation by model key.  Nothing is collected by model.
 """
@@ -50,6 +52,7 @@ CHUNK = 65_536        # rows of a chunk: what one call of a pass holds
 STEP = 256            # rows of a segment
 CHUNK_COL, AT_COL = "__chunk", "__at"
 OF_COL = "__of"       # the chunk of a parameter or carry row
+PACKED_COLS = ["__x", "__starts", "__runs", "__heads"]     # of pack_chunks
 
 
 @dataclass
@@ -181,196 +184,258 @@ def _stack(col, shape: tuple) -> np.ndarray:
 
 def _emission_log(X: np.ndarray, means: np.ndarray, var: np.ndarray) -> np.ndarray:
     """(n, k) log N(x_t; mean_s, var_s), diagonal, summed over features."""
-    diff = X[:, None, :] - means[None, :, :]
-    return -0.5 * np.sum(LOG2PI + np.log(var)[None] + diff * diff / var[None], axis=2)
+    out = np.zeros((len(means), len(X)))
+    for j, s in np.ndindex(X.shape[1], len(means)):
+        term = X[:, j] - means[s, j]
+        term *= term
+        term /= var[s, j]
+        term += LOG2PI + np.log(var[s, j])
+        out[s] += term
+    out *= -0.5
+    return out.T
+
+
+def _parts(rows: pa.Table, seq_cols, model_cols, features):
+    """What the passes need of a chunk's sorted rows: features (n, d), first
+    rows of the sequences and of the models, and the sequence keys at the
+    models' first rows and at the last sequence."""
+    X = np.column_stack([rows[f].to_numpy() for f in features]).astype(float)
+    starts = np.flatnonzero(_changes(rows, seq_cols))
+    runs = np.flatnonzero(_changes(rows, model_cols)) if model_cols else np.zeros(1, np.int64)
+    return X, starts, runs, rows.select(seq_cols).take(np.append(runs, starts[-1]))
+
+
+def _in_order(rows: pa.Table) -> pa.Table:
+    at = rows[AT_COL].to_numpy()
+    return rows.take(np.argsort(at, kind="stable")) if len(at) > 1 and (np.diff(at) < 0).any() else rows
 
 
 class _Chunk:
-    """Rows of a chunk with what the passes need of them: emission
-    log-densities, sequence starts and the model of each row."""
+    """A chunk (its rows, or its row of ``pack_chunks``) with its models."""
 
     def __init__(self, rows: pa.Table, side: pa.Table, seq_cols, model_cols, features, k):
-        at = rows[AT_COL].to_numpy()
-        if len(at) > 1 and (np.diff(at) < 0).any():
-            rows = rows.take(np.argsort(at, kind="stable"))
-        self.rows, self.n, self.k, d = rows, rows.num_rows, k, len(features)
-        self.start = _changes(rows, seq_cols)
-        self.runs = np.flatnonzero(_changes(rows, model_cols)) if model_cols else np.zeros(1, np.int64)
+        d = len(features)
+        if PACKED_COLS[0] in rows.column_names:
+            X, self.starts, self.runs = (rows[c].combine_chunks().flatten().to_numpy() for c in PACKED_COLS[:3])
+            heads = rows[PACKED_COLS[3]].combine_chunks().flatten()
+            self.X = X.reshape(-1, d)
+            self.heads = pa.table({c: heads.field(c) for c in seq_cols})
+        else:
+            self.rows = _in_order(rows)
+            self.X, self.starts, self.runs, self.heads = _parts(self.rows, seq_cols, model_cols, features)
+        self.n, self.k = len(self.X), k
         models = side.filter(pc.is_valid(side["pi"]))
         at_model = {tuple(r.values()): i for i, r in enumerate(models.select(model_cols).to_pylist())} if model_cols \
             else {(): 0} if models.num_rows else {}
-        keys = [tuple(r.values()) for r in rows.select(model_cols).take(self.runs).to_pylist()] if model_cols else [()]
+        keys = [tuple(r.values()) for r in self.heads.select(model_cols).slice(0, len(self.runs)).to_pylist()] \
+            if model_cols else [()]
         missing = next((key for key in keys if key not in at_model), None)
         if missing is not None:
             raise KeyError(f"the model table has no model for {dict(zip(model_cols, missing))}")
         models = models.take([at_model[key] for key in keys])
         self.A, self.pi = _stack(models["trans"], (k, k)), _stack(models["pi"], (k,))
-        means, var = _stack(models["means"], (k, d)), _stack(models["vars"], (k, d))
-        ends = np.append(self.runs[1:], self.n)
-        self.model = np.repeat(np.arange(len(self.runs)), ends - self.runs)
-        self.X = np.column_stack([rows[f].to_numpy() for f in features]).astype(float)
-        self.E = np.empty((self.n, k))
-        scale = [(m, s) for m, s in zip(models["scale_mean"].to_pylist(), models["scale_std"].to_pylist())]
-        for i, (a, b) in enumerate(zip(self.runs, ends)):
-            if scale[i][0] is not None:
-                self.X[a:b] = (self.X[a:b] - np.array(scale[i][0])) / np.array(scale[i][1])
-            self.E[a:b] = _emission_log(self.X[a:b], means[i], var[i])
+        self.means, self.var = _stack(models["means"], (k, d)), _stack(models["vars"], (k, d))
+        self.ends = np.append(self.runs[1:], self.n)
+        self.scale = [(m, s) for m, s in zip(models["scale_mean"].to_pylist(), models["scale_std"].to_pylist())]
+
+    def model_at(self, rows: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.runs, rows, side="right") - 1
+
+    def scored(self, a: int, b: int):
+        """Rows [a, b): the features as their models see them, and (k, b - a)
+        emission log-densities."""
+        X, E = self.X[a:b].copy(), np.empty((self.k, b - a))
+        for i in range(self.model_at(a), self.model_at(b - 1) + 1):
+            part = slice(max(a, self.runs[i]) - a, min(b, self.ends[i]) - a)
+            if self.scale[i][0] is not None:
+                X[part] -= np.array(self.scale[i][0])
+                X[part] /= np.array(self.scale[i][1])
+            E[:, part] = _emission_log(X[part], self.means[i], self.var[i]).T
+        return X, E
 
     def border_pieces(self) -> list[tuple[int, int, int]]:
         """(which, from, to): the piece that may go on from the chunk before
         and, unless it is the same, the one that may go on in the next."""
-        starts = np.flatnonzero(self.start[1:]) + 1
-        if not len(starts):
+        if len(self.starts) == 1:
             return [(0, 0, self.n)]
-        return [(0, 0, int(starts[0])), (1, int(starts[-1]), self.n)]
+        return [(0, 0, int(self.starts[1])), (1, int(self.starts[-1]), self.n)]
 
 
 class _Chain:
-    """Rows [a, b) of a chunk cut into segments of ``STEP`` rows.  ``first``:
-    row a starts a sequence."""
+    """Rows [a, b) of a chunk cut into segments: sequences, the longer ones in
+    parts of ``STEP`` rows.  ``first``: row a starts a sequence.
+
+    Values of rows are laid out by the place in their segment, longest segment
+    first: those of step t stand together, in the same order at each step, and
+    the segments that have a row t are the first ``widths[t]``."""
 
     def __init__(self, c: _Chunk, a: int, b: int, first: bool):
         self.n, self.k = b - a, c.k
-        self.S = -(-self.n // STEP)
-        self.last = self.n - (self.S - 1) * STEP        # rows of the last segment
-        self.A, self.pi = c.A, c.pi
-        reset = c.start[a:b].copy()
-        reset[0] = first
-        self.E, self.reset, self.m = (self._cut(x) for x in (c.E[a:b], reset, c.model[a:b]))
-        self.peak = self.E.max(axis=2)
-        self.W = np.exp(self.E - self.peak[:, :, None])
-
-    def _cut(self, x: np.ndarray) -> np.ndarray:
-        out = np.zeros((self.S * STEP, *x.shape[1:]), x.dtype)
-        out[:self.n] = x
-        return out.reshape(self.S, STEP, *x.shape[1:])
+        heads = np.append(0, c.starts[(c.starts > a) & (c.starts < b)] - a)
+        sizes = np.diff(np.append(heads, self.n))
+        parts = -(-sizes // STEP)
+        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        self.at = np.repeat(heads, parts) + nth * STEP              # first row of each segment
+        length = np.minimum(np.repeat(sizes, parts) - nth * STEP, STEP)
+        self.S = len(length)
+        self.opens = nth == 0                                       # starts a sequence
+        self.opens[0] = first
+        self.goes_on = np.append(~self.opens[1:], False)            # the next segment is of the same sequence
+        self.order = np.argsort(-length, kind="stable")
+        self.widths = np.searchsorted(-length[self.order], -np.arange(length.max()))
+        self.offsets = np.cumsum(self.widths) - self.widths
+        by_length = self.at[self.order]
+        self.row = np.concatenate([by_length[:w] + t for t, w in enumerate(self.widths)])
+        model = c.model_at(a + by_length)
+        self.A, self.pi = np.moveaxis(c.A[model], 0, 2).copy(), c.pi[model].T.copy()
+        self.new = self.opens[self.order]
+        self.X, E = c.scored(a, b)                                  # X in the order of the rows
+        self.E = np.take(E, self.row, axis=1)
+        self.peak = self.E.max(axis=0)
+        self.W = np.subtract(self.E, self.peak, out=E)
+        np.exp(self.W, out=self.W)
 
     def flat(self, x: np.ndarray) -> np.ndarray:
-        return x.reshape(self.S * STEP, *x.shape[2:])[:self.n]
-
-    def active(self, t: int) -> int:
-        return self.S if t < self.last else self.S - 1
+        """A layout's values in the order of the rows."""
+        out = np.empty_like(x)
+        out[..., self.row] = x
+        return out
 
     def steps(self):
-        return range(STEP if self.S > 1 else self.last)
+        """(t, first place, width) of the steps."""
+        return list(zip(range(len(self.widths)), self.offsets.tolist(), self.widths.tolist()))
+
+    def linked(self, every: bool) -> np.ndarray:
+        """Places of the segments whose transfers are asked for: those of
+        sequences that have several, or every one."""
+        return np.flatnonzero((~self.opens | self.goes_on)[self.order] | every)
 
     # sums of paths
-    def transfers(self):
+    def transfers(self, every: bool = False):
         """Per segment (k + 1, k) row-normalised weights from the state before
         it (row k: from a sequence start) to the state at its end, and the
-        logarithms of their row sums."""
-        k = self.k
+        logarithms of their row sums.  Zero where not ``linked``."""
+        k, own = self.k, self.linked(every)
+        A, pi, new = self.A[:, :, own], self.pi[:, own], self.new[own]
+        now, sums = np.zeros((k + 1, k, len(own))), np.zeros((k + 1, len(own)))
+        for t, o, w in self.steps():
+            m = int(np.searchsorted(own, w))
+            if not m:
+                break
+            at = o + own[:m]
+            if t == 0:
+                Q = np.concatenate([A, pi[None]])
+                Q[:, :, new] = pi[None][:, :, new]
+            else:
+                Q = np.einsum("ris,ijs->rjs", now[:, :, :m], A[:, :, :m])
+            Q *= self.W[:, at]
+            total = Q.sum(axis=1)
+            sums[:, :m] += _safe_log(total) + self.peak[at]
+            now[:, :, :m] = Q / np.where(total > 0, total, 1.0)[:, None, :]
         P, scale = np.zeros((self.S, k + 1, k)), np.zeros((self.S, k + 1))
-        for t in self.steps():
-            s = self.active(t)
-            A, pi, r = self.A[self.m[:s, t]], self.pi[self.m[:s, t]], self.reset[:s, t]
-            Q = np.concatenate([A, pi[:, None, :]], axis=1) if t == 0 else P[:s] @ A
-            if r.any():
-                mass = np.ones((int(r.sum()), k + 1)) if t == 0 else P[:s][r].sum(axis=2)
-                Q[r] = mass[:, :, None] * pi[r][:, None, :]
-            Q *= self.W[:s, t][:, None, :]
-            total = Q.sum(axis=2)
-            with np.errstate(divide="ignore"):
-                scale[:s] += np.log(total) + self.peak[:s, t][:, None]
-            P[:s] = Q / np.where(total > 0, total, 1.0)[:, :, None]
+        P[self.order[own]], scale[self.order[own]] = np.moveaxis(now, 2, 0), sums.T
         return P, scale
 
     def carried(self, P, scale, into: np.ndarray) -> np.ndarray:
-        """The forward vector that enters each segment."""
-        out = np.empty((self.S, self.k))
+        """The forward vector that enters each segment that goes on."""
+        out = np.full((self.S, self.k), 1.0 / self.k)
         out[0] = into
-        for s in range(1, self.S):
-            out[s] = _through(out[s - 1][None], np.zeros(1), P[s - 1], scale[s - 1])[0][0]
+        for s in np.flatnonzero(self.goes_on):
+            out[s + 1] = _through(out[s][None], np.zeros(1), P[s], scale[s])[0][0]
         return out
 
     def forward(self, entering: np.ndarray):
-        """Filtered probabilities and log normalisers of all rows."""
-        alpha, norm = np.zeros((self.S, STEP, self.k)), np.zeros((self.S, STEP))
-        now = entering.copy()
-        for t in self.steps():
-            s = self.active(t)
-            nxt = np.einsum("si,sij->sj", now[:s], self.A[self.m[:s, t]])
-            r = self.reset[:s, t]
-            nxt[r] = self.pi[self.m[:s, t]][r]
-            nxt *= self.W[:s, t]
-            total = nxt.sum(axis=1)
-            with np.errstate(divide="ignore"):
-                norm[:s, t] = np.log(total) + self.peak[:s, t]
-            now[:s] = nxt / total[:, None]
-            alpha[:s, t] = now[:s]
-        return alpha, norm
+        """Layouts: filtered probabilities, those of the row before in the
+        sequence (none: 0), the predicted ones, and log normalisers."""
+        alpha, prev, pred = (np.empty((self.k, self.n)) for _ in range(3))
+        total = np.empty(self.n)
+        now = entering[self.order].T.copy()
+        now[:, self.new] = 0.0
+        for t, o, w in self.steps():
+            here = slice(o, o + w)
+            prev[:, here] = now[:, :w]
+            nxt = np.einsum("ijs,is->js", self.A[:, :, :w], now[:, :w])
+            if t == 0:
+                nxt[:, self.new] = self.pi[:, self.new]
+            pred[:, here] = nxt
+            nxt *= self.W[:, here]
+            total[here] = nxt.sum(axis=0)
+            now = nxt / total[here]
+            alpha[:, here] = now
+        return alpha, prev, pred, _safe_log(total) + self.peak
 
     def backward(self, P, scale, after: np.ndarray) -> np.ndarray:
-        """Backward vectors of all rows, each normalised; ``after`` is that of
-        the last row."""
-        ends = np.empty((self.S, self.k))
+        """Layout of the normalised backward vectors; ``after`` is that of the
+        last row."""
+        ends = np.full((self.S, self.k), 1.0 / self.k)
         ends[-1] = after
-        for s in range(self.S - 1, 0, -1):
-            ends[s - 1] = _before(P[s], scale[s], ends[s])
-        beta = np.zeros((self.S, STEP, self.k))
-        now = ends.copy()
-        beta[:-1, STEP - 1] = ends[:-1]
-        beta[-1, self.last - 1] = ends[-1]
-        for t in range(STEP - 2 if self.S > 1 else self.last - 2, -1, -1):
-            s = self.active(t + 1)                      # segments with a row t + 1
-            prev = np.einsum("sij,sj->si", self.A[self.m[:s, t + 1]], self.W[:s, t + 1] * now[:s])
-            prev[self.reset[:s, t + 1]] = 1.0
-            now[:s] = prev / prev.sum(axis=1, keepdims=True)
-            beta[:s, t] = now[:s]
+        for s in np.flatnonzero(self.goes_on)[::-1]:
+            ends[s] = _before(P[s + 1], scale[s + 1], ends[s + 1])
+        beta = np.empty((self.k, self.n))
+        now, following = ends[self.order].T.copy(), None
+        for _, o, w in reversed(self.steps()):
+            if following:
+                p, v = following                            # segments with a next row
+                before = np.einsum("ijs,js->is", self.A[:, :, :v], self.W[:, p:p + v] * now[:, :v])
+                now[:, :v] = before / before.sum(axis=0)
+            beta[:, o:o + w] = now[:, :w]
+            following = o, w
         return beta
 
     # best paths
-    def best_transfers(self) -> np.ndarray:
+    def best_transfers(self, every: bool = False) -> np.ndarray:
         """Per segment (k + 1, k) best log weight from the state before it (row
-        k: from a sequence start) to the state at its end."""
-        M = np.zeros((self.S, self.k + 1, self.k))
-        for t in self.steps():
-            s = self.active(t)
-            logA, logpi = _safe_log(self.A[self.m[:s, t]]), _safe_log(self.pi[self.m[:s, t]])
-            r = self.reset[:s, t]
+        k: from a sequence start) to the state at its end.  Zero where not
+        ``linked``."""
+        k, own = self.k, self.linked(every)
+        logA, logpi, new = _safe_log(self.A[:, :, own]), _safe_log(self.pi[:, own]), self.new[own]
+        now = np.zeros((k + 1, k, len(own)))
+        for t, o, w in self.steps():
+            m = int(np.searchsorted(own, w))
+            if not m:
+                break
             if t == 0:
-                N = np.concatenate([logA, logpi[:, None, :]], axis=1)
-                N[r] = logpi[r][:, None, :]
+                N = np.concatenate([logA, logpi[None]])
+                N[:, :, new] = logpi[None][:, :, new]
             else:
-                N = np.max(M[:s, :, :, None] + logA[:, None, :, :], axis=2)
-                N[r] = M[:s][r].max(axis=2)[:, :, None] + logpi[r][:, None, :]
-            M[:s] = N + self.E[:s, t][:, None, :]
+                N = np.max(now[:, :, None, :m] + logA[None, :, :, :m], axis=1)
+            now[:, :, :m] = N + self.E[:, o + own[:m]]
+        M = np.zeros((self.S, k + 1, k))
+        M[self.order[own]] = np.moveaxis(now, 2, 0)
         return M
 
     def states(self, M: np.ndarray, into: np.ndarray, end: int) -> np.ndarray:
         """The best state of each row, given the log weights ``into`` of the
         state before the chain and the state of its last row.  Ties go to the
         lowest state."""
-        now = np.empty((self.S, self.k))
-        now[0] = into
-        for s in range(1, self.S):
-            best = np.max(now[s - 1][:, None] + M[s - 1][:self.k], axis=0)
-            now[s] = best - best.max()
-        back = np.zeros((self.S, STEP, self.k), np.int64)
-        for t in self.steps():
-            s = self.active(t)
-            logA, logpi = _safe_log(self.A[self.m[:s, t]]), _safe_log(self.pi[self.m[:s, t]])
-            cand = now[:s, :, None] + logA
-            r = self.reset[:s, t]
-            cand[r] = now[:s][r][:, :, None] + logpi[r][:, None, :]
-            b = np.argmax(cand, axis=1)
-            back[:s, t] = b
-            best = np.take_along_axis(cand, b[:, None, :], axis=1)[:, 0, :] + self.E[:s, t]
-            now[:s] = best - best.max(axis=1, keepdims=True)
+        entering = np.zeros((self.S, self.k))
+        entering[0] = into
+        for s in np.flatnonzero(self.goes_on):
+            best = np.max(entering[s][:, None] + M[s][:self.k], axis=0)
+            entering[s + 1] = best - best.max()
+        logA, logpi = _safe_log(self.A), _safe_log(self.pi)
+        now, back = entering[self.order].T.copy(), np.zeros((self.k, self.n), np.int64)
+        for t, o, w in self.steps():
+            cand = now[:, None, :w] + logA[:, :, :w]
+            back[:, o:o + w] = np.argmax(cand, axis=0)
+            best = cand.max(axis=0)
+            if t == 0:
+                best[:, self.new] = logpi[:, self.new]
+            best += self.E[:, o:o + w]
+            now[:, :w] = best - best.max(axis=0)
         # the state before a segment as a function of the state at its end
-        trace = np.tile(np.arange(self.k), (self.S, 1))
-        for t in reversed(self.steps()):
-            s = self.active(t)
-            trace[:s] = np.take_along_axis(back[:s, t], trace[:s], axis=1)
-        cur = np.empty(self.S, np.int64)
+        trace = np.tile(np.arange(self.k)[:, None], (1, self.S))
+        for _, o, w in reversed(self.steps()):
+            trace[:, :w] = np.take_along_axis(back[:, o:o + w], trace[:, :w], axis=0)
+        place = np.argsort(self.order)
+        cur = now.argmax(axis=0)[place]
         cur[-1] = end
-        for s in range(self.S - 1, 0, -1):
-            cur[s - 1] = trace[s, cur[s]]
-        out = np.zeros((self.S, STEP), np.int32)
-        for t in reversed(self.steps()):
-            s = self.active(t)
-            out[:s, t] = cur[:s]
-            cur[:s] = back[np.arange(s), t, cur[:s]]
+        for s in np.flatnonzero(self.goes_on)[::-1]:
+            cur[s] = trace[cur[s + 1], place[s + 1]]
+        cur, out = cur[self.order], np.zeros(self.n, np.int32)
+        for _, o, w in reversed(self.steps()):
+            out[o:o + w] = cur[:w]
+            cur[:w] = back[cur[:w], o + np.arange(w)]
         return self.flat(out)
 
 
@@ -402,13 +467,13 @@ def _piece_rows(c: _Chunk, best: bool):
     for which, a, b in c.border_pieces():
         chain = _Chain(c, a, b, first=which == 1)
         if best:
-            M = chain.best_transfers()
+            M = chain.best_transfers(every=True)
             rows = M[0]
             for s in range(1, chain.S):
                 rows = np.max(rows[:, :, None] + M[s][None, :c.k], axis=1)
             yield which, a, rows, np.zeros(c.k + 1)
         else:
-            P, scale = chain.transfers()
+            P, scale = chain.transfers(every=True)
             rows, sums = P[0], scale[0]
             for s in range(1, chain.S):
                 rows, sums = _through(rows, sums, P[s], scale[s])
@@ -460,9 +525,10 @@ class _Entered:
         self.entry, self.end = left["entry_state"], right["end_state"]
 
     def filtered(self):
+        """Filtered probabilities (n, k) and log normalisers of the rows."""
         P, scale = self.chain.transfers()
-        alpha, norm = self.chain.forward(self.chain.carried(P, scale, self.carry_in))
-        return P, scale, self.chain.flat(alpha), self.chain.flat(norm)
+        alpha, _, _, norm = self.chain.forward(self.chain.carried(P, scale, self.carry_in))
+        return self.chain.flat(alpha).T, self.chain.flat(norm)
 
     def best_states(self):
         into = np.zeros(self.c.k)
@@ -474,21 +540,30 @@ class _Entered:
     def stats(self) -> np.ndarray:
         """Per model of the chunk one row: s0, s1, s2, xi, pi, log-likelihood
         (see ``_split_stats``)."""
-        c, k = self.c, self.c.k
-        P, scale, alpha, norm = self.filtered()
-        beta = self.chain.flat(self.chain.backward(P, scale, self.after))
-        W = self.chain.flat(self.chain.W)
-        reset = self.chain.flat(self.chain.reset)
-        g = alpha * beta
-        g /= g.sum(axis=1, keepdims=True)
-        prev = np.vstack([self.carry_in[None], alpha[:-1]])
-        xi = prev[:, :, None] * c.A[c.model] * (W * beta)[:, None, :]
-        xi[reset] = 0.0
-        total = xi.sum(axis=(1, 2), keepdims=True)
-        xi /= np.where(total > 0, total, 1.0)
-        each = [g, np.einsum("nk,nd->nkd", g, c.X).reshape(c.n, -1), np.einsum("nk,nd->nkd", g, c.X * c.X).reshape(c.n, -1),
-                xi.reshape(c.n, k * k), g * reset[:, None], norm[:, None]]
-        return np.hstack([np.add.reduceat(x, c.runs, axis=0) for x in each])
+        c, chain = self.c, self.chain
+        P, scale = chain.transfers()
+        alpha, prev, pred, norm = chain.forward(chain.carried(P, scale, self.carry_in))
+        beta = chain.backward(P, scale, self.after)
+        # in place: fresh memory for each of these costs as much as the sums
+        g = np.multiply(alpha, beta, out=alpha)
+        g /= g.sum(axis=0)
+        right = np.multiply(chain.W, beta, out=beta)
+        total = np.multiply(pred, right, out=pred).sum(axis=0)
+        left = np.divide(prev, np.where(total > 0, total, 1.0), out=prev)
+        # of a row's transitions: left[i] * A[i, j] * right[j]
+        features, opening = chain.X, np.zeros(c.n)
+        opening[chain.at[chain.opens]] = 1.0
+        if len(c.runs) > 1:     # the rows of a model together
+            g, left, right, norm = (chain.flat(x) for x in (g, left, right, norm))
+        else:
+            features, opening = features[chain.row], opening[chain.row]
+        out = []
+        for i, (a, b) in enumerate(zip(c.runs, c.ends)):
+            X, w = features[a:b], g[:, a:b]
+            xi = c.A[i] * (left[:, a:b] @ right[:, a:b].T)
+            out.append(np.concatenate([w.sum(axis=1), (w @ X).ravel(), (w @ (X * X)).ravel(), xi.ravel(),
+                                       w @ opening[a:b], [norm[a:b].sum()]]))
+        return np.array(out)
 
 
 def _split_stats(S: np.ndarray, k: int, d: int):
@@ -504,12 +579,41 @@ def n_stats(k: int, d: int) -> int:
 
 # ------------------------------------------------------------- Spark passes
 def _fields(df: DataFrame, cols) -> list[T.StructField]:
-    return [df.schema[c] for c in cols]
+    packed = PACKED_COLS[3] in df.columns
+    schema = df.schema[PACKED_COLS[3]].dataType.elementType if packed else df.schema
+    return [schema[c] for c in cols]
+
+
+def pack_chunks(seqs: DataFrame, model_cols: list[str], seq_cols: list[str], features: list[str]) -> DataFrame:
+    """The chunked table with a row per chunk for EM, which reads it at every
+    step: features, first rows of sequences and models, and the sequence keys
+    at the models' first rows and at the last sequence, as arrays.  Written
+    once, partitioned and sorted by chunk."""
+    ship_package(seqs.sparkSession)
+    cols = list(dict.fromkeys([CHUNK_COL, AT_COL, *seq_cols, *features]))
+    ints = T.ArrayType(T.IntegerType())
+    schema = T.StructType([T.StructField(CHUNK_COL, T.LongType()), T.StructField(PACKED_COLS[0], T.ArrayType(T.DoubleType())),
+                           T.StructField(PACKED_COLS[1], ints), T.StructField(PACKED_COLS[2], ints),
+                           T.StructField(PACKED_COLS[3], T.ArrayType(T.StructType(_fields(seqs, seq_cols))))])
+    out = to_arrow_schema(schema)
+
+    def pack(rows: pa.Table) -> pa.Table:
+        X, starts, runs, heads = _parts(_in_order(rows), seq_cols, model_cols, features)
+        heads = pa.StructArray.from_arrays([heads[c].combine_chunks() for c in seq_cols], names=list(seq_cols))
+        arrays = [pa.array(X.ravel()), pa.array(starts, pa.int32()), pa.array(runs, pa.int32()), heads]
+        lists = [pa.ListArray.from_arrays(np.array([0, len(x)], np.int32), x) for x in arrays]
+        return pa.table([rows[CHUNK_COL].slice(0, 1), *lists], names=out.names).cast(out)
+    packed = seqs.select(*cols).groupBy(CHUNK_COL).applyInArrow(pack, schema)
+    # a task's start costs more than a packed chunk, so a few partitions to a core are enough
+    n = min(seqs.rdd.getNumPartitions(), 3 * seqs.sparkSession.sparkContext.defaultParallelism)
+    return cut_lineage_partitioned(packed.repartition(n, CHUNK_COL).sortWithinPartitions(CHUNK_COL))
 
 
 def chunk_keys(seqs: DataFrame, model_cols: list[str]) -> DataFrame:
     """(chunk, model key) of the chunked table: no shuffle, a chunk is in one
     partition."""
+    if PACKED_COLS[3] in seqs.columns:
+        seqs = seqs.select(CHUNK_COL, F.inline(PACKED_COLS[3]))
     return seqs.select(F.col(CHUNK_COL).alias(OF_COL), *[F.col(c).alias(c) for c in model_cols]).distinct()
 
 
@@ -546,8 +650,9 @@ def _piece_carries(seqs: DataFrame, params: DataFrame, models: Models, seq_cols,
     def pieces(rows, side):
         c = _Chunk(rows, side, seq_cols, model_cols, features, k)
         found = list(_piece_rows(c, best))
-        at = c.rows.take([a for _, a, _, _ in found])
-        return {**{s: at[s] for s in seq_cols}, CHUNK_COL: at[CHUNK_COL], "which": [w for w, *_ in found],
+        at = c.heads.take([0, c.heads.num_rows - 1][:len(found)])
+        return {**{s: at[s] for s in seq_cols}, CHUNK_COL: [rows[CHUNK_COL][0].as_py()] * len(found),
+                "which": [w for w, *_ in found],
                 "rows": [r.ravel() for _, _, r, _ in found], "sums": [s for *_, s in found]}
     summaries = _by_chunk(seqs, params, pieces, schema)
     carry_schema = T.StructType([T.StructField(OF_COL, T.LongType()), *CARRY_COLS])
@@ -591,7 +696,7 @@ def filtered_probabilities(seqs: DataFrame, params: "HMMParams | Models", seq_co
                            T.StructField("step_loglik", T.DoubleType())])
 
     def fn(e: _Entered):
-        _, _, alpha, norm = e.filtered()
+        alpha, norm = e.filtered()
         return {**{c: e.c.rows[c] for c in cols}, "probs": _lists(alpha), "step_loglik": norm}
     out = _run(seqs, params, seq_cols, fn, schema)
     return out.select(*cols, *[F.col("probs")[i].alias(f"p_{i}") for i in range(params.k)], "step_loglik")
@@ -609,9 +714,9 @@ def sequence_loglik(seqs: DataFrame, params: "HMMParams | Models", seq_cols, ord
     schema = T.StructType([*_fields(seqs, seq_cols), T.StructField("log_likelihood", T.DoubleType()), T.StructField("n", T.LongType())])
 
     def fn(e: _Entered):
-        starts = np.flatnonzero(e.c.start)
+        starts = e.c.starts
         at = e.c.rows.take(starts)
-        return {**{s: at[s] for s in seq_cols}, "log_likelihood": np.add.reduceat(e.filtered()[3], starts),
+        return {**{s: at[s] for s in seq_cols}, "log_likelihood": np.add.reduceat(e.filtered()[1], starts),
                 "n": np.diff(np.append(starts, e.c.n))}
     parts = _run(seqs, params, seq_cols, fn, schema)
     return parts.groupBy(*seq_cols).agg(F.sum("log_likelihood").alias("log_likelihood"), F.sum("n").alias("n"))
@@ -634,13 +739,14 @@ def model_metrics(seqs: DataFrame, params: HMMParams, seq_cols, order_cols=None,
 # ------------------------------------------------------------------------ EM
 def expected_stats(seqs: DataFrame, params: "HMMParams | Models", seq_cols, keys: DataFrame | None = None) -> DataFrame:
     """E-step: one row per model, its key and ``stats`` (array, see
-    ``_split_stats``), summed over its sequences."""
+    ``_split_stats``), summed over its sequences.  ``seqs``: the chunked table
+    or that of ``pack_chunks``."""
     models = _models(seqs, params)
     k, d, model_cols = models.k, len(models.features), models.model_cols
     schema = T.StructType([*_fields(seqs, model_cols), T.StructField("stats", T.ArrayType(T.DoubleType()))])
 
     def fn(e: _Entered):
-        at = e.c.rows.take(e.c.runs)
+        at = e.c.heads.slice(0, len(e.c.runs))
         return {**{c: at[c] for c in model_cols}, "stats": _lists(e.stats())}
     parts = _run(seqs, models, seq_cols, fn, schema, keys=keys)
     sums = [F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(n_stats(k, d))]
@@ -732,9 +838,10 @@ def fit_models(seqs: DataFrame, model_cols: list[str], seq_cols: list[str], feat
     """
     models = initial_models(seqs, k, features, model_cols, scale)
     models.df = cut_lineage(models.df)
-    keys = cut_lineage_partitioned(chunk_keys(seqs, models.model_cols))
+    packed = pack_chunks(seqs, models.model_cols, seq_cols, features)
+    keys = cut_lineage_partitioned(chunk_keys(packed, models.model_cols))
     for _ in range(max_iter):
-        models = m_step(models, expected_stats(seqs, models, seq_cols, keys), tol)
+        models = m_step(models, expected_stats(packed, models, seq_cols, keys), tol)
         models.df = cut_lineage(models.df)
         if models.df.where(~F.col("converged")).isEmpty():
             break

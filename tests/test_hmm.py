@@ -134,6 +134,39 @@ def test_em_moves_no_rows(spark):
         assert "FlatMapCoGroupsInArrow" in lines[i - 1] + lines[i - 2] and "Exchange" not in lines[i - 1]
 
 
+def test_a_fit_reads_a_row_per_chunk_at_each_step(spark, monkeypatch):
+    """One long sequence over many chunks and many short ones, two models."""
+    model = F.when(F.col("u") % 2 == 0, "a")
+    seqs = H.prepare_sequences(many_lengths(spark).withColumn("m", model), ["m", "u"], ["t"], ["x"], 400)
+    chunks, read, real = seqs.select(H.CHUNK_COL).distinct().count(), [], H.expected_stats
+
+    def spy(table, models, seq_cols, keys=None):
+        read.append(table.count())
+        plan = real(table, models, seq_cols, keys)._jdf.queryExecution().executedPlan().toString().splitlines()
+        at = [i for i, line in enumerate(plan) if "Scan ExistingRDD" in line and H.PACKED_COLS[0] in line]
+        assert len(at) == 2 and not any("Exchange" in line for i in at for line in plan[i - 2:i])
+        mine, rows = ({r.m: r.stats for r in real(t, models, seq_cols).collect()} for t in (table, seqs))
+        assert set(mine) == set(rows) == {"a", None}
+        assert all(np.allclose(mine[m], rows[m], rtol=1e-9) for m in mine)
+        return real(table, models, seq_cols, keys)
+    monkeypatch.setattr(H, "expected_stats", spy)
+    H.fit_models(seqs, ["m"], ["m", "u"], ["x"], k=2, max_iter=2, tol=0.0)
+    assert chunks >= 5 and read == [chunks, chunks]
+
+
+def test_only_sequences_of_several_segments_need_transfers():
+    sizes = [3, 700, 1, 40, 256, 257]
+    starts = np.cumsum([0, *sizes[:-1]])
+    c = object.__new__(H._Chunk)
+    c.starts, c.runs, c.ends, c.k, c.scale = starts, np.zeros(1, np.int64), np.array([sum(sizes)]), 2, [(None, None)]
+    c.A, c.pi, c.means, c.var = P.A[None], P.pi[None], P.means[None], P.vars[None]
+    c.X = np.arange(float(sum(sizes)))[:, None] % 5
+    chain = H._Chain(c, 0, sum(sizes), True)
+    assert sorted(chain.at[chain.order[chain.linked(False)]]) == [3, 259, 515, 1000, 1256]
+    assert len(chain.linked(True)) == chain.S == 9 and chain.widths[0] == 9 and chain.widths.sum() == chain.n
+    assert np.array_equal(chain.flat(chain.row), np.arange(chain.n))
+
+
 def test_loglik_and_metrics(spark):
     df = seq_df(spark)
     seqs = H.prepare_sequences(df, ["u"], ["t"], ["x"], 30)
